@@ -1,0 +1,20 @@
+"""Broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimensions above this many rows are joined without a broadcast hint and
+# left to AQE's runtime size check.
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven small, else ``df`` unchanged."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df

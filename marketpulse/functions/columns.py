@@ -19,6 +19,25 @@ def epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def epoch_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the session zone.
+
+    (Spark's timestamp_diff / date_trunc go through the session zone for NTZ
+    input, which shifts wall-clock times inside a DST gap.)
+    """
+    ts = _col(c)
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    minutes = (F.hour(ts) * 60 + F.minute(ts)).cast("long")
+    sec_micros = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    return days * 86_400_000_000 + minutes * 60_000_000 + sec_micros
+
+
+def floor_to(c, width_micros: int, anchor_micros: int = 0) -> Column:
+    """Start of the ``width`` window (grid anchored at ``anchor``) holding an NTZ time."""
+    off = F.pmod(epoch_micros(c) - F.lit(anchor_micros), F.lit(width_micros))
+    return F.timestamp_add("MICROSECOND", -off, _col(c))
+
+
 def parse_iso_utc(c) -> Column:
     """ISO-8601 text (any zone suffix) -> UTC wall-clock TIMESTAMP_NTZ.
 

@@ -20,6 +20,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketpulse.functions.columns import epoch_micros, floor_to
+
 CLOSED_MODES = ("both", "right", "left")
 
 # The grid of the original gold build, hourly starts from
@@ -80,8 +82,9 @@ def bucket_assign(df: DataFrame, ts_col: str, grid: HourGrid, closed: str = "bot
         raise ValueError(f"closed must be one of {CLOSED_MODES}")
     w, n = grid.width_micros, grid.count
     a = _ntz_lit(grid.first_start)
+    a_micros = (grid.first_start - datetime(1970, 1, 1)) // timedelta(microseconds=1)
     d, q, r, j = "_mp_d", "_mp_q", "_mp_r", "_mp_j"
-    staged = (df.withColumn(d, F.timestamp_diff("MICROSECOND", a, F.col(ts_col)))
+    staged = (df.withColumn(d, epoch_micros(ts_col) - F.lit(a_micros))
                 .where(F.col(d).between(0, n * w))
                 .withColumn(q, F.expr(f"{d} div {w}"))
                 .withColumn(r, F.expr(f"{d} % {w}")))
@@ -115,19 +118,21 @@ def bucket_join_theta(df: DataFrame, ts_col: str, grid_frame: DataFrame) -> Data
 
 
 def span_grid(df: DataFrame, ts_col: str, anchor_minutes: int = 30,
-              width: str = "1 HOUR") -> DataFrame:
-    """Hourly grid spanning the data, on ``hh:<anchor>`` points (generated in Spark).
+              width: timedelta = timedelta(hours=1)) -> DataFrame:
+    """Grid spanning the data, on ``hh:<anchor>`` points (generated in Spark).
 
-    First start = hour of the earliest event + anchor, last start = hour of the
-    latest event + anchor; ``(bucket, startdatetime, enddatetime)``.
+    First start = start of the hour of the earliest event + anchor, last
+    start = same for the latest event; ``(bucket, startdatetime, enddatetime)``.
     """
-    offset = F.expr(f"INTERVAL {int(anchor_minutes)} MINUTES")
-    step = F.expr(f"INTERVAL {width}")
-    bounds = df.agg(
-        (F.date_trunc("hour", F.min(ts_col)) + offset).alias("lo"),
-        (F.date_trunc("hour", F.max(ts_col)) + offset).alias("hi"),
-    )
+    w = width // timedelta(microseconds=1)
+    offset = int(anchor_minutes) * 60_000_000
+    step = F.make_dt_interval(secs=F.lit(w // 1_000_000))
+
+    def point(c):
+        return F.timestamp_add("MICROSECOND", F.lit(offset), floor_to(c, 3_600_000_000))
+
+    bounds = df.agg(point(F.min(ts_col)).alias("lo"), point(F.max(ts_col)).alias("hi"))
     return (bounds.where(F.col("lo").isNotNull())
             .select(F.posexplode(F.sequence("lo", "hi", step)).alias("pos", "startdatetime"))
             .select((F.col("pos") + 1).alias("bucket"), "startdatetime",
-                    (F.col("startdatetime") + step).alias("enddatetime")))
+                    F.timestamp_add("MICROSECOND", F.lit(w), F.col("startdatetime")).alias("enddatetime")))

@@ -260,7 +260,7 @@ SELECT id, ticker, created_at, '{AS_OF[:10]}T00:00:00Z' AS start_time FROM posts
 WHERE created_at >= date_trunc('day', TIMESTAMP '{AS_OF}') AND created_at <= TIMESTAMP '{AS_OF}'""")
 def q_since_midnight(spark, sf_dir):
     as_of = _ntz(AS_OF)
-    start = F.date_trunc("day", as_of).cast("timestamp_ntz")
+    start = as_of.cast("date").cast("timestamp_ntz")
     posts = _posts(spark, sf_dir)
     return (posts.where((F.col("created_at") >= start) & (F.col("created_at") <= as_of))
             .select("id", "ticker", "created_at", iso_z(start).alias("start_time")))

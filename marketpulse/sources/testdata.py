@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.functions.columns import case_map, epoch_ntz, partition_date
+from marketpulse.functions.columns import case_map, epoch_micros, floor_to, partition_date
 from marketpulse.operators.tagging import tag_company
 from marketpulse.schemas import BRONZE_PARTITION
 
@@ -68,16 +68,19 @@ def scored_posts(events: DataFrame, dim: DataFrame, run_date: str) -> DataFrame:
     )
 
 
+HOUR_MICROS = 3_600_000_000
+
+
 def bar_time(ts) -> Column:
     """Close time of the hourly bar holding ``ts``: bars cover [hh:30, hh+1:30)."""
-    return (F.date_trunc("hour", F.col(ts) - F.expr("INTERVAL 30 MINUTES"))
-            + F.expr("INTERVAL 90 MINUTES"))
+    start = floor_to(F.col(ts), HOUR_MICROS, anchor_micros=HOUR_MICROS // 2)
+    return F.timestamp_add("MICROSECOND", F.lit(HOUR_MICROS), start)
 
 
 def bars_from_events(events: DataFrame, dim: DataFrame) -> DataFrame:
     """Hourly OHLCV bars per ticker from event values (the price-bar input)."""
-    posts = tag_company(posts_from_events(events).withColumn("event_id", F.col("id").cast("long")), dim)
-    order = F.struct("created_at", "event_id")
+    posts = tag_company(posts_from_events(events), dim)
+    order = F.col("created_at")  # a fixed-width key keeps the aggregate hash-based
     bars = (posts.groupBy("ticker", "CompanySector", bar_time("created_at").alias("Date"))
             .agg(F.min_by("sentID", order).alias("Open"),
                  F.max("sentID").alias("High"),
@@ -85,7 +88,7 @@ def bars_from_events(events: DataFrame, dim: DataFrame) -> DataFrame:
                  F.max_by("sentID", order).alias("Close"),
                  F.count(F.lit(1)).alias("Volume")))
     return bars.select(
-        F.timestamp_diff("HOUR", epoch_ntz(), F.col("Date")).alias("index"),
+        F.floor(epoch_micros("Date") / F.lit(HOUR_MICROS)).cast("long").alias("index"),
         "Date",
         F.col("ticker").alias("Ticker"),
         "CompanySector",

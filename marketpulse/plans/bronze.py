@@ -82,10 +82,10 @@ def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None,
     bronze = read_bronze(spark, path)
     opts.setdefault("weekday_only", True)
     if per_ticker:
-        marks = bronze.groupBy("Ticker").agg(F.max(TS).alias("_hwm"))
-        new = (posts.join(bounded_broadcast(marks), F.col("ticker") == F.col("Ticker"), "left")
+        marks = bronze.groupBy(F.col("Ticker").alias("_hwm_key")).agg(F.max(TS).alias("_hwm"))
+        new = (posts.join(bounded_broadcast(marks), posts["ticker"] == F.col("_hwm_key"), "left")
                .where(F.col("_hwm").isNull() | (F.col("created_at") >= F.col("_hwm")))
-               .drop("Ticker", "_hwm"))
+               .drop("_hwm_key", "_hwm"))
         lowest = marks.agg(F.min("_hwm")).first()[0]
     else:
         hwm = high_water_mark_value(bronze, TS, partition_col=BRONZE_PARTITION)

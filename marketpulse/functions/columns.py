@@ -27,9 +27,10 @@ def epoch_micros(c) -> Column:
     """
     ts = _col(c)
     days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    minutes = (F.hour(ts) * 60 + F.minute(ts)).cast("long")
-    sec_micros = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
-    return days * 86_400_000_000 + minutes * 60_000_000 + sec_micros
+    seconds = (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("long")
+    # zone offsets are whole seconds, so the sub-second part survives any zone cast
+    fraction = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1_000_000))
+    return days * 86_400_000_000 + seconds * 1_000_000 + fraction
 
 
 def floor_to(c, width_micros: int, anchor_micros: int = 0) -> Column:

@@ -52,9 +52,8 @@ def match_keywords(texts: DataFrame, keywords: DataFrame, text_col: str = "text"
         cond = all_of([norm.contains(t) for t in terms])
         hits.append(F.when(cond, F.struct(F.lit(key).alias(key_col), F.lit(kw).alias(keyword_col))))
     if not hits:
-        schema = f"{', '.join(f'`{c}` {texts.schema[c].dataType.simpleString()}' for c in keep)}, " \
-                 f"`{key_col}` string, `{keyword_col}` string"
-        return texts.sparkSession.createDataFrame([], schema)
+        return texts.select(*keep, F.lit(None).cast("string").alias(key_col),
+                            F.lit(None).cast("string").alias(keyword_col)).limit(0)
     return (texts.select(*keep, normalized_words(text_col).alias("_mp_norm"))
             .select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("_mp_hit"))
             .select(*keep, F.col(f"_mp_hit.{key_col}").alias(key_col),

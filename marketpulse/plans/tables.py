@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from marketpulse.operators.upsert import CHANGE_COL
+from marketpulse.sources.literal import literal_frame
 
 HISTORY_SCHEMA = StructType([
     StructField("version", LongType(), False),
@@ -70,7 +71,7 @@ class SnapshotTable:
         try:
             h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self._history_path)
         except AnalysisException:
-            h = self.spark.createDataFrame([], HISTORY_SCHEMA)
+            h = literal_frame(self.spark, [], HISTORY_SCHEMA)
         return h.orderBy(F.col("version").desc())
 
     def current_version(self):
@@ -102,7 +103,7 @@ class SnapshotTable:
         row = (version, None, operation, json.dumps(parameters or {}, sort_keys=True),
                num_source_rows, sum(counts.values()), counts.get("insert", 0),
                counts.get("update", 0), counts.get("copy", 0))
-        (self.spark.createDataFrame([row], HISTORY_SCHEMA)
+        (literal_frame(self.spark, [row], HISTORY_SCHEMA)
          .withColumn("timestamp", F.current_timestamp())
          .coalesce(1).write.mode("append").parquet(self._history_path))
         return version

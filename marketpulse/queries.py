@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marketpulse.functions.columns import is_weekday, iso_z, without_phrase
 from marketpulse.operators.aggregates import company_counts, high_water_mark, load_audit
@@ -34,6 +35,7 @@ from marketpulse.sources.company import (
     COMPANIES, EARLY_COMPANY_COUNT, NOISE_PHRASE, PAGE_CAP, SECTOR_CASE_ARMS, SECTOR_CASE_DEFAULT,
     company_dim,
 )
+from marketpulse.sources.literal import literal_frame
 from marketpulse.sources.pages import flatten_pages, land_pages, page_meta, read_pages
 from marketpulse.sources.testdata import (
     EVENT_PAGE_WIDTH, EVENT_TICKERS, bars_from_events, posts_from_events, scored_posts, table,
@@ -479,5 +481,6 @@ FROM docs d JOIN kw k ON k.norm <> '' AND CASE WHEN k.is_phrase THEN contains(d.
   ELSE list_bool_and(list_transform(string_split(k.norm, ' '), lambda w: contains(d.nt, ' ' || w || ' '))) END""")
 def q_keyword_match(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    kw = spark.createDataFrame(_KW_ROWS, "ticker string, keyword string")
+    kw = literal_frame(spark, _KW_ROWS, StructType([StructField("ticker", StringType()),
+                                                    StructField("keyword", StringType())]))
     return match_keywords(docs, kw, keep=("doc_id",))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketpulse.schemas import COMPANY_SCHEMA
+from marketpulse.sources.literal import literal_frame
 
 # --- Fixed values (must equal the original search setup) -------------------
 # Search dictionary: (ticker, search keyword, sector), in load order.
@@ -93,4 +94,4 @@ def company_dim(spark: SparkSession, entries=None) -> DataFrame:
         ticker, keyword = entry[0], entry[1]
         sector = entry[2] if len(entry) > 2 else None
         rows.append((i, ticker, keyword, sector))
-    return spark.createDataFrame(rows, COMPANY_SCHEMA)
+    return literal_frame(spark, rows, COMPANY_SCHEMA)

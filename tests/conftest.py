@@ -14,7 +14,8 @@ def spark():
     # tests may set their own shared folder; a real cluster names one in spark.checkpoint.dir
     ckpt = tempfile.mkdtemp(prefix="marketpulse-test-")
     s = get_session(master="local[*]", app_name="marketpulse-tests", shuffle_partitions=8,
-                    conf={"spark.checkpoint.dir": ckpt})
+                    conf={"spark.checkpoint.dir": ckpt,
+                          "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="marketpulse-wh-")})
     yield s
     s.stop()
 

@@ -54,6 +54,11 @@ class HourGrid:
     def reference(cls) -> "HourGrid":
         return cls.from_range(REFERENCE_GRID_START, REFERENCE_GRID_END)
 
+    @property
+    def end(self) -> datetime:
+        """End of the last bucket."""
+        return self.first_start + self.width * self.count
+
     @property
     def width_micros(self) -> int:
         return self.width // timedelta(microseconds=1)
@@ -84,7 +89,10 @@ def bucket_assign(df: DataFrame, ts_col: str, grid: HourGrid, closed: str = "bot
     a = _ntz_lit(grid.first_start)
     a_micros = (grid.first_start - datetime(1970, 1, 1)) // timedelta(microseconds=1)
     d, q, r, j = "_mp_d", "_mp_q", "_mp_r", "_mp_j"
-    staged = (df.withColumn(d, epoch_micros(ts_col) - F.lit(a_micros))
+    # plain comparisons on the time column reach the scan (row-group skipping)
+    in_grid = F.col(ts_col).between(a, _ntz_lit(grid.first_start + grid.width * n))
+    staged = (df.where(in_grid)
+                .withColumn(d, epoch_micros(ts_col) - F.lit(a_micros))
                 .where(F.col(d).between(0, n * w))
                 .withColumn(q, F.expr(f"{d} div {w}"))
                 .withColumn(r, F.expr(f"{d} % {w}")))

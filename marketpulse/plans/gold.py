@@ -17,7 +17,7 @@ from marketpulse.functions.columns import all_of
 from marketpulse.operators.aggregates import hourly_mean
 from marketpulse.operators.timegrid import HourGrid, bucket_assign
 from marketpulse.plans.bronze import TS
-from marketpulse.schemas import GOLD_COLUMNS
+from marketpulse.schemas import BRONZE_PARTITION, GOLD_COLUMNS
 
 # The correction rows of the original type-1 demonstration take
 # one ticker's unscored bars up to a bound and move them 24 hours back.
@@ -28,6 +28,10 @@ CORRECTION_SHIFT = timedelta(hours=24)
 
 def hourly_sentiment(silver: DataFrame, grid: HourGrid, closed: str = "both") -> DataFrame:
     """``Ticker, companySector, enddatetime, sentimentScore`` per grid bucket."""
+    if BRONZE_PARTITION in silver.columns:
+        # date-partitioned input: read only the partitions the grid can touch
+        silver = silver.where(F.col(BRONZE_PARTITION).between(
+            F.lit(grid.first_start.date()), F.lit(grid.end.date())))
     posts = silver.select(TS, "Ticker", "companySector", "sentID")
     bucketed = bucket_assign(posts, TS, grid, closed=closed)
     agg = hourly_mean(bucketed, keys=("Ticker", "companySector", "enddatetime"))

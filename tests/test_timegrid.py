@@ -77,3 +77,21 @@ def test_span_grid(spark):
     rows = span_grid(df, "ts").orderBy("bucket").collect()
     assert [r.startdatetime for r in rows] == [datetime(2024, 1, 1, h, 30) for h in range(4)]
     assert rows[-1].enddatetime == datetime(2024, 1, 1, 4, 30)
+
+
+def test_grid_bounds_reach_the_scan(spark, tmp_path_str, capsys):
+    from marketpulse.plans.gold import hourly_sentiment
+    from marketpulse.plans.silver import write_silver
+    rows = [(f"2021-12-0{d} 10:00:00", "CAT", "Manufacturing", 1.0) for d in range(1, 9)]
+    silver = spark.createDataFrame(rows, "t string, Ticker string, companySector string, sentID double").select(
+        F.col("t").cast("timestamp_ntz").alias("Twitter_Created_datetime"), "Ticker", "companySector", "sentID",
+        F.to_date(F.col("t").cast("timestamp_ntz")).alias("Tweet_date"))
+    write_silver(silver, tmp_path_str + "/silver")
+    stored = spark.read.parquet(tmp_path_str + "/silver")
+    grid = HourGrid.from_range("2021-12-03 01:30:00", "2021-12-04 00:00:00")
+    out = hourly_sentiment(stored, grid)
+    out.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(Tweet_date" in plan and "2021-12-03" in plan
+    assert "GreaterThanOrEqual(Twitter_Created_datetime,2021-12-03T01:30)" in plan
+    assert [r.enddatetime for r in out.collect()] == [datetime(2021, 12, 3, 10, 30)]

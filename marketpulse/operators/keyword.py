@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import all_of, normalized_words
+from marketpulse.operators.parallelism import ensure_parallelism
 
 MAX_KEYWORDS = 5_000
 _NON_WORD = re.compile(r"[^\w]+|_+", re.UNICODE)
@@ -38,8 +39,12 @@ def keyword_terms(keyword: str) -> list[str]:
 
 def match_keywords(texts: DataFrame, keywords: DataFrame, text_col: str = "text",
                    key_col: str = "ticker", keyword_col: str = "keyword",
-                   keep=("doc_id",)) -> DataFrame:
-    """One row per (text, matching keyword): ``keep`` columns + key + keyword."""
+                   keep=("doc_id",), spread: bool = True) -> DataFrame:
+    """One row per (text, matching keyword): ``keep`` columns + key + keyword.
+
+    ``spread`` spreads the texts over all task slots first when the input has
+    fewer partitions (normalising whole texts is CPU-bound).
+    """
     rows = keywords.select(key_col, keyword_col).limit(MAX_KEYWORDS + 1).collect()
     if len(rows) > MAX_KEYWORDS:
         raise ValueError(f"more than {MAX_KEYWORDS} keywords; split the dictionary")
@@ -54,7 +59,10 @@ def match_keywords(texts: DataFrame, keywords: DataFrame, text_col: str = "text"
     if not hits:
         return texts.select(*keep, F.lit(None).cast("string").alias(key_col),
                             F.lit(None).cast("string").alias(keyword_col)).limit(0)
-    return (texts.select(*keep, normalized_words(text_col).alias("_mp_norm"))
+    source = texts.select(*keep, text_col)
+    if spread:
+        source = ensure_parallelism(source)
+    return (source.select(*keep, normalized_words(text_col).alias("_mp_norm"))
             .select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("_mp_hit"))
             .select(*keep, F.col(f"_mp_hit.{key_col}").alias(key_col),
                     F.col(f"_mp_hit.{keyword_col}").alias(keyword_col)))

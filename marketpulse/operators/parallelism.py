@@ -1,0 +1,16 @@
+"""Spread CPU-heavy per-row work when the input is under-partitioned."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``repartition`` only when the scan yields fewer partitions than slots.
+
+    A few large unsplittable inputs (one row group, one compressed file) give
+    a handful of tasks; whole-text work then runs on few cores. On a large,
+    well-partitioned input this is a no-op, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -28,7 +28,8 @@ from marketpulse.functions.columns import all_of, any_differs
 from marketpulse.operators.broadcast import row_count_at_most
 
 CHANGE_COL = "_change"
-DEFAULT_SMALL_SOURCE_ROWS = 2_000_000
+# a broadcast source of ~10 columns stays in the tens of MB up to this many rows
+DEFAULT_SMALL_SOURCE_ROWS = 500_000
 
 
 class DuplicateSourceKeyError(ValueError):
@@ -54,13 +55,15 @@ def check_unique_matches(target: DataFrame, source: DataFrame, keys, small_sourc
 def upsert_type1(target: DataFrame, source: DataFrame, keys, update_cols, insert_cols=None,
                  compare_cols=None, null_safe: bool = False,
                  small_source_rows: int = DEFAULT_SMALL_SOURCE_ROWS,
-                 check_duplicates: bool = True) -> DataFrame:
+                 check_duplicates: bool = True, source_rows: int | None = None) -> DataFrame:
+    """``source_rows``: the source's row count when already known (skips the size check)."""
     keys = list(keys)
     update_cols = list(update_cols)
     compare_cols = list(compare_cols or update_cols)
     tcols = target.columns
     insert_cols = list(insert_cols or tcols)
-    small = row_count_at_most(source, small_source_rows)
+    small = (source_rows <= small_source_rows) if source_rows is not None \
+        else row_count_at_most(source, small_source_rows)
     if check_duplicates:
         check_unique_matches(target, source, keys, small)
 

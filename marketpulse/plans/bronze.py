@@ -8,6 +8,7 @@ date-partitioned Parquet. The driver only ever holds the plan and one scalar
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,8 +80,14 @@ def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None,
     newest post of a company fetched later).
     """
     spark = posts.sparkSession
-    bronze = read_bronze(spark, path)
     opts.setdefault("weekday_only", True)
+    try:
+        bronze = read_bronze(spark, path)
+        bronze.schema  # resolves the path
+    except AnalysisException:  # no table yet: everything is new
+        frame = bronze_frame(posts, dim, run_date, **opts)
+        write_partitioned(frame, path, BRONZE_PARTITION, mode="append")
+        return frame
     if per_ticker:
         marks = bronze.groupBy(F.col("Ticker").alias("_hwm_key")).agg(F.max(TS).alias("_hwm"))
         new = (posts.join(bounded_broadcast(marks), posts["ticker"] == F.col("_hwm_key"), "left")

@@ -13,9 +13,11 @@ def merge_into(table: SnapshotTable, source: DataFrame, keys, update_cols, inser
                compare_cols=None, null_safe: bool = False) -> int:
     """Upsert ``source`` into the current version; commits and returns the new version."""
     target = table.read()
-    merged = upsert_type1(target, source, keys, update_cols, insert_cols, compare_cols, null_safe)
+    n_source = source.count()  # recorded in the history; also picks the join plan
+    merged = upsert_type1(target, source, keys, update_cols, insert_cols, compare_cols, null_safe,
+                          source_rows=n_source)
     params = {"keys": list(keys), "update": list(update_cols), "null_safe": null_safe}
-    return table.commit(merged, "MERGE", params, num_source_rows=source.count())
+    return table.commit(merged, "MERGE", params, num_source_rows=n_source)
 
 
 def merge_gold(table: SnapshotTable, source: DataFrame, null_safe: bool = False) -> int:

@@ -91,3 +91,11 @@ def test_gold_left_join_sort_and_corrections(spark):
     assert [r.sentimentScore for r in gold] == [None, 2.0, 3.0, None, None]
     corr = correction_rows(spark.createDataFrame(gold), "CAT", "2021-12-02 04:30:00").collect()
     assert sorted(r.Date for r in corr) == [datetime(2021, 12, 1, 1, 30), datetime(2021, 12, 1, 4, 30)]
+
+
+def test_incremental_into_missing_table_loads_everything(spark, tmp_path_str):
+    dim = company_dim(spark)
+    path = tmp_path_str + "/fresh"
+    incremental_load(posts(spark, [("u", datetime(2021, 12, 6, 8), "1", "t", "BAC"),
+                                   ("u", datetime(2021, 12, 5, 8), "2", "t", "BAC")]), dim, path)
+    assert [r.id for r in read_bronze(spark, path).collect()] == ["1"]  # Sunday dropped

@@ -6,11 +6,19 @@ occur. Matching is case-insensitive on whole words: texts and keywords are
 normalised (lower case, non-alphanumeric runs -> one space, padded), so a
 phrase matches iff `` <phrase> `` is a substring of the normalised text.
 
-The keyword list is a small dimension (size-checked, collected once) compiled
-into one projection: per text, ``array_compact(array(when(match_k, k)...))``
-then ``explode``. One pass over the texts, no join and no shuffle, fully
-inside whole-stage codegen; the cost is texts x keywords substring tests,
-with the text normalised once.
+Two exact plans:
+
+* projection (up to ``MAX_KEYWORDS``): the keyword list (size-checked,
+  collected once) is compiled into one projection per text,
+  ``array_compact(array(when(match_k, k)...))`` then ``explode``. One pass,
+  no join, no shuffle, whole-stage codegen; cost texts x keywords substring
+  tests with each text normalised once.
+* join (any dictionary size): keywords become units (a phrase is one n-gram,
+  an all-terms keyword one unit per distinct word); each text emits its
+  distinct n-grams for the few n-gram lengths the dictionary uses; an
+  equi-join on ``(n, gram)`` and a count per (text, keyword) against the
+  number of units required decide the match. Nothing is collected but the
+  set of n-gram lengths; hot grams are spread by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -20,10 +28,11 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.functions.columns import all_of, normalized_words
+from marketpulse.functions.columns import WORD_SPLIT, all_of, normalized_words
 from marketpulse.operators.parallelism import ensure_parallelism
 
 MAX_KEYWORDS = 5_000
+MAX_GRAM_LENGTHS = 64
 _NON_WORD = re.compile(r"[^\w]+|_+", re.UNICODE)
 
 
@@ -39,15 +48,28 @@ def keyword_terms(keyword: str) -> list[str]:
 
 def match_keywords(texts: DataFrame, keywords: DataFrame, text_col: str = "text",
                    key_col: str = "ticker", keyword_col: str = "keyword",
-                   keep=("doc_id",), spread: bool = True) -> DataFrame:
+                   keep=("doc_id",), spread: bool = True, method: str = "auto") -> DataFrame:
     """One row per (text, matching keyword): ``keep`` columns + key + keyword.
 
-    ``spread`` spreads the texts over all task slots first when the input has
-    fewer partitions (normalising whole texts is CPU-bound).
+    ``keep`` must identify a text. ``method``: "auto" (projection when the
+    dictionary has at most ``MAX_KEYWORDS`` entries, else join), "projection"
+    or "join". ``spread`` spreads the texts over all task slots first when the
+    input has fewer partitions (normalising whole texts is CPU-bound).
     """
-    rows = keywords.select(key_col, keyword_col).limit(MAX_KEYWORDS + 1).collect()
-    if len(rows) > MAX_KEYWORDS:
-        raise ValueError(f"more than {MAX_KEYWORDS} keywords; split the dictionary")
+    keep = list(keep)
+    if method not in ("auto", "projection", "join"):
+        raise ValueError("method must be auto, projection or join")
+    if spread:
+        texts = ensure_parallelism(texts.select(*keep, text_col))
+    rows = None
+    if method != "join":
+        rows = keywords.select(key_col, keyword_col).limit(MAX_KEYWORDS + 1).collect()
+        if len(rows) > MAX_KEYWORDS:
+            if method == "projection":
+                raise ValueError(f"more than {MAX_KEYWORDS} keywords; use method='join'")
+            rows = None
+    if rows is None:
+        return _match_by_join(texts, keywords, text_col, key_col, keyword_col, keep)
     norm = F.col("_mp_norm")
     hits = []
     for key, kw in rows:
@@ -59,10 +81,49 @@ def match_keywords(texts: DataFrame, keywords: DataFrame, text_col: str = "text"
     if not hits:
         return texts.select(*keep, F.lit(None).cast("string").alias(key_col),
                             F.lit(None).cast("string").alias(keyword_col)).limit(0)
-    source = texts.select(*keep, text_col)
-    if spread:
-        source = ensure_parallelism(source)
-    return (source.select(*keep, normalized_words(text_col).alias("_mp_norm"))
+    return (texts.select(*keep, normalized_words(text_col).alias("_mp_norm"))
             .select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("_mp_hit"))
             .select(*keep, F.col(f"_mp_hit.{key_col}").alias(key_col),
                     F.col(f"_mp_hit.{keyword_col}").alias(keyword_col)))
+
+
+def _keyword_units(keywords: DataFrame, key_col: str, keyword_col: str) -> DataFrame:
+    """``key, keyword, need, n, gram``: the n-grams a keyword requires (Spark-side)."""
+    kw = F.col(keyword_col)
+    is_phrase = (F.length(kw) >= 2) & kw.startswith('"') & kw.endswith('"')
+    norm = F.trim(F.regexp_replace(F.lower(F.regexp_replace(kw, '^"+|"+$', "")), WORD_SPLIT, " "))
+    words = F.filter(F.split(norm, " "), lambda w: w != "")
+    distinct_words = F.array_distinct(words)
+    units = F.when(is_phrase & (F.size(words) > 0),
+                   F.array(F.struct(F.size(words).alias("n"), F.array_join(words, " ").alias("gram"))))
+    units = units.otherwise(
+        F.transform(distinct_words, lambda w: F.struct(F.lit(1).alias("n"), w.alias("gram"))))
+    need = F.when(is_phrase, F.lit(1)).otherwise(F.size(distinct_words))
+    return (keywords.select(key_col, keyword_col, need.alias("_mp_need"), F.explode(units).alias("_mp_u"))
+            .select(key_col, keyword_col, "_mp_need",
+                    F.col("_mp_u.n").alias("_mp_n"), F.col("_mp_u.gram").alias("_mp_gram")))
+
+
+def _match_by_join(texts: DataFrame, keywords: DataFrame, text_col: str, key_col: str,
+                   keyword_col: str, keep: list) -> DataFrame:
+    units = _keyword_units(keywords, key_col, keyword_col)
+    lengths = sorted(r[0] for r in units.select("_mp_n").distinct().limit(MAX_GRAM_LENGTHS + 1).collect())
+    if len(lengths) > MAX_GRAM_LENGTHS:
+        raise ValueError(f"keywords use more than {MAX_GRAM_LENGTHS} different phrase lengths")
+    if not lengths:
+        return texts.select(*keep, F.lit(None).cast("string").alias(key_col),
+                            F.lit(None).cast("string").alias(keyword_col)).limit(0)
+    words = F.filter(F.split(F.trim(F.regexp_replace(F.lower(F.col(text_col)), WORD_SPLIT, " ")), " "),
+                     lambda w: w != "")
+    tokens = texts.select(*keep, words.alias("_mp_w"))
+    size = F.size("_mp_w")
+    grams = None
+    for n in lengths:
+        starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
+        per_n = tokens.select(*keep, F.lit(n).alias("_mp_n"), F.explode(F.array_distinct(
+            F.transform(starts, lambda i: F.array_join(F.slice("_mp_w", i, n), " ")))).alias("_mp_gram"))
+        grams = per_n if grams is None else grams.unionByName(per_n)
+    hits = grams.join(units, ["_mp_n", "_mp_gram"], "inner")
+    return (hits.groupBy(*keep, key_col, keyword_col, "_mp_need").agg(F.count(F.lit(1)).alias("_mp_hit"))
+            .where(F.col("_mp_hit") == F.col("_mp_need"))
+            .select(*keep, key_col, keyword_col))

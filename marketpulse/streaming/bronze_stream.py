@@ -42,15 +42,22 @@ def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: s
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dates = [r[0] for r in batch.select(BRONZE_PARTITION).distinct()
-                 .limit(MAX_DATES_PER_BATCH + 1).collect() if r[0] is not None]
+                 .limit(MAX_DATES_PER_BATCH + 1).collect()]
+        try:
+            existing = read_bronze(spark, table_path)
+            existing.schema  # resolves the path
+        except AnalysisException:
+            existing = None  # first batch: the table does not exist yet
         fresh = batch
-        if dates and len(dates) <= MAX_DATES_PER_BATCH:
-            try:
-                existing = (read_bronze(spark, table_path)
-                            .where(F.col(BRONZE_PARTITION).isin(dates)).select(*DEDUP_KEYS))
-                fresh = batch.join(existing, DEDUP_KEYS, "left_anti")
-            except AnalysisException:
-                fresh = batch  # first batch: the table does not exist yet
+        if existing is not None and dates:
+            if len(dates) <= MAX_DATES_PER_BATCH:
+                # prune to the partitions this batch can collide with
+                known = [d for d in dates if d is not None]
+                touched = F.col(BRONZE_PARTITION).isin(known) if known else F.lit(False)
+                if len(known) < len(dates):
+                    touched = touched | F.col(BRONZE_PARTITION).isNull()
+                existing = existing.where(touched)
+            fresh = batch.join(existing.select(*DEDUP_KEYS), DEDUP_KEYS, "left_anti")
         write_partitioned(fresh, table_path, BRONZE_PARTITION, mode="append")
     finally:
         batch.unpersist()

@@ -97,3 +97,28 @@ def test_match_keywords_phrase_vs_all_terms(spark):
     kw = spark.createDataFrame([("DE", "deere co"), ("BAC", '"Bank of America"')], "ticker string, keyword string")
     got = sorted((r.doc_id, r.ticker) for r in match_keywords(docs, kw).collect())
     assert got == [(1, "DE"), (2, "DE"), (3, "BAC")]
+
+
+def test_keyword_join_path_equals_projection(spark):
+    docs = spark.createDataFrame([
+        (1, "Deere & Co. reports; the Bank of America, N.A. said"), (2, "co-founded by Deere"),
+        (3, "bank of america"), (4, "America's bank of choice"), (5, None), (6, ""),
+        (7, "iShares U.S. Oil ETF and 3M Co"), (8, "Élan de la vie, de la mer")],
+        "doc_id long, text string")
+    kw = spark.createDataFrame([("DE", "deere co"), ("BAC", '"Bank of America"'), ("IEO", '"iShares U.S. Oil"'),
+                                ("MMM", '"3M co"'), ("DELA", '"de la"'), ("X", '""'), ("E", "élan VIE")],
+                               "ticker string, keyword string")
+    a = match_keywords(docs, kw, method="projection")
+    b = match_keywords(docs, kw, method="join")
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert sorted((r.doc_id, r.ticker) for r in b.collect()) == [
+        (1, "BAC"), (1, "DE"), (2, "DE"), (3, "BAC"), (7, "IEO"), (7, "MMM"), (8, "DELA"), (8, "E")]
+
+
+def test_keyword_join_path_on_documents(spark):
+    from marketpulse.queries import _KW_ROWS
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    kw = spark.createDataFrame(_KW_ROWS, "ticker string, keyword string")
+    a = match_keywords(docs, kw, method="projection")
+    b = match_keywords(docs, kw, method="join")
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

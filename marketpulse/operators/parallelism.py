@@ -12,5 +12,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     a handful of tasks; whole-text work then runs on few cores. On a large,
     well-partitioned input this is a no-op, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if current < target else df

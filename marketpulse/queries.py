@@ -469,7 +469,7 @@ def q_stream_append(spark, sf_dir):
 _KW_ROWS = [(t, k) for t, k, _ in COMPANIES] + DOCUMENT_SEARCHES
 
 
-@register("keyword_match", """WITH kw_raw(ticker, keyword) AS (VALUES """ + _values(_KW_ROWS) + r"""),
+KEYWORD_SQL = """WITH kw_raw(ticker, keyword) AS (VALUES """ + _values(_KW_ROWS) + r"""),
 kw AS (SELECT ticker, keyword,
               length(keyword) >= 2 AND starts_with(keyword, '"') AND ends_with(keyword, '"') AS is_phrase,
               trim(regexp_replace(lower(trim(keyword, '"')), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm
@@ -478,9 +478,21 @@ docs AS (SELECT doc_id, ' ' || regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' '
          FROM documents)
 SELECT d.doc_id, k.ticker, k.keyword
 FROM docs d JOIN kw k ON k.norm <> '' AND CASE WHEN k.is_phrase THEN contains(d.nt, ' ' || k.norm || ' ')
-  ELSE list_bool_and(list_transform(string_split(k.norm, ' '), lambda w: contains(d.nt, ' ' || w || ' '))) END""")
+  ELSE list_bool_and(list_transform(string_split(k.norm, ' '), lambda w: contains(d.nt, ' ' || w || ' '))) END"""
+
+
+@register("keyword_match", KEYWORD_SQL)
 def q_keyword_match(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     kw = literal_frame(spark, _KW_ROWS, StructType([StructField("ticker", StringType()),
                                                     StructField("keyword", StringType())]))
     return match_keywords(docs, kw, keep=("doc_id",))
+
+
+@register("keyword_match_join", KEYWORD_SQL)
+def q_keyword_match_join(spark, sf_dir):
+    """Same matches through the exact n-gram join plan used for large dictionaries."""
+    docs = table(spark, sf_dir, "documents")
+    kw = literal_frame(spark, _KW_ROWS, StructType([StructField("ticker", StringType()),
+                                                    StructField("keyword", StringType())]))
+    return match_keywords(docs, kw, keep=("doc_id",), method="join")

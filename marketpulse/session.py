@@ -46,19 +46,33 @@ def get_session(master: str | None = "local[8]", app_name: str = "marketpulse",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="marketpulse-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+    else:
+        try:
+            spark.conf.set("spark.checkpoint.dir", local)
+        except Exception:
+            pass  # remembered nowhere: the next call makes another local folder
     return local
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on sessions without one (e.g. Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir."""
     return f"{ensure_checkpoint_dir(spark)}/marketpulse/{name}-{uuid.uuid4().hex[:12]}"

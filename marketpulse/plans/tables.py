@@ -58,6 +58,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known_version = None  # last version this object committed or read
 
     @property
     def _history_path(self) -> str:
@@ -74,8 +75,10 @@ class SnapshotTable:
             h = literal_frame(self.spark, [], HISTORY_SCHEMA)
         return h.orderBy(F.col("version").desc())
 
-    def current_version(self):
-        return self.history().agg(F.max("version")).first()[0]
+    def current_version(self, refresh: bool = False):
+        if refresh or self._known_version is None:
+            self._known_version = self.history().agg(F.max("version")).first()[0]
+        return self._known_version
 
     def read(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
@@ -90,20 +93,28 @@ class SnapshotTable:
 
     def commit(self, df: DataFrame, operation: str, parameters: dict | None = None,
                num_source_rows: int | None = None) -> int:
-        """Write ``df`` as the next version and append its history row."""
-        cur = self.current_version()
+        """Write ``df`` as the next version and append its history row.
+
+        A folder left by a commit that failed before its history row is not
+        part of any version and is overwritten.
+        """
+        cur = self.current_version(refresh=True)
         version = 0 if cur is None else cur + 1
         path = self._snapshot_path(version)
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         written = self.spark.read.parquet(path)
         if CHANGE_COL in written.columns:
             counts = {r[0]: r[1] for r in written.groupBy(CHANGE_COL).count().collect()}
         else:
             counts = {"insert": written.count()}
+        total = sum(counts.values())
+        # rows supplied to the operation: the MERGE source, or what a WRITE wrote
+        supplied = total if num_source_rows is None else num_source_rows
         row = (version, None, operation, json.dumps(parameters or {}, sort_keys=True),
-               num_source_rows, sum(counts.values()), counts.get("insert", 0),
+               supplied, total, counts.get("insert", 0),
                counts.get("update", 0), counts.get("copy", 0))
         (literal_frame(self.spark, [row], HISTORY_SCHEMA)
          .withColumn("timestamp", F.current_timestamp())
          .coalesce(1).write.mode("append").parquet(self._history_path))
+        self._known_version = version
         return version

@@ -379,7 +379,7 @@ def q_upsert_type1(spark, sf_dir):
 @register("upsert_history", f"""{GOLD_BASE},
 {CORRECTION_CTE},
 {MERGE_CTE}
-SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, CAST(NULL AS BIGINT) AS num_source_rows,
+SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS num_source_rows,
        count(*) AS num_output_rows, count(*) AS num_inserted, CAST(0 AS BIGINT) AS num_updated,
        CAST(0 AS BIGINT) AS num_copied FROM gold
 UNION ALL

@@ -92,8 +92,18 @@ def test_snapshot_merge_idempotent_and_history(spark, target, source, tmp_path_s
     assert changes == {"copy": 7, "insert": 1}
     h = [(r.version, r.operation, r.num_inserted, r.num_updated, r.num_copied, r.num_source_rows)
          for r in t.history().collect()]
-    assert h == [(2, "MERGE", 1, 0, 7, 6), (1, "MERGE", 2, 1, 4, 6), (0, "WRITE", 5, 0, 0, None)]
+    assert h == [(2, "MERGE", 1, 0, 7, 6), (1, "MERGE", 2, 1, 4, 6), (0, "WRITE", 5, 0, 0, 5)]
     keyed = source.where("Ticker IS NOT NULL")
     assert merge_gold(t, keyed) == 3  # with non-NULL keys a re-run is a no-op
     assert t.read().exceptAll(v2).count() == 0 and v2.exceptAll(t.read()).count() == 0
     assert t.read(0).count() == 5  # earlier versions stay readable
+
+
+def test_commit_recovers_from_a_failed_attempt(spark, target, tmp_path_str):
+    t = SnapshotTable(spark, tmp_path_str + "/gold")
+    t.commit(target, "WRITE")
+    # a crashed commit left data for version 1 but no history row
+    target.limit(1).write.parquet(tmp_path_str + "/gold/snapshots/00000001")
+    assert t.current_version(refresh=True) == 0 and t.read().count() == 5
+    assert t.commit(target.limit(2), "WRITE") == 1
+    assert t.read().count() == 2

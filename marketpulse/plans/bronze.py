@@ -8,7 +8,6 @@ date-partitioned Parquet. The driver only ever holds the plan and one scalar
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from marketpulse.functions.columns import is_weekday, partition_date, without_ph
 from marketpulse.operators.aggregates import high_water_mark_value
 from marketpulse.operators.broadcast import bounded_broadcast
 from marketpulse.operators.tagging import tag_company
-from marketpulse.plans.tables import read_parquet, write_partitioned
+from marketpulse.plans.tables import SnapshotTable
 from marketpulse.schemas import BRONZE_PARTITION, BRONZE_SCHEMA
 from marketpulse.sources.company import NOISE_PHRASE
 
@@ -58,14 +57,20 @@ def bronze_frame(posts: DataFrame, dim: DataFrame, run_date=None, *,
     return out
 
 
+def bronze_table(spark: SparkSession, path: str) -> SnapshotTable:
+    """The bronze table at ``path``: date-partitioned versions plus history."""
+    return SnapshotTable(spark, path, partition_col=BRONZE_PARTITION, schema=BRONZE_SCHEMA)
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return read_parquet(spark, path, BRONZE_SCHEMA)
+    return bronze_table(spark, path).read()
 
 
 def bulk_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None, **opts) -> DataFrame:
-    """Full reload: replace the bronze table (SK1). Returns the frame written."""
+    """Full reload: replace the bronze table (SK1) as a new version. Returns the frame written."""
     frame = bronze_frame(posts, dim, run_date, **opts)
-    write_partitioned(frame, path, BRONZE_PARTITION, mode="overwrite")
+    bronze_table(posts.sparkSession, path).commit(
+        frame, "WRITE", {"mode": "Overwrite", "partitionBy": [BRONZE_PARTITION]})
     return frame
 
 
@@ -81,13 +86,13 @@ def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None,
     """
     spark = posts.sparkSession
     opts.setdefault("weekday_only", True)
-    try:
-        bronze = read_bronze(spark, path)
-        bronze.schema  # resolves the path
-    except AnalysisException:  # no table yet: everything is new
+    table = bronze_table(spark, path)
+    params = {"mode": "Append", "partitionBy": [BRONZE_PARTITION]}
+    if table.current_version() is None:  # no table yet: everything is new
         frame = bronze_frame(posts, dim, run_date, **opts)
-        write_partitioned(frame, path, BRONZE_PARTITION, mode="append")
+        table.append(frame, "WRITE", params)
         return frame
+    bronze = table.read()
     if per_ticker:
         marks = bronze.groupBy(F.col("Ticker").alias("_hwm_key")).agg(F.max(TS).alias("_hwm"))
         new = (posts.join(bounded_broadcast(marks), posts["ticker"] == F.col("_hwm_key"), "left")
@@ -102,5 +107,5 @@ def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None,
     if dedupe and lowest is not None:
         recent = bronze.where(F.col(BRONZE_PARTITION) >= F.lit(lowest.date())).select("id", "Ticker")
         frame = frame.join(recent, ["id", "Ticker"], "left_anti")
-    write_partitioned(frame, path, BRONZE_PARTITION, mode="append")
+    table.append(frame, "WRITE", params)
     return frame

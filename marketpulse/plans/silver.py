@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 from marketpulse.functions.columns import epoch_ntz, is_weekday, parse_iso_utc, partition_date
-from marketpulse.plans.tables import write_partitioned
-from marketpulse.schemas import BRONZE_PARTITION
+from marketpulse.plans.tables import SnapshotTable
+from marketpulse.schemas import BRONZE_PARTITION, SILVER_SCHEMA
 
 TS = "Twitter_Created_datetime"
 ZONED = r"(Z|[+-]\d{2}:?\d{2})$"
@@ -50,5 +50,15 @@ def build_silver(pre_silver: DataFrame, weekday_only: bool = True) -> DataFrame:
     )
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
-    write_partitioned(silver, path, BRONZE_PARTITION, mode="overwrite")
+def silver_table(spark, path: str) -> SnapshotTable:
+    return SnapshotTable(spark, path, partition_col=BRONZE_PARTITION, schema=SILVER_SCHEMA)
+
+
+def write_silver(silver: DataFrame, path: str) -> int:
+    """Replace the silver table with a new date-partitioned version."""
+    return silver_table(silver.sparkSession, path).commit(
+        silver, "WRITE", {"mode": "Overwrite", "partitionBy": [BRONZE_PARTITION]})
+
+
+def read_silver(spark, path: str) -> DataFrame:
+    return silver_table(spark, path).read()

@@ -1,22 +1,28 @@
-"""Table sinks: partitioned Parquet writes and versioned snapshots with history.
-
-No transactional table format is available, so a versioned table is a folder
-of immutable snapshots plus a small history log::
-
-    <root>/snapshots/<version>/   data of one version (never overwritten)
-    <root>/_history/              one row per committed version
-
-A version becomes visible when its history row is appended (written last), so
-readers never see a half-written snapshot and a table is never overwritten
-while it is being read.
+"""Table sinks: partitioned Parquet writes and versioned snapshot tables.
+
+No transactional table format is available, so a table that must survive a
+failed overwrite is a folder of version folders plus a small history log::
+
+    <root>/snapshots/<version>/   data written by an overwrite (never reused)
+    <root>/_history/              one row per version: operation, location, metrics
+
+An overwrite (``commit``) writes a new version folder and becomes visible when
+its history row is appended, which happens last: readers never see a
+half-written table, a failed job leaves the previous version readable, and a
+folder left behind by a failed attempt is simply overwritten next time.
+Appends (incremental loads, stream batches) go into the current version's
+folder through Spark's commit protocol and are logged as new versions that
+share that location. Row metrics come from ``DataFrame.observe`` on the write
+itself, not from a second pass. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
@@ -28,6 +34,7 @@ HISTORY_SCHEMA = StructType([
     StructField("timestamp", TimestampType()),
     StructField("operation", StringType()),
     StructField("operationParameters", StringType()),
+    StructField("location", StringType()),
     StructField("num_source_rows", LongType()),
     StructField("num_output_rows", LongType()),
     StructField("num_inserted", LongType()),
@@ -53,20 +60,24 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 
 
 class SnapshotTable:
-    """A table of immutable versions plus a version history (SK3, SK8)."""
+    """A table of versions plus a version history (SK1-SK3, SK8).
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``partition_col`` partitions every version's files; ``schema`` is applied
+    when reading (declared, not inferred).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, partition_col: str | None = None,
+                 schema: StructType | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._known_version = None  # last version this object committed or read
+        self.partition_col = partition_col
+        self.schema = schema
+        self._known = None  # (version, location) last committed or read by this object
 
     @property
     def _history_path(self) -> str:
         return f"{self.root}/_history"
 
-    def _snapshot_path(self, version: int) -> str:
-        return f"{self.root}/snapshots/{version:08d}"
-
     def history(self) -> DataFrame:
         """``DESCRIBE HISTORY`` equivalent, newest version first."""
         try:
@@ -75,46 +86,88 @@ class SnapshotTable:
             h = literal_frame(self.spark, [], HISTORY_SCHEMA)
         return h.orderBy(F.col("version").desc())
 
+    def _current(self, refresh: bool = False):
+        if refresh or self._known is None:
+            row = self.history().select("version", "location").first()
+            self._known = (row[0], row[1]) if row else (None, None)
+        return self._known
+
     def current_version(self, refresh: bool = False):
-        if refresh or self._known_version is None:
-            self._known_version = self.history().agg(F.max("version")).first()[0]
-        return self._known_version
+        return self._current(refresh)[0]
 
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"table {self.root} has no committed version")
-        df = self.spark.read.parquet(self._snapshot_path(v))
-        return df.drop(CHANGE_COL) if CHANGE_COL in df.columns else df
+    def location(self, version: int | None = None) -> str:
+        if version is None:
+            v, loc = self._current()
+        else:
+            row = self.history().where(F.col("version") == version).select("location").first()
+            v, loc = version, (row[0] if row else None)
+        if v is None or loc is None:
+            raise FileNotFoundError(f"table {self.root} has no version {version if version is not None else ''}")
+        return f"{self.root}/{loc}"
 
     def read_changes(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        return self.spark.read.parquet(self._snapshot_path(v))
+        reader = self.spark.read
+        if self.schema is not None:
+            reader = reader.schema(self.schema)
+        return reader.parquet(self.location(version))
 
-    def commit(self, df: DataFrame, operation: str, parameters: dict | None = None,
-               num_source_rows: int | None = None) -> int:
-        """Write ``df`` as the next version and append its history row.
+    def read(self, version: int | None = None) -> DataFrame:
+        df = self.read_changes(version)
+        return df.drop(CHANGE_COL) if CHANGE_COL in df.columns else df
 
-        A folder left by a commit that failed before its history row is not
-        part of any version and is overwritten.
-        """
-        cur = self.current_version(refresh=True)
-        version = 0 if cur is None else cur + 1
-        path = self._snapshot_path(version)
-        df.write.mode("overwrite").parquet(path)
-        written = self.spark.read.parquet(path)
-        if CHANGE_COL in written.columns:
-            counts = {r[0]: r[1] for r in written.groupBy(CHANGE_COL).count().collect()}
+    def _write(self, df: DataFrame, path: str, mode: str, observe: bool = True) -> dict:
+        if not observe:  # e.g. inside foreachBatch, where observations are not delivered
+            if self.partition_col:
+                write_partitioned(df, path, self.partition_col, mode=mode)
+            else:
+                df.write.mode(mode).parquet(path)
+            return {"rows": None, "insert": None, "update": None, "copy": None}
+        obs = Observation(f"mp_write_{uuid.uuid4().hex}")
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if CHANGE_COL in df.columns:
+            metrics += [F.sum(F.when(F.col(CHANGE_COL) == k, 1).otherwise(0)).alias(k)
+                        for k in ("insert", "update", "copy")]
+        observed = df.observe(obs, *metrics)
+        if self.partition_col:
+            write_partitioned(observed, path, self.partition_col, mode=mode)
         else:
-            counts = {"insert": written.count()}
-        total = sum(counts.values())
-        # rows supplied to the operation: the MERGE source, or what a WRITE wrote
-        supplied = total if num_source_rows is None else num_source_rows
-        row = (version, None, operation, json.dumps(parameters or {}, sort_keys=True),
-               supplied, total, counts.get("insert", 0),
-               counts.get("update", 0), counts.get("copy", 0))
+            observed.write.mode(mode).parquet(path)
+        got = obs.get
+        rows = int(got.get("rows") or 0)
+        if CHANGE_COL not in df.columns:
+            return {"rows": rows, "insert": rows, "update": 0, "copy": 0}
+        return {"rows": rows, **{k: int(got.get(k) or 0) for k in ("insert", "update", "copy")}}
+
+    def _log(self, version: int, operation: str, parameters: dict | None, location: str,
+             m: dict, num_source_rows: int | None) -> int:
+        supplied = m["rows"] if num_source_rows is None else num_source_rows
+        row = (version, None, operation, json.dumps(parameters or {}, sort_keys=True), location,
+               supplied, m["rows"], m["insert"], m["update"], m["copy"])
         (literal_frame(self.spark, [row], HISTORY_SCHEMA)
          .withColumn("timestamp", F.current_timestamp())
          .coalesce(1).write.mode("append").parquet(self._history_path))
-        self._known_version = version
+        self._known = (version, location)
         return version
+
+    def commit(self, df: DataFrame, operation: str = "WRITE", parameters: dict | None = None,
+               num_source_rows: int | None = None) -> int:
+        """Replace the table: write ``df`` as a new version folder, then log it."""
+        cur = self.current_version(refresh=True)
+        version = 0 if cur is None else cur + 1
+        location = f"snapshots/{version:08d}"
+        m = self._write(df, f"{self.root}/{location}", mode="overwrite")
+        return self._log(version, operation, parameters, location, m, num_source_rows)
+
+    def append(self, df: DataFrame, operation: str = "WRITE", parameters: dict | None = None,
+               observe: bool = True) -> int:
+        """Add rows to the current version's folder and log a new version.
+
+        ``observe=False`` skips the row metrics (logged as unknown).
+        """
+        cur, location = self._current(refresh=True)
+        if cur is None:
+            version, location = 0, "snapshots/00000000"
+            m = self._write(df, f"{self.root}/{location}", mode="overwrite", observe=observe)
+            return self._log(version, operation, parameters, location, m, None)
+        m = self._write(df, f"{self.root}/{location}", mode="append", observe=observe)
+        return self._log(cur + 1, operation, parameters, location, m, None)

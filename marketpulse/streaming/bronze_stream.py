@@ -17,12 +17,10 @@ changed, so a restart continues where it stopped.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.plans.bronze import read_bronze
-from marketpulse.plans.tables import write_partitioned
+from marketpulse.plans.bronze import bronze_table
 from marketpulse.schemas import BRONZE_PARTITION, BRONZE_SCHEMA
 
 DEDUP_KEYS = ["id", "Ticker"]
@@ -38,16 +36,14 @@ def checkpoint_for(table_path: str, name: str = "stream") -> str:
     return f"{table_path.rstrip('/')}/_checkpoints/{name}"
 
 
-def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: str) -> None:
+def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: str,
+                            batch_id: int | None = None) -> None:
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dates = [r[0] for r in batch.select(BRONZE_PARTITION).distinct()
                  .limit(MAX_DATES_PER_BATCH + 1).collect()]
-        try:
-            existing = read_bronze(spark, table_path)
-            existing.schema  # resolves the path
-        except AnalysisException:
-            existing = None  # first batch: the table does not exist yet
+        table = bronze_table(spark, table_path)
+        existing = table.read() if table.current_version() is not None else None
         fresh = batch
         if existing is not None and dates:
             if len(dates) <= MAX_DATES_PER_BATCH:
@@ -58,7 +54,8 @@ def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: s
                     touched = touched | F.col(BRONZE_PARTITION).isNull()
                 existing = existing.where(touched)
             fresh = batch.join(existing.select(*DEDUP_KEYS), DEDUP_KEYS, "left_anti")
-        write_partitioned(fresh, table_path, BRONZE_PARTITION, mode="append")
+        table.append(fresh, "STREAMING UPDATE", {"outputMode": "Append", "epochId": batch_id},
+                     observe=False)
     finally:
         batch.unpersist()
 
@@ -74,7 +71,7 @@ def stream_to_bronze(spark: SparkSession, stage_path: str, table_path: str,
     query = (stream.writeStream
              .trigger(availableNow=True)
              .option("checkpointLocation", checkpoint or checkpoint_for(table_path))
-             .foreachBatch(lambda df, _batch_id: append_batch_idempotent(spark, df, table_path))
+             .foreachBatch(lambda df, batch_id: append_batch_idempotent(spark, df, table_path, batch_id))
              .start())
     finished = query.awaitTermination(timeout_s)
     if not finished:

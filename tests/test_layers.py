@@ -99,3 +99,22 @@ def test_incremental_into_missing_table_loads_everything(spark, tmp_path_str):
     incremental_load(posts(spark, [("u", datetime(2021, 12, 6, 8), "1", "t", "BAC"),
                                    ("u", datetime(2021, 12, 5, 8), "2", "t", "BAC")]), dim, path)
     assert [r.id for r in read_bronze(spark, path).collect()] == ["1"]  # Sunday dropped
+
+
+def test_bronze_versions_and_failed_overwrite(spark, tmp_path_str):
+    from marketpulse.plans.bronze import bronze_table
+    dim = company_dim(spark)
+    path = tmp_path_str + "/bronze"
+    day1 = [("u", datetime(2021, 12, 6, h), str(h), "t", "CAT") for h in range(8, 11)]
+    bulk_load(posts(spark, day1), dim, path, "2021-12-06")
+    incremental_load(posts(spark, day1 + [("u", datetime(2021, 12, 7, 9), "20", "t", "CAT")]), dim, path)
+    hist = [(r.version, r.operation, r.num_output_rows) for r in bronze_table(spark, path).history().collect()]
+    assert hist == [(1, "WRITE", 2), (0, "WRITE", 3)]  # append re-adds the post on the mark (K10)
+    # an overwrite whose job fails leaves the previous version readable
+    bad = posts(spark, day1).withColumn("text", F.expr("raise_error('boom')"))
+    try:
+        bulk_load(bad, dim, path, "2021-12-08")
+    except Exception:
+        pass
+    assert read_bronze(spark, path).count() == 5
+    assert bronze_table(spark, path).current_version(refresh=True) == 1

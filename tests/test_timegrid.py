@@ -81,13 +81,13 @@ def test_span_grid(spark):
 
 def test_grid_bounds_reach_the_scan(spark, tmp_path_str, capsys):
     from marketpulse.plans.gold import hourly_sentiment
-    from marketpulse.plans.silver import write_silver
+    from marketpulse.plans.silver import read_silver, write_silver
     rows = [(f"2021-12-0{d} 10:00:00", "CAT", "Manufacturing", 1.0) for d in range(1, 9)]
     silver = spark.createDataFrame(rows, "t string, Ticker string, companySector string, sentID double").select(
         F.col("t").cast("timestamp_ntz").alias("Twitter_Created_datetime"), "Ticker", "companySector", "sentID",
         F.to_date(F.col("t").cast("timestamp_ntz")).alias("Tweet_date"))
     write_silver(silver, tmp_path_str + "/silver")
-    stored = spark.read.parquet(tmp_path_str + "/silver")
+    stored = read_silver(spark, tmp_path_str + "/silver")
     grid = HourGrid.from_range("2021-12-03 01:30:00", "2021-12-04 00:00:00")
     out = hourly_sentiment(stored, grid)
     out.explain("formatted")

@@ -8,6 +8,7 @@ unset (local runs, tests) do we create one and register it.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -27,11 +28,21 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = "local[8]", app_name: str = "marketpulse",
-                shuffle_partitions: int | None = 8, conf: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
+    """Session with the library defaults.
+
+    ``master=None`` keeps the cluster's master. Shuffle partitions: in local
+    mode one per core unless given; on a cluster the cluster's setting is kept
+    (size it to the largest shuffle / ~128 MB; AQE coalesces small partitions
+    and splits skewed ones at runtime).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        cores = master[len("local["):-1] if master.startswith("local[") else "1"
+        shuffle_partitions = os.cpu_count() if cores == "*" else int(cores)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

@@ -104,6 +104,11 @@ def _keyword_units(keywords: DataFrame, key_col: str, keyword_col: str) -> DataF
                     F.col("_mp_u.n").alias("_mp_n"), F.col("_mp_u.gram").alias("_mp_gram")))
 
 
+def _tag_length(n: int):
+    # a one-argument lambda: transform() treats a second parameter as the index
+    return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
+
+
 def _match_by_join(texts: DataFrame, keywords: DataFrame, text_col: str, key_col: str,
                    keyword_col: str, keep: list) -> DataFrame:
     units = _keyword_units(keywords, key_col, keyword_col)
@@ -117,12 +122,13 @@ def _match_by_join(texts: DataFrame, keywords: DataFrame, text_col: str, key_col
                      lambda w: w != "")
     tokens = texts.select(*keep, words.alias("_mp_w"))
     size = F.size("_mp_w")
-    grams = None
-    for n in lengths:
+    per_length = []
+    for n in lengths:  # all lengths in one projection: each text is tokenised once
         starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
-        per_n = tokens.select(*keep, F.lit(n).alias("_mp_n"), F.explode(F.array_distinct(
-            F.transform(starts, lambda i: F.array_join(F.slice("_mp_w", i, n), " ")))).alias("_mp_gram"))
-        grams = per_n if grams is None else grams.unionByName(per_n)
+        distinct = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("_mp_w", i, n), " ")))
+        per_length.append(F.transform(distinct, _tag_length(n)))
+    grams = (tokens.select(*keep, F.explode(F.flatten(F.array(*per_length))).alias("_mp_g"))
+             .select(*keep, F.col("_mp_g.n").alias("_mp_n"), F.col("_mp_g.gram").alias("_mp_gram")))
     hits = grams.join(units, ["_mp_n", "_mp_gram"], "inner")
     return (hits.groupBy(*keep, key_col, keyword_col, "_mp_need").agg(F.count(F.lit(1)).alias("_mp_hit"))
             .where(F.col("_mp_hit") == F.col("_mp_need"))

@@ -54,11 +54,6 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str =
        .write.mode(mode).partitionBy(partition_col).parquet(path))
 
 
-def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
-
-
 class SnapshotTable:
     """A table of versions plus a version history (SK1-SK3, SK8).
 

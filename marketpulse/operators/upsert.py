@@ -13,19 +13,23 @@ Semantics of ``MERGE INTO tgt USING src ON keys``:
 
 The result carries ``_change`` in {'insert', 'update', 'copy'}.
 
-Two plans. When the source is proven small it is broadcast: the target is
-streamed through a broadcast left join (never shuffled) and the unmatched
-source keys come from a broadcast semi join over the target's key columns.
-Otherwise a full outer equi-join (both sides shuffled on the keys).
+Two plans. When the source is proven small it is broadcast: one scan of the
+target's key columns against the source's per-key counts yields both the
+duplicate-match check and the matched keys (checkpointed for the two uses), then
+the target is streamed through a broadcast left join (never shuffled) and the
+unmatched source rows are inserted. Otherwise a full outer equi-join (both
+sides shuffled on the keys).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import all_of, any_differs
 from marketpulse.operators.broadcast import row_count_at_most
+from marketpulse.session import ensure_checkpoint_dir
 
 CHANGE_COL = "_change"
 # a broadcast source of ~10 columns stays in the tens of MB up to this many rows
@@ -64,29 +68,13 @@ def upsert_type1(target: DataFrame, source: DataFrame, keys, update_cols, insert
     insert_cols = list(insert_cols or tcols)
     small = (source_rows <= small_source_rows) if source_rows is not None \
         else row_count_at_most(source, small_source_rows)
+    if small:
+        return _upsert_small_source(target, source, keys, update_cols, insert_cols, compare_cols,
+                                    null_safe, check_duplicates)
     if check_duplicates:
         check_unique_matches(target, source, keys, small)
 
-    needed = list(dict.fromkeys(keys + update_cols + compare_cols + insert_cols))
-    src = source.select(*[F.col(c).alias(_src_name(c)) for c in needed])
-    t = {c: F.col(c) for c in tcols}
-    s = {c: F.col(_src_name(c)) for c in needed}
-    on = all_of([t[k] == s[k] for k in keys])
-
-    if small:
-        joined = target.join(F.broadcast(src.withColumn("_src_hit", F.lit(True))), on, "left")
-        upd = F.coalesce(F.col("_src_hit") & any_differs(t, s, compare_cols, null_safe), F.lit(False))
-        kept = joined.select(
-            *[F.when(upd, s[c]).otherwise(t[c]).alias(c) if c in update_cols else t[c] for c in tcols],
-            F.when(upd, F.lit("update")).otherwise(F.lit("copy")).alias(CHANGE_COL))
-        matched_keys = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-        inserts = source.join(F.broadcast(matched_keys.distinct()), keys, "left_anti")
-        inserted = inserts.select(
-            *[(F.col(c) if c in insert_cols else F.lit(None)).cast(target.schema[c].dataType).alias(c)
-              for c in tcols],
-            F.lit("insert").alias(CHANGE_COL))
-        return kept.unionByName(inserted)
-
+    src, t, s, on = _aligned(target, source, keys, update_cols, compare_cols, insert_cols)
     tt = target.withColumn("_tgt_hit", F.lit(True))
     joined = tt.join(src.withColumn("_src_hit", F.lit(True)), on, "full_outer")
     has_t = F.coalesce(F.col("_tgt_hit"), F.lit(False))
@@ -100,3 +88,45 @@ def upsert_type1(target: DataFrame, source: DataFrame, keys, update_cols, insert
 
     change = F.when(~has_t, F.lit("insert")).when(upd, F.lit("update")).otherwise(F.lit("copy"))
     return joined.select(*[out(c) for c in tcols], change.alias(CHANGE_COL))
+
+
+def _aligned(target, source, keys, update_cols, compare_cols, insert_cols):
+    needed = list(dict.fromkeys(keys + update_cols + compare_cols + insert_cols))
+    src = source.select(*[F.col(c).alias(_src_name(c)) for c in needed])
+    t = {c: F.col(c) for c in target.columns}
+    s = {c: F.col(_src_name(c)) for c in needed}
+    return src, t, s, all_of([t[k] == s[k] for k in keys])
+
+
+def _upsert_small_source(target, source, keys, update_cols, insert_cols, compare_cols,
+                         null_safe, check_duplicates):
+    """Broadcast plan: two passes over the target (its key columns, then all of it)."""
+    tcols = target.columns
+    per_key = (source.where(all_of([F.col(k).isNotNull() for k in keys]))
+               .groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_n")))
+    # one scan of the target's keys gives both the duplicate check and the matched keys;
+    # the result (at most one row per matching target row) is checkpointed to the shared
+    # checkpoint folder, so its two uses do not rescan the target
+    ensure_checkpoint_dir(target.sparkSession)
+    scan = target.select(*keys).join(F.broadcast(per_key), keys, "inner").persist(StorageLevel.MEMORY_AND_DISK)
+    try:  # persisted only while checkpointing, so the target keys are read once
+        matched = scan.checkpoint(eager=True)
+    finally:
+        scan.unpersist()
+    if check_duplicates and matched.where(F.col("_src_n") > 1).limit(1).count() > 0:
+        sample = matched.where(F.col("_src_n") > 1).select(*keys).limit(3).collect()
+        raise DuplicateSourceKeyError(
+            f"several source rows match the same target row for keys {keys}: {sample}")
+    matched_keys = matched.select(*keys).distinct()
+    src, t, s, on = _aligned(target, source, keys, update_cols, compare_cols, insert_cols)
+    joined = target.join(F.broadcast(src.withColumn("_src_hit", F.lit(True))), on, "left")
+    upd = F.coalesce(F.col("_src_hit") & any_differs(t, s, compare_cols, null_safe), F.lit(False))
+    kept = joined.select(
+        *[F.when(upd, s[c]).otherwise(t[c]).alias(c) if c in update_cols else t[c] for c in tcols],
+        F.when(upd, F.lit("update")).otherwise(F.lit("copy")).alias(CHANGE_COL))
+    inserts = source.join(F.broadcast(matched_keys), keys, "left_anti")
+    inserted = inserts.select(
+        *[(F.col(c) if c in insert_cols else F.lit(None)).cast(target.schema[c].dataType).alias(c)
+          for c in tcols],
+        F.lit("insert").alias(CHANGE_COL))
+    return kept.unionByName(inserted)

@@ -59,7 +59,8 @@ def bronze_frame(posts: DataFrame, dim: DataFrame, run_date=None, *,
 
 def bronze_table(spark: SparkSession, path: str) -> SnapshotTable:
     """The bronze table at ``path``: date-partitioned versions plus history."""
-    return SnapshotTable(spark, path, partition_col=BRONZE_PARTITION, schema=BRONZE_SCHEMA)
+    return SnapshotTable(spark, path, partition_col=BRONZE_PARTITION, schema=BRONZE_SCHEMA,
+                         watermark_col=TS)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -100,7 +101,9 @@ def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None,
                .drop("_hwm_key", "_hwm"))
         lowest = marks.agg(F.min("_hwm")).first()[0]
     else:
-        hwm = high_water_mark_value(bronze, TS, partition_col=BRONZE_PARTITION)
+        known, hwm = table.recorded_high_water_mark()  # metadata only
+        if not known:
+            hwm = high_water_mark_value(bronze, TS, partition_col=BRONZE_PARTITION)
         new = posts if hwm is None else posts.where(F.col("created_at") >= ntz_literal(hwm))
         lowest = hwm
     frame = bronze_frame(new, dim, run_date, **opts)

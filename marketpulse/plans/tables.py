@@ -24,7 +24,9 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+)
 
 from marketpulse.operators.upsert import CHANGE_COL
 from marketpulse.sources.literal import literal_frame
@@ -40,6 +42,7 @@ HISTORY_SCHEMA = StructType([
     StructField("num_inserted", LongType()),
     StructField("num_updated", LongType()),
     StructField("num_copied", LongType()),
+    StructField("max_watermark", TimestampNTZType()),
 ])
 
 
@@ -58,15 +61,18 @@ class SnapshotTable:
     """A table of versions plus a version history (SK1-SK3, SK8).
 
     ``partition_col`` partitions every version's files; ``schema`` is applied
-    when reading (declared, not inferred).
+    when reading (declared, not inferred). With ``watermark_col`` every write
+    records the largest value it added, so the table's high-water mark is a
+    lookup in the history instead of a data scan.
     """
 
     def __init__(self, spark: SparkSession, root: str, partition_col: str | None = None,
-                 schema: StructType | None = None):
+                 schema: StructType | None = None, watermark_col: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_col = partition_col
         self.schema = schema
+        self.watermark_col = watermark_col
         self._known = None  # (version, location) last committed or read by this object
 
     @property
@@ -116,9 +122,11 @@ class SnapshotTable:
                 write_partitioned(df, path, self.partition_col, mode=mode)
             else:
                 df.write.mode(mode).parquet(path)
-            return {"rows": None, "insert": None, "update": None, "copy": None}
+            return {"rows": None, "insert": None, "update": None, "copy": None, "max": None}
         obs = Observation(f"mp_write_{uuid.uuid4().hex}")
         metrics = [F.count(F.lit(1)).alias("rows")]
+        if self.watermark_col:
+            metrics.append(F.max(self.watermark_col).alias("max"))
         if CHANGE_COL in df.columns:
             metrics += [F.sum(F.when(F.col(CHANGE_COL) == k, 1).otherwise(0)).alias(k)
                         for k in ("insert", "update", "copy")]
@@ -130,14 +138,17 @@ class SnapshotTable:
         got = obs.get
         rows = int(got.get("rows") or 0)
         if CHANGE_COL not in df.columns:
-            return {"rows": rows, "insert": rows, "update": 0, "copy": 0}
-        return {"rows": rows, **{k: int(got.get(k) or 0) for k in ("insert", "update", "copy")}}
+            return {"rows": rows, "insert": rows, "update": 0, "copy": 0, "max": got.get("max")}
+        return {"rows": rows, "max": got.get("max"),
+                **{k: int(got.get(k) or 0) for k in ("insert", "update", "copy")}}
 
     def _log(self, version: int, operation: str, parameters: dict | None, location: str,
              m: dict, num_source_rows: int | None) -> int:
         supplied = m["rows"] if num_source_rows is None else num_source_rows
+        mark = m.get("max")
         row = (version, None, operation, json.dumps(parameters or {}, sort_keys=True), location,
-               supplied, m["rows"], m["insert"], m["update"], m["copy"])
+               supplied, m["rows"], m["insert"], m["update"], m["copy"],
+               None if mark is None else mark.isoformat(sep=" "))
         (literal_frame(self.spark, [row], HISTORY_SCHEMA)
          .withColumn("timestamp", F.current_timestamp())
          .coalesce(1).write.mode("append").parquet(self._history_path))
@@ -154,15 +165,36 @@ class SnapshotTable:
         return self._log(version, operation, parameters, location, m, num_source_rows)
 
     def append(self, df: DataFrame, operation: str = "WRITE", parameters: dict | None = None,
-               observe: bool = True) -> int:
+               observe: bool = True, watermark=None) -> int:
         """Add rows to the current version's folder and log a new version.
 
-        ``observe=False`` skips the row metrics (logged as unknown).
+        ``observe=False`` skips the row metrics (logged as unknown); a caller
+        that knows the largest watermark value of rows now in the table (e.g.
+        the max of a stream batch) passes it as ``watermark``.
         """
         cur, location = self._current(refresh=True)
         if cur is None:
-            version, location = 0, "snapshots/00000000"
-            m = self._write(df, f"{self.root}/{location}", mode="overwrite", observe=observe)
-            return self._log(version, operation, parameters, location, m, None)
-        m = self._write(df, f"{self.root}/{location}", mode="append", observe=observe)
+            cur, location, mode = -1, "snapshots/00000000", "overwrite"
+        else:
+            mode = "append"
+        m = self._write(df, f"{self.root}/{location}", mode=mode, observe=observe)
+        if watermark is not None and (m.get("max") is None or watermark > m["max"]):
+            m["max"] = watermark
         return self._log(cur + 1, operation, parameters, location, m, None)
+
+    def recorded_high_water_mark(self):
+        """``(known, value)``: the largest watermark value in the current version.
+
+        Read from the history rows sharing the current location; unknown when
+        any of them wrote rows without recording their maximum.
+        """
+        cur, location = self._current(refresh=True)
+        if cur is None:
+            return True, None
+        row = (self.history().where(F.col("location") == location)
+               .agg(F.max("max_watermark").alias("mark"),
+                    F.sum(F.when(F.col("max_watermark").isNull()
+                                 & (F.col("num_output_rows").isNull() | (F.col("num_output_rows") > 0)),
+                                 1).otherwise(0)).alias("unknown"))
+               .first())
+        return (row["unknown"] or 0) == 0, row["mark"]

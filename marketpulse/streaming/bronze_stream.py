@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.plans.bronze import bronze_table
+from marketpulse.plans.bronze import TS, bronze_table
 from marketpulse.schemas import BRONZE_PARTITION, BRONZE_SCHEMA
 
 DEDUP_KEYS = ["id", "Ticker"]
@@ -54,8 +54,11 @@ def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: s
                     touched = touched | F.col(BRONZE_PARTITION).isNull()
                 existing = existing.where(touched)
             fresh = batch.join(existing.select(*DEDUP_KEYS), DEDUP_KEYS, "left_anti")
+        # every batch row is in the table afterwards (appended now or already there),
+        # so the batch maximum is a valid high-water-mark contribution
+        batch_max = batch.agg(F.max(TS)).first()[0]
         table.append(fresh, "STREAMING UPDATE", {"outputMode": "Append", "epochId": batch_id},
-                     observe=False)
+                     observe=False, watermark=batch_max)
     finally:
         batch.unpersist()
 

@@ -118,3 +118,20 @@ def test_bronze_versions_and_failed_overwrite(spark, tmp_path_str):
         pass
     assert read_bronze(spark, path).count() == 5
     assert bronze_table(spark, path).current_version(refresh=True) == 1
+
+
+def test_recorded_high_water_mark(spark, tmp_path_str):
+    from marketpulse.plans.bronze import bronze_table
+    from marketpulse.streaming.bronze_stream import stage_posts, stream_to_bronze
+    dim = company_dim(spark)
+    path = tmp_path_str + "/bronze"
+    rows = [("u", datetime(2021, 12, 6, h), str(h), "t", "CAT") for h in range(8, 12)]
+    bulk_load(posts(spark, rows), dim, path)
+    assert bronze_table(spark, path).recorded_high_water_mark() == (True, datetime(2021, 12, 6, 11))
+    stage = tmp_path_str + "/stage"
+    stage_posts(bronze_frame(posts(spark, [("u", datetime(2021, 12, 7, 9, 30), "30", "t", "BAC")]), dim), stage)
+    stream_to_bronze(spark, stage, path)
+    assert bronze_table(spark, path).recorded_high_water_mark() == (True, datetime(2021, 12, 7, 9, 30))
+    incremental_load(posts(spark, rows + [("u", datetime(2021, 12, 8, 9), "40", "t", "CAT")]), dim, path)
+    ids = sorted(r.id for r in read_bronze(spark, path).collect())
+    assert ids == ["10", "11", "30", "40", "8", "9"]

@@ -135,7 +135,12 @@ class SnapshotTable:
             write_partitioned(observed, path, self.partition_col, mode=mode)
         else:
             observed.write.mode(mode).parquet(path)
-        got = obs.get
+        try:
+            got = obs.get
+        except Exception:
+            # the optimizer drops the observed node when the result is provably
+            # empty; measure directly then (a trivially cheap plan in that case)
+            got = df.agg(*metrics).first().asDict()
         rows = int(got.get("rows") or 0)
         if CHANGE_COL not in df.columns:
             return {"rows": rows, "insert": rows, "update": 0, "copy": 0, "max": got.get("max")}

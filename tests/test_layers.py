@@ -135,3 +135,16 @@ def test_recorded_high_water_mark(spark, tmp_path_str):
     incremental_load(posts(spark, rows + [("u", datetime(2021, 12, 8, 9), "40", "t", "CAT")]), dim, path)
     ids = sorted(r.id for r in read_bronze(spark, path).collect())
     assert ids == ["10", "11", "30", "40", "8", "9"]
+
+
+def test_incremental_with_nothing_new(spark, tmp_path_str):
+    from marketpulse.plans.bronze import bronze_table
+    dim = company_dim(spark)
+    path = tmp_path_str + "/bronze"
+    rows = [("u", datetime(2021, 12, 6, h), str(h), "t", "CAT") for h in range(8, 10)]
+    bulk_load(posts(spark, rows), dim, path)
+    incremental_load(posts(spark, rows[:1]), dim, path)  # older than the mark: nothing to add
+    h = [(r.version, r.num_output_rows) for r in bronze_table(spark, path).history().collect()]
+    assert h == [(1, 0), (0, 2)]
+    assert read_bronze(spark, path).count() == 2
+    assert bronze_table(spark, path).recorded_high_water_mark() == (True, datetime(2021, 12, 6, 9))

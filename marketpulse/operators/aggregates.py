@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import iso_z, nan_to_null
+from marketpulse.operators.broadcast import bounded_broadcast
 
 
 def hourly_mean(bucketed: DataFrame, keys=("Ticker", "companySector", "enddatetime"),
@@ -49,7 +50,7 @@ def load_audit(pages: DataFrame, dim: DataFrame | None = None) -> DataFrame:
         F.max(F.col("meta.next_token").isNull()).alias("complete"),
     )
     if dim is not None:
-        audit = audit.join(F.broadcast(dim.select("ordinal", "ticker")), "ticker", "left")
+        audit = audit.join(bounded_broadcast(dim.select("ordinal", "ticker")), "ticker", "left")
     return audit
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import epoch_micros, floor_to
+from marketpulse.operators.broadcast import bounded_broadcast
 
 CLOSED_MODES = ("both", "right", "left")
 
@@ -118,9 +119,9 @@ def bucket_join_theta(df: DataFrame, ts_col: str, grid_frame: DataFrame) -> Data
 
     Plans as a broadcast nested-loop join (posts x buckets); kept as the
     executable specification for equivalence tests and the benchmark. The grid
-    frame's size is fixed by its parameters, so broadcasting it is bounded.
+    is broadcast only after its size is checked.
     """
-    g = F.broadcast(grid_frame.select("startdatetime", "enddatetime"))
+    g = bounded_broadcast(grid_frame.select("startdatetime", "enddatetime"))
     ts = F.col(ts_col)
     return df.join(g, (ts >= g["startdatetime"]) & (ts <= g["enddatetime"]), "inner")
 

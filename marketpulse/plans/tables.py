@@ -53,8 +53,11 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str =
     the rows over several writers and merge small ones, so the file count per
     date stays bounded without funnelling a hot date through one task.
     """
-    (df.hint("rebalance", partition_col)
-       .write.mode(mode).partitionBy(partition_col).parquet(path))
+    writer = df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col)
+    if mode == "overwrite":
+        # replace the whole folder even if the session overwrites partitions dynamically
+        writer = writer.option("partitionOverwriteMode", "static")
+    writer.parquet(path)
 
 
 class SnapshotTable:

@@ -148,3 +148,20 @@ def test_incremental_with_nothing_new(spark, tmp_path_str):
     assert h == [(1, 0), (0, 2)]
     assert read_bronze(spark, path).count() == 2
     assert bronze_table(spark, path).recorded_high_water_mark() == (True, datetime(2021, 12, 6, 9))
+
+
+def test_retried_version_folder_is_replaced_whole(spark, tmp_path_str):
+    from marketpulse.plans.bronze import bronze_table
+    dim = company_dim(spark)
+    path = tmp_path_str + "/bronze"
+    bulk_load(posts(spark, [("u", datetime(2021, 12, 6, 8), "1", "t", "CAT")]), dim, path)
+    # a failed attempt at version 1 left a partition that the retry does not write
+    stale = bronze_frame(posts(spark, [("u", datetime(2021, 12, 1, 8), "9", "t", "CAT")]), dim)
+    stale.write.partitionBy("Tweet_date").parquet(path + "/snapshots/00000001")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        bulk_load(posts(spark, [("u", datetime(2021, 12, 7, 8), "2", "t", "CAT")]), dim, path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    assert [r.id for r in read_bronze(spark, path).collect()] == ["2"]
+    assert bronze_table(spark, path).current_version() == 1

@@ -4,7 +4,8 @@ No transactional table format is available, so a table that must survive a
 failed overwrite is a folder of version folders plus a small history log::
 
     <root>/snapshots/<version>/   data written by an overwrite (never reused)
-    <root>/_history/              one row per version: operation, location, metrics
+    <root>/_history/sNNNNNN/      one row per version (1,000 versions per segment
+                                  folder): operation, location, metrics
 
 An overwrite (``commit``) writes a new version folder and becomes visible when
 its history row is appended, which happens last: readers never see a
@@ -25,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+    BooleanType, LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
 )
 
 from marketpulse.operators.upsert import CHANGE_COL
@@ -42,8 +43,10 @@ HISTORY_SCHEMA = StructType([
     StructField("num_inserted", LongType()),
     StructField("num_updated", LongType()),
     StructField("num_copied", LongType()),
-    StructField("max_watermark", TimestampNTZType()),
+    StructField("max_watermark", TimestampNTZType()),   # cumulative over the location
+    StructField("mark_complete", BooleanType()),        # every write there recorded its max
 ])
+HISTORY_SEGMENT = 1000
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite") -> None:
@@ -76,25 +79,56 @@ class SnapshotTable:
         self.partition_col = partition_col
         self.schema = schema
         self.watermark_col = watermark_col
-        self._known = None  # (version, location) last committed or read by this object
+        self._latest = None   # newest history row seen by this object
+        self._segment = None  # newest history segment seen by this object
 
     @property
     def _history_path(self) -> str:
         return f"{self.root}/_history"
 
+    def _segment_path(self, segment: int) -> str:
+        return f"{self._history_path}/s{segment:06d}"
+
+    def _read_segment(self, segment: int):
+        try:
+            return self.spark.read.schema(HISTORY_SCHEMA).parquet(self._segment_path(segment))
+        except AnalysisException:
+            return None
+
     def history(self) -> DataFrame:
         """``DESCRIBE HISTORY`` equivalent, newest version first."""
         try:
-            h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self._history_path)
+            h = (self.spark.read.schema(HISTORY_SCHEMA).option("recursiveFileLookup", "true")
+                 .parquet(self._history_path))
         except AnalysisException:
             h = literal_frame(self.spark, [], HISTORY_SCHEMA)
         return h.orderBy(F.col("version").desc())
 
+    def _newest_segment(self):
+        """Newest segment folder: exponential then binary probing, O(log n) path checks."""
+        lo = self._segment or 0
+        if self._read_segment(lo) is None:
+            return None
+        step = 1
+        while self._read_segment(lo + step) is not None:
+            lo, step = lo + step, step * 2
+        hi = lo + step
+        while hi - lo > 1:
+            mid = (lo + hi) // 2
+            lo, hi = (mid, hi) if self._read_segment(mid) is not None else (lo, mid)
+        self._segment = lo
+        return lo
+
+    def _latest_row(self, refresh: bool = False):
+        if refresh or self._latest is None:
+            seg = self._newest_segment()
+            self._latest = (self._read_segment(seg).orderBy(F.col("version").desc()).first()
+                            if seg is not None else None) or False
+        return self._latest or None
+
     def _current(self, refresh: bool = False):
-        if refresh or self._known is None:
-            row = self.history().select("version", "location").first()
-            self._known = (row[0], row[1]) if row else (None, None)
-        return self._known
+        row = self._latest_row(refresh)
+        return (row["version"], row["location"]) if row else (None, None)
 
     def current_version(self, refresh: bool = False):
         return self._current(refresh)[0]
@@ -151,16 +185,27 @@ class SnapshotTable:
                 **{k: int(got.get(k) or 0) for k in ("insert", "update", "copy")}}
 
     def _log(self, version: int, operation: str, parameters: dict | None, location: str,
-             m: dict, num_source_rows: int | None) -> int:
+             m: dict, num_source_rows: int | None, previous=None) -> int:
+        """Append the history row that makes ``version`` visible.
+
+        ``previous``: the prior row when this version shares its location (an
+        append); the watermark columns are cumulative over the location.
+        """
         supplied = m["rows"] if num_source_rows is None else num_source_rows
         mark = m.get("max")
+        complete = mark is not None or m["rows"] == 0
+        if previous is not None:
+            complete = complete and bool(previous["mark_complete"])
+            if previous["max_watermark"] is not None and (mark is None or previous["max_watermark"] > mark):
+                mark = previous["max_watermark"]
         row = (version, None, operation, json.dumps(parameters or {}, sort_keys=True), location,
                supplied, m["rows"], m["insert"], m["update"], m["copy"],
-               None if mark is None else mark.isoformat(sep=" "))
+               None if mark is None else mark.isoformat(sep=" "), complete)
         (literal_frame(self.spark, [row], HISTORY_SCHEMA)
          .withColumn("timestamp", F.current_timestamp())
-         .coalesce(1).write.mode("append").parquet(self._history_path))
-        self._known = (version, location)
+         .coalesce(1).write.mode("append").parquet(self._segment_path(version // HISTORY_SEGMENT)))
+        self._latest = None  # re-read on next use (cheap: newest segment only)
+        self._segment = version // HISTORY_SEGMENT
         return version
 
     def commit(self, df: DataFrame, operation: str = "WRITE", parameters: dict | None = None,
@@ -180,29 +225,24 @@ class SnapshotTable:
         that knows the largest watermark value of rows now in the table (e.g.
         the max of a stream batch) passes it as ``watermark``.
         """
-        cur, location = self._current(refresh=True)
-        if cur is None:
+        previous = self._latest_row(refresh=True)
+        if previous is None:
             cur, location, mode = -1, "snapshots/00000000", "overwrite"
         else:
-            mode = "append"
+            cur, location, mode = previous["version"], previous["location"], "append"
         m = self._write(df, f"{self.root}/{location}", mode=mode, observe=observe)
         if watermark is not None and (m.get("max") is None or watermark > m["max"]):
             m["max"] = watermark
-        return self._log(cur + 1, operation, parameters, location, m, None)
+        return self._log(cur + 1, operation, parameters, location, m, None, previous)
 
     def recorded_high_water_mark(self):
         """``(known, value)``: the largest watermark value in the current version.
 
-        Read from the history rows sharing the current location; unknown when
-        any of them wrote rows without recording their maximum.
+        Read from the newest history row alone (its watermark columns are
+        cumulative over the location); unknown when some write there did not
+        record its maximum.
         """
-        cur, location = self._current(refresh=True)
-        if cur is None:
+        row = self._latest_row(refresh=True)
+        if row is None:
             return True, None
-        row = (self.history().where(F.col("location") == location)
-               .agg(F.max("max_watermark").alias("mark"),
-                    F.sum(F.when(F.col("max_watermark").isNull()
-                                 & (F.col("num_output_rows").isNull() | (F.col("num_output_rows") > 0)),
-                                 1).otherwise(0)).alias("unknown"))
-               .first())
-        return (row["unknown"] or 0) == 0, row["mark"]
+        return bool(row["mark_complete"]), row["max_watermark"]

@@ -107,3 +107,14 @@ def test_commit_recovers_from_a_failed_attempt(spark, target, tmp_path_str):
     assert t.current_version(refresh=True) == 0 and t.read().count() == 5
     assert t.commit(target.limit(2), "WRITE") == 1
     assert t.read().count() == 2
+
+
+def test_history_segments_are_probed(spark, target, tmp_path_str, monkeypatch):
+    import marketpulse.plans.tables as T
+    monkeypatch.setattr(T, "HISTORY_SEGMENT", 2)  # 2 versions per segment folder
+    t = SnapshotTable(spark, tmp_path_str + "/gold")
+    for i in range(7):
+        t.commit(target.limit(i + 1), "WRITE")
+    fresh = SnapshotTable(spark, tmp_path_str + "/gold")  # no cached segment
+    assert fresh.current_version() == 6 and fresh.read().count() == 5  # fixture has 5 rows
+    assert [r.version for r in fresh.history().collect()] == list(range(6, -1, -1))

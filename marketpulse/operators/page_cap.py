@@ -6,31 +6,63 @@ the cap is kept whole. Equivalently: keep page ``p`` iff the rows of the
 earlier pages of its key sum to less than the cap.
 
 Every non-empty page holds at least one row, so only the first ``cap``
-non-empty pages of a key can ever be kept. ``row_number() <= cap`` lets
-Spark place a partial ``WindowGroupLimit`` before the shuffle, so even a key
-holding a third of all pages ships at most ``cap`` pages per map task; the
-running sum then runs over at most ``cap`` pages per key.
+non-empty pages of a key can ever be kept. Those are found on narrow rows
+(key, page, count) in two top-k levels, each a ``row_number() <= cap`` that
+Spark plans with a partial ``WindowGroupLimit`` before its shuffle:
+
+1. per (key, shard), shard = hash(page) mod ``shards``: the first ``cap``
+   pages of a key are among the first ``cap`` of their shard;
+2. per key, over at most ``cap x shards`` candidates.
+
+So the rows reaching any one task are bounded by ``cap x shards`` whatever
+the data size or the number of map tasks, even for a key holding a third of
+all pages. The running sum then runs over at most ``cap`` pages per key, and
+the kept (key, page) pairs are joined back to the full page rows; page
+payloads never cross a shuffle (the price is reading the pages twice).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketpulse.operators.broadcast import bounded_broadcast
+from marketpulse.session import ensure_checkpoint_dir
+
+DEFAULT_SHARDS = 64
+
 
 def cap_pages(pages: DataFrame, cap: int, key_col: str = "ticker", order_col: str = "page",
-              count_col: str = "result_count") -> DataFrame:
+              count_col: str = "result_count", shards: int = DEFAULT_SHARDS) -> DataFrame:
     """Keep the pages the capped visit would fetch; adds ``rows_before``.
 
-    ``pages`` holds one row per page with its row count in ``count_col``;
-    empty pages (count NULL or 0) carry no rows and are dropped.
+    ``pages`` holds one row per page with its row count in ``count_col``
+    (any other columns, e.g. the page's posts, are carried along); empty
+    pages (count NULL or 0) carry no rows and are dropped.
     """
     n = F.col(count_col)
-    ranked = Window.partitionBy(key_col).orderBy(F.col(order_col).asc())
-    first = (pages.where(n.isNotNull() & (n > 0))
-             .withColumn("_mp_rank", F.row_number().over(ranked))
+    nonempty = pages.where(n.isNotNull() & (n > 0))
+    narrow = nonempty.select(key_col, order_col, count_col)
+    by_shard = Window.partitionBy(key_col, "_mp_shard").orderBy(F.col(order_col).asc())
+    level1 = (narrow.withColumn("_mp_shard", F.pmod(F.xxhash64(order_col), F.lit(shards)))
+              .withColumn("_mp_r1", F.row_number().over(by_shard))
+              .where(F.col("_mp_r1") <= cap)
+              .drop("_mp_shard", "_mp_r1"))
+    by_key = Window.partitionBy(key_col).orderBy(F.col(order_col).asc())
+    first = (level1.withColumn("_mp_rank", F.row_number().over(by_key))
              .where(F.col("_mp_rank") <= cap))
-    earlier = ranked.rowsBetween(Window.unboundedPreceding, -1)
-    return (first.withColumn("rows_before", F.coalesce(F.sum(n).over(earlier), F.lit(0)))
+    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    kept = (first.withColumn("rows_before", F.coalesce(F.sum(n).over(earlier), F.lit(0)))
             .where(F.col("rows_before") < cap)
-            .drop("_mp_rank"))
+            .select(key_col, order_col, "rows_before"))
+    # at most keys x cap narrow rows: materialised once in the shared checkpoint
+    # folder (persisted only while checkpointing), then broadcast after the size
+    # check, else joined by a shuffle
+    ensure_checkpoint_dir(pages.sparkSession)
+    staged = kept.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kept = staged.checkpoint(eager=True)
+    finally:
+        staged.unpersist()
+    return nonempty.join(bounded_broadcast(kept), [key_col, order_col], "inner")

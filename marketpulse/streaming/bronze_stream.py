@@ -40,8 +40,13 @@ def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: s
                             batch_id: int | None = None) -> None:
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dates = [r[0] for r in batch.select(BRONZE_PARTITION).distinct()
-                 .limit(MAX_DATES_PER_BATCH + 1).collect()]
+        # one small job: the dates the batch touches and its largest event time
+        per_date = (batch.groupBy(BRONZE_PARTITION).agg(F.max(TS).alias("_mp_max"))
+                    .limit(MAX_DATES_PER_BATCH + 1).collect())
+        dates = [r[0] for r in per_date]
+        maxima = [r[1] for r in per_date if r[1] is not None]
+        batch_max = max(maxima) if maxima and len(per_date) <= MAX_DATES_PER_BATCH \
+            else batch.agg(F.max(TS)).first()[0]
         table = bronze_table(spark, table_path)
         existing = table.read() if table.current_version() is not None else None
         fresh = batch
@@ -56,7 +61,6 @@ def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: s
             fresh = batch.join(existing.select(*DEDUP_KEYS), DEDUP_KEYS, "left_anti")
         # every batch row is in the table afterwards (appended now or already there),
         # so the batch maximum is a valid high-water-mark contribution
-        batch_max = batch.agg(F.max(TS)).first()[0]
         table.append(fresh, "STREAMING UPDATE", {"outputMode": "Append", "epochId": batch_id},
                      observe=False, watermark=batch_max)
     finally:

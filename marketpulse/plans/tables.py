@@ -185,7 +185,7 @@ class SnapshotTable:
                 **{k: int(got.get(k) or 0) for k in ("insert", "update", "copy")}}
 
     def _log(self, version: int, operation: str, parameters: dict | None, location: str,
-             m: dict, num_source_rows: int | None, previous=None) -> int:
+             m: dict, num_source_rows: int | None, previous=None, mark_exact: bool = False) -> int:
         """Append the history row that makes ``version`` visible.
 
         ``previous``: the prior row when this version shares its location (an
@@ -193,7 +193,7 @@ class SnapshotTable:
         """
         supplied = m["rows"] if num_source_rows is None else num_source_rows
         mark = m.get("max")
-        complete = mark is not None or m["rows"] == 0
+        complete = mark is not None or m["rows"] == 0 or mark_exact
         if previous is not None:
             complete = complete and bool(previous["mark_complete"])
             if previous["max_watermark"] is not None and (mark is None or previous["max_watermark"] > mark):
@@ -218,12 +218,13 @@ class SnapshotTable:
         return self._log(version, operation, parameters, location, m, num_source_rows)
 
     def append(self, df: DataFrame, operation: str = "WRITE", parameters: dict | None = None,
-               observe: bool = True, watermark=None) -> int:
+               observe: bool = True, watermark=None, watermark_exact: bool = False) -> int:
         """Add rows to the current version's folder and log a new version.
 
         ``observe=False`` skips the row metrics (logged as unknown); a caller
         that knows the largest watermark value of rows now in the table (e.g.
-        the max of a stream batch) passes it as ``watermark``.
+        the max of a stream batch) passes it as ``watermark`` and sets
+        ``watermark_exact`` (then ``None`` means the rows hold no value).
         """
         previous = self._latest_row(refresh=True)
         if previous is None:
@@ -233,7 +234,8 @@ class SnapshotTable:
         m = self._write(df, f"{self.root}/{location}", mode=mode, observe=observe)
         if watermark is not None and (m.get("max") is None or watermark > m["max"]):
             m["max"] = watermark
-        return self._log(cur + 1, operation, parameters, location, m, None, previous)
+        return self._log(cur + 1, operation, parameters, location, m, None, previous,
+                         mark_exact=watermark_exact)
 
     def recorded_high_water_mark(self):
         """``(known, value)``: the largest watermark value in the current version.

@@ -43,6 +43,8 @@ def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: s
         # one small job: the dates the batch touches and its largest event time
         per_date = (batch.groupBy(BRONZE_PARTITION).agg(F.max(TS).alias("_mp_max"))
                     .limit(MAX_DATES_PER_BATCH + 1).collect())
+        if not per_date:
+            return  # empty batch: nothing to append, no version to log
         dates = [r[0] for r in per_date]
         maxima = [r[1] for r in per_date if r[1] is not None]
         batch_max = max(maxima) if maxima and len(per_date) <= MAX_DATES_PER_BATCH \
@@ -62,7 +64,7 @@ def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: s
         # every batch row is in the table afterwards (appended now or already there),
         # so the batch maximum is a valid high-water-mark contribution
         table.append(fresh, "STREAMING UPDATE", {"outputMode": "Append", "epochId": batch_id},
-                     observe=False, watermark=batch_max)
+                     observe=False, watermark=batch_max, watermark_exact=True)
     finally:
         batch.unpersist()
 

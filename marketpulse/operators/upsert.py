@@ -108,7 +108,8 @@ def _upsert_small_source(target, source, keys, update_cols, insert_cols, compare
     # the result (at most one row per matching target row) is checkpointed to the shared
     # checkpoint folder, so its two uses do not rescan the target
     ensure_checkpoint_dir(target.sparkSession)
-    scan = target.select(*keys).join(F.broadcast(per_key), keys, "inner").persist(StorageLevel.MEMORY_AND_DISK)
+    scan = (target.select(*keys).join(F.broadcast(per_key), keys, "inner")
+            .persist(StorageLevel.MEMORY_AND_DISK))
     try:  # persisted only while checkpointing, so the target keys are read once
         matched = scan.checkpoint(eager=True)
     finally:
@@ -122,7 +123,8 @@ def _upsert_small_source(target, source, keys, update_cols, insert_cols, compare
     joined = target.join(F.broadcast(src.withColumn("_src_hit", F.lit(True))), on, "left")
     upd = F.coalesce(F.col("_src_hit") & any_differs(t, s, compare_cols, null_safe), F.lit(False))
     kept = joined.select(
-        *[F.when(upd, s[c]).otherwise(t[c]).alias(c) if c in update_cols else t[c] for c in tcols],
+        *[F.when(upd, s[c]).otherwise(t[c]).cast(target.schema[c].dataType).alias(c)
+          if c in update_cols else t[c] for c in tcols],
         F.when(upd, F.lit("update")).otherwise(F.lit("copy")).alias(CHANGE_COL))
     inserts = source.join(F.broadcast(matched_keys), keys, "left_anti")
     inserted = inserts.select(

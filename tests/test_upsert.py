@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketpulse.operators.upsert import DuplicateSourceKeyError, upsert_type1
 from marketpulse.plans.tables import SnapshotTable
@@ -118,3 +119,11 @@ def test_history_segments_are_probed(spark, target, tmp_path_str, monkeypatch):
     fresh = SnapshotTable(spark, tmp_path_str + "/gold")  # no cached segment
     assert fresh.current_version() == 6 and fresh.read().count() == 5  # fixture has 5 rows
     assert [r.version for r in fresh.history().collect()] == list(range(6, -1, -1))
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_updated_columns_keep_target_types(spark, target, small):
+    src = frame(spark, [bar(D[1], "CAT", 2.5)]).withColumn("Volume", F.lit(7).cast("int"))
+    out = upsert_type1(target, src, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS, small_source_rows=10 if small else 0)
+    assert dict(out.dtypes)["Volume"] == "bigint"
+    assert result(out)[(D[1], "CAT")].Volume == 7

@@ -21,15 +21,18 @@ from marketpulse.schemas import LANDED_PAGE_SCHEMA
 MAX_KEYS_FOR_LITERAL_MAP = 10_000
 
 
-def read_pages(spark: SparkSession, root: str, multiline: bool = False) -> DataFrame:
+def read_pages(spark: SparkSession, root: str, multiline: bool = False,
+               strict: bool = True) -> DataFrame:
     """Page documents with their ``ticker`` (and ``page``) values.
 
     ``multiline=True`` reads one possibly pretty-printed document per file
-    (raw responses); the default reads splittable JSON lines.
+    (raw responses); the default reads splittable JSON lines. A malformed page
+    fails the read (like a failed request aborting a load); ``strict=False``
+    turns it into an empty page instead.
     """
     return (spark.read.schema(LANDED_PAGE_SCHEMA)
             .option("multiLine", multiline)
-            .option("mode", "PERMISSIVE")
+            .option("mode", "FAILFAST" if strict else "PERMISSIVE")
             .json(root))
 
 

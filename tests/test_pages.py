@@ -87,3 +87,16 @@ def test_land_and_read_roundtrip(spark, tmp_path_str):
         last = {r.ticker: r.page for r in page_meta(read_pages(spark, root, multiline=per_file))
                 .where("is_last").collect()}
         assert last == {"A": 5, "B": 5}
+
+
+def test_malformed_page_fails_unless_lenient(spark, tmp_path_str):
+    import pytest
+    root = tmp_path_str + "/bad"
+    write_raw(root, "BAC", 0, {"data": [_post(1, "2021-12-02T14:30:00.000Z")], "meta": {"result_count": 1}})
+    d = os.path.join(root, "ticker=BAC", "page=1")
+    os.makedirs(d)
+    with open(os.path.join(d, "response.json"), "w") as fh:
+        fh.write('{"data": [ {"id": "2", "text": ')  # truncated response
+    with pytest.raises(Exception):
+        flatten_pages(read_pages(spark, root, multiline=True)).count()
+    assert flatten_pages(read_pages(spark, root, multiline=True, strict=False)).count() == 1

@@ -140,7 +140,8 @@ class SnapshotTable:
             row = self.history().where(F.col("version") == version).select("location").first()
             v, loc = version, (row[0] if row else None)
         if v is None or loc is None:
-            raise FileNotFoundError(f"table {self.root} has no version {version if version is not None else ''}")
+            which = "" if version is None else f" {version}"
+            raise FileNotFoundError(f"table {self.root} has no version{which}")
         return f"{self.root}/{loc}"
 
     def read_changes(self, version: int | None = None) -> DataFrame:

@@ -112,7 +112,8 @@ BASE = f"WITH {DIM_CTE},\n{POSTS_CTE},\n{TAGGED_CTE}"
 
 def _bronze_select(where: str) -> str:
     return f"""SELECT "user", created_at AS Twitter_Created_datetime, id, text, ticker AS Ticker,
-       company, CompanySector, DATE '{RUN_DATE}' AS load_date, CAST(created_at AS DATE) AS Tweet_date
+       company, CompanySector, CAST(DATE '{RUN_DATE}' AS TIMESTAMP) AS load_date,
+       CAST(CAST(created_at AS DATE) AS TIMESTAMP) AS Tweet_date
 FROM tagged WHERE NOT contains(text, {_lit(NOISE_PHRASE)}) AND ({where})"""
 
 
@@ -205,6 +206,16 @@ def _ntz(s: str):
     return F.lit(s).cast("timestamp_ntz")
 
 
+def _dates_as_timestamps(df: DataFrame) -> DataFrame:
+    """Present DATE columns as midnight TIMESTAMP_NTZ (the tables keep DATE).
+
+    Results are compared with the oracle's; timestamps convert identically on
+    both sides, dates do not (date objects vs timestamps in pandas).
+    """
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "date" else F.col(c)
+                       for c, t in df.dtypes])
+
+
 # ----------------------------------------------------------------- queries
 @register("company_tag", f"""{BASE}
 SELECT id, "user", created_at, ticker, company, CompanySector FROM tagged""")
@@ -296,14 +307,14 @@ def q_union_loads(spark, sf_dir):
 
 @register("silver_cast", f"""{BASE}
 SELECT created_at AS Twitter_Created_datetime, id, text, ticker AS Ticker, company,
-       CompanySector AS companySector, DATE '{RUN_DATE}' AS load_date, sentID,
-       CAST(created_at AS DATE) AS Tweet_date
+       CompanySector AS companySector, CAST(DATE '{RUN_DATE}' AS TIMESTAMP) AS load_date, sentID,
+       CAST(CAST(created_at AS DATE) AS TIMESTAMP) AS Tweet_date
 FROM tagged WHERE isodow(CAST(created_at AS DATE)) <= 5""")
 def q_silver_cast(spark, sf_dir):
     scored = scored_posts(_events(spark, sf_dir), _dim(spark), RUN_DATE)
     as_text = scored.select(*[F.col(c).cast("string").alias(c) if c != "Tweet_date" else F.col(c)
                               for c in scored.columns])
-    return build_silver(as_text)
+    return _dates_as_timestamps(build_silver(as_text))
 
 
 @register("time_grid", """SELECT CAST(round((epoch(s) - epoch(lo)) / 3600) AS BIGINT) + 1 AS bucket,
@@ -433,7 +444,7 @@ def q_page_cap(spark, sf_dir):
 def q_bronze_bulk(spark, sf_dir):
     path = scratch_path(spark, "bronze_bulk")
     bulk_load(_posts(spark, sf_dir), _dim(spark), path, RUN_DATE)
-    return read_bronze(spark, path)
+    return _dates_as_timestamps(read_bronze(spark, path))
 
 
 @register("bronze_incremental", f"""{BASE},
@@ -447,7 +458,7 @@ def q_bronze_incremental(spark, sf_dir):
     posts, dim = _posts(spark, sf_dir), _dim(spark)
     bulk_load(posts.where(F.col("created_at") < _ntz(INCREMENTAL_CUT)), dim, path, RUN_DATE)
     incremental_load(posts, dim, path, RUN_DATE)
-    return read_bronze(spark, path)
+    return _dates_as_timestamps(read_bronze(spark, path))
 
 
 @register("stream_append", f"""{BASE}
@@ -463,7 +474,7 @@ def q_stream_append(spark, sf_dir):
     stage_posts(rows.where(~(F.col("Twitter_Created_datetime") < cut)
                            | F.col("Twitter_Created_datetime").isNull()), stage)
     stream_to_bronze(spark, stage, target, max_files_per_trigger=4)
-    return read_bronze(spark, target)
+    return _dates_as_timestamps(read_bronze(spark, target))
 
 
 _KW_ROWS = [(t, k) for t, k, _ in COMPANIES] + DOCUMENT_SEARCHES

@@ -122,3 +122,19 @@ def test_keyword_join_path_on_documents(spark):
     a = match_keywords(docs, kw, method="projection")
     b = match_keywords(docs, kw, method="join")
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_auto_switches_to_join_above_the_bound(spark, monkeypatch):
+    import marketpulse.operators.keyword as K
+    docs = spark.createDataFrame([(1, "Bank of America and Deere & Co"), (2, "nothing here")],
+                                 "doc_id long, text string")
+    kw = spark.createDataFrame([("DE", "deere co"), ("BAC", '"Bank of America"'), ("X", '"nothing at all"')],
+                               "ticker string, keyword string")
+    calls = []
+    original = K._match_by_join
+    monkeypatch.setattr(K, "_match_by_join", lambda *a, **k: calls.append(1) or original(*a, **k))
+    monkeypatch.setattr(K, "MAX_KEYWORDS", 2)
+    got = sorted((r.doc_id, r.ticker) for r in K.match_keywords(docs, kw).collect())
+    assert calls and got == [(1, "BAC"), (1, "DE")]
+    with pytest.raises(ValueError):
+        K.match_keywords(docs, kw, method="projection")

@@ -71,15 +71,19 @@ def land_pages(posts: DataFrame, root: str, key_col: str = "ticker", page_col: s
     sequence number; the caller guarantees a bounded page size (the source's
     page size), so each page's ``collect_list`` is bounded. A page gets a
     ``next_token`` unless it is the last page of its key; the last page number
-    per key is a small aggregate (one value per key, size-checked) applied as
-    a literal map, so no join or window over the page documents is needed.
+    per key is a small aggregate (one value per key) applied as a literal map
+    when it has at most ``MAX_KEYS_FOR_LITERAL_MAP`` keys (no join or window
+    over the page documents), else joined by key.
     """
-    last = posts.groupBy(key_col).agg(F.max(page_col).alias("last_page"))
+    last = posts.groupBy(key_col).agg(F.max(page_col).alias("_mp_last"))
     rows = last.limit(MAX_KEYS_FOR_LITERAL_MAP + 1).collect()
-    if len(rows) > MAX_KEYS_FOR_LITERAL_MAP:
-        raise ValueError("too many search keys for one landing run")
-    last_page = F.create_map(*[x for r in rows for x in (F.lit(r[0]), F.lit(r[1]))]) if rows \
-        else F.create_map().cast("map<string,bigint>")
+    use_map = len(rows) <= MAX_KEYS_FOR_LITERAL_MAP
+    if use_map:
+        last_page = F.create_map(*[x for r in rows for x in (F.lit(r[0]), F.lit(r[1]))]) if rows \
+            else F.create_map().cast("map<string,bigint>")
+        last_of_key = F.element_at(last_page, F.col(key_col))
+    else:  # many keys: join the per-key last page instead (one row per key)
+        last_of_key = F.col("_mp_last")
 
     post = F.struct(
         F.col("user").alias("author_id"),
@@ -90,13 +94,16 @@ def land_pages(posts: DataFrame, root: str, key_col: str = "ticker", page_col: s
     )
     newest_first = F.sort_array(F.collect_list(F.struct(F.col("created_at").alias("t"), post.alias("p"))),
                                 asc=False)
-    docs = (posts.groupBy(key_col, page_col)
-            .agg(F.transform(newest_first, lambda x: x["p"]).alias("data"))
+    grouped = (posts.groupBy(key_col, page_col)
+               .agg(F.transform(newest_first, lambda x: x["p"]).alias("data")))
+    if not use_map:
+        grouped = grouped.join(last, key_col)
+    docs = (grouped
             .select(
                 "data",
                 F.struct(
                     F.size("data").cast("bigint").alias("result_count"),
-                    F.when(F.col(page_col) < F.element_at(last_page, F.col(key_col)),
+                    F.when(F.col(page_col) < last_of_key,
                            F.concat(F.col(key_col), F.lit("-"), (F.col(page_col) + 1).cast("string")))
                      .alias("next_token"),
                 ).alias("meta"),

@@ -100,3 +100,16 @@ def test_malformed_page_fails_unless_lenient(spark, tmp_path_str):
     with pytest.raises(Exception):
         flatten_pages(read_pages(spark, root, multiline=True)).count()
     assert flatten_pages(read_pages(spark, root, multiline=True, strict=False)).count() == 1
+
+
+def test_land_pages_many_keys_path(spark, tmp_path_str, monkeypatch):
+    import marketpulse.sources.pages as P
+    monkeypatch.setattr(P, "MAX_KEYS_FOR_LITERAL_MAP", 1)
+    rows = [(f"u{i}", "2021-12-02 10:00:00", str(i), f"t{i}", "AB"[i % 2], i // 4) for i in range(16)]
+    posts = spark.createDataFrame(rows, "user string, s string, id string, text string, ticker string, page long") \
+        .select("user", F.col("s").cast("timestamp_ntz").alias("created_at"), "id", "text", "ticker", "page")
+    root = tmp_path_str + "/many"
+    P.land_pages(posts, root)
+    meta = {(r.ticker, r.page): r.is_last for r in page_meta(read_pages(spark, root)).collect()}
+    assert meta == {(k, p): p == 3 for k in "AB" for p in range(4)}
+    assert flatten_pages(read_pages(spark, root)).count() == 16

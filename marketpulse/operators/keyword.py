@@ -32,7 +32,7 @@ from marketpulse.functions.columns import WORD_SPLIT, all_of, normalized_words
 from marketpulse.operators.parallelism import ensure_parallelism
 
 MAX_KEYWORDS = 5_000
-MAX_GRAM_LENGTHS = 64
+MAX_GRAM_LENGTHS = 64  # phrase lengths generated per projection
 _NON_WORD = re.compile(r"[^\w]+|_+", re.UNICODE)
 
 
@@ -112,9 +112,8 @@ def _tag_length(n: int):
 def _match_by_join(texts: DataFrame, keywords: DataFrame, text_col: str, key_col: str,
                    keyword_col: str, keep: list) -> DataFrame:
     units = _keyword_units(keywords, key_col, keyword_col)
-    lengths = sorted(r[0] for r in units.select("_mp_n").distinct().limit(MAX_GRAM_LENGTHS + 1).collect())
-    if len(lengths) > MAX_GRAM_LENGTHS:
-        raise ValueError(f"keywords use more than {MAX_GRAM_LENGTHS} different phrase lengths")
+    # distinct phrase lengths: at most the longest keyword's word count
+    lengths = sorted(r[0] for r in units.select("_mp_n").distinct().collect())
     if not lengths:
         return texts.select(*keep, F.lit(None).cast("string").alias(key_col),
                             F.lit(None).cast("string").alias(keyword_col)).limit(0)
@@ -122,13 +121,17 @@ def _match_by_join(texts: DataFrame, keywords: DataFrame, text_col: str, key_col
                      lambda w: w != "")
     tokens = texts.select(*keep, words.alias("_mp_w"))
     size = F.size("_mp_w")
-    per_length = []
-    for n in lengths:  # all lengths in one projection: each text is tokenised once
-        starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
-        distinct = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("_mp_w", i, n), " ")))
-        per_length.append(F.transform(distinct, _tag_length(n)))
-    grams = (tokens.select(*keep, F.explode(F.flatten(F.array(*per_length))).alias("_mp_g"))
-             .select(*keep, F.col("_mp_g.n").alias("_mp_n"), F.col("_mp_g.gram").alias("_mp_gram")))
+    grams = None
+    # all lengths of a chunk in one projection (each text tokenised once per chunk)
+    for chunk in (lengths[i:i + MAX_GRAM_LENGTHS] for i in range(0, len(lengths), MAX_GRAM_LENGTHS)):
+        per_length = []
+        for n in chunk:
+            starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
+            distinct = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("_mp_w", i, n), " ")))
+            per_length.append(F.transform(distinct, _tag_length(n)))
+        part = (tokens.select(*keep, F.explode(F.flatten(F.array(*per_length))).alias("_mp_g"))
+                .select(*keep, F.col("_mp_g.n").alias("_mp_n"), F.col("_mp_g.gram").alias("_mp_gram")))
+        grams = part if grams is None else grams.unionByName(part)
     hits = grams.join(units, ["_mp_n", "_mp_gram"], "inner")
     return (hits.groupBy(*keep, key_col, keyword_col, "_mp_need").agg(F.count(F.lit(1)).alias("_mp_hit"))
             .where(F.col("_mp_hit") == F.col("_mp_need"))

@@ -138,3 +138,15 @@ def test_auto_switches_to_join_above_the_bound(spark, monkeypatch):
     assert calls and got == [(1, "BAC"), (1, "DE")]
     with pytest.raises(ValueError):
         K.match_keywords(docs, kw, method="projection")
+
+
+def test_join_plan_with_chunked_lengths(spark, monkeypatch):
+    import marketpulse.operators.keyword as K
+    monkeypatch.setattr(K, "MAX_GRAM_LENGTHS", 1)  # one phrase length per projection
+    docs = spark.createDataFrame([(1, "the iShares U.S. Oil fund and Deere & Co"), (2, "3M co parts")],
+                                 "doc_id long, text string")
+    kw = spark.createDataFrame([("DE", "deere co"), ("IEO", '"iShares U.S. Oil"'), ("MMM", '"3M co"')],
+                               "ticker string, keyword string")
+    a = sorted(K.match_keywords(docs, kw, method="projection").collect())
+    b = sorted(K.match_keywords(docs, kw, method="join").collect())
+    assert a == b and [(r.doc_id, r.ticker) for r in b] == [(1, "DE"), (1, "IEO"), (2, "MMM")]

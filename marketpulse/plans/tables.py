@@ -4,7 +4,7 @@ No transactional table format is available, so a table that must survive a
 failed overwrite is a folder of version folders plus a small history log::
 
     <root>/snapshots/<version>/   data written by an overwrite (never reused)
-    <root>/_history/sNNNNNN/      one row per version (1,000 versions per segment
+    <root>/_history/sNNNNNN/      one row per version (100 versions per segment
                                   folder): operation, location, metrics
 
 An overwrite (``commit``) writes a new version folder and becomes visible when
@@ -46,7 +46,7 @@ HISTORY_SCHEMA = StructType([
     StructField("max_watermark", TimestampNTZType()),   # cumulative over the location
     StructField("mark_complete", BooleanType()),        # every write there recorded its max
 ])
-HISTORY_SEGMENT = 1000
+HISTORY_SEGMENT = 100  # versions per history folder: small reads, O(log n) probes
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite") -> None:

@@ -59,3 +59,43 @@ def test_cap_pages_matches_loop(spark, sizes, cap):
                 want.append((k, p, taken))
             taken += n
     assert got == sorted(want)
+
+
+def brute_merge(target, source):
+    """Plain-Python MERGE: keys (k1, k2); update v1, v2 when any differs (SQL <>)."""
+    def differs(a, b):
+        return a is not None and b is not None and a != b
+    out, matched = [], set()
+    for t in target:
+        hits = [s for s in source if s[0] is not None and s[1] is not None and (s[0], s[1]) == (t[0], t[1])]
+        if hits:
+            matched.add((t[0], t[1]))
+            s = hits[0]
+            if differs(t[2], s[2]) or differs(t[3], s[3]):
+                out.append((t[0], t[1], s[2], s[3], t[4], "update"))
+                continue
+        out.append((*t, "copy"))
+    for s in source:
+        if s[0] is None or s[1] is None or (s[0], s[1]) not in matched:
+            out.append((*s, "insert"))
+    return sorted(out, key=repr)
+
+
+@settings(**SETTINGS)
+@given(t_keys=st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["A", "B"])), unique=True, max_size=10),
+       s_keys=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.sampled_from(["A", "B"])),
+                       unique=True, max_size=8),
+       vals=st.lists(st.one_of(st.none(), st.integers(0, 2)), min_size=40, max_size=40),
+       small=st.booleans())
+def test_upsert_matches_brute_force(spark, t_keys, s_keys, vals, small):
+    from marketpulse.operators.upsert import upsert_type1
+    it = iter(vals)
+    target = [(k1, k2, next(it), next(it), "t") for k1, k2 in t_keys]
+    source = [(k1, k2, next(it), next(it), "s") for k1, k2 in s_keys]
+    schema = "k1 int, k2 string, v1 int, v2 int, sector string"
+    t = spark.createDataFrame(target, schema)
+    s = spark.createDataFrame(source, schema)
+    out = upsert_type1(t, s, ["k1", "k2"], ["v1", "v2"], ["k1", "k2", "v1", "v2", "sector"],
+                       small_source_rows=100 if small else 0)
+    got = sorted((tuple(r) for r in out.collect()), key=repr)
+    assert got == brute_merge(target, source)

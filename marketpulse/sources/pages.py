@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from marketpulse.functions.columns import iso_z, parse_iso_utc
 from marketpulse.schemas import LANDED_PAGE_SCHEMA
 
-MAX_KEYS_FOR_LITERAL_MAP = 10_000
+MAX_KEYS_FOR_LITERAL_MAP = 1_000  # above this, a join (a huge literal map is slow to compile)
 
 
 def read_pages(spark: SparkSession, root: str, multiline: bool = False,

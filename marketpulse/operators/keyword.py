@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from marketpulse.functions.columns import WORD_SPLIT, all_of, normalized_words
 from marketpulse.operators.parallelism import ensure_parallelism
 
-MAX_KEYWORDS = 5_000
+MAX_KEYWORDS = 500  # beyond this the n-gram join plan is cheaper than per-row tests
 MAX_GRAM_LENGTHS = 64  # phrase lengths generated per projection
 _NON_WORD = re.compile(r"[^\w]+|_+", re.UNICODE)
 

@@ -5,9 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketpulse.llm import exact_dedup, mixing
+from marketpulse.llm import exact_dedup, mixing, packing, token_files
 from marketpulse.llm.common import load
+from marketpulse.session import scratch_path
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    token_files.write_token_files(load(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"))
+    return token_files.read_token_files(spark, folder)
 
 
 def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +40,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+    "op3_token_files": op3_token_files,
     "op6_sainte_lague_mix": op6_sainte_lague_mix,
     "op8_exact_dedup": op8_exact_dedup,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.llm import exact_dedup, mixing, packing, token_files
+from marketpulse.llm import exact_dedup, mixing, packing, simhash, token_files
 from marketpulse.llm.common import load
 from marketpulse.session import scratch_path
 
@@ -39,11 +39,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
 
+def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op3_token_files": op3_token_files,
     "op6_sainte_lague_mix": op6_sainte_lague_mix,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_simhash_anchors": op10_simhash_anchors,
 }
 ORACLE: dict[str, str] = {
     "op6_sainte_lague_mix": mixing.ORACLE,

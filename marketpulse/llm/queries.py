@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.llm import exact_dedup, mixing, packing, simhash, token_files
+from marketpulse.llm import exact_dedup, mixing, packing, quality_fm, simhash, token_files
 from marketpulse.llm.common import load
 from marketpulse.session import scratch_path
 
@@ -19,6 +19,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -44,6 +48,7 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_fm": op1_quality_fm,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op3_token_files": op3_token_files,
     "op6_sainte_lague_mix": op6_sainte_lague_mix,

@@ -21,13 +21,12 @@ corpus. Words are identified by a 64-bit hash, bigrams by 56 bits of one.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm.common import text_or_empty
+from marketpulse.llm.packed import pack_counts, pack_keys, range_edges, unpack_counts, unpack_keys
 from marketpulse.session import scratch_path
 
 MOD, HELD_OUT, DELETED_REMAINDER = 7, 2, 5
@@ -87,43 +86,12 @@ def bigrams(keys: np.ndarray) -> np.ndarray:
     return (x ^ x >> np.uint64(32)) >> np.uint64(8)
 
 
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted distinct keys: the first one, then differences in as few bytes as the largest needs."""
-    steps = np.diff(keys)
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    return bytes([width]) + keys[:1].astype("<u8").tobytes() + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def unpack_keys(data: bytes) -> np.ndarray:
-    width = data[0]
-    steps = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    wide = np.zeros((len(steps) + 1, 8), np.uint8)
-    wide[1:, :width] = steps
-    wide[0] = np.frombuffer(data, np.uint8, 8, 1)
-    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
-
-
-def pack_counts(counts: np.ndarray) -> bytes:
-    kind = "u1" if not len(counts) or counts.max() < 1 << 8 else "<u2" if counts.max() < 1 << 16 else "<u8"
-    return kind[-1].encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
-
-
-def unpack_counts(data: bytes) -> np.ndarray:
-    kind = {"1": "u1", "2": "<u2", "8": "<u8"}[chr(data[0])]
-    return np.frombuffer(zlib.decompress(data[1:]), kind).astype(np.int64)
-
-
 def _distinct(frame):
     """Per kind (1 unigram, 2 bigram): sorted distinct keys and each token's place among them."""
     keys, sizes = tokens(frame["text"].tolist())
     return sizes, [np.unique(k, return_inverse=True) for k in (keys, bigrams(keys))]
 
 
-def _range_of(keys: np.ndarray, kind: int, parts: int) -> np.ndarray:
-    top = keys >> np.uint64(32 if kind == 1 else 24)  # the upper 32 bits
-    return (top * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-
-
 def _request(parts: int):
     def run(frame):
         import pandas as pd
@@ -135,11 +103,8 @@ def _request(parts: int):
         for kind, (keys, place) in enumerate(kinds, 1):
             train = np.bincount(place[remainder != HELD_OUT], minlength=len(keys))
             deleted = np.bincount(place[remainder == DELETED_REMAINDER], minlength=len(keys))
-            edges = np.searchsorted(_range_of(keys, kind, parts), np.arange(parts + 1))
-            for part in range(parts):
-                a, b = edges[part], edges[part + 1]
-                if a < b:
-                    out.append((kind, part, block, pack_keys(keys[a:b]), pack_counts(train[a:b]), pack_counts(deleted[a:b])))
+            for part, a, b in range_edges(keys, parts, 64 if kind == 1 else 56):
+                out.append((kind, part, block, pack_keys(keys[a:b]), pack_counts(train[a:b]), pack_counts(deleted[a:b])))
         return pd.DataFrame(out, columns=["kind", "part", "block", "keys", "train", "deleted"])
 
     return run

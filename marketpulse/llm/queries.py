@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.llm import chat, exact_dedup, hilbert_knn, interpolation, mixing, packing, quality_fm, simhash, token_files
+from marketpulse.llm import chat, exact_dedup, hilbert_knn, interpolation, mixing, packing, quality_fm, simhash, suffix_dedup, token_files
 from marketpulse.llm.common import load
 from marketpulse.session import scratch_path
 
@@ -35,6 +35,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(load(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score(load(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_fm": op1_quality_fm,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op3_token_files": op3_token_files,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_deleted_interpolation": op5_deleted_interpolation,
     "op6_sainte_lague_mix": op6_sainte_lague_mix,
     "op7_hilbert_knn": op7_hilbert_knn,

@@ -25,12 +25,13 @@ RUNS = 64
 FAN_IN = 8
 
 
-def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS) -> DataFrame:
+def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS,
+                carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, row, run, sha, check, n_norm, n_points``: one narrow row per document, materialised."""
     normal = F.regexp_replace(text_or_empty(text_col), SPACE, "")
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.length(text_or_empty(text_col)).alias("n_points"),
-                        normal.alias("normal"))
-            .select("doc_id", "n_points", F.monotonically_increasing_id().alias("row"),
+                        normal.alias("normal"), *carry)
+            .select("doc_id", "n_points", *carry, F.monotonically_increasing_id().alias("row"),
                     F.pmod(F.spark_partition_id(), F.lit(runs)).alias("run"),
                     F.unhex(F.sha2("normal", 256)).alias("sha"), F.xxhash64("normal").alias("check"),
                     F.octet_length("normal").alias("n_norm")))
@@ -51,16 +52,16 @@ def merge_runs(rows: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataF
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
+                runs: int = RUNS, fan_in: int = FAN_IN, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256`` and the ``carry`` columns.
 
     Texts are equal when identical after deleting ASCII white space; null text
     counts as empty. The row with the most code points in its original text
     stays, then the smallest id; a null id comes after all others, and of rows
     alike in both exactly one stays. An empty table gives an empty result;
-    extra columns are ignored.
+    other columns are ignored.
     """
-    rows = digest_rows(docs, id_col, text_col, runs)
+    rows = digest_rows(docs, id_col, text_col, runs, carry)
     groups = (merge_runs(rows, runs, fan_in).where("n > 1")
               .select("sha", "check", "n_norm", "n", F.col("best.doc_id").alias("best_id"),
                       F.col("best.row").alias("best_row")))
@@ -69,7 +70,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
                     F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
                     (F.col("n").isNull() | (F.col("row") == F.col("best_row"))).alias("kept"),
-                    F.lower(F.hex("sha")).alias("text_sha256")))
+                    F.lower(F.hex("sha")).alias("text_sha256"), *carry))
 
 
 ORACLE = r"""

@@ -84,19 +84,19 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, budget_percent: int = BU
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, budget_percent: int = BUDGET_PERCENT, max_repeat: int = MAX_REPEAT,
-        block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: str = SEED) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken``.
+        block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``doc_id, size, source_size, target, taken`` and the ``carry`` columns.
 
     ``size`` counts words (null or empty text: 0, and takes nothing). A null
     source is a source of its own, sorted last; the empty string is another.
     Rows alike in id and size are interchangeable: which of them takes more is
     open, the set of result rows is not. A table without words has targets 0.
-    Extra columns are ignored. ``taken`` never exceeds ``max_repeat * size``.
+    Other columns are ignored. ``taken`` never exceeds ``max_repeat * size``.
     """
     digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     # the prefix keeps null apart from every string, and after all of them
     key = F.when(F.col(source_col).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
-    rows = cut(docs.select(F.col(id_col).alias("doc_id"), key.alias("source_key"), digest.alias("digest"),
+    rows = cut(docs.select(F.col(id_col).alias("doc_id"), key.alias("source_key"), digest.alias("digest"), *carry,
                            F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size")))
     n = rows.agg(F.count(F.lit(1))).first()[0]
     n_shards = max(1, -(-n // shard_docs))
@@ -119,7 +119,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     part = F.least(F.greatest(F.col("rest") - F.col("before"), F.lit(0)), F.col("size"))
     return (placed.join(quotas, ["source_key", "shard"])
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("passes") * F.col("size") + part).cast("long").alias("taken")))
+                    (F.col("passes") * F.col("size") + part).cast("long").alias("taken"), *carry))
 
 
 # Seats are dealt one by one here: every quotient of every source is listed and ranked.

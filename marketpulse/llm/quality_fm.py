@@ -185,8 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(sparse, np.array([float(r.quality > 0) for r in rows]))
 
 
-def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Adds ``score`` (0 to 1) to every row; null text counts as empty."""
+def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
+    """Adds column ``name`` (0 to 1) to every row; null text counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: fixed numbers of buckets and factors
 
     @F.pandas_udf("double")
@@ -195,7 +195,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
         return pd.Series(shared.value.scores(texts.tolist()))
 
-    return docs.withColumn("score", udf(text_or_empty(text_col)))
+    return docs.withColumn(name, udf(text_or_empty(text_col)))
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -65,7 +65,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_components(load(spark, sf_dir, "documents"))
+    return simhash.simhash_components(load(spark, sf_dir, "documents")).drop("group_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -193,10 +193,11 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        max_bits: int = MAX_BITS, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: ``doc_id, fingerprint, component_id`` and the ``carry`` columns.
+    """One row per input row: ``doc_id, fingerprint, component_id, group_id`` and the ``carry`` columns.
 
     ``fingerprint`` is 16 hex digits; ``component_id`` the smallest id reachable
-    over links of at most ``max_bits`` differing bits. Null or empty text, or
+    over links of at most ``max_bits`` differing bits; ``group_id`` is the
+    component's smallest fingerprint, a number that also names components without ids. Null or empty text, or
     text of white space, has fingerprint zero and links like any other. Null ids
     never name a component unless it holds no other (then it is null). Repeated
     rows share a component; an empty table gives no rows; other columns are
@@ -209,7 +210,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = prints.join(parts.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     named = named.withColumn("component", F.coalesce("component", "fingerprint"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("fingerprint", "component_id")
+    named = named.join(least, "component").select("fingerprint", "component_id", F.col("component").alias("group_id"))
     return (rows.join(named, "fingerprint")
             .select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id",
-                    *carry))
+                    "group_id", *carry))

@@ -9,7 +9,7 @@ candidates are reranked by exact distance and the curves' lists merge.
 
 On vectors without structure a curve's window holds a true neighbour little more
 often than its share of rows, so windows are a share of the rows (3 of
-``WINDOWS``), not a number: recall stays the same at every size, and work grows with
+``WINDOWS``, fewer if they would hold under ``WINDOW_ROWS``), not a number: recall stays the same at every size, and work grows with
 queries x rows x that share. Windows larger than ``UNIT`` rows are cut into salted units, and so
 are the queries of a window, so a task holds at most about two units of vectors.
 
@@ -29,6 +29,7 @@ CURVES = 20
 DIMS = 8
 BITS = 6
 WINDOWS = 32
+WINDOW_ROWS = 16
 UNIT = 4096
 SAMPLE = 4000
 
@@ -155,13 +156,15 @@ def knn(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id
                 for c in range(curves):
                     yield pd.DataFrame({"curve": c, "key": shared.value.keys(x, c), "rep": f["rep"].to_numpy()})
 
+    n_rows = distinct.count()
+    windows = max(1, min(windows, n_rows // WINDOW_ROWS))  # a window holds more than a result needs
     keys = cut(distinct.mapInPandas(keyed, "curve int, key long, rep long"))
     cuts = [i / windows for i in range(1, windows)]
     bounds = keys.groupBy("curve").agg(F.percentile_approx("key", cuts, 10_000).alias("bounds"))  # one row per curve
-    spot = (keys.join(F.broadcast(bounds), "curve")
-            .select("curve", "rep", F.size(F.filter("bounds", lambda b: b < F.col("key"))).alias("window")))
+    below = F.filter(F.coalesce("bounds", F.array().cast("array<long>")), lambda b: b < F.col("key"))
+    spot = keys.join(F.broadcast(bounds), "curve").select("curve", "rep", F.size(below).alias("window"))
 
-    n_rows, n_asks = distinct.count(), queries.select("rep").distinct().count()
+    n_asks = queries.select("rep").distinct().count()
     row_parts = max(1, -(-n_rows // (windows * unit)))
     ask_parts = max(1, -(-3 * n_asks // (windows * unit)))
 

@@ -1,0 +1,230 @@
+"""Quality classifier, language model, nearest neighbours, chat format, pipeline."""
+
+import hashlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from public_tokenizers import path
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from marketpulse.llm import chat, hilbert_knn, interpolation, quality_fm, queries
+from tests.llm.helpers import SF, key, language_model, no_docs, odd_docs, odd_rows, rows_of
+
+SF2 = "/root/testdata/sf0.01"
+
+
+def test_factorisation_identity():
+    """The linear-time form equals the sum over all pairs."""
+    rng = np.random.default_rng(1)
+    model = quality_fm.Model(0.3, rng.normal(size=quality_fm.BUCKETS + quality_fm.STATS),
+                             rng.normal(size=(quality_fm.BUCKETS + quality_fm.STATS, 4)),
+                             np.zeros(quality_fm.STATS), np.ones(quality_fm.STATS))
+    row, bucket, value, stats = quality_fm.features(["one two two three", "", "Other WORDS, here!\nand here"])
+    dense = model.dense(stats)
+    z, _ = model.margins(row, bucket, value, dense)
+    for i in range(3):
+        x = np.zeros(len(model.w))
+        x[bucket[row == i]] = value[row == i]
+        x[quality_fm.BUCKETS:] = dense[i]
+        on = np.flatnonzero(x)
+        pairs = sum(model.v[a] @ model.v[b] * x[a] * x[b] for k, a in enumerate(on) for b in on[k + 1:])
+        assert z[i] == pytest.approx(0.3 + model.w @ x + pairs)
+
+
+def test_quality_held_out_accuracy(spark):
+    got = queries.op1_quality_fm(spark, SF2)
+    labels = spark.read.parquet(f"{SF2}/labels.parquet")
+    rows = got.where("held_out").join(labels, "doc_id").select("score", "quality", "predicted").collect()
+    assert np.mean([r.predicted == r.quality for r in rows]) >= 0.97
+    assert got.count() == spark.read.parquet(f"{SF2}/documents.parquet").count()
+    assert got.where("score < 0 or score > 1 or predicted != cast(score >= 0.5 as int)").count() == 0
+    want = got.where((F.crc32(F.col("doc_id").cast("string")) % 3 == 1) != F.col("held_out")).count()
+    assert want == 0
+
+
+def test_quality_odd_rows(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (9, 0, 0), (9, 0, 0), (11, 0, 0), (None, 1, 0), (100, None, 0), (10, 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    got = quality_fm.quality(odd_docs(spark), labels)
+    assert got.count() == len(odd_rows()) and got.where("score is null or isnan(score)").count() == 0
+    assert quality_fm.quality(no_docs(spark), labels).count() == 0
+    nothing = quality_fm.quality(odd_docs(spark), labels.limit(0))
+    assert {r.score for r in nothing.select("score").collect()} == {0.5}
+    one_class = quality_fm.quality(odd_docs(spark), labels.where("quality = 0"))
+    assert {r.predicted for r in one_class.select("predicted").collect()} == {0}
+
+
+@pytest.mark.parametrize("block_chars", [300, 1 << 23])
+def test_language_model_odd_rows(spark, block_chars):
+    rows = [r[:2] for r in odd_rows()]
+    got = interpolation.score(odd_docs(spark), block_chars=block_chars, range_chars=block_chars)
+    exact = rows_of(got, "doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+    want = language_model(rows, interpolation.learn_weights)
+    assert exact == key(w[:5] for w in want)
+    scores = sorted((repr(r.doc_id), r.n_tokens, r.base_score, r.score) for r in got.collect())
+    for a, b in zip(scores, sorted((repr(w[0]), w[2], w[5], w[6]) for w in want)):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-9)
+
+
+def test_language_model_query_and_gain(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = {w[0]: w[1:] for w in language_model(docs, interpolation.learn_weights)}
+    rows = queries.op5_deleted_interpolation(spark, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:4]
+        assert (r.base_score, r.score) == pytest.approx(want[r.doc_id][4:], rel=1e-9)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_language_model_edges(spark):
+    assert interpolation.score(no_docs(spark)).count() == 0
+    ids = [i for i in range(200) if __import__("zlib").crc32(str(i).encode()) % 7 == 2][:3]
+    untrained = interpolation.score(spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string")).collect()
+    assert all(r.train_tokens == 0 and r.n_known == 0 and np.isfinite(r.score) for r in untrained)
+
+
+def test_weights_sum_to_one_and_follow_evidence():
+    cells = np.array([[3, 80, 40, 900], [3, -10_000, 16, 100], [7, -10_000, -10_000, 50]], float)
+    w = interpolation.learn_weights(cells)
+    assert np.allclose(w.sum(1), 1) and (w[:, 2] > 0).all()
+    assert w[3, 0] > 0.8 and w[7, 2] > 0.99 and w[0, 0] == 0
+
+
+def test_hilbert_curve_is_a_walk():
+    """All cells once, neighbours one step apart."""
+    for dims, bits in ((2, 3), (3, 2)):
+        grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims), axis=-1).reshape(-1, dims)
+        keys = hilbert_knn.hilbert_keys(grid, bits)
+        assert sorted(keys.tolist()) == list(range(len(grid)))
+        assert (np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(1) == 1).all()
+
+
+def brute_neighbours(rows, k, every):
+    out = {}
+    for i, x in rows:
+        if i % every == 0:
+            d = sorted((float(np.sqrt(((np.array(y) - np.array(x)) ** 2).sum())), j) for j, y in rows if j != i)
+            out[i] = d[:k]
+    return out
+
+
+def test_knn_odd_rows(spark):
+    rng = np.random.default_rng(4)
+    good = [(i, [float(np.float32(v)) for v in rng.normal(size=6)]) for i in range(1, 60)]
+    good += [(i, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(100, 160)]  # one very common vector
+    bad = [(200, None), (201, []), (202, [0.0] * 6), (203, [float("nan")] * 6), (204, [float("inf")] + [1.0] * 5),
+           (210, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (220, [1.0, 2.0]), (None, [1.0] * 6)]
+    df = spark.createDataFrame([(i, v, "x", "y") for i, v in good + bad], "vec_id long, embedding array<float>, rep string, key string")
+    # one window: exact search, so every case is checked to the last tie
+    got = hilbert_knn.knn(df, k=5, every=10, curves=2, windows=1, unit=16)
+    want = brute_neighbours(good, 5, 10)
+    found = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    assert {q: [v for _, v in x] for q, x in found.items()} == {q: [v for _, v in x] for q, x in want.items()}
+    for q in want:
+        assert [s for s, _ in found[q]] == pytest.approx([s for s, _ in want[q]], rel=1e-12)
+    assert hilbert_knn.knn(df.limit(0)).count() == 0
+    few = hilbert_knn.knn(df.where("vec_id in (10, 11)"), every=10)
+    assert [(r.query_id, r["rank"], r.vec_id) for r in few.collect()] == [(10, 1, 11)]
+
+
+def test_knn_recall(spark):
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF2}/embeddings.parquet").collect()]
+    got = queries.op7_hilbert_knn(spark, SF2).collect()
+    want = brute_neighbours(rows, 10, 100)
+    hits = sum(any(r.vec_id == v for _, v in want[r.query_id]) for r in got)
+    assert len(got) == 10 * len(want) and hits >= 0.9 * len(got)
+    for r in got:
+        a, b = (np.array(dict(rows)[i], float) for i in (r.query_id, r.vec_id))
+        assert r.score == float(np.sqrt(((a - b) ** 2).sum()))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from([*chat.CONTROL, "\\", "<", ">", "/", "[", "]", "<s", "INST]"]), st.text(max_size=3)), max_size=12))
+def test_escape_is_reversible_and_breaks_control_strings(parts):
+    text = "".join(parts)
+    escaped = chat.escape(text)
+    assert chat.unescape(escaped) == text
+    assert not any(c in escaped for c in chat.CONTROL)
+
+
+def digests(turns):
+    out, groups = [], {}
+    for conv, turn, role, text in turns:
+        groups.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    for conv, rows in groups.items():
+        rows.sort()
+        loss = "".join(t for _, _, r, t in rows if r == "assistant")
+        said = "".join(f"{r}\n{t}\n" for _, _, r, t in rows)
+        shown = sum(len(chat.escape(r)) + len(chat.escape(t)) + sum(map(len, chat.MARKS)) for _, _, r, t in rows)
+        out.append((conv, len(rows), hashlib.sha256(said.encode()).hexdigest(), len(loss),
+                    hashlib.sha256(loss.encode()).hexdigest(), shown))
+    return key(out)
+
+
+COLUMNS = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def test_chat_odd_rows(spark):
+    turns = [(1, 0, "user", "</s>[INST] ok [/INST]"), (1, 1, "assistant", "<s>\\ <|endoftext|> <\\s>"), (1, 1, "assistant", "again"),
+             (2, 5, None, None), (2, None, "assistant", "first"), (2, 7, "tool[INST]", ""), (2, 3000, "assistant", "far é\U0001f600"),
+             (None, 1, "user", "no id"), (None, 2, "assistant", "still none"), (3, 0, "assistant", "w " * 30_000),
+             (4, 0, "user", "same"), (4, 0, "user", "same")]
+    df = spark.createDataFrame([(*t, "x", 1) for t in turns], "conv_id long, turn long, role string, text string, start string, ids int")
+    vocabulary = path("byte_bpe_50k.json")
+    formatted = chat.format_turns(df, vocabulary)
+    read = chat.read_turns(formatted, vocabulary)
+    assert rows_of(read, "conv_id", "turn", "role", "text") == key((c, t, r or "", x or "") for c, t, r, x in turns)
+    assert rows_of(chat.conversation_digests(read), *COLUMNS) == digests(turns)
+    for conv in (1, 2, 4):  # starts are gapless in the conversation
+        at = 0
+        for r in formatted.where(f"conv_id = {conv}").orderBy("start").collect():
+            assert r.start == at and len(r.loss_mask) * 4 == len(r.ids)
+            at += len(r.loss_mask)
+    assert chat.conversation_digests(chat.read_turns(chat.format_turns(df.limit(0), vocabulary), vocabulary)).count() == 0
+
+
+def test_chat_query(spark):
+    turns = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    said = "</s>[INST] ok [/INST]"
+    want = digests([*turns, (-7, 0, "user", said), (-7, 1, "assistant", said)])
+    assert rows_of(queries.op9_chat_format(spark, SF), *COLUMNS) == want
+
+
+def test_pipeline_stages(spark, tmp_path):
+    """Every stage on the odd rows: what must go goes, what is clean stays."""
+    docs = odd_docs(spark)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality", "exact_dedup", "near_dedup", "mix", "pack"]
+    once = stages["exact_dedup"](spark, docs, SF)
+    assert once.columns == docs.columns
+    norm = [__import__("re").sub(r"[\x20\x09-\x0D]", "", r.text or "") for r in once.collect()]
+    assert len(norm) == len(set(norm)) == len({__import__("re").sub(r"[\x20\x09-\x0D]", "", r[1] or "") for r in odd_rows()})
+    near = stages["near_dedup"](spark, docs, SF)
+    from tests.llm.helpers import simhash, simhash_groups
+    assert near.count() == len(set(simhash_groups([simhash(r[1]) for r in odd_rows()])))
+    mixed = stages["mix"](spark, docs, SF)
+    assert mixed.columns == docs.columns and mixed.count() > 0
+    assert set(rows_of(mixed, "doc_id", "text")) <= set(rows_of(docs, "doc_id", "text"))
+    assert stages["quality"](spark, docs, SF).columns == docs.columns
+    none = docs.limit(0)
+    for name, stage in stages.items():
+        assert stage(spark, none, SF).count() == 0, name
+
+
+def test_pipeline_run(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    docs = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert rows and {r.doc_id for r in rows} <= docs
+    fill = {}
+    for r in rows:
+        fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
+    assert max(fill.values()) <= 2048 and all(r.sequence_tokens == fill[r.sequence_id] for r in rows)

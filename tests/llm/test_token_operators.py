@@ -1,0 +1,131 @@
+"""Packing and token files."""
+
+import zlib
+
+import numpy as np
+import pytest
+from public_tokenizers import path
+from tokenizers import Tokenizer
+
+from marketpulse.llm import packing, queries, token_files
+from marketpulse.session import scratch_path
+from tests.llm.helpers import SF, no_docs, odd_docs, odd_rows
+
+
+def library(file):
+    t = Tokenizer.from_file(path(file))
+    t.encode_special_tokens = True
+    return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def check_packing(pieces, want, window):
+    """Every id in exactly one piece, gapless sequences, little padding."""
+    docs, sequences = {}, {}
+    for p in pieces:
+        ids = np.frombuffer(bytes(p.ids), "<u4").tolist()
+        assert len(ids) == p.length > 0
+        docs.setdefault((p.doc_id, p.doc_tokens), []).append((p.start, ids))
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    if want is not None:
+        got = []
+        for (doc, n), parts in docs.items():
+            assert sum(len(ids) for _, ids in parts) % n == 0
+            got += [(doc, n)] * (sum(len(ids) for _, ids in parts) // n)
+        assert sorted(got, key=repr) == sorted(((d, len(i)) for d, i in want), key=repr)
+        whole = {(d, len(i)): [] for d, i in want}
+        for d, i in want:
+            whole[d, len(i)].append(i)
+        for k, parts in docs.items():
+            for start, ids in parts:
+                assert any(w[start:start + len(ids)] == ids for w in whole[k])
+    padding = 0
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= window
+        padding += 0 if at & (at - 1) == 0 else window - at
+    return padding
+
+
+def test_packing_odd_rows(spark):
+    encode = library("byte_bpe_50k.json")
+    pieces = packing.pack(odd_docs(spark).coalesce(1), path("byte_bpe_50k.json")).collect()
+    padding = check_packing(pieces, [(r[0], encode(r[1])) for r in odd_rows()], 2048)
+    assert padding < 2048  # one window of the only task
+    assert packing.pack(no_docs(spark), path("byte_bpe_50k.json")).count() == 0
+
+
+def test_packing_query(spark):
+    encode = library("byte_bpe_50k.json")
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.op2_sum_of_squares_packing(spark, SF).collect()
+    ids = {d: np.array(encode(t), "<u4") for d, t in texts.items()}
+    assert sum(r.length for r in got) == sum(map(len, ids.values()))
+    for r in got:
+        assert zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes()) == r.ids_crc32
+        assert r.doc_tokens == len(ids[r.doc_id])
+
+
+def test_sum_of_squares_rule():
+    """Each placement has the smallest sum of squared level counts of all possible ones."""
+    rng = np.random.default_rng(2)
+    window = 20
+    packer = packing.Packer(window)
+    for size in rng.integers(1, window, 400).tolist():
+        before = packer.level.copy()
+        costs = []
+        for h in range(window - size + 1):
+            if h and not before[h]:
+                continue
+            after = before.copy()
+            if h:
+                after[h] -= 1
+            if h + size < window:
+                after[h + size] += 1
+            costs.append((after ** 2).sum())
+        packer.place((0, 0, np.zeros(size, np.uint32), size))
+        assert (packer.level ** 2).sum() == min(costs)
+    total = sum(h * c for h, c in enumerate(packer.level))
+    closed = list(packer.close())
+    sizes = [sum(len(p[2]) for p in w) for w in closed]
+    assert sum(sizes) == total and sorted(sizes)[1:] == [window] * (len(sizes) - 1)
+
+
+def test_packer_rejects_tiny_windows(spark):
+    with pytest.raises(ValueError):
+        packing.pack(no_docs(spark), "x", window=1)
+
+
+def test_token_files_odd_rows(spark):
+    encode, folder = library("word_bpe_49k.json"), scratch_path(spark, "t")
+    token_files.write_token_files(odd_docs(spark), folder, path("word_bpe_49k.json"))
+    manifest = token_files.read_manifest(folder)
+    rows = sorted(odd_rows(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    all_ids = [encode(r[1]) for r in rows]
+    flat = np.concatenate([np.asarray(token_files.open_part(folder, e)[0]) for e in manifest])
+    assert flat.dtype == np.uint16 and flat.tolist() == [x for i in all_ids for x in i]
+    got = sorted(token_files.read_token_files(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [r[0] for r in rows]
+    assert [r.n_tokens for r in got] == [len(i) for i in all_ids]
+    assert [r.ids_crc32 for r in got] == [zlib.crc32(np.array(i, "<u4").tobytes()) for i in all_ids]
+    assert [r.start for r in got] == np.cumsum([0] + [len(i) for i in all_ids])[:-1].tolist()
+
+
+def test_token_files_empty_table(spark):
+    folder = scratch_path(spark, "t")
+    assert token_files.write_token_files(no_docs(spark), folder, path("word_bpe_49k.json")) == []
+    assert token_files.read_token_files(spark, folder).count() == 0
+
+
+def test_token_files_query(spark):
+    encode = library("word_bpe_49k.json")
+    texts = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    got = sorted(tuple(r) for r in queries.op3_token_files(spark, SF).select("doc_id", "start", "n_tokens").collect())
+    at, want = 0, []
+    for d, t in texts:
+        n = len(encode(t))
+        want.append((d, at, n))
+        at += n
+    assert got == want

@@ -1,138 +1,63 @@
 """Search-keyword matching of texts.
 
 Search strings follow the search source's convention: a string in double
-quotes is an exact phrase, otherwise every whitespace-separated term must
-occur. Matching is case-insensitive on whole words: texts and keywords are
-normalised (lower case, non-alphanumeric runs -> one space, padded), so a
-phrase matches iff `` <phrase> `` is a substring of the normalised text.
-
-Two exact plans:
-
-* projection (up to ``MAX_KEYWORDS``): the keyword list (size-checked,
-  collected once) is compiled into one projection per text,
-  ``array_compact(array(when(match_k, k)...))`` then ``explode``. One pass,
-  no join, no shuffle, whole-stage codegen; cost texts x keywords substring
-  tests with each text normalised once.
-* join (any dictionary size): keywords become units (a phrase is one n-gram,
-  an all-terms keyword one unit per distinct word); each text emits its
-  distinct n-grams for the few n-gram lengths the dictionary uses; an
-  equi-join on ``(n, gram)`` and a count per (text, keyword) against the
-  number of units required decide the match. Nothing is collected but the
-  set of n-gram lengths; hot grams are spread by AQE's skew-join handling.
+quotes is an exact phrase, otherwise every term must occur. Outer blanks do
+not matter; matching is case-insensitive on whole words, where a word is a
+run of letters and digits. A NULL or wordless keyword matches nothing, and a
+repeated dictionary entry counts once.
+
+One plan for any dictionary: keywords become rows ``(keyword, word, place)``,
+texts become rows ``(text, word, position)``, and the two are joined on the
+word. A phrase of n words occurs where n different places agree on the start
+``position - place``; an all-terms keyword has start 0 throughout, so it
+occurs when all its distinct words do. Only occurrences of dictionary words
+pass the join, so what is grouped follows the matches, not the text; nothing
+is collected, and Spark broadcasts the dictionary or shuffles (splitting a
+hot word) by its size in bytes.
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.functions.columns import WORD_SPLIT, all_of, normalized_words
-from marketpulse.operators.parallelism import ensure_parallelism
+from marketpulse.functions.columns import WORD_SPLIT
 
-MAX_KEYWORDS = 500  # beyond this the n-gram join plan is cheaper than per-row tests
-MAX_GRAM_LENGTHS = 64  # phrase lengths generated per projection
-_NON_WORD = re.compile(r"[^\w]+|_+", re.UNICODE)
 
+def words_of(c) -> Column:
+    """The words of a text in order; NULL text has none."""
+    norm = F.trim(F.regexp_replace(F.lower(F.col(c) if isinstance(c, str) else c), WORD_SPLIT, " "))
+    return F.filter(F.split(norm, " "), lambda w: w != "")
 
-def keyword_terms(keyword: str) -> list[str]:
-    """Padded normalised search terms of one search string."""
-    k = keyword.strip()
-    phrase = len(k) >= 2 and k.startswith('"') and k.endswith('"')
-    words = [w for w in _NON_WORD.sub(" ", k.strip('"').lower()).split(" ") if w]
-    if not words:
-        return []
-    return [" " + " ".join(words) + " "] if phrase else [f" {w} " for w in dict.fromkeys(words)]
+
+def keyword_words(keywords: DataFrame, key_col: str = "ticker", keyword_col: str = "keyword") -> DataFrame:
+    """``key, keyword, _mp_phrase, _mp_need, _mp_place, _mp_word``, one row per needed word."""
+    kw = F.trim(keyword_col)
+    phrase = (F.length(kw) >= 2) & kw.startswith('"') & kw.endswith('"')
+    words = F.when(phrase, words_of(kw)).otherwise(F.array_distinct(words_of(kw)))
+    return (keywords.select(key_col, keyword_col).where(F.col(keyword_col).isNotNull()).distinct()
+            .select(key_col, keyword_col, phrase.alias("_mp_phrase"), F.size(words).alias("_mp_need"),
+                    F.posexplode(words).alias("_mp_place", "_mp_word")))
 
 
 def match_keywords(texts: DataFrame, keywords: DataFrame, text_col: str = "text",
                    key_col: str = "ticker", keyword_col: str = "keyword",
-                   keep=("doc_id",), spread: bool = True, method: str = "auto") -> DataFrame:
+                   keep=("doc_id",), partitions: int | None = None) -> DataFrame:
     """One row per (text, matching keyword): ``keep`` columns + key + keyword.
 
-    ``keep`` must identify a text. ``method``: "auto" (projection when the
-    dictionary has at most ``MAX_KEYWORDS`` entries, else join), "projection"
-    or "join". ``spread`` spreads the texts over all task slots first when the
-    input has fewer partitions (normalising whole texts is CPU-bound).
+    ``keep`` must identify a text. ``partitions`` spreads the texts first,
+    for inputs in few unsplittable files (normalising text is CPU-bound).
     """
     keep = list(keep)
-    if method not in ("auto", "projection", "join"):
-        raise ValueError("method must be auto, projection or join")
-    if spread:
-        texts = ensure_parallelism(texts.select(*keep, text_col))
-    rows = None
-    if method != "join":
-        rows = keywords.select(key_col, keyword_col).limit(MAX_KEYWORDS + 1).collect()
-        if len(rows) > MAX_KEYWORDS:
-            if method == "projection":
-                raise ValueError(f"more than {MAX_KEYWORDS} keywords; use method='join'")
-            rows = None
-    if rows is None:
-        return _match_by_join(texts, keywords, text_col, key_col, keyword_col, keep)
-    norm = F.col("_mp_norm")
-    hits = []
-    for key, kw in rows:
-        terms = keyword_terms(kw)
-        if not terms:
-            continue
-        cond = all_of([norm.contains(t) for t in terms])
-        hits.append(F.when(cond, F.struct(F.lit(key).alias(key_col), F.lit(kw).alias(keyword_col))))
-    if not hits:
-        return texts.select(*keep, F.lit(None).cast("string").alias(key_col),
-                            F.lit(None).cast("string").alias(keyword_col)).limit(0)
-    return (texts.select(*keep, normalized_words(text_col).alias("_mp_norm"))
-            .select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("_mp_hit"))
-            .select(*keep, F.col(f"_mp_hit.{key_col}").alias(key_col),
-                    F.col(f"_mp_hit.{keyword_col}").alias(keyword_col)))
-
-
-def _keyword_units(keywords: DataFrame, key_col: str, keyword_col: str) -> DataFrame:
-    """``key, keyword, need, n, gram``: the n-grams a keyword requires (Spark-side)."""
-    kw = F.col(keyword_col)
-    is_phrase = (F.length(kw) >= 2) & kw.startswith('"') & kw.endswith('"')
-    norm = F.trim(F.regexp_replace(F.lower(F.regexp_replace(kw, '^"+|"+$', "")), WORD_SPLIT, " "))
-    words = F.filter(F.split(norm, " "), lambda w: w != "")
-    distinct_words = F.array_distinct(words)
-    units = F.when(is_phrase & (F.size(words) > 0),
-                   F.array(F.struct(F.size(words).alias("n"), F.array_join(words, " ").alias("gram"))))
-    units = units.otherwise(
-        F.transform(distinct_words, lambda w: F.struct(F.lit(1).alias("n"), w.alias("gram"))))
-    need = F.when(is_phrase, F.lit(1)).otherwise(F.size(distinct_words))
-    return (keywords.select(key_col, keyword_col, need.alias("_mp_need"), F.explode(units).alias("_mp_u"))
-            .select(key_col, keyword_col, "_mp_need",
-                    F.col("_mp_u.n").alias("_mp_n"), F.col("_mp_u.gram").alias("_mp_gram")))
-
-
-def _tag_length(n: int):
-    # a one-argument lambda: transform() treats a second parameter as the index
-    return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
-
-
-def _match_by_join(texts: DataFrame, keywords: DataFrame, text_col: str, key_col: str,
-                   keyword_col: str, keep: list) -> DataFrame:
-    units = _keyword_units(keywords, key_col, keyword_col)
-    # distinct phrase lengths: at most the longest keyword's word count
-    lengths = sorted(r[0] for r in units.select("_mp_n").distinct().collect())
-    if not lengths:
-        return texts.select(*keep, F.lit(None).cast("string").alias(key_col),
-                            F.lit(None).cast("string").alias(keyword_col)).limit(0)
-    words = F.filter(F.split(F.trim(F.regexp_replace(F.lower(F.col(text_col)), WORD_SPLIT, " ")), " "),
-                     lambda w: w != "")
-    tokens = texts.select(*keep, words.alias("_mp_w"))
-    size = F.size("_mp_w")
-    grams = None
-    # all lengths of a chunk in one projection (each text tokenised once per chunk)
-    for chunk in (lengths[i:i + MAX_GRAM_LENGTHS] for i in range(0, len(lengths), MAX_GRAM_LENGTHS)):
-        per_length = []
-        for n in chunk:
-            starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
-            distinct = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("_mp_w", i, n), " ")))
-            per_length.append(F.transform(distinct, _tag_length(n)))
-        part = (tokens.select(*keep, F.explode(F.flatten(F.array(*per_length))).alias("_mp_g"))
-                .select(*keep, F.col("_mp_g.n").alias("_mp_n"), F.col("_mp_g.gram").alias("_mp_gram")))
-        grams = part if grams is None else grams.unionByName(part)
-    hits = grams.join(units, ["_mp_n", "_mp_gram"], "inner")
-    return (hits.groupBy(*keep, key_col, keyword_col, "_mp_need").agg(F.count(F.lit(1)).alias("_mp_hit"))
-            .where(F.col("_mp_hit") == F.col("_mp_need"))
-            .select(*keep, key_col, keyword_col))
+    texts = texts.select(*keep, text_col)
+    if partitions:
+        texts = texts.repartition(partitions)
+    tokens = texts.select(*keep, F.posexplode(words_of(text_col)).alias("_mp_pos", "_mp_word"))
+    hits = tokens.join(keyword_words(keywords, key_col, keyword_col), "_mp_word")
+    start = F.when(F.col("_mp_phrase"), F.col("_mp_pos") - F.col("_mp_place")).otherwise(F.lit(0))
+    # NULL keys and ids group together with themselves, as the text they stand for does
+    entry = [*keep, key_col, keyword_col]
+    found = (hits.select(*entry, "_mp_need", start.alias("_mp_start"), "_mp_place").distinct()
+             .groupBy(*entry, "_mp_need", "_mp_start").agg(F.count(F.lit(1)).alias("_mp_n"))
+             .where(F.col("_mp_n") == F.col("_mp_need")))
+    return found.select(*entry).distinct()

@@ -478,13 +478,19 @@ def q_stream_append(spark, sf_dir):
 
 
 _KW_ROWS = [(t, k) for t, k, _ in COMPANIES] + DOCUMENT_SEARCHES
-
-
-KEYWORD_SQL = """WITH kw_raw(ticker, keyword) AS (VALUES """ + _values(_KW_ROWS) + r"""),
-kw AS (SELECT ticker, keyword,
-              length(keyword) >= 2 AND starts_with(keyword, '"') AND ends_with(keyword, '"') AS is_phrase,
-              trim(regexp_replace(lower(trim(keyword, '"')), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm
-       FROM kw_raw),
+# the same dictionary with every odd entry: repeated, with outer blanks, without
+# words, NULL keyword, NULL key
+_KW_ODD_ROWS = [*_KW_ROWS, *DOCUMENT_SEARCHES, ("BLANKS", '  "Apache License" '), ("BLANKS2", " worthless "),
+                ("EMPTY", '""'), ("NONE", None), (None, "der die")]
+_KW_SCHEMA = StructType([StructField("ticker", StringType()), StructField("keyword", StringType())])
+
+
+def _keyword_sql(rows) -> str:
+    return """WITH kw_raw(ticker, keyword) AS (SELECT DISTINCT * FROM (VALUES """ + _values(rows) + r""")),
+kw AS (SELECT ticker, keyword, length(trim(keyword)) >= 2 AND starts_with(trim(keyword), '"')
+              AND ends_with(trim(keyword), '"') AS is_phrase,
+              trim(regexp_replace(lower(keyword), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm
+       FROM kw_raw WHERE keyword IS NOT NULL),
 docs AS (SELECT doc_id, ' ' || regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g') || ' ' AS nt
          FROM documents)
 SELECT d.doc_id, k.ticker, k.keyword
@@ -492,18 +498,19 @@ FROM docs d JOIN kw k ON k.norm <> '' AND CASE WHEN k.is_phrase THEN contains(d.
   ELSE list_bool_and(list_transform(string_split(k.norm, ' '), lambda w: contains(d.nt, ' ' || w || ' '))) END"""
 
 
-@register("keyword_match", KEYWORD_SQL)
+@register("keyword_match", _keyword_sql(_KW_ROWS))
 def q_keyword_match(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    kw = literal_frame(spark, _KW_ROWS, StructType([StructField("ticker", StringType()),
-                                                    StructField("keyword", StringType())]))
-    return match_keywords(docs, kw, keep=("doc_id",))
+    return match_keywords(table(spark, sf_dir, "documents"), literal_frame(spark, _KW_ROWS, _KW_SCHEMA))
 
 
-@register("keyword_match_join", KEYWORD_SQL)
+@register("keyword_match_join", _keyword_sql(_KW_ROWS))
 def q_keyword_match_join(spark, sf_dir):
-    """Same matches through the exact n-gram join plan used for large dictionaries."""
-    docs = table(spark, sf_dir, "documents")
-    kw = literal_frame(spark, _KW_ROWS, StructType([StructField("ticker", StringType()),
-                                                    StructField("keyword", StringType())]))
-    return match_keywords(docs, kw, keep=("doc_id",), method="join")
+    """Same matches with the dictionary shuffled instead of broadcast, texts spread over 8 tasks first."""
+    kw = literal_frame(spark, _KW_ROWS, _KW_SCHEMA).hint("shuffle_merge")
+    return match_keywords(table(spark, sf_dir, "documents"), kw, partitions=8)
+
+
+@register("keyword_dictionary", _keyword_sql(_KW_ODD_ROWS))
+def q_keyword_dictionary(spark, sf_dir):
+    """A dictionary with repeated, padded, wordless and NULL entries."""
+    return match_keywords(table(spark, sf_dir, "documents"), literal_frame(spark, _KW_ODD_ROWS, _KW_SCHEMA))

@@ -7,7 +7,7 @@ from marketpulse.functions.columns import (
     case_map, epoch_micros, floor_to, is_weekday, iso_z, parse_iso_utc, partition_date,
     without_phrase,
 )
-from marketpulse.operators.keyword import keyword_terms, match_keywords
+from marketpulse.operators.keyword import keyword_words, match_keywords
 from marketpulse.operators.tagging import with_sector_case
 from marketpulse.sources.company import COMPANIES, SECTOR_CASE_ARMS
 
@@ -83,11 +83,14 @@ def test_epoch_micros_zone_free(spark, tz):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_keyword_terms():
-    assert keyword_terms('"Bank of America"') == [" bank of america "]
-    assert keyword_terms("deere co") == [" deere ", " co "]
-    assert keyword_terms('"iShares U.S. Oil"') == [" ishares u s oil "]
-    assert keyword_terms('""') == []
+def test_keyword_words(spark):
+    kw = spark.createDataFrame([("A", '"Bank of America"'), ("B", "deere co deere"), ("C", ' "iShares U.S. Oil" '),
+                                ("D", '""'), ("E", None), ("B", "deere co deere")], "ticker string, keyword string")
+    got = {}
+    for r in keyword_words(kw).orderBy("_mp_place").collect():
+        got.setdefault((r.ticker, r._mp_phrase, r._mp_need), []).append(r._mp_word)
+    assert got == {("A", True, 3): ["bank", "of", "america"], ("B", False, 2): ["deere", "co"],
+                   ("C", True, 4): ["ishares", "u", "s", "oil"]}
 
 
 def test_match_keywords_phrase_vs_all_terms(spark):
@@ -99,54 +102,20 @@ def test_match_keywords_phrase_vs_all_terms(spark):
     assert got == [(1, "DE"), (2, "DE"), (3, "BAC")]
 
 
-def test_keyword_join_path_equals_projection(spark):
-    docs = spark.createDataFrame([
-        (1, "Deere & Co. reports; the Bank of America, N.A. said"), (2, "co-founded by Deere"),
-        (3, "bank of america"), (4, "America's bank of choice"), (5, None), (6, ""),
-        (7, "iShares U.S. Oil ETF and 3M Co"), (8, "Élan de la vie, de la mer")],
-        "doc_id long, text string")
-    kw = spark.createDataFrame([("DE", "deere co"), ("BAC", '"Bank of America"'), ("IEO", '"iShares U.S. Oil"'),
-                                ("MMM", '"3M co"'), ("DELA", '"de la"'), ("X", '""'), ("E", "élan VIE")],
+def test_keyword_odd_dictionary(spark):
+    docs = spark.createDataFrame([(1, "the Bank of America bank"), (2, "bank of the America"), (3, None), (4, ""),
+                                  (5, "go go go went gone"), (6, "GO, go!")], "doc_id int, text string")
+    kw = spark.createDataFrame([("A", '"Bank of America"'), ("A", '"Bank of America"'), ("B", ' "bank of america" '),
+                                ("C", "america bank"), ("N", None), (None, "the"), ("G", '"go go"'), ("H", '"go go go"')],
                                "ticker string, keyword string")
-    a = match_keywords(docs, kw, method="projection")
-    b = match_keywords(docs, kw, method="join")
-    assert sorted(a.collect()) == sorted(b.collect())
-    assert sorted((r.doc_id, r.ticker) for r in b.collect()) == [
-        (1, "BAC"), (1, "DE"), (2, "DE"), (3, "BAC"), (7, "IEO"), (7, "MMM"), (8, "DELA"), (8, "E")]
-
-
-def test_keyword_join_path_on_documents(spark):
-    from marketpulse.queries import _KW_ROWS
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    kw = spark.createDataFrame(_KW_ROWS, "ticker string, keyword string")
-    a = match_keywords(docs, kw, method="projection")
-    b = match_keywords(docs, kw, method="join")
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_auto_switches_to_join_above_the_bound(spark, monkeypatch):
-    import marketpulse.operators.keyword as K
-    docs = spark.createDataFrame([(1, "Bank of America and Deere & Co"), (2, "nothing here")],
-                                 "doc_id long, text string")
-    kw = spark.createDataFrame([("DE", "deere co"), ("BAC", '"Bank of America"'), ("X", '"nothing at all"')],
-                               "ticker string, keyword string")
-    calls = []
-    original = K._match_by_join
-    monkeypatch.setattr(K, "_match_by_join", lambda *a, **k: calls.append(1) or original(*a, **k))
-    monkeypatch.setattr(K, "MAX_KEYWORDS", 2)
-    got = sorted((r.doc_id, r.ticker) for r in K.match_keywords(docs, kw).collect())
-    assert calls and got == [(1, "BAC"), (1, "DE")]
-    with pytest.raises(ValueError):
-        K.match_keywords(docs, kw, method="projection")
-
-
-def test_join_plan_with_chunked_lengths(spark, monkeypatch):
-    import marketpulse.operators.keyword as K
-    monkeypatch.setattr(K, "MAX_GRAM_LENGTHS", 1)  # one phrase length per projection
-    docs = spark.createDataFrame([(1, "the iShares U.S. Oil fund and Deere & Co"), (2, "3M co parts")],
-                                 "doc_id long, text string")
-    kw = spark.createDataFrame([("DE", "deere co"), ("IEO", '"iShares U.S. Oil"'), ("MMM", '"3M co"')],
-                               "ticker string, keyword string")
-    a = sorted(K.match_keywords(docs, kw, method="projection").collect())
-    b = sorted(K.match_keywords(docs, kw, method="join").collect())
-    assert a == b and [(r.doc_id, r.ticker) for r in b] == [(1, "DE"), (1, "IEO"), (2, "MMM")]
+    got = sorted(((r.doc_id, r.ticker) for r in match_keywords(docs, kw).collect()), key=repr)
+    assert got == sorted([(1, "A"), (1, "B"), (1, "C"), (2, "C"), (1, None), (2, None), (5, "G"), (6, "G"), (5, "H")], key=repr)
+    assert match_keywords(docs, kw.limit(0)).count() == 0 and match_keywords(docs.limit(0), kw).count() == 0
+
+
+def test_keyword_many_entries(spark):
+    """No size of dictionary changes the result."""
+    docs = spark.createDataFrame([(i, f"w{i} w{i + 1} tail") for i in range(50)], "doc_id int, text string")
+    for n in (10, 2000):
+        kw = spark.range(n).selectExpr("concat('K', id) as ticker", "concat('\"w', id, ' w', id + 1, '\"') as keyword")
+        assert match_keywords(docs, kw).count() == min(n, 50)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import iso_z, nan_to_null
-from marketpulse.operators.broadcast import bounded_broadcast
 
 
 def hourly_mean(bucketed: DataFrame, keys=("Ticker", "companySector", "enddatetime"),
@@ -34,23 +33,23 @@ def company_counts(posts: DataFrame, key_col: str = "ticker", out_col: str = "n_
 
 
 def load_audit(pages: DataFrame, dim: DataFrame | None = None) -> DataFrame:
-    """One audit row per search key: ``[ordinal, ticker, count, total, pages, complete]``.
+    """One audit row per load run and search key: ``run, [ordinal,] ticker, post_count, ...``.
 
-    ``pages`` has ``ticker, page, meta`` (the landed page documents). ``count``
-    and ``total`` are both the sum of ``result_count`` over non-empty pages
-    (they are always equal, as in the original audit list); ``complete`` says
-    whether the last page (no ``next_token``) was seen.
+    ``pages`` has ``run, ticker, page, meta`` (the landed page documents).
+    ``post_count`` and ``total_posts`` are both the sum of ``result_count`` over
+    non-empty pages (they are always equal, as in the original audit list);
+    ``complete`` says whether the last page (no ``next_token``) was seen.
     """
     rc = F.col("meta.result_count")
     nonempty = rc.isNotNull() & (rc > 0)
-    audit = pages.groupBy("ticker").agg(
+    audit = pages.groupBy("run", "ticker").agg(
         F.coalesce(F.sum(F.when(nonempty, rc)), F.lit(0)).alias("post_count"),
         F.coalesce(F.sum(F.when(nonempty, rc)), F.lit(0)).alias("total_posts"),
         F.count(F.lit(1)).alias("pages"),
         F.max(F.col("meta.next_token").isNull()).alias("complete"),
     )
     if dim is not None:
-        audit = audit.join(bounded_broadcast(dim.select("ordinal", "ticker")), "ticker", "left")
+        audit = audit.join(dim.select("ordinal", "ticker"), "ticker", "left")
     return audit
 
 

@@ -407,7 +407,7 @@ def q_upsert_history(spark, sf_dir):
 SELECT "user", created_at, id, text, ticker, page FROM posts""")
 def q_json_pages(spark, sf_dir):
     root = _landed_pages(spark, sf_dir, "pages_flat")
-    return flatten_pages(read_pages(spark, root))
+    return flatten_pages(read_pages(spark, root)).drop("run")
 
 
 @register("load_audit", f"""WITH {DIM_CTE},
@@ -421,22 +421,76 @@ def q_load_audit(spark, sf_dir):
         "ordinal", "ticker", "post_count", "total_posts", "pages", "complete")
 
 
-@register("page_cap", f"""WITH {POSTS_CTE},
-pc AS (SELECT ticker, page, count(*) AS n FROM posts GROUP BY ticker, page),
-run AS (SELECT ticker, page,
-               coalesce(sum(n) OVER (PARTITION BY ticker ORDER BY page
-                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rows_before
-        FROM pc)
-SELECT p.id, p.ticker, p.page, CAST(r.rows_before AS BIGINT) AS rows_before
-FROM posts p JOIN run r ON p.ticker = r.ticker AND p.page = r.page
-WHERE r.rows_before < {PAGE_CAP}""")
+def _page_cap_sql(cap: int, runs: str) -> str:
+    """Cap over the posts of several runs (a WITH query naming run, ticker, page, id)."""
+    return f"""WITH {POSTS_CTE},
+loads AS ({runs}),
+pc AS (SELECT run, ticker, page, count(*) AS n FROM loads GROUP BY run, ticker, page),
+rb AS (SELECT run, ticker, page,
+              coalesce(sum(n) OVER (PARTITION BY run, ticker ORDER BY page
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rows_before
+       FROM pc)
+SELECT p.run, p.id, p.ticker, p.page, CAST(r.rows_before AS BIGINT) AS rows_before
+FROM loads p JOIN rb r ON p.run = r.run AND p.ticker IS NOT DISTINCT FROM r.ticker AND p.page = r.page
+WHERE r.rows_before < {cap}"""
+
+
+def _capped_posts(pages: DataFrame, cap: int) -> DataFrame:
+    narrow = pages.select("run", "ticker", "page", "data", F.col("meta.result_count").alias("result_count"))
+    return (cap_pages(narrow, cap).select("run", "ticker", "page", "rows_before", F.explode("data").alias("p"))
+            .select("run", F.col("p.id").alias("id"), "ticker", "page", F.col("rows_before").cast("bigint")))
+
+
+ONE_RUN = "SELECT 'r1' AS run, * FROM posts"
+# a second load of the same keys from the cut on, in which the IVV search lost its key
+TWO_RUNS = f"""{ONE_RUN} UNION ALL
+  SELECT 'r2' AS run, * REPLACE (nullif(ticker, 'IVV') AS ticker) FROM posts
+  WHERE created_at >= TIMESTAMP '{INCREMENTAL_CUT}'"""
+
+
+def _land_two_runs(spark, sf_dir, name, **how) -> str:
+    root = scratch_path(spark, name)
+    posts = _posts(spark, sf_dir)
+    land_pages(posts, root, run="r1", **how)
+    later = posts.where(F.col("created_at") >= _ntz(INCREMENTAL_CUT))
+    land_pages(later.withColumn("ticker", F.nullif("ticker", F.lit("IVV"))), root, run="r2", closing_page=True, **how)
+    return root
+
+
+@register("page_cap", _page_cap_sql(PAGE_CAP, ONE_RUN))
 def q_page_cap(spark, sf_dir):
-    root = _landed_pages(spark, sf_dir, "pages_cap")
-    pages = read_pages(spark, root).select("ticker", "page", "data",
-                                           F.col("meta.result_count").alias("result_count"))
-    kept = cap_pages(pages, PAGE_CAP)
-    return (kept.select("ticker", "page", "rows_before", F.explode("data").alias("p"))
-            .select(F.col("p.id").alias("id"), "ticker", "page", F.col("rows_before").cast("bigint")))
+    return _capped_posts(read_pages(spark, _landed_pages(spark, sf_dir, "pages_cap")), PAGE_CAP)
+
+
+for _cap in (PAGE_CAP, 5000):
+    @register(f"page_cap_runs_{_cap}", _page_cap_sql(_cap, TWO_RUNS))
+    def q_page_cap_runs(spark, sf_dir, cap=_cap):
+        """Two runs, a NULL key, empty closing pages; a cap far above the page size too."""
+        return _capped_posts(read_pages(spark, _land_two_runs(spark, sf_dir, f"pages_cap_{cap}")), cap)
+
+
+@register("load_audit_runs", f"""WITH {DIM_CTE},
+{POSTS_CTE},
+loads AS ({TWO_RUNS})
+SELECT p.run, d.ordinal, p.ticker, CAST(count(*) AS BIGINT) AS post_count, CAST(count(*) AS BIGINT) AS total_posts,
+       count(DISTINCT p.page) + CASE WHEN p.run = 'r2' AND p.ticker IS DISTINCT FROM 'CAT' THEN 1 ELSE 0 END AS pages,
+       NOT (p.run = 'r2' AND p.ticker IS NOT DISTINCT FROM 'CAT') AS complete
+FROM loads p LEFT JOIN dim d ON p.ticker = d.ticker GROUP BY p.run, d.ordinal, p.ticker""")
+def q_load_audit_runs(spark, sf_dir):
+    """Two runs audited apart; the second broke off before CAT's closing page."""
+    pages = read_pages(spark, _land_two_runs(spark, sf_dir, "pages_audit_runs"))
+    lost = (F.col("run") == "r2") & (F.col("ticker") == "CAT") & F.col("meta.next_token").isNull()
+    return load_audit(pages.where(~F.coalesce(lost, F.lit(False))), _dim(spark)).select(
+        "run", "ordinal", "ticker", "post_count", "total_posts", "pages", "complete")
+
+
+@register("json_pages_raw", f"""WITH {POSTS_CTE},
+loads AS ({TWO_RUNS})
+SELECT run, "user", created_at, id, text, ticker, page FROM loads""")
+def q_json_pages_raw(spark, sf_dir):
+    """One document per file, two runs, empty closing pages, a NULL key."""
+    root = _land_two_runs(spark, sf_dir, "pages_raw", file_per_page=True)
+    return flatten_pages(read_pages(spark, root, multiline=True))
 
 
 @register("bronze_bulk", f"""{BASE}

@@ -32,6 +32,7 @@ PAGE_SCHEMA = StructType([
 # Landing layout: <root>/ticker=<T>/page=<n>/<file>.json ; the partition
 # columns carry the search key and the page sequence number.
 LANDED_PAGE_SCHEMA = StructType(PAGE_SCHEMA.fields + [
+    StructField("run", StringType()),
     StructField("ticker", StringType()),
     StructField("page", LongType()),
 ])

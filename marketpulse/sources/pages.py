@@ -1,13 +1,16 @@
 """Landed search pages.
 
 Each search response page is one JSON document ``{data: [...], meta:
-{result_count, next_token}}``. Pages are landed under ``<root>/ticker=<T>/``
-either as JSON lines (one document per line, its sequence number in a
-top-level ``page`` field; the default, few files) or one document per file
-under ``page=<n>/`` folders (raw responses, ``multiline=True``).
-All pages of all companies are read in one file scan (the union of pages and
-of companies is the scan itself) with a declared schema, and flattened with
-``explode`` on the executors; no page ever passes through the driver.
+{result_count, next_token}}``. Pages are landed under
+``<root>/run=<R>/ticker=<T>/``, one ``run`` per load, so that a later load of the
+same keys never mixes with an earlier one. They are either JSON lines
+(one document per line, its sequence number in a top-level ``page`` field; the
+default, few files) or one document per file under ``page=<n>/`` folders (raw
+responses, ``multiline=True``). The ``run=`` level may be missing (``run`` is
+then NULL). All pages of all runs and companies are read in one file scan (the
+union of pages and of companies is the scan itself) with a declared schema,
+and flattened with ``explode`` on the executors; no page ever passes through
+the driver.
 """
 
 from __future__ import annotations
@@ -18,12 +21,12 @@ from pyspark.sql import functions as F
 from marketpulse.functions.columns import iso_z, parse_iso_utc
 from marketpulse.schemas import LANDED_PAGE_SCHEMA
 
-MAX_KEYS_FOR_LITERAL_MAP = 1_000  # above this, a join (a huge literal map is slow to compile)
+MAX_PAGE_POSTS = 10_000  # a page is one JSON document; the source's own limit is far lower
 
 
 def read_pages(spark: SparkSession, root: str, multiline: bool = False,
                strict: bool = True) -> DataFrame:
-    """Page documents with their ``ticker`` (and ``page``) values.
+    """Page documents with their ``run``, ``ticker`` and ``page`` values.
 
     ``multiline=True`` reads one possibly pretty-printed document per file
     (raw responses); the default reads splittable JSON lines. A malformed page
@@ -37,54 +40,43 @@ def read_pages(spark: SparkSession, root: str, multiline: bool = False,
 
 
 def page_meta(pages: DataFrame) -> DataFrame:
-    """One row per page: ``ticker, page, result_count, is_last``."""
+    """One row per page: ``run, ticker, page, result_count, is_last``."""
     return pages.select(
-        "ticker", "page",
+        "run", "ticker", "page",
         F.col("meta.result_count").alias("result_count"),
         F.col("meta.next_token").isNull().alias("is_last"),
     )
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
-    """Posts of the non-empty pages (S3, S4): ``user, created_at, id, text, ticker, page``.
+    """Posts of the non-empty pages (S3, S4): ``user, created_at, id, text, run, ticker, page``.
 
     ``created_at`` (ISO-8601 text) becomes a UTC wall-clock TIMESTAMP_NTZ;
     the ``source`` field is requested but not kept.
     """
     rc = F.col("meta.result_count")
     return (pages.where(rc.isNotNull() & (rc > 0))
-            .select("ticker", "page", F.explode("data").alias("p"))
+            .select("run", "ticker", "page", F.explode("data").alias("p"))
             .select(
                 F.col("p.author_id").alias("user"),
                 parse_iso_utc(F.col("p.created_at")).alias("created_at"),
                 F.col("p.id").alias("id"),
                 F.col("p.text").alias("text"),
-                "ticker", "page",
+                "run", "ticker", "page",
             ))
 
 
 def land_pages(posts: DataFrame, root: str, key_col: str = "ticker", page_col: str = "page",
-               file_per_page: bool = False) -> None:
-    """Write posts as landed page documents (JSON lines, or one file per page).
+               run: str = "r1", file_per_page: bool = False, closing_page: bool = False) -> None:
+    """Write one load run of posts as page documents (JSON lines, or one file per page).
 
     ``posts`` has ``user, created_at, id, text`` plus the key and a page
-    sequence number; the caller guarantees a bounded page size (the source's
-    page size), so each page's ``collect_list`` is bounded. A page gets a
-    ``next_token`` unless it is the last page of its key; the last page number
-    per key is a small aggregate (one value per key) applied as a literal map
-    when it has at most ``MAX_KEYS_FOR_LITERAL_MAP`` keys (no join or window
-    over the page documents), else joined by key.
+    sequence number; a page of more than ``MAX_PAGE_POSTS`` posts fails. Only
+    this run's folder is replaced. A page gets a ``next_token`` unless it is
+    the last page of its key; ``closing_page`` adds an empty last page
+    without ``data``, as the source sends when a full page was the last one.
+    NULL keys are a key of their own.
     """
-    last = posts.groupBy(key_col).agg(F.max(page_col).alias("_mp_last"))
-    rows = last.limit(MAX_KEYS_FOR_LITERAL_MAP + 1).collect()
-    use_map = len(rows) <= MAX_KEYS_FOR_LITERAL_MAP
-    if use_map:
-        last_page = F.create_map(*[x for r in rows for x in (F.lit(r[0]), F.lit(r[1]))]) if rows \
-            else F.create_map().cast("map<string,bigint>")
-        last_of_key = F.element_at(last_page, F.col(key_col))
-    else:  # many keys: join the per-key last page instead (one row per key)
-        last_of_key = F.col("_mp_last")
-
     post = F.struct(
         F.col("user").alias("author_id"),
         iso_z("created_at").alias("created_at"),
@@ -94,20 +86,23 @@ def land_pages(posts: DataFrame, root: str, key_col: str = "ticker", page_col: s
     )
     newest_first = F.sort_array(F.collect_list(F.struct(F.col("created_at").alias("t"), post.alias("p"))),
                                 asc=False)
-    grouped = (posts.groupBy(key_col, page_col)
-               .agg(F.transform(newest_first, lambda x: x["p"]).alias("data")))
-    if not use_map:
-        grouped = grouped.join(last, key_col)
-    docs = (grouped
-            .select(
-                "data",
-                F.struct(
-                    F.size("data").cast("bigint").alias("result_count"),
-                    F.when(F.col(page_col) < last_of_key,
-                           F.concat(F.col(key_col), F.lit("-"), (F.col(page_col) + 1).cast("string")))
-                     .alias("next_token"),
-                ).alias("meta"),
-                key_col, page_col,
-            ))
+    grouped = posts.groupBy(key_col, page_col).agg(F.transform(newest_first, lambda x: x["p"]).alias("data"))
+    last = posts.groupBy(F.col(key_col).alias("_mp_key")).agg(F.max(page_col).alias("_mp_last"))
+    full = F.size("data") <= MAX_PAGE_POSTS
+    docs = (grouped.join(last, F.col(key_col).eqNullSafe(F.col("_mp_key")))
+            .withColumn("data", F.when(full, F.col("data")).otherwise(
+                F.raise_error(F.lit(f"a page holds more than {MAX_PAGE_POSTS} posts"))))
+            .select("data", key_col, page_col, F.size("data").cast("bigint").alias("result_count"),
+                    F.lit(closing_page).alias("_mp_more") | (F.col(page_col) < F.col("_mp_last"))))
+    docs = docs.toDF("data", key_col, page_col, "result_count", "_mp_more")
+    if closing_page:
+        empty = last.select(F.lit(None).cast(docs.schema["data"].dataType).alias("data"), F.col("_mp_key").alias(key_col),
+                            (F.col("_mp_last") + 1).alias(page_col), F.lit(0).cast("bigint").alias("result_count"),
+                            F.lit(False).alias("_mp_more"))
+        docs = docs.unionByName(empty)
+    token = F.concat(F.coalesce(F.col(key_col), F.lit("")), F.lit("-"), (F.col(page_col) + 1).cast("string"))
+    docs = docs.select("data", F.struct("result_count", F.when(F.col("_mp_more"), token).alias("next_token")).alias("meta"),
+                       key_col, page_col)
     parts = [key_col, page_col] if file_per_page else [key_col]
-    docs.write.mode("overwrite").partitionBy(*parts).json(root)
+    # keys with many pages are written by several tasks, small ones share a task
+    docs.hint("rebalance", key_col).write.mode("overwrite").partitionBy(*parts).json(f"{root}/run={run}")

@@ -102,14 +102,49 @@ def test_malformed_page_fails_unless_lenient(spark, tmp_path_str):
     assert flatten_pages(read_pages(spark, root, multiline=True, strict=False)).count() == 1
 
 
-def test_land_pages_many_keys_path(spark, tmp_path_str, monkeypatch):
-    import marketpulse.sources.pages as P
-    monkeypatch.setattr(P, "MAX_KEYS_FOR_LITERAL_MAP", 1)
-    rows = [(f"u{i}", "2021-12-02 10:00:00", str(i), f"t{i}", "AB"[i % 2], i // 4) for i in range(16)]
-    posts = spark.createDataFrame(rows, "user string, s string, id string, text string, ticker string, page long") \
+def _posts(spark, n=40, width=7):
+    rows = [(f"u{i}", "2021-12-02 10:00:00", str(i), f"t{i}", ["A", "B", None][i % 3], i // width) for i in range(n)]
+    return spark.createDataFrame(rows, "user string, s string, id string, text string, ticker string, page long") \
         .select("user", F.col("s").cast("timestamp_ntz").alias("created_at"), "id", "text", "ticker", "page")
-    root = tmp_path_str + "/many"
-    P.land_pages(posts, root)
-    meta = {(r.ticker, r.page): r.is_last for r in page_meta(read_pages(spark, root)).collect()}
-    assert meta == {(k, p): p == 3 for k in "AB" for p in range(4)}
-    assert flatten_pages(read_pages(spark, root)).count() == 16
+
+
+def test_runs_stay_apart_and_null_keys_stay(spark, tmp_path_str):
+    root = tmp_path_str + "/runs"
+    land_pages(_posts(spark), root, run="a")
+    land_pages(_posts(spark, 20), root, run="b", closing_page=True)
+    land_pages(_posts(spark, 20), root, run="b", closing_page=True)  # a repeated run replaces itself
+    pages = read_pages(spark, root)
+    assert flatten_pages(pages).groupBy("run").count().orderBy("run").collect() == [("a", 40), ("b", 20)]
+    audit = {(r.run, r.ticker): (r.post_count, r.pages, r.complete) for r in load_audit(pages).collect()}
+    assert audit[("a", None)] == (13, 6, True) and audit[("b", "A")] == (7, 4, True) and len(audit) == 6
+    capped = cap_pages(pages.select("run", "ticker", "page", F.col("meta.result_count").alias("result_count")), 3)
+    kept = {(r.run, r.ticker): [] for r in capped.collect()}
+    for r in capped.collect():
+        kept[r.run, r.ticker].append(r.page)
+    assert len(kept) == 6 and all(sorted(p) == [0, 1] for p in kept.values())
+
+
+def test_repeated_page_numbers_are_separate_pages(spark):
+    rows = [("A", 1, 60, "x"), ("A", 1, 60, "y"), ("A", 2, 60, "z"), (None, 1, 60, "n")]
+    df = spark.createDataFrame(rows, "ticker string, page long, result_count long, data string")
+    got = cap_pages(df, 100).collect()
+    assert sorted((r.ticker or "", r.page, r.rows_before) for r in got) == [("", 1, 0), ("A", 1, 0), ("A", 1, 60)]
+    assert len({r.data for r in got}) == 3
+
+
+def test_cap_does_not_depend_on_chunks(spark):
+    rows = [("A", p, p % 4 * 25) for p in range(300)] + [("A", 10**9, 5)]
+    df = spark.createDataFrame(rows, "ticker string, page long, result_count long")
+    for cap in (1, 100, 1001, 5000, 10**9):
+        want = [tuple(r) for r in cap_pages(df, cap, chunk_pages=10**6).orderBy("page").collect()]
+        for size in (1, 7):
+            assert [tuple(r) for r in cap_pages(df, cap, chunk_pages=size).orderBy("page").collect()] == want
+
+
+def test_oversized_page_fails(spark, tmp_path_str, monkeypatch):
+    import pytest
+
+    import marketpulse.sources.pages as P
+    monkeypatch.setattr(P, "MAX_PAGE_POSTS", 3)
+    with pytest.raises(Exception, match="more than 3 posts"):
+        land_pages(_posts(spark), tmp_path_str + "/big")

@@ -66,6 +66,11 @@ def partition_date(c) -> Column:
     return F.to_date(_col(c))
 
 
+def start_of_day(c) -> Column:
+    """Midnight of an event time's day, as TIMESTAMP_NTZ."""
+    return _col(c).cast("date").cast("timestamp_ntz")
+
+
 def is_weekday(date_col) -> Column:
     return F.dayofweek(_col(date_col)).isin(*WEEKDAYS)
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import case_map
-from marketpulse.operators.broadcast import bounded_broadcast
 from marketpulse.sources.company import SECTOR_CASE_ARMS, SECTOR_CASE_DEFAULT
 
 
@@ -14,8 +13,8 @@ def tag_company(posts: DataFrame, dim: DataFrame, key_col: str = "ticker",
                 company_col: str = "company", sector_col: str = "CompanySector") -> DataFrame:
     """Inner join of posts to the company dimension on the search key.
 
-    The dimension is broadcast when its size is proven small, so the large
-    side is never shuffled; posts with an unknown key are dropped (a fetch
+    The dimension is a literal table whose size Spark knows, so it is broadcast
+    while it is small and the large side is not shuffled; posts with an unknown key are dropped (a fetch
     only ever happens for dictionary keys).
     """
     d = dim.select(
@@ -23,7 +22,7 @@ def tag_company(posts: DataFrame, dim: DataFrame, key_col: str = "ticker",
         F.col("keyword").alias(company_col),
         F.col("sector").alias(sector_col),
     )
-    return (posts.join(bounded_broadcast(d), F.col(key_col) == F.col("_dim_key"), "inner")
+    return (posts.join(d, F.col(key_col) == F.col("_dim_key"), "inner")
             .drop("_dim_key"))
 
 

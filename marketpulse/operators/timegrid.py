@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import epoch_micros, floor_to
-from marketpulse.operators.broadcast import bounded_broadcast
 
 CLOSED_MODES = ("both", "right", "left")
 
@@ -118,10 +117,9 @@ def bucket_join_theta(df: DataFrame, ts_col: str, grid_frame: DataFrame) -> Data
     """Literal theta-join form ``start <= ts <= end`` against a grid frame.
 
     Plans as a broadcast nested-loop join (posts x buckets); kept as the
-    executable specification for equivalence tests and the benchmark. The grid
-    is broadcast only after its size is checked.
+    executable specification for equivalence tests and the benchmark.
     """
-    g = bounded_broadcast(grid_frame.select("startdatetime", "enddatetime"))
+    g = grid_frame.select("startdatetime", "enddatetime")
     ts = F.col(ts_col)
     return df.join(g, (ts >= g["startdatetime"]) & (ts <= g["enddatetime"]), "inner")
 
@@ -141,7 +139,12 @@ def span_grid(df: DataFrame, ts_col: str, anchor_minutes: int = 30,
         return F.timestamp_add("MICROSECOND", F.lit(offset), floor_to(c, 3_600_000_000))
 
     bounds = df.agg(point(F.min(ts_col)).alias("lo"), point(F.max(ts_col)).alias("hi"))
-    return (bounds.where(F.col("lo").isNotNull())
-            .select(F.posexplode(F.sequence("lo", "hi", step)).alias("pos", "startdatetime"))
-            .select((F.col("pos") + 1).alias("bucket"), "startdatetime",
-                    F.timestamp_add("MICROSECOND", F.lit(w), F.col("startdatetime")).alias("enddatetime")))
+    # two levels, days (spread over tasks) and then the points of a day, so no row holds the whole grid
+    per_day = max(1, 86_400_000_000 // w)
+    stretch = F.timestamp_add("MICROSECOND", F.lit((per_day - 1) * w), F.col("d"))
+    days = (bounds.where(F.col("lo").isNotNull())
+            .select("lo", "hi", F.explode(F.sequence("lo", "hi", F.make_dt_interval(secs=F.lit(per_day * w // 1_000_000))))
+                    .alias("d")).hint("rebalance"))
+    return (days.select("lo", F.explode(F.sequence("d", F.least(stretch, "hi"), step)).alias("startdatetime"))
+            .select((F.floor((epoch_micros("startdatetime") - epoch_micros("lo")) / F.lit(w)) + 1).alias("bucket"),
+                    "startdatetime", F.timestamp_add("MICROSECOND", F.lit(w), F.col("startdatetime")).alias("enddatetime")))

@@ -9,126 +9,60 @@ Semantics of ``MERGE INTO tgt USING src ON keys``:
   that);
 * source row matching no target row -> insert ``insert_cols``;
 * NULL keys never match, so such source rows are inserted;
-* a target row matched by two or more source rows is an error.
-
-The result carries ``_change`` in {'insert', 'update', 'copy'}.
-
-Two plans. When the source is proven small it is broadcast: one scan of the
-target's key columns against the source's per-key counts yields both the
-duplicate-match check and the matched keys (checkpointed for the two uses), then
-the target is streamed through a broadcast left join (never shuffled) and the
-unmatched source rows are inserted. Otherwise a full outer equi-join (both
-sides shuffled on the keys).
+* a target row matched by two or more source rows is an error, raised when
+  the result is computed.
+
+The result carries ``_change`` in {'insert', 'update', 'copy'}. One plan: a
+full outer equi-join on the keys. Source rows with a NULL key go around it, so
+they do not gather in one task; the count of source rows per key shares the
+join's shuffle. Callers keep the join small by passing only the part of the
+target that the source can match (see ``plans.tables.merge_into``).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import all_of, any_differs
-from marketpulse.operators.broadcast import row_count_at_most
-from marketpulse.session import ensure_checkpoint_dir
 
 CHANGE_COL = "_change"
-# a broadcast source of ~10 columns stays in the tens of MB up to this many rows
-DEFAULT_SMALL_SOURCE_ROWS = 500_000
-
-
-class DuplicateSourceKeyError(ValueError):
-    pass
-
-
-def _src_name(c: str) -> str:
-    return f"_src_{c}"
-
-
-def check_unique_matches(target: DataFrame, source: DataFrame, keys, small_source: bool) -> None:
-    """Raise when some target row would be matched by more than one source row."""
-    dups = (source.where(all_of([F.col(k).isNotNull() for k in keys]))
-            .groupBy(*keys).count().where(F.col("count") > 1).select(*keys))
-    probe = F.broadcast(dups) if small_source else dups
-    hit = target.select(*keys).join(probe, list(keys), "left_semi")
-    if hit.limit(1).count() > 0:
-        sample = hit.limit(3).collect()
-        raise DuplicateSourceKeyError(
-            f"several source rows match the same target row for keys {keys}: {sample}")
 
 
 def upsert_type1(target: DataFrame, source: DataFrame, keys, update_cols, insert_cols=None,
-                 compare_cols=None, null_safe: bool = False,
-                 small_source_rows: int = DEFAULT_SMALL_SOURCE_ROWS,
-                 check_duplicates: bool = True, source_rows: int | None = None) -> DataFrame:
-    """``source_rows``: the source's row count when already known (skips the size check)."""
-    keys = list(keys)
-    update_cols = list(update_cols)
+                 compare_cols=None, null_safe: bool = False) -> DataFrame:
+    """``target`` after the upsert, plus ``_change``; column types are the target's."""
+    keys, update_cols = list(keys), list(update_cols)
     compare_cols = list(compare_cols or update_cols)
     tcols = target.columns
     insert_cols = list(insert_cols or tcols)
-    small = (source_rows <= small_source_rows) if source_rows is not None \
-        else row_count_at_most(source, small_source_rows)
-    if small:
-        return _upsert_small_source(target, source, keys, update_cols, insert_cols, compare_cols,
-                                    null_safe, check_duplicates)
-    if check_duplicates:
-        check_unique_matches(target, source, keys, small)
-
-    src, t, s, on = _aligned(target, source, keys, update_cols, compare_cols, insert_cols)
-    tt = target.withColumn("_tgt_hit", F.lit(True))
-    joined = tt.join(src.withColumn("_src_hit", F.lit(True)), on, "full_outer")
-    has_t = F.coalesce(F.col("_tgt_hit"), F.lit(False))
-    has_s = F.coalesce(F.col("_src_hit"), F.lit(False))
+    needed = list(dict.fromkeys(keys + update_cols + compare_cols + insert_cols))
+    s = {c: F.col(f"_src_{c}") for c in needed}
+    t = {c: F.col(c) for c in tcols}
+    given = source.select(*[F.col(c).alias(f"_src_{c}") for c in needed])
+    has_key = all_of([s[k].isNotNull() for k in keys])
+    per_key = F.count(F.lit(1)).over(Window.partitionBy(*[s[k] for k in keys]))
+    keyed = given.where(has_key).withColumn("_src_n", per_key)
+    joined = (target.withColumn("_tgt_hit", F.lit(True))
+              .join(keyed, all_of([t[k] == s[k] for k in keys]), "full_outer"))
+    has_t, has_s = F.col("_tgt_hit").isNotNull(), F.col("_src_n").isNotNull()
+    # a filter, so that no later projection can prune the check away
+    clash = F.raise_error(F.concat(F.lit("several source rows match one target row: "),
+                                   F.to_json(F.struct(*[t[k] for k in keys]))))
+    joined = joined.where(F.when(has_t & (F.col("_src_n") > 1), clash.cast("boolean")).otherwise(True))
     upd = F.coalesce(has_t & has_s & any_differs(t, s, compare_cols, null_safe), F.lit(False))
 
-    def out(c):
-        ins_val = s[c] if c in insert_cols else F.lit(None)
-        cur = F.when(upd, s[c]).otherwise(t[c]) if c in update_cols else t[c]
-        return F.when(~has_t, ins_val).otherwise(cur).cast(target.schema[c].dataType).alias(c)
+    def typed(value, c):
+        return value.cast(target.schema[c].dataType).alias(c)
 
-    change = F.when(~has_t, F.lit("insert")).when(upd, F.lit("update")).otherwise(F.lit("copy"))
-    return joined.select(*[out(c) for c in tcols], change.alias(CHANGE_COL))
-
-
-def _aligned(target, source, keys, update_cols, compare_cols, insert_cols):
-    needed = list(dict.fromkeys(keys + update_cols + compare_cols + insert_cols))
-    src = source.select(*[F.col(c).alias(_src_name(c)) for c in needed])
-    t = {c: F.col(c) for c in target.columns}
-    s = {c: F.col(_src_name(c)) for c in needed}
-    return src, t, s, all_of([t[k] == s[k] for k in keys])
+    def inserted(c):
+        return s[c] if c in insert_cols else F.lit(None)
 
+    def out(c):
+        now = F.when(upd, s[c]).otherwise(t[c]) if c in update_cols else t[c]
+        return typed(F.when(~has_t, inserted(c)).otherwise(now), c)
 
-def _upsert_small_source(target, source, keys, update_cols, insert_cols, compare_cols,
-                         null_safe, check_duplicates):
-    """Broadcast plan: two passes over the target (its key columns, then all of it)."""
-    tcols = target.columns
-    per_key = (source.where(all_of([F.col(k).isNotNull() for k in keys]))
-               .groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_n")))
-    # one scan of the target's keys gives both the duplicate check and the matched keys;
-    # the result (at most one row per matching target row) is checkpointed to the shared
-    # checkpoint folder, so its two uses do not rescan the target
-    ensure_checkpoint_dir(target.sparkSession)
-    scan = (target.select(*keys).join(F.broadcast(per_key), keys, "inner")
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    try:  # persisted only while checkpointing, so the target keys are read once
-        matched = scan.checkpoint(eager=True)
-    finally:
-        scan.unpersist()
-    if check_duplicates and matched.where(F.col("_src_n") > 1).limit(1).count() > 0:
-        sample = matched.where(F.col("_src_n") > 1).select(*keys).limit(3).collect()
-        raise DuplicateSourceKeyError(
-            f"several source rows match the same target row for keys {keys}: {sample}")
-    matched_keys = matched.select(*keys).distinct()
-    src, t, s, on = _aligned(target, source, keys, update_cols, compare_cols, insert_cols)
-    joined = target.join(F.broadcast(src.withColumn("_src_hit", F.lit(True))), on, "left")
-    upd = F.coalesce(F.col("_src_hit") & any_differs(t, s, compare_cols, null_safe), F.lit(False))
-    kept = joined.select(
-        *[F.when(upd, s[c]).otherwise(t[c]).cast(target.schema[c].dataType).alias(c)
-          if c in update_cols else t[c] for c in tcols],
-        F.when(upd, F.lit("update")).otherwise(F.lit("copy")).alias(CHANGE_COL))
-    inserts = source.join(F.broadcast(matched_keys), keys, "left_anti")
-    inserted = inserts.select(
-        *[(F.col(c) if c in insert_cols else F.lit(None)).cast(target.schema[c].dataType).alias(c)
-          for c in tcols],
-        F.lit("insert").alias(CHANGE_COL))
-    return kept.unionByName(inserted)
+    change = F.when(~has_t, F.lit("insert")).when(upd, F.lit("update")).otherwise(F.lit("copy"))
+    merged = joined.select(*[out(c) for c in tcols], change.alias(CHANGE_COL))
+    keyless = given.where(~has_key).select(*[typed(inserted(c), c) for c in tcols], F.lit("insert").alias(CHANGE_COL))
+    return merged.unionByName(keyless)

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import is_weekday, partition_date, without_phrase
 from marketpulse.operators.aggregates import high_water_mark_value
-from marketpulse.operators.broadcast import bounded_broadcast
 from marketpulse.operators.tagging import tag_company
-from marketpulse.plans.tables import SnapshotTable
+from marketpulse.plans.tables import path_exists, read_loads, replace_loads, write_load
 from marketpulse.schemas import BRONZE_PARTITION, BRONZE_SCHEMA
 from marketpulse.sources.company import NOISE_PHRASE
 
@@ -57,58 +56,54 @@ def bronze_frame(posts: DataFrame, dim: DataFrame, run_date=None, *,
     return out
 
 
-def bronze_table(spark: SparkSession, path: str) -> SnapshotTable:
-    """The bronze table at ``path``: date-partitioned versions plus history."""
-    return SnapshotTable(spark, path, partition_col=BRONZE_PARTITION, schema=BRONZE_SCHEMA,
-                         watermark_col=TS)
-
-
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return bronze_table(spark, path).read()
+    return read_loads(spark, path, BRONZE_SCHEMA)
 
 
 def bulk_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None, **opts) -> DataFrame:
-    """Full reload: replace the bronze table (SK1) as a new version. Returns the frame written."""
+    """Full reload: replace the bronze table (SK1). Returns the frame written."""
     frame = bronze_frame(posts, dim, run_date, **opts)
-    bronze_table(posts.sparkSession, path).commit(
-        frame, "WRITE", {"mode": "Overwrite", "partitionBy": [BRONZE_PARTITION]})
+    replace_loads(frame, path, "bulk", BRONZE_PARTITION)
     return frame
 
 
 def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None, *,
-                     per_ticker: bool = False, dedupe: bool = False, **opts) -> DataFrame:
+                     per_ticker: bool = False, dedupe: bool = False, load_id: str | None = None,
+                     **opts) -> DataFrame:
     """Append posts at or after the table's high-water mark (A2, F5, F2, SK2).
 
-    The bound is inclusive, like a source ``start_time``; posts exactly on the
-    mark are appended again unless ``dedupe`` anti-joins them against the
-    partitions at or after the mark. ``per_ticker`` takes one mark per ticker
-    instead of the global one (a company fetched early is not cut off by the
-    newest post of a company fetched later).
+    The mark is read from the data (the newest date's rows). The bound is
+    inclusive, like a source ``start_time``; posts exactly on the mark are
+    appended again unless ``dedupe`` anti-joins them against the partitions at
+    or after the mark. ``per_ticker`` takes one mark per ticker instead of the
+    global one (a company fetched early is not cut off by the newest post of a
+    company fetched later).
+
+    The load's folder is named after the mark it starts from, or ``load_id``. An
+    attempt that failed left nothing visible and is replaced by the next from
+    the same mark; once a load is visible, the mark has moved.
     """
     spark = posts.sparkSession
     opts.setdefault("weekday_only", True)
-    table = bronze_table(spark, path)
-    params = {"mode": "Append", "partitionBy": [BRONZE_PARTITION]}
-    if table.current_version() is None:  # no table yet: everything is new
+    if not path_exists(spark, path):  # no table yet: everything is new
         frame = bronze_frame(posts, dim, run_date, **opts)
-        table.append(frame, "WRITE", params)
+        write_load(frame, path, load_id or "from-start", BRONZE_PARTITION)
         return frame
-    bronze = table.read()
+    bronze = read_bronze(spark, path)
     if per_ticker:
         marks = bronze.groupBy(F.col("Ticker").alias("_hwm_key")).agg(F.max(TS).alias("_hwm"))
-        new = (posts.join(bounded_broadcast(marks), posts["ticker"] == F.col("_hwm_key"), "left")
+        lowest = marks.agg(F.min("_hwm")).first()[0] if dedupe else None
+        new = (posts.join(marks, posts["ticker"] == F.col("_hwm_key"), "left")
                .where(F.col("_hwm").isNull() | (F.col("created_at") >= F.col("_hwm")))
                .drop("_hwm_key", "_hwm"))
-        lowest = marks.agg(F.min("_hwm")).first()[0]
+        hwm = high_water_mark_value(bronze, TS, partition_col=BRONZE_PARTITION)
     else:
-        known, hwm = table.recorded_high_water_mark()  # metadata only
-        if not known:
-            hwm = high_water_mark_value(bronze, TS, partition_col=BRONZE_PARTITION)
+        hwm = lowest = high_water_mark_value(bronze, TS, partition_col=BRONZE_PARTITION)
         new = posts if hwm is None else posts.where(F.col("created_at") >= ntz_literal(hwm))
-        lowest = hwm
     frame = bronze_frame(new, dim, run_date, **opts)
     if dedupe and lowest is not None:
         recent = bronze.where(F.col(BRONZE_PARTITION) >= F.lit(lowest.date())).select("id", "Ticker")
         frame = frame.join(recent, ["id", "Ticker"], "left_anti")
-    table.append(frame, "WRITE", params)
+    start = "start" if hwm is None else hwm.strftime("%Y%m%dT%H%M%S%f")
+    write_load(frame, path, load_id or f"from-{start}{'-per-ticker' * per_ticker}", BRONZE_PARTITION)
     return frame

@@ -53,19 +53,3 @@ def register_path(spark: SparkSession, name: str, path: str) -> None:
 
 def _is_partitioned(spark: SparkSession, name: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(name))
-
-
-def register_snapshot(spark: SparkSession, name: str, table) -> None:
-    """Point a catalog name at a versioned table's current version folder.
-
-    Appends land in that folder and show after ``refreshTable``; after an
-    overwrite (a new version folder) call this again to re-point the name.
-    """
-    location = table.location()
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {_quote(name)} SET LOCATION '{location}'")
-        if _is_partitioned(spark, name):
-            spark.sql(f"ALTER TABLE {_quote(name)} RECOVER PARTITIONS")
-        spark.catalog.refreshTable(name)
-    else:
-        register_path(spark, name, location)

@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import all_of
 from marketpulse.operators.aggregates import hourly_mean
 from marketpulse.operators.timegrid import HourGrid, bucket_assign
 from marketpulse.plans.bronze import TS
-from marketpulse.schemas import BRONZE_PARTITION, GOLD_COLUMNS
+from marketpulse.plans.tables import write_partitioned
+from marketpulse.schemas import BRONZE_PARTITION, GOLD_COLUMNS, GOLD_PARTITION, GOLD_SCHEMA
 
 # The correction rows of the original type-1 demonstration take
 # one ticker's unscored bars up to a bound and move them 24 hours back.
@@ -52,6 +53,15 @@ def build_gold(bars: DataFrame, silver: DataFrame, grid: HourGrid, closed: str =
     return gold
 
 
+def write_gold(gold: DataFrame, path: str) -> None:
+    """Replace the gold table (SK3), partitioned by the date of the bar so that a merge rewrites few files."""
+    write_partitioned(gold.withColumn(GOLD_PARTITION, F.to_date("Date")), path, GOLD_PARTITION)
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(GOLD_SCHEMA).parquet(path).select(*GOLD_COLUMNS)
+
+
 def scored_gold(gold: DataFrame) -> DataFrame:
     """Gold rows that carry a sentiment score."""
     return gold.where(F.col("sentimentScore").isNotNull())

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 from marketpulse.functions.columns import epoch_ntz, is_weekday, parse_iso_utc, partition_date
-from marketpulse.plans.tables import SnapshotTable
+from marketpulse.plans.tables import write_partitioned
 from marketpulse.schemas import BRONZE_PARTITION, SILVER_SCHEMA
 
 TS = "Twitter_Created_datetime"
@@ -50,15 +50,10 @@ def build_silver(pre_silver: DataFrame, weekday_only: bool = True) -> DataFrame:
     )
 
 
-def silver_table(spark, path: str) -> SnapshotTable:
-    return SnapshotTable(spark, path, partition_col=BRONZE_PARTITION, schema=SILVER_SCHEMA)
+def write_silver(silver: DataFrame, path: str) -> None:
+    """Replace the silver table, partitioned by date."""
+    write_partitioned(silver, path, BRONZE_PARTITION)
 
 
-def write_silver(silver: DataFrame, path: str) -> int:
-    """Replace the silver table with a new date-partitioned version."""
-    return silver_table(silver.sparkSession, path).commit(
-        silver, "WRITE", {"mode": "Overwrite", "partitionBy": [BRONZE_PARTITION]})
-
-
-def read_silver(spark, path: str) -> DataFrame:
-    return silver_table(spark, path).read()
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SILVER_SCHEMA).parquet(path)

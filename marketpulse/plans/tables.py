@@ -1,251 +1,95 @@
-"""Table sinks: partitioned Parquet writes and versioned snapshot tables.
-
-No transactional table format is available, so a table that must survive a
-failed overwrite is a folder of version folders plus a small history log::
-
-    <root>/snapshots/<version>/   data written by an overwrite (never reused)
-    <root>/_history/sNNNNNN/      one row per version (100 versions per segment
-                                  folder): operation, location, metrics
-
-An overwrite (``commit``) writes a new version folder and becomes visible when
-its history row is appended, which happens last: readers never see a
-half-written table, a failed job leaves the previous version readable, and a
-folder left behind by a failed attempt is simply overwritten next time.
-Appends (incremental loads, stream batches) go into the current version's
-folder through Spark's commit protocol and are logged as new versions that
-share that location. Row metrics come from ``DataFrame.observe`` on the write
-itself, not from a second pass. One writer per table is assumed.
+"""Table sinks on plain Parquet folders (SK1-SK3).
+
+A table that grows by loads is a folder per load::
+
+    <root>/load=<id>/<partition>=<value>/part-*.parquet
+
+A load is one Spark write into its own folder, in overwrite mode: it becomes
+visible when the write job commits (readers skip Spark's ``_temporary``
+files until then), and a repeated attempt under the same id replaces what an
+earlier one left, so a retry neither duplicates nor mixes rows. Reading the
+table is one scan of all loads with a declared schema. One writer per load id
+is assumed.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType, LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
-)
-
-from marketpulse.operators.upsert import CHANGE_COL
-from marketpulse.sources.literal import literal_frame
-
-HISTORY_SCHEMA = StructType([
-    StructField("version", LongType(), False),
-    StructField("timestamp", TimestampType()),
-    StructField("operation", StringType()),
-    StructField("operationParameters", StringType()),
-    StructField("location", StringType()),
-    StructField("num_source_rows", LongType()),
-    StructField("num_output_rows", LongType()),
-    StructField("num_inserted", LongType()),
-    StructField("num_updated", LongType()),
-    StructField("num_copied", LongType()),
-    StructField("max_watermark", TimestampNTZType()),   # cumulative over the location
-    StructField("mark_complete", BooleanType()),        # every write there recorded its max
-])
-HISTORY_SEGMENT = 100  # versions per history folder: small reads, O(log n) probes
-
-
-def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite") -> None:
-    """Parquet write partitioned by a date column.
-
-    ``REBALANCE(partition_col)`` lets AQE split a date holding a large share of
-    the rows over several writers and merge small ones, so the file count per
-    date stays bounded without funnelling a hot date through one task.
+from pyspark.sql.types import DateType, StringType, StructField, StructType
+
+from marketpulse.operators.upsert import CHANGE_COL, upsert_type1
+
+LOAD = "load"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def write_partitioned(df: DataFrame, path: str, *partition_cols: str, mode: str = "overwrite",
+                      only_touched: bool = False) -> None:
+    """Parquet write partitioned by columns, the last one a date.
+
+    ``REBALANCE`` on the last column lets AQE split a date holding a large
+    share of the rows over several writers and merge small ones, so the file
+    count per date stays bounded without funnelling a hot date through one
+    task. An overwrite replaces the whole folder, or with ``only_touched`` the
+    partitions that ``df`` has rows of, whatever the session's setting is.
     """
-    writer = df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col)
-    if mode == "overwrite":
-        # replace the whole folder even if the session overwrites partitions dynamically
-        writer = writer.option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    (df.hint("rebalance", partition_cols[-1]).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
+     .partitionBy(*partition_cols).parquet(path))
+
+
+def write_load(df: DataFrame, root: str, load_id: str, partition_col: str) -> None:
+    """Add one load, or replace the load of that id (SK2)."""
+    write_partitioned(df, f"{root}/{LOAD}={load_id}", partition_col)
+
+
+def replace_loads(df: DataFrame, root: str, load_id: str, partition_col: str) -> None:
+    """Replace the table by one load (SK1)."""
+    write_partitioned(df.withColumn(LOAD, F.lit(load_id)), root, LOAD, partition_col)
+
+
+def read_loads(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """All loads of a table."""
+    return spark.read.schema(StructType([*schema.fields, StructField(LOAD, StringType())])).parquet(root).drop(LOAD)
 
 
-class SnapshotTable:
-    """A table of versions plus a version history (SK1-SK3, SK8).
+def merge_into(spark: SparkSession, path: str, schema: StructType, source: DataFrame, keys, update_cols,
+               insert_cols, time_col: str, partition_col: str, null_safe: bool = False) -> dict[str, int]:
+    """Type-1 upsert of ``source`` into the Parquet table at ``path``.
 
-    ``partition_col`` partitions every version's files; ``schema`` is applied
-    when reading (declared, not inferred). With ``watermark_col`` every write
-    records the largest value it added, so the table's high-water mark is a
-    lookup in the history instead of a data scan.
+    The table is partitioned by ``partition_col``, the date of ``time_col``,
+    which is one of the keys. A source row can only match rows of its own date,
+    so the table is read and rewritten only in the dates the source names (the
+    driver learns these: at most one value per calendar day); all other
+    partitions keep their files. Returns ``source, insert, update, copy``: the
+    rows given and, of the rewritten partitions, the rows by what happened. A
+    column ``_change`` that the table's schema has records the same per row.
     """
+    if time_col not in keys:
+        raise ValueError("the partition time must be a key")
+    day = F.to_date(time_col)
+    rows = source.groupBy(day.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
+    if not rows:
+        return {"source": 0, "insert": 0, "update": 0, "copy": 0}
+    days: list[date] = [r.d for r in rows if r.d is not None]
+    touched = F.col(partition_col).isin(days) if days else F.lit(False)
+    if len(days) < len(rows):
+        touched = touched | F.col(partition_col).isNull()
+    target = (spark.read.schema(StructType([*schema.fields, StructField(partition_col, DateType())])).parquet(path)
+              .where(touched).drop(partition_col, CHANGE_COL))
+    merged = upsert_type1(target, source, keys, update_cols, insert_cols, null_safe=null_safe)
+    seen = Observation()
+    counted = merged.observe(seen, *[F.count(F.when(F.col(CHANGE_COL) == c, 1)).alias(c)
+                                     for c in ("insert", "update", "copy")])
+    write_partitioned(counted.select(*schema.fieldNames(), day.alias(partition_col)), path, partition_col,
+                      only_touched=True)
+    return {"source": sum(r.n for r in rows), **seen.get}
 
-    def __init__(self, spark: SparkSession, root: str, partition_col: str | None = None,
-                 schema: StructType | None = None, watermark_col: str | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.partition_col = partition_col
-        self.schema = schema
-        self.watermark_col = watermark_col
-        self._latest = None   # newest history row seen by this object
-        self._segment = None  # newest history segment seen by this object
-
-    @property
-    def _history_path(self) -> str:
-        return f"{self.root}/_history"
-
-    def _segment_path(self, segment: int) -> str:
-        return f"{self._history_path}/s{segment:06d}"
-
-    def _read_segment(self, segment: int):
-        try:
-            return self.spark.read.schema(HISTORY_SCHEMA).parquet(self._segment_path(segment))
-        except AnalysisException:
-            return None
-
-    def history(self) -> DataFrame:
-        """``DESCRIBE HISTORY`` equivalent, newest version first."""
-        try:
-            h = (self.spark.read.schema(HISTORY_SCHEMA).option("recursiveFileLookup", "true")
-                 .parquet(self._history_path))
-        except AnalysisException:
-            h = literal_frame(self.spark, [], HISTORY_SCHEMA)
-        return h.orderBy(F.col("version").desc())
-
-    def _newest_segment(self):
-        """Newest segment folder: exponential then binary probing, O(log n) path checks."""
-        lo = self._segment or 0
-        if self._read_segment(lo) is None:
-            return None
-        step = 1
-        while self._read_segment(lo + step) is not None:
-            lo, step = lo + step, step * 2
-        hi = lo + step
-        while hi - lo > 1:
-            mid = (lo + hi) // 2
-            lo, hi = (mid, hi) if self._read_segment(mid) is not None else (lo, mid)
-        self._segment = lo
-        return lo
-
-    def _latest_row(self, refresh: bool = False):
-        if refresh or self._latest is None:
-            seg = self._newest_segment()
-            self._latest = (self._read_segment(seg).orderBy(F.col("version").desc()).first()
-                            if seg is not None else None) or False
-        return self._latest or None
-
-    def _current(self, refresh: bool = False):
-        row = self._latest_row(refresh)
-        return (row["version"], row["location"]) if row else (None, None)
-
-    def current_version(self, refresh: bool = False):
-        return self._current(refresh)[0]
-
-    def location(self, version: int | None = None) -> str:
-        if version is None:
-            v, loc = self._current()
-        else:
-            row = self.history().where(F.col("version") == version).select("location").first()
-            v, loc = version, (row[0] if row else None)
-        if v is None or loc is None:
-            which = "" if version is None else f" {version}"
-            raise FileNotFoundError(f"table {self.root} has no version{which}")
-        return f"{self.root}/{loc}"
-
-    def read_changes(self, version: int | None = None) -> DataFrame:
-        reader = self.spark.read
-        if self.schema is not None:
-            reader = reader.schema(self.schema)
-        return reader.parquet(self.location(version))
-
-    def read(self, version: int | None = None) -> DataFrame:
-        df = self.read_changes(version)
-        return df.drop(CHANGE_COL) if CHANGE_COL in df.columns else df
-
-    def _write(self, df: DataFrame, path: str, mode: str, observe: bool = True) -> dict:
-        if not observe:  # e.g. inside foreachBatch, where observations are not delivered
-            if self.partition_col:
-                write_partitioned(df, path, self.partition_col, mode=mode)
-            else:
-                df.write.mode(mode).parquet(path)
-            return {"rows": None, "insert": None, "update": None, "copy": None, "max": None}
-        obs = Observation(f"mp_write_{uuid.uuid4().hex}")
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        if self.watermark_col:
-            metrics.append(F.max(self.watermark_col).alias("max"))
-        if CHANGE_COL in df.columns:
-            metrics += [F.sum(F.when(F.col(CHANGE_COL) == k, 1).otherwise(0)).alias(k)
-                        for k in ("insert", "update", "copy")]
-        observed = df.observe(obs, *metrics)
-        if self.partition_col:
-            write_partitioned(observed, path, self.partition_col, mode=mode)
-        else:
-            observed.write.mode(mode).parquet(path)
-        try:
-            got = obs.get
-        except Exception:
-            # the optimizer drops the observed node when the result is provably
-            # empty; measure directly then (a trivially cheap plan in that case)
-            got = df.agg(*metrics).first().asDict()
-        rows = int(got.get("rows") or 0)
-        if CHANGE_COL not in df.columns:
-            return {"rows": rows, "insert": rows, "update": 0, "copy": 0, "max": got.get("max")}
-        return {"rows": rows, "max": got.get("max"),
-                **{k: int(got.get(k) or 0) for k in ("insert", "update", "copy")}}
-
-    def _log(self, version: int, operation: str, parameters: dict | None, location: str,
-             m: dict, num_source_rows: int | None, previous=None, mark_exact: bool = False) -> int:
-        """Append the history row that makes ``version`` visible.
-
-        ``previous``: the prior row when this version shares its location (an
-        append); the watermark columns are cumulative over the location.
-        """
-        supplied = m["rows"] if num_source_rows is None else num_source_rows
-        mark = m.get("max")
-        complete = mark is not None or m["rows"] == 0 or mark_exact
-        if previous is not None:
-            complete = complete and bool(previous["mark_complete"])
-            if previous["max_watermark"] is not None and (mark is None or previous["max_watermark"] > mark):
-                mark = previous["max_watermark"]
-        row = (version, None, operation, json.dumps(parameters or {}, sort_keys=True), location,
-               supplied, m["rows"], m["insert"], m["update"], m["copy"],
-               None if mark is None else mark.isoformat(sep=" "), complete)
-        (literal_frame(self.spark, [row], HISTORY_SCHEMA)
-         .withColumn("timestamp", F.current_timestamp())
-         .coalesce(1).write.mode("append").parquet(self._segment_path(version // HISTORY_SEGMENT)))
-        self._latest = None  # re-read on next use (cheap: newest segment only)
-        self._segment = version // HISTORY_SEGMENT
-        return version
-
-    def commit(self, df: DataFrame, operation: str = "WRITE", parameters: dict | None = None,
-               num_source_rows: int | None = None) -> int:
-        """Replace the table: write ``df`` as a new version folder, then log it."""
-        cur = self.current_version(refresh=True)
-        version = 0 if cur is None else cur + 1
-        location = f"snapshots/{version:08d}"
-        m = self._write(df, f"{self.root}/{location}", mode="overwrite")
-        return self._log(version, operation, parameters, location, m, num_source_rows)
-
-    def append(self, df: DataFrame, operation: str = "WRITE", parameters: dict | None = None,
-               observe: bool = True, watermark=None, watermark_exact: bool = False) -> int:
-        """Add rows to the current version's folder and log a new version.
-
-        ``observe=False`` skips the row metrics (logged as unknown); a caller
-        that knows the largest watermark value of rows now in the table (e.g.
-        the max of a stream batch) passes it as ``watermark`` and sets
-        ``watermark_exact`` (then ``None`` means the rows hold no value).
-        """
-        previous = self._latest_row(refresh=True)
-        if previous is None:
-            cur, location, mode = -1, "snapshots/00000000", "overwrite"
-        else:
-            cur, location, mode = previous["version"], previous["location"], "append"
-        m = self._write(df, f"{self.root}/{location}", mode=mode, observe=observe)
-        if watermark is not None and (m.get("max") is None or watermark > m["max"]):
-            m["max"] = watermark
-        return self._log(cur + 1, operation, parameters, location, m, None, previous,
-                         mark_exact=watermark_exact)
-
-    def recorded_high_water_mark(self):
-        """``(known, value)``: the largest watermark value in the current version.
-
-        Read from the newest history row alone (its watermark columns are
-        cumulative over the location); unknown when some write there did not
-        record its maximum.
-        """
-        row = self._latest_row(refresh=True)
-        if row is None:
-            return True, None
-        return bool(row["mark_complete"]), row["max_watermark"]

@@ -1,25 +1,22 @@
-"""MERGE-style upserts into snapshot tables (M1, M2, SK8)."""
+"""The gold Type-1 upsert (M1, M2)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
-from marketpulse.operators.upsert import upsert_type1
-from marketpulse.plans.tables import SnapshotTable
-from marketpulse.schemas import GOLD_COLUMNS, GOLD_KEYS, GOLD_MEASURES
+from marketpulse.operators.upsert import CHANGE_COL
+from marketpulse.plans.tables import merge_into
+from marketpulse.schemas import GOLD_COLUMNS, GOLD_KEYS, GOLD_MEASURES, GOLD_PARTITION, GOLD_SCHEMA
 
 
-def merge_into(table: SnapshotTable, source: DataFrame, keys, update_cols, insert_cols=None,
-               compare_cols=None, null_safe: bool = False) -> int:
-    """Upsert ``source`` into the current version; commits and returns the new version."""
-    target = table.read()
-    n_source = source.count()  # recorded in the history; also picks the join plan
-    merged = upsert_type1(target, source, keys, update_cols, insert_cols, compare_cols, null_safe,
-                          source_rows=n_source)
-    params = {"keys": list(keys), "update": list(update_cols), "null_safe": null_safe}
-    return table.commit(merged, "MERGE", params, num_source_rows=n_source)
+def merge_gold(spark: SparkSession, path: str, source: DataFrame, null_safe: bool = False,
+               record_change: bool = False) -> dict[str, int]:
+    """Upsert bars into the gold table at ``path``: match on (Date, Ticker); the sector is never updated.
 
-
-def merge_gold(table: SnapshotTable, source: DataFrame, null_safe: bool = False) -> int:
-    """The gold type-1 upsert: match on (Date, Ticker); the sector is never updated."""
-    return merge_into(table, source, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS, null_safe=null_safe)
+    Only the dates of ``source`` are rewritten; returns the row counts.
+    ``record_change`` keeps what happened to each row in column ``_change``.
+    """
+    schema = StructType([*GOLD_SCHEMA.fields, StructField(CHANGE_COL, StringType())]) if record_change else GOLD_SCHEMA
+    return merge_into(spark, path, schema, source, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS, "Date", GOLD_PARTITION,
+                      null_safe)

@@ -13,23 +13,26 @@ parameters) but expresses the semantics independently in plain SQL
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from marketpulse.functions.columns import is_weekday, iso_z, without_phrase
+from marketpulse.functions.columns import is_weekday, iso_z, nan_to_null, start_of_day, without_phrase
 from marketpulse.operators.aggregates import company_counts, high_water_mark, load_audit
 from marketpulse.operators.keyword import match_keywords
 from marketpulse.operators.page_cap import cap_pages
 from marketpulse.operators.tagging import tag_company, with_sector_case
 from marketpulse.operators.timegrid import HourGrid, bucket_assign, span_grid
+from marketpulse.operators.upsert import upsert_type1
 from marketpulse.plans.bronze import bronze_frame, bulk_load, incremental_load, read_bronze
-from marketpulse.plans.gold import build_gold, correction_rows, hourly_sentiment, scored_gold
-from marketpulse.plans.silver import build_silver
-from marketpulse.plans.tables import SnapshotTable
+from marketpulse.plans.catalog import drop_table, read_table, save_table, use_database
+from marketpulse.plans.gold import build_gold, correction_rows, hourly_sentiment, read_gold, scored_gold, write_gold
+from marketpulse.plans.silver import build_silver, read_silver, write_silver
 from marketpulse.plans.upserts import merge_gold
-from marketpulse.schemas import GOLD_COLUMNS
+from marketpulse.schemas import BRONZE_PARTITION, GOLD_COLUMNS
 from marketpulse.session import scratch_path
 from marketpulse.sources.company import (
     COMPANIES, EARLY_COMPANY_COUNT, NOISE_PHRASE, PAGE_CAP, SECTOR_CASE_ARMS, SECTOR_CASE_DEFAULT,
@@ -38,7 +41,7 @@ from marketpulse.sources.company import (
 from marketpulse.sources.literal import literal_frame
 from marketpulse.sources.pages import flatten_pages, land_pages, read_pages
 from marketpulse.sources.testdata import (
-    EVENT_PAGE_WIDTH, EVENT_TICKERS, bars_from_events, posts_from_events, scored_posts, table,
+    EVENT_PAGE_WIDTH, EVENT_TICKERS, bars_from_events, posts_from_events, scored_from_posts, scored_posts, table,
 )
 from marketpulse.streaming.bronze_stream import stage_posts, stream_to_bronze
 
@@ -99,15 +102,37 @@ DIM_CTE = ("dim AS (SELECT CAST(o AS BIGINT) AS ordinal, ticker, keyword, sector
 EARLY_DIM_CTE = ("early_dim AS (SELECT ticker, keyword FROM (VALUES "
                  + _values([(t, k) for t, k, _ in COMPANIES[:EARLY_COMPANY_COUNT]])
                  + ") v(ticker, keyword))")
-POSTS_CTE = f"""posts AS (
+POSTS_SELECT = f"""
   SELECT CAST(user_id AS VARCHAR) AS "user", ts AS created_at, CAST(event_id AS VARCHAR) AS id,
          props AS text, {_case('event_type', EVENT_TICKERS)} AS ticker, value AS sentID,
          event_id // {EVENT_PAGE_WIDTH} AS page, event_id
-  FROM events)"""
+  FROM events"""
+POSTS_CTE = f"posts AS ({POSTS_SELECT})"
 TAGGED_CTE = """tagged AS (
   SELECT p.*, d.keyword AS company, d.sector AS CompanySector
   FROM posts p JOIN dim d ON p.ticker = d.ticker)"""
 BASE = f"WITH {DIM_CTE},\n{POSTS_CTE},\n{TAGGED_CTE}"
+# posts that the events lack: on grid points, around the grid's ends, without time,
+# text, score or key, on a weekend, with the excluded phrase
+EDGE_POSTS = [
+    ("-1", "2024-01-02 01:30:00", "first grid point", "CAT", "1.5"),
+    ("-2", "2024-01-03 10:30:00", "inner grid point: two buckets", "CAT", "-0.5"),
+    ("-3", "2024-01-30 00:30:00", "end of the last bucket", "CAT", "0.25"),
+    ("-4", "2024-01-30 00:30:01", "one second later", "CAT", "9"),
+    ("-5", None, "no time", "CAT", "9"),
+    ("-6", "2024-01-03 10:45:00", None, "CAT", "9"),
+    ("-7", "2024-01-04 12:30:00", "no score", "BAC", None),
+    ("-8", "2024-01-04 12:31:00", "score not a number", "BAC", "NaN"),
+    ("-9", "2024-01-06 12:00:00", "Saturday", "BAC", "1"),
+    ("-10", "2024-01-07 12:00:00", "Sunday", "BAC", "1"),
+    ("-11", "2024-01-08 12:00:00", "a game at Bank of America Stadium tonight", "BAC", "1"),
+    ("-12", "2024-01-08 12:00:00", "a game at bank of america stadium tonight", "BAC", "1"),
+    ("-13", "2024-01-08 12:00:00", "no key", None, "1"),
+    ("-14", "1969-12-31 23:30:00", "long ago, the only post of its hour", "DVN", None),
+]
+EDGE_BASE = BASE.replace(POSTS_SELECT, f"""{POSTS_SELECT}
+  UNION ALL SELECT 'edge', CAST(c1 AS TIMESTAMP), c0, c2, c3, CAST(c4 AS DOUBLE), 0, CAST(c0 AS BIGINT)
+  FROM (VALUES {_values(EDGE_POSTS)}) e(c0, c1, c2, c3, c4)""")
 
 
 def _bronze_select(where: str) -> str:
@@ -135,8 +160,8 @@ BARS_CTE = """bars AS (
          ticker AS Ticker, CompanySector, "Close" AS Adj_Close, "Close", High, Low, "Open", Volume
   FROM (SELECT ticker, CompanySector,
                date_trunc('hour', created_at - INTERVAL 30 MINUTE) + INTERVAL 90 MINUTE AS "Date",
-               arg_min(sentID, created_at) AS "Open", max(sentID) AS High, min(sentID) AS Low,
-               arg_max(sentID, created_at) AS "Close", count(*) AS Volume
+               first(sentID ORDER BY created_at, event_id) AS "Open", max(sentID) AS High, min(sentID) AS Low,
+               last(sentID ORDER BY created_at, event_id) AS "Close", count(*) AS Volume
         FROM tagged GROUP BY ALL))"""
 GOLD_CTE = """gold AS (
   SELECT b."Date", b.Ticker, b.Adj_Close, b."Close", b.High, b.Low, b."Open", b.Volume,
@@ -182,6 +207,15 @@ def _posts(spark, sf_dir):
     return posts_from_events(_events(spark, sf_dir))
 
 
+def _edge_posts(spark, sf_dir):
+    """The posts of the events and the edge posts."""
+    schema = StructType([StructField(c, StringType()) for c in ("id", "t", "text", "ticker", "s")])
+    edges = literal_frame(spark, EDGE_POSTS, schema).select(
+        F.lit("edge").alias("user"), F.col("t").cast("timestamp_ntz").alias("created_at"), "id", "text", "ticker",
+        F.col("s").cast("double").alias("sentID"), F.lit(0).cast("bigint").alias("page"))
+    return _posts(spark, sf_dir).unionByName(edges)
+
+
 def _dim(spark):
     return company_dim(spark)
 
@@ -273,7 +307,7 @@ SELECT id, ticker, created_at, '{AS_OF[:10]}T00:00:00Z' AS start_time FROM posts
 WHERE created_at >= date_trunc('day', TIMESTAMP '{AS_OF}') AND created_at <= TIMESTAMP '{AS_OF}'""")
 def q_since_midnight(spark, sf_dir):
     as_of = _ntz(AS_OF)
-    start = as_of.cast("date").cast("timestamp_ntz")
+    start = start_of_day(as_of)
     posts = _posts(spark, sf_dir)
     return (posts.where((F.col("created_at") >= start) & (F.col("created_at") <= as_of))
             .select("id", "ticker", "created_at", iso_z(start).alias("start_time")))
@@ -295,6 +329,7 @@ SELECT p.id, p.created_at, p.ticker, e.keyword AS company, NULL AS CompanySector
 FROM posts p JOIN early_dim e ON p.ticker = e.ticker
 WHERE p.created_at >= TIMESTAMP '{INCREMENTAL_CUT}'""")
 def q_union_loads(spark, sf_dir):
+    """A load with sectors, and one of the earlier variant (20 companies, so IVV drops out; no sector)."""
     posts = _posts(spark, sf_dir)
     cut = _ntz(INCREMENTAL_CUT)
     with_sector = (tag_company(posts.where(F.col("created_at") < cut), _dim(spark))
@@ -336,6 +371,26 @@ def q_bucket_join(spark, sf_dir):
     return bucket_assign(posts, "created_at", TEST_GRID)
 
 
+@register("bucket_join_edges", f"""{EDGE_BASE},
+{GRID_CTE}
+SELECT p.id, p.created_at, g.startdatetime, g.enddatetime
+FROM posts p JOIN grid g ON p.created_at >= g.startdatetime AND p.created_at <= g.enddatetime""")
+def q_bucket_join_edges(spark, sf_dir):
+    """Posts on grid points: in both buckets that touch there."""
+    return bucket_assign(_edge_posts(spark, sf_dir).select("id", "created_at"), "created_at", TEST_GRID)
+
+
+@register("hourly_sentiment_edges", f"""{EDGE_BASE},
+{GRID_CTE},
+{SILVER_CTE},
+{HOURLY_CTE}
+SELECT Ticker, companySector, enddatetime, round(sentimentScore, {SCORE_DIGITS}) AS sentimentScore FROM hourly""")
+def q_hourly_sentiment_edges(spark, sf_dir):
+    """Scores that are NULL or not a number, posts on grid points and weekends."""
+    silver = build_silver(scored_from_posts(_edge_posts(spark, sf_dir), _dim(spark), RUN_DATE))
+    return _round_score(hourly_sentiment(silver, TEST_GRID))
+
+
 @register("hourly_sentiment", f"""{BASE},
 {GRID_CTE},
 {SILVER_CTE},
@@ -370,12 +425,12 @@ def q_correction_rows(spark, sf_dir):
     return _round_score(spark.table("src_table"))
 
 
-def _run_merge(spark, sf_dir, name) -> SnapshotTable:
-    target = SnapshotTable(spark, scratch_path(spark, name))
-    target.commit(_gold(spark, sf_dir), "WRITE", {"mode": "Overwrite"})
-    src = correction_rows(target.read(), CORRECTION_TICKER, CORRECTION_UNTIL)
-    merge_gold(target, src)
-    return target
+def _run_merge(spark, sf_dir, name) -> tuple[str, dict]:
+    """Gold written, then corrected in place; its path and the merge's row counts."""
+    path = scratch_path(spark, name)
+    write_gold(_gold(spark, sf_dir, sort=False).withColumn("_change", F.lit("copy")), path)
+    src = correction_rows(read_gold(spark, path), CORRECTION_TICKER, CORRECTION_UNTIL)
+    return path, merge_gold(spark, path, src, record_change=True)
 
 
 @register("upsert_type1", f"""{GOLD_BASE},
@@ -383,8 +438,8 @@ def _run_merge(spark, sf_dir, name) -> SnapshotTable:
 {MERGE_CTE}
 SELECT {GOLD_SELECT}, _change FROM merged""")
 def q_upsert_type1(spark, sf_dir):
-    target = _run_merge(spark, sf_dir, "gold_upsert")
-    return _round_score(target.read_changes())
+    path, _ = _run_merge(spark, sf_dir, "gold_upsert")
+    return _round_score(spark.read.parquet(path).select(*GOLD_COLUMNS, "_change"))
 
 
 @register("upsert_history", f"""{GOLD_BASE},
@@ -398,9 +453,91 @@ SELECT CAST(1 AS BIGINT), 'MERGE', (SELECT count(*) FROM src), count(*),
        count(*) FILTER (WHERE _change = 'insert'), count(*) FILTER (WHERE _change = 'update'),
        count(*) FILTER (WHERE _change = 'copy') FROM merged""")
 def q_upsert_history(spark, sf_dir):
-    target = _run_merge(spark, sf_dir, "gold_history")
-    return target.history().select("version", "operation", "num_source_rows", "num_output_rows",
-                                   "num_inserted", "num_updated", "num_copied")
+    """Row counts of the write and of the merge, aggregated from the table after it."""
+    path, counts = _run_merge(spark, sf_dir, "gold_history")
+    change = F.col("_change")
+    n = spark.read.parquet(path).agg(*[F.count(F.when(change == c, 1)).alias(c) for c in ("insert", "update", "copy")])
+    before, zero = F.col("update") + F.col("copy"), F.lit(0).cast("bigint")
+
+    def row(version, operation, *numbers):
+        names = ("num_source_rows", "num_output_rows", "num_inserted", "num_updated", "num_copied")
+        return n.select(F.lit(version).cast("bigint").alias("version"), F.lit(operation).alias("operation"),
+                        *[x.alias(c) for x, c in zip(numbers, names)])
+
+    return (row(0, "WRITE", before, before, before, zero, zero)
+            .unionByName(row(1, "MERGE", F.lit(counts["source"]).cast("bigint"), before + F.col("insert"),
+                             F.col("insert"), F.col("update"), F.col("copy"))))
+
+
+_ORDER_COLUMNS = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus"]
+
+
+@register("upsert_orders", """WITH tgt AS (SELECT * FROM orders WHERE o_orderkey % 10 <> 0),
+src AS (SELECT CASE WHEN o_orderkey % 70 <> 0 THEN o_orderkey END AS k, o_orderdate AS d,
+               CASE o_orderkey % 3 WHEN 0 THEN o_totalprice + 1 WHEN 1 THEN NULL ELSE o_totalprice END AS price,
+               CASE WHEN o_orderkey % 7 = 0 THEN 'changed' ELSE o_orderpriority END AS prio, 'X' AS status
+        FROM orders WHERE o_orderkey % 10 < 2),
+j AS (SELECT *, coalesce(k IS NOT NULL AND o_orderkey IS NOT NULL
+                         AND (price <> o_totalprice OR prio <> o_orderpriority), FALSE) AS upd
+      FROM tgt FULL OUTER JOIN src ON o_orderkey = k AND o_orderdate = d)
+SELECT CASE WHEN o_orderkey IS NULL THEN k ELSE o_orderkey END AS o_orderkey,
+       CASE WHEN o_orderkey IS NULL THEN d ELSE o_orderdate END AS o_orderdate,
+       CASE WHEN o_orderkey IS NULL OR upd THEN price ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey IS NULL OR upd THEN prio ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderkey IS NULL THEN status ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey IS NULL THEN 'insert' WHEN upd THEN 'update' ELSE 'copy' END AS _change
+FROM j""")
+def q_upsert_orders(spark, sf_dir):
+    """Nine tenths of the orders as target; a fifth as source, with changed and NULL measures and NULL keys."""
+    orders = table(spark, sf_dir, "orders").select(*_ORDER_COLUMNS)
+    k = F.col("o_orderkey")
+    price = F.when(k % 3 == 0, F.col("o_totalprice") + 1).when(k % 3 == 2, F.col("o_totalprice"))
+    src = orders.where(k % 10 < 2).select(
+        F.when(k % 70 != 0, k).alias("o_orderkey"), "o_orderdate", price.alias("o_totalprice"),
+        F.when(k % 7 == 0, "changed").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.lit("X").alias("o_orderstatus"))
+    return upsert_type1(orders.where(k % 10 != 0), src, ["o_orderkey", "o_orderdate"], ["o_totalprice", "o_orderpriority"])
+
+
+@register("silver_table", f"""{EDGE_BASE}
+SELECT created_at AS Twitter_Created_datetime, id, text, ticker AS Ticker, company, CompanySector AS companySector,
+       CAST(DATE '{RUN_DATE}' AS TIMESTAMP) AS load_date, nullif(sentID, 'nan'::DOUBLE) AS sentID,
+       CAST(CAST(created_at AS DATE) AS TIMESTAMP) AS Tweet_date
+FROM tagged WHERE isodow(CAST(created_at AS DATE)) <= 5""")
+def q_silver_table(spark, sf_dir):
+    """Silver written by date and read back."""
+    path = scratch_path(spark, "silver")
+    write_silver(build_silver(scored_from_posts(_edge_posts(spark, sf_dir), _dim(spark), RUN_DATE)), path)
+    return _dates_as_timestamps(read_silver(spark, path)).withColumn("sentID", nan_to_null("sentID"))
+
+
+@register("gold_table", f"""{GOLD_BASE}
+SELECT {GOLD_SELECT} FROM gold""")
+def q_gold_table(spark, sf_dir):
+    """Gold built from a silver table on disk, written and read back."""
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    write_silver(_silver(spark, sf_dir), silver)
+    bars = bars_from_events(_events(spark, sf_dir), _dim(spark))
+    write_gold(build_gold(bars, read_silver(spark, silver), TEST_GRID), gold)
+    return _round_score(read_gold(spark, gold))
+
+
+@register("database_tables", f"""{BASE}
+{_bronze_select('TRUE')}""")
+def q_database_tables(spark, sf_dir):
+    """A database; a table saved in it, dropped, created again and read by name."""
+    rows, name = bronze_frame(_posts(spark, sf_dir), _dim(spark), RUN_DATE), f"tweet_bronze_{uuid.uuid4().hex[:12]}"
+    before = spark.catalog.currentDatabase()
+    use_database(spark, "marketpulse_scratch")
+    try:
+        name = f"marketpulse_scratch.{name}"
+        save_table(rows.where(F.col("Ticker") == "CAT"), name, partition_col=BRONZE_PARTITION)
+        drop_table(spark, name)
+        save_table(rows.where(F.col("Ticker") == "CAT"), name, partition_col=BRONZE_PARTITION)
+        save_table(rows.where(F.col("Ticker") != "CAT"), name, mode="append", partition_col=BRONZE_PARTITION)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    return _dates_as_timestamps(read_table(spark, name))
 
 
 @register("json_pages", f"""WITH {POSTS_CTE}
@@ -501,6 +638,16 @@ def q_bronze_bulk(spark, sf_dir):
     return _dates_as_timestamps(read_bronze(spark, path))
 
 
+@register("bronze_edges", f"""WITH e AS ({EDGE_BASE}
+{_bronze_select('TRUE')})
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS id) FROM e""")
+def q_bronze_edges(spark, sf_dir):
+    """Blanked ids; the excluded phrase in a post, and in another letter case."""
+    path = scratch_path(spark, "bronze_edges")
+    bulk_load(_edge_posts(spark, sf_dir), _dim(spark), path, RUN_DATE, blank_id=True)
+    return _dates_as_timestamps(read_bronze(spark, path))
+
+
 @register("bronze_incremental", f"""{BASE},
 part1 AS ({_bronze_select(f"created_at < TIMESTAMP '{INCREMENTAL_CUT}'")}),
 hwm AS (SELECT max(Twitter_Created_datetime) AS m FROM part1)

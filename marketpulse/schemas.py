@@ -96,3 +96,7 @@ GOLD_KEYS = ["Date", "Ticker"]
 GOLD_MEASURES = ["Adj_Close", "Close", "High", "Low", "Open", "Volume", "sentimentScore"]
 
 BRONZE_PARTITION = "Tweet_date"
+GOLD_PARTITION = "Gold_date"
+
+GOLD_SCHEMA = StructType([next(f for f in [*BARS_SCHEMA.fields, StructField("sentimentScore", DoubleType())] if f.name == c)
+                          for c in GOLD_COLUMNS])

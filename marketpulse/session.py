@@ -2,13 +2,16 @@
 
 The library never picks a machine-local folder on its own when running on a
 cluster: intermediate tables (landed pages, snapshots, stream checkpoints) go
-under the shared folder named by ``spark.checkpoint.dir``. Only when that is
-unset (local runs, tests) do we create one and register it.
+under the shared folder named by ``spark.checkpoint.dir``. Only a local
+session may leave that unset (tests, laptops): it gets a temporary folder, which
+is removed when the process ends. On a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -57,35 +60,35 @@ def get_session(master: str | None = "local[8]", app_name: str = "marketpulse",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared checkpoint folder; a local session without one gets a temporary folder."""
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc = _context(spark)
     if configured:
-        if sc is not None and not sc.getCheckpointDir():
+        if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = sc.getCheckpointDir() if sc is not None else None
+    current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not is_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="marketpulse-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
-    else:
-        try:
-            spark.conf.set("spark.checkpoint.dir", local)
-        except Exception:
-            pass  # remembered nowhere: the next call makes another local folder
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
+    sc.setCheckpointDir(local)
     return local
 
 
-def _context(spark: SparkSession):
-    """The SparkContext, or None on sessions without one (e.g. Spark Connect)."""
-    try:
-        return spark.sparkContext
-    except Exception:
-        return None
+def is_local(master: str) -> bool:
+    """One process: ``local``, ``local[...]``; not ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir."""
     return f"{ensure_checkpoint_dir(spark)}/marketpulse/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch folders under the shared checkpoint dir (results that still read them are lost)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/marketpulse")
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

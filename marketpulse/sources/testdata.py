@@ -54,8 +54,13 @@ def posts_from_events(events: DataFrame) -> DataFrame:
 
 
 def scored_posts(events: DataFrame, dim: DataFrame, run_date: str) -> DataFrame:
-    """The scored pre-silver layer: bronze columns plus ``sentID``."""
-    tagged = tag_company(posts_from_events(events), dim)
+    """The scored pre-silver layer of the events."""
+    return scored_from_posts(posts_from_events(events), dim, run_date)
+
+
+def scored_from_posts(posts: DataFrame, dim: DataFrame, run_date: str) -> DataFrame:
+    """Bronze columns plus ``sentID``."""
+    tagged = tag_company(posts, dim)
     return tagged.select(
         "user",
         F.col("created_at").alias("Twitter_Created_datetime"),
@@ -80,7 +85,7 @@ def bar_time(ts) -> Column:
 def bars_from_events(events: DataFrame, dim: DataFrame) -> DataFrame:
     """Hourly OHLCV bars per ticker from event values (the price-bar input)."""
     posts = tag_company(posts_from_events(events), dim)
-    order = F.col("created_at")  # a fixed-width key keeps the aggregate hash-based
+    order = F.struct("created_at", F.col("id").cast("long"))  # posts of one instant: by id
     bars = (posts.groupBy("ticker", "CompanySector", bar_time("created_at").alias("Date"))
             .agg(F.min_by("sentID", order).alias("Open"),
                  F.max("sentID").alias("High"),

@@ -3,29 +3,26 @@
 The stage is an append-only folder of typed bronze rows. A Structured
 Streaming query reads it with a declared schema and, with
 ``trigger(availableNow=True)``, processes everything available in one or more
-micro-batches and stops. Each batch goes through ``foreachBatch`` and is
-appended with the same partitioned batch writer as the bulk/incremental
-loads, so batch and stream loads share one table safely.
+micro-batches and stops. Each batch goes through ``foreachBatch`` and becomes
+one load of the bronze table, named after the checkpoint and the batch id.
 
-Idempotence: a micro-batch may be re-run after a failure (at-least-once), so
-each batch is anti-joined on ``(id, Ticker)`` against only the bronze
-partitions (dates) the batch touches before appending; a re-run adds
-nothing. The checkpoint lives next to the table and is derived from it, never
-changed, so a restart continues where it stopped.
+Idempotence: a micro-batch may run again after a failure (at-least-once); the
+repeated batch replaces its own folder whole, so it adds nothing twice, and
+no batch reads the table. Rows are appended as staged, repeated or NULL ids
+included. The checkpoint lies beside the table and is derived from its path,
+so a restart continues where it stopped; a stream with another checkpoint is
+another stream and appends all staged rows again.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from hashlib import sha256
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from marketpulse.plans.bronze import TS, bronze_table
+from marketpulse.plans.tables import write_load
 from marketpulse.schemas import BRONZE_PARTITION, BRONZE_SCHEMA
 
-DEDUP_KEYS = ["id", "Ticker"]
-MAX_DATES_PER_BATCH = 10_000
-
 
 def stage_posts(bronze_rows: DataFrame, stage_path: str) -> None:
     """Append typed bronze rows to the stage folder (never overwritten)."""
@@ -33,57 +30,36 @@ def stage_posts(bronze_rows: DataFrame, stage_path: str) -> None:
 
 
 def checkpoint_for(table_path: str, name: str = "stream") -> str:
-    return f"{table_path.rstrip('/')}/_checkpoints/{name}"
+    return f"{table_path.rstrip('/')}_checkpoints/{name}"
 
 
-def append_batch_idempotent(spark: SparkSession, batch: DataFrame, table_path: str,
-                            batch_id: int | None = None) -> None:
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # one small job: the dates the batch touches and its largest event time
-        per_date = (batch.groupBy(BRONZE_PARTITION).agg(F.max(TS).alias("_mp_max"))
-                    .limit(MAX_DATES_PER_BATCH + 1).collect())
-        if not per_date:
-            return  # empty batch: nothing to append, no version to log
-        dates = [r[0] for r in per_date]
-        maxima = [r[1] for r in per_date if r[1] is not None]
-        batch_max = max(maxima) if maxima and len(per_date) <= MAX_DATES_PER_BATCH \
-            else batch.agg(F.max(TS)).first()[0]
-        table = bronze_table(spark, table_path)
-        existing = table.read() if table.current_version() is not None else None
-        fresh = batch
-        if existing is not None and dates:
-            if len(dates) <= MAX_DATES_PER_BATCH:
-                # prune to the partitions this batch can collide with
-                known = [d for d in dates if d is not None]
-                touched = F.col(BRONZE_PARTITION).isin(known) if known else F.lit(False)
-                if len(known) < len(dates):
-                    touched = touched | F.col(BRONZE_PARTITION).isNull()
-                existing = existing.where(touched)
-            fresh = batch.join(existing.select(*DEDUP_KEYS), DEDUP_KEYS, "left_anti")
-        # every batch row is in the table afterwards (appended now or already there),
-        # so the batch maximum is a valid high-water-mark contribution
-        table.append(fresh, "STREAMING UPDATE", {"outputMode": "Append", "epochId": batch_id},
-                     observe=False, watermark=batch_max, watermark_exact=True)
-    finally:
-        batch.unpersist()
+def append_batch(batch: DataFrame, table_path: str, checkpoint: str, batch_id: int) -> None:
+    """One micro-batch as one load; running it again replaces it."""
+    stream = sha256(checkpoint.encode()).hexdigest()[:12]
+    write_load(batch, table_path, f"stream-{stream}-{batch_id:010d}", BRONZE_PARTITION)
 
 
 def stream_to_bronze(spark: SparkSession, stage_path: str, table_path: str,
                      checkpoint: str | None = None, max_files_per_trigger: int | None = None,
-                     timeout_s: float = 600.0) -> dict:
-    """Process all staged rows not yet seen, then stop; returns the last progress."""
+                     timeout_s: float | None = None) -> dict:
+    """Process all staged rows not yet seen, then stop; returns the last progress.
+
+    By default the stream runs until the backlog is done, however long that
+    takes; with ``timeout_s`` it is stopped then and raises, and the next
+    call continues.
+    """
+    checkpoint = checkpoint or checkpoint_for(table_path)
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.parquet(stage_path)
-    query = (stream.writeStream
+    query = (reader.parquet(stage_path).writeStream
              .trigger(availableNow=True)
-             .option("checkpointLocation", checkpoint or checkpoint_for(table_path))
-             .foreachBatch(lambda df, batch_id: append_batch_idempotent(spark, df, table_path, batch_id))
+             .option("checkpointLocation", checkpoint)
+             .foreachBatch(lambda df, batch_id: append_batch(df, table_path, checkpoint, batch_id))
              .start())
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream into {table_path} did not finish in {timeout_s}s")
     err = query.exception()

@@ -38,24 +38,3 @@ def test_register_path(spark, tmp_path_str):
     register_path(spark, "default.bronze_by_path", path)
     assert read_table(spark, "default.bronze_by_path").count() == 5
     drop_table(spark, "default.bronze_by_path")
-
-
-def test_register_snapshot_follows_versions(spark, tmp_path_str):
-    from marketpulse.plans.bronze import bronze_table, bulk_load
-    from marketpulse.plans.catalog import register_snapshot
-    from marketpulse.sources.company import company_dim as dim_of
-
-    def raw(n, start=0):
-        data = [(f"u{i}", datetime(2021, 12, 6, 9).isoformat(sep=" "), str(i), "t", "CAT")
-                for i in range(start, start + n)]
-        return spark.createDataFrame(data, "user string, t string, id string, text string, ticker string") \
-            .select("user", F.col("t").cast("timestamp_ntz").alias("created_at"), "id", "text", "ticker")
-
-    path = tmp_path_str + "/bronze"
-    bulk_load(raw(3), dim_of(spark), path)
-    register_snapshot(spark, "default.bronze_v", bronze_table(spark, path))
-    assert read_table(spark, "default.bronze_v").count() == 3
-    bulk_load(raw(5, 10), dim_of(spark), path)  # overwrite: new version folder
-    register_snapshot(spark, "default.bronze_v", bronze_table(spark, path))
-    assert read_table(spark, "default.bronze_v").count() == 5
-    drop_table(spark, "default.bronze_v")

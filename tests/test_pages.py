@@ -121,7 +121,8 @@ def test_runs_stay_apart_and_null_keys_stay(spark, tmp_path_str):
     kept = {(r.run, r.ticker): [] for r in capped.collect()}
     for r in capped.collect():
         kept[r.run, r.ticker].append(r.page)
-    assert len(kept) == 6 and all(sorted(p) == [0, 1] for p in kept.values())
+    # page 0 holds ids 0 to 6: three rows of A, two of each other key
+    assert kept.keys() == audit.keys() and all(sorted(p) == ([0] if k == "A" else [0, 1]) for (_, k), p in kept.items())
 
 
 def test_repeated_page_numbers_are_separate_pages(spark):
@@ -145,6 +146,6 @@ def test_oversized_page_fails(spark, tmp_path_str, monkeypatch):
     import pytest
 
     import marketpulse.sources.pages as P
-    monkeypatch.setattr(P, "MAX_PAGE_POSTS", 3)
-    with pytest.raises(Exception, match="more than 3 posts"):
+    monkeypatch.setattr(P, "MAX_PAGE_POSTS", 2)
+    with pytest.raises(Exception, match="more than 2 posts"):
         land_pages(_posts(spark), tmp_path_str + "/big")

@@ -85,9 +85,8 @@ def brute_merge(target, source):
 @given(t_keys=st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["A", "B"])), unique=True, max_size=10),
        s_keys=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.sampled_from(["A", "B"])),
                        unique=True, max_size=8),
-       vals=st.lists(st.one_of(st.none(), st.integers(0, 2)), min_size=40, max_size=40),
-       small=st.booleans())
-def test_upsert_matches_brute_force(spark, t_keys, s_keys, vals, small):
+       vals=st.lists(st.one_of(st.none(), st.integers(0, 2)), min_size=40, max_size=40))
+def test_upsert_matches_brute_force(spark, t_keys, s_keys, vals):
     from marketpulse.operators.upsert import upsert_type1
     it = iter(vals)
     target = [(k1, k2, next(it), next(it), "t") for k1, k2 in t_keys]
@@ -95,7 +94,6 @@ def test_upsert_matches_brute_force(spark, t_keys, s_keys, vals, small):
     schema = "k1 int, k2 string, v1 int, v2 int, sector string"
     t = spark.createDataFrame(target, schema)
     s = spark.createDataFrame(source, schema)
-    out = upsert_type1(t, s, ["k1", "k2"], ["v1", "v2"], ["k1", "k2", "v1", "v2", "sector"],
-                       small_source_rows=100 if small else 0)
+    out = upsert_type1(t, s, ["k1", "k2"], ["v1", "v2"], ["k1", "k2", "v1", "v2", "sector"])
     got = sorted((tuple(r) for r in out.collect()), key=repr)
     assert got == brute_merge(target, source)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from marketpulse.plans.bronze import bronze_frame, read_bronze
 from marketpulse.sources.company import company_dim
-from marketpulse.streaming.bronze_stream import stage_posts, stream_to_bronze
+from marketpulse.streaming.bronze_stream import append_batch, stage_posts, stream_to_bronze
 
 
 def rows(spark, start, n):
@@ -30,10 +30,24 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark, tmp_path_str):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_new_checkpoint_does_not_duplicate_k16(spark, tmp_path_str):
+def test_repeated_batch_replaces_itself(spark, tmp_path_str):
+    """A batch that ran and was not recorded runs again; NULL and repeated ids stay as staged."""
+    table, checkpoint = tmp_path_str + "/bronze", tmp_path_str + "/ckpt"
+    batch = rows(spark, 0, 25)
+    blank = batch.withColumn("id", F.lit(None).cast("string")).unionByName(batch.limit(5)).unionByName(batch.limit(5))
+    append_batch(blank, table, checkpoint, 0)
+    append_batch(blank, table, checkpoint, 0)
+    assert read_bronze(spark, table).count() == 35
+    append_batch(blank, table, checkpoint, 1)
+    append_batch(blank, table, checkpoint + "-other", 0)
+    assert read_bronze(spark, table).count() == 105
+
+
+def test_time_limit_is_optional(spark, tmp_path_str):
+    import inspect
+
+    assert inspect.signature(stream_to_bronze).parameters["timeout_s"].default is None
     stage, table = tmp_path_str + "/stage", tmp_path_str + "/bronze"
-    stage_posts(rows(spark, 0, 25), stage)
-    stream_to_bronze(spark, stage, table)
-    # a fresh checkpoint replays every staged file; the per-batch anti-join keeps the table exact
-    stream_to_bronze(spark, stage, table, checkpoint=tmp_path_str + "/other-ckpt")
-    assert read_bronze(spark, table).count() == 25
+    stage_posts(rows(spark, 0, 5), stage)
+    stream_to_bronze(spark, stage, table, timeout_s=300)
+    assert read_bronze(spark, table).count() == 5

@@ -3,8 +3,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from marketpulse.operators.upsert import DuplicateSourceKeyError, upsert_type1
-from marketpulse.plans.tables import SnapshotTable
+from marketpulse.operators.upsert import upsert_type1
+from marketpulse.plans.gold import read_gold, write_gold
 from marketpulse.plans.upserts import merge_gold
 from marketpulse.schemas import GOLD_COLUMNS, GOLD_KEYS, GOLD_MEASURES
 
@@ -43,10 +43,8 @@ def result(df):
     return {(r.Date, r.Ticker): r for r in df.collect()}
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_fixture_rows(spark, target, source, small):
-    out = upsert_type1(target, source, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS,
-                       small_source_rows=10 if small else 0)
+def test_fixture_rows(spark, target, source):
+    out = upsert_type1(target, source, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS)
     got = result(out)
     assert len(got) == 7  # 5 target rows + 2 inserts
     assert got[(D[0], "CAT")]._change == "copy"
@@ -63,67 +61,64 @@ def test_null_safe_option(spark, target, source):
     assert got[(D[2], "CAT")]._change == "update" and got[(D[2], "CAT")].sentimentScore == 0.7
 
 
-def test_plans_agree(spark, target, source):
-    a = upsert_type1(target, source, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS, small_source_rows=10)
-    b = upsert_type1(target, source, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS, small_source_rows=0)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-@pytest.mark.parametrize("small", [True, False])
-def test_duplicate_source_rows_for_one_target_key_k20(spark, target, small):
+def test_duplicate_source_rows_for_one_target_key_k20(spark, target):
     src = frame(spark, [bar(D[1], "CAT", 9.0), bar(D[1], "CAT", 9.5)])
-    with pytest.raises(DuplicateSourceKeyError):
-        upsert_type1(target, src, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS, small_source_rows=10 if small else 0)
-
-
-def test_snapshot_merge_idempotent_and_history(spark, target, source, tmp_path_str):
-    t = SnapshotTable(spark, tmp_path_str + "/gold")
-    assert t.commit(target, "WRITE") == 0
-    assert merge_gold(t, source) == 1
-    v1 = t.read()
-    assert v1.count() == target.count() + 2
-    # same source again: matched keys change nothing; the NULL-key row never
-    # matches, so it is inserted once more (MERGE semantics)
-    assert merge_gold(t, source) == 2
-    v2 = t.read()
-    assert v1.exceptAll(v2).count() == 0
-    extra = v2.exceptAll(v1).collect()
-    assert len(extra) == 1 and extra[0].Ticker is None
-    changes = {r[0]: r[1] for r in t.read_changes().groupBy("_change").count().collect()}
-    assert changes == {"copy": 7, "insert": 1}
-    h = [(r.version, r.operation, r.num_inserted, r.num_updated, r.num_copied, r.num_source_rows)
-         for r in t.history().collect()]
-    assert h == [(2, "MERGE", 1, 0, 7, 6), (1, "MERGE", 2, 1, 4, 6), (0, "WRITE", 5, 0, 0, 5)]
-    keyed = source.where("Ticker IS NOT NULL")
-    assert merge_gold(t, keyed) == 3  # with non-NULL keys a re-run is a no-op
-    assert t.read().exceptAll(v2).count() == 0 and v2.exceptAll(t.read()).count() == 0
-    assert t.read(0).count() == 5  # earlier versions stay readable
-
-
-def test_commit_recovers_from_a_failed_attempt(spark, target, tmp_path_str):
-    t = SnapshotTable(spark, tmp_path_str + "/gold")
-    t.commit(target, "WRITE")
-    # a crashed commit left data for version 1 but no history row
-    target.limit(1).write.parquet(tmp_path_str + "/gold/snapshots/00000001")
-    assert t.current_version(refresh=True) == 0 and t.read().count() == 5
-    assert t.commit(target.limit(2), "WRITE") == 1
-    assert t.read().count() == 2
-
-
-def test_history_segments_are_probed(spark, target, tmp_path_str, monkeypatch):
-    import marketpulse.plans.tables as T
-    monkeypatch.setattr(T, "HISTORY_SEGMENT", 2)  # 2 versions per segment folder
-    t = SnapshotTable(spark, tmp_path_str + "/gold")
-    for i in range(7):
-        t.commit(target.limit(i + 1), "WRITE")
-    fresh = SnapshotTable(spark, tmp_path_str + "/gold")  # no cached segment
-    assert fresh.current_version() == 6 and fresh.read().count() == 5  # fixture has 5 rows
-    assert [r.version for r in fresh.history().collect()] == list(range(6, -1, -1))
-
-
-@pytest.mark.parametrize("small", [True, False])
-def test_updated_columns_keep_target_types(spark, target, small):
+    with pytest.raises(Exception, match="several source rows match one target row"):
+        upsert_type1(target, src, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS).count()  # whatever columns are used
+    # two rows of a key that the target lacks, and two without key, are inserts
+    new = frame(spark, [bar(D[7], "CAT", 9.0), bar(D[7], "CAT", 9.5), bar(D[1], None, 1.0), bar(D[1], None, 1.0)])
+    out = upsert_type1(target, new, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS)
+    assert out.where("_change = 'insert'").count() == 4 and out.count() == 9
+
+
+def files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_merge_rewrites_only_touched_dates(spark, tmp_path):
+    path = tmp_path / "gold"
+    days = [datetime(2021, 12, d, 9, 30) for d in range(1, 6)]
+    write_gold(frame(spark, [bar(d, "CAT", 1.0) for d in days] + [bar(None, "CAT", 3.0)]), str(path))
+    before = files(path)
+    src = frame(spark, [bar(days[1], "CAT", 5.0), bar(days[2], "DE", 6.0), bar(datetime(2022, 1, 1, 9, 30), "CAT", 7.0)])
+    assert merge_gold(spark, str(path), src) == {"source": 3, "insert": 2, "update": 1, "copy": 1}
+    after = files(path)
+    kept = {f for f in before if after.get(f) == before[f]}
+    assert {f.split("/")[0] for f in kept} == {"Gold_date=2021-12-01", "Gold_date=2021-12-04", "Gold_date=2021-12-05",
+                                               "Gold_date=__HIVE_DEFAULT_PARTITION__"}
+    assert {f.split("/")[0] for f in set(after) - kept} == {"Gold_date=2021-12-02", "Gold_date=2021-12-03",
+                                                            "Gold_date=2022-01-01"}
+    got = {(r.Date, r.Ticker): r.Close for r in read_gold(spark, str(path)).collect()}
+    assert len(got) == 8 and got[(days[1], "CAT")] == 5.0 and got[(days[2], "DE")] == 6.0 and got[(None, "CAT")] == 3.0
+
+
+def test_merge_again_and_null_dates(spark, target, source, tmp_path_str):
+    path = tmp_path_str + "/gold"
+    write_gold(target, path)
+    assert merge_gold(spark, path, source) == {"source": 6, "insert": 2, "update": 1, "copy": 4}
+    once = read_gold(spark, path).collect()
+    # with keys throughout, the same source again is a no-op; rows without key are inserted once more
+    assert merge_gold(spark, path, source.where("Ticker IS NOT NULL")) == {"source": 5, "insert": 0, "update": 0, "copy": 7}
+    assert sorted(map(repr, read_gold(spark, path).collect())) == sorted(map(repr, once))
+    assert merge_gold(spark, path, source)["insert"] == 1
+    undated = frame(spark, [bar(None, "CAT", 1.0)])
+    assert merge_gold(spark, path, undated)["insert"] == 1
+    assert merge_gold(spark, path, undated) == {"source": 1, "insert": 1, "update": 0, "copy": 1}
+    assert read_gold(spark, path).where("Date IS NULL").count() == 2
+    assert merge_gold(spark, path, undated.limit(0)) == {"source": 0, "insert": 0, "update": 0, "copy": 0}
+
+
+def test_failed_merge_leaves_the_table(spark, target, tmp_path):
+    path = tmp_path / "gold"
+    write_gold(target, str(path))
+    before = files(path)
+    with pytest.raises(Exception, match="several source rows"):
+        merge_gold(spark, str(path), frame(spark, [bar(D[1], "CAT", 9.0), bar(D[1], "CAT", 9.5)]))
+    assert files(path) == before and read_gold(spark, str(path)).count() == target.count()
+
+
+def test_updated_columns_keep_target_types(spark, target):
     src = frame(spark, [bar(D[1], "CAT", 2.5)]).withColumn("Volume", F.lit(7).cast("int"))
-    out = upsert_type1(target, src, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS, small_source_rows=10 if small else 0)
+    out = upsert_type1(target, src, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS)
     assert dict(out.dtypes)["Volume"] == "bigint"
     assert result(out)[(D[1], "CAT")].Volume == 7

@@ -16,7 +16,8 @@ whose name is unique leave after each:
    its windows repeated. First occurrences stay only if their anchor name also
    occurs with other surroundings.
 2. Length 100: the single windows of those first occurrences, pairs of names
-   36 apart, are sorted. A window whose name occurs earlier is repeated.
+   36 apart, are sorted. A window whose name occurs earlier is repeated. A name
+   is 64 bits and 32 bits of a second one made from other byte names.
 
 Sorts go by request and reply: documents are dealt into blocks that follow
 the order of ids; a block sends its distinct names to ranges of the name
@@ -42,7 +43,9 @@ SEED_LENGTH = 32  # anchors; half of 64, and 64 + 36 = LENGTH
 BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 8 << 20
 CHUNK = 1 << 19  # bytes named at a time
-_BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+# two independent sets of one-byte names
+_BYTES, _CHECKS = np.random.default_rng(11).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
+PAIR_KINDS = ("<u8", "<u4")  # of the second names in the two sorts
 REQUEST = "part int, block int, keys binary, pairs binary"
 REPLY = "step int, part int, block int, n long, earlier binary, shared binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
@@ -120,23 +123,23 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return tuple(np.concatenate(c) if c else np.zeros(0, k) for c, k in zip(out, kinds))
 
 
-def window_names(texts: list[bytes], first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(start, name)`` of every window of the given anchors, in order."""
+def window_names(texts: list[bytes], first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(start, name, check)`` of every window of the given anchors, in order."""
     joined = np.frombuffer(b"".join(texts), np.uint8)
-    starts, names = [], []
+    out = [[np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]]
     size = last - first + LENGTH
     groups = np.cumsum(size) // CHUNK
     for g in np.unique(groups):
         a, n = first[groups == g], size[groups == g]
         ends = np.cumsum(n)
         at = np.arange(ends[-1]) - np.repeat(ends - n, n) + np.repeat(a, n)
-        named = _double(_BYTES[joined[at]], 1, LENGTH)
-        inside = at[:len(named)] <= np.repeat(a + n - LENGTH, n)[:len(named)]
-        starts.append(at[:len(named)][inside])
-        names.append(named[inside])
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(names)
+        raw = joined[at]
+        names = _double(_BYTES[raw], 1, LENGTH)
+        inside = at[:len(names)] <= np.repeat(a + n - LENGTH, n)[:len(names)]
+        out[0].append(at[:len(names)][inside])
+        out[1].append(names[inside])
+        out[2].append(_double(_CHECKS[raw], 1, LENGTH)[inside] >> np.uint64(32))
+    return tuple(np.concatenate(c) for c in out)
 
 
 def _distinct_pairs(name: np.ndarray, cover: np.ndarray):
@@ -173,7 +176,7 @@ def _ask_anchors(parts: int):
         _, _, name, cover = anchors(texts)
         firsts, _, _ = _distinct_pairs(name, cover)
         name, cover = name[firsts], cover[firsts]
-        out = [(part, block, pack_keys(name[a:b]), cover[a:b].astype("<u8").tobytes())
+        out = [(part, block, pack_keys(name[a:b]), cover[a:b].astype(PAIR_KINDS[0]).tobytes())
                for part, a, b in range_edges(name, parts)] if len(name) else []
         return pd.DataFrame(out, columns=["part", "block", "keys", "pairs"])
 
@@ -190,7 +193,7 @@ def _answer(step: int):
         sizes = [len(k) for k in keys]
         block = np.repeat(frame["block"].to_numpy(), sizes)
         name = np.concatenate(keys)
-        pair = np.concatenate([np.frombuffer(p, "<u8") for p in frame["pairs"]]) if step == 0 else name
+        pair = np.concatenate([np.frombuffer(p, PAIR_KINDS[step]) for p in frame["pairs"]])
         order = np.lexsort((block, pair, name))
         n, p = name[order], pair[order]
         new_name = np.append(True, n[1:] != n[:-1])
@@ -216,8 +219,7 @@ def _open_windows(texts: list[bytes], replies):
     earlier, shared = (_bits(replies, 0, x)[place] for x in ("earlier", "shared"))
     whole = earlier | ~is_first
     still = ~whole & shared
-    start, names = window_names(texts, first[still], last[still])
-    return first[whole], last[whole], start, names
+    return first[whole], last[whole], *window_names(texts, first[still], last[still])
 
 
 def _ask_windows(parts: int):
@@ -228,10 +230,12 @@ def _ask_windows(parts: int):
         if not len(frame):
             return pd.DataFrame([], columns=columns)
         _, texts = _in_order(frame)
-        keys = np.unique(_open_windows(texts, replies)[3])
+        _, _, _, name, check = _open_windows(texts, replies)
+        firsts, _, _ = _distinct_pairs(name, check)
+        name, check = name[firsts], check[firsts]
         block = int(frame["block"].iloc[0])
-        return pd.DataFrame([(part, block, pack_keys(keys[a:b]), b"") for part, a, b in range_edges(keys, parts)]
-                            if len(keys) else [], columns=columns)
+        return pd.DataFrame([(part, block, pack_keys(name[a:b]), check[a:b].astype(PAIR_KINDS[1]).tobytes())
+                             for part, a, b in range_edges(name, parts)] if len(name) else [], columns=columns)
 
     return run
 
@@ -243,11 +247,10 @@ def _cut_out(_, frame, replies):
     if not len(frame):
         return pd.DataFrame([], columns=columns)
     frame, texts = _in_order(frame)
-    first, last, start, names = _open_windows(texts, replies)
-    _, at, place = np.unique(names, return_index=True, return_inverse=True)
-    again = np.ones(len(names), bool)
-    again[at] = False  # the first of a name in this block, if no earlier block has it
-    if len(names):
+    first, last, start, name, check = _open_windows(texts, replies)
+    _, place, is_first = _distinct_pairs(name, check)
+    again = ~is_first  # and the first in this block too, if an earlier block has the name
+    if len(name):
         again |= _bits(replies, 1, "earlier")[place]
     ends = np.cumsum([len(t) for t in texts])
     steps = np.zeros(int(ends[-1]) + 1, np.int32)

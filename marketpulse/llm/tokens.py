@@ -10,18 +10,28 @@ blank, or after a line feed. The pre-tokenizer takes a blank with the word that
 follows it and never crosses a change from non-space to space, so such cuts are
 safe where the blank or line feed stands alone; a text with other white space
 next to each other is encoded whole. ``word`` vocabularies drop white space, so
-any white space is a cut.
+any white space is a cut. Both pre-tokenizers end a run of letters or digits
+before a full stop or comma, so that is a cut too (in texts where these two follow
+nothing else), and ``word`` vocabularies fold case, so their texts are
+lower-cased before the cut where that is the same thing.
 """
 
 from __future__ import annotations
 
 import re
+from unicodedata import is_normalized
 
 import numpy as np
 
-# a run of white space other than one blank or one line feed
-_RUN = re.compile(r"\s\s|[^\S \n]")
-_CACHED_CHUNKS = 400_000
+# white space other than single blanks and line feeds
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_ODD = ("\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"
+        + "".join(map(chr, range(0x2000, 0x200b))))
+# a full stop or comma after anything but a letter or digit
+_MARK = re.compile(r"(?<![^\W_])[.,]")
+# characters that str.split() takes for white space and the vocabularies do not
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_CACHED_CHUNKS = 600_000
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -53,15 +63,31 @@ class Encoder:
         self.split = Tokenizer.from_file(path)  # finds the separator
         self.plain = Tokenizer.from_file(path)  # takes it as ordinary text
         self.plain.encode_special_tokens = True
+        self.special = [t.content for t in self.plain.get_added_tokens_decoder().values() if t.content != separator]
         self.separator_id = self.split.token_to_id(separator)
         self.vocabulary = self.plain.get_vocab_size(with_added_tokens=True)
         self._forget()
 
-    def _forget(self) -> None:
+    def _forget(self, keep: np.ndarray | None = None) -> None:
+        """Keep only the chunks of the given codes (none at the start)."""
+        old = self.codes if keep is not None else {}
         self.codes = _Codes()
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        if keep is None or not len(keep):
+            self.starts, self.sizes, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+            self.ids = np.zeros(0, np.uint32)
+            return
+        chunks = list(old)
+        self.codes.update(zip([chunks[i] for i in keep.tolist()], range(len(keep))))
+        self.ids = self._spread(keep)
+        self.sizes = self.sizes[keep]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.uses = np.zeros(len(keep), np.int64)
+
+    def _spread(self, codes: np.ndarray) -> np.ndarray:
+        """The ids of a sequence of codes."""
+        n = self.sizes[codes]
+        ends = np.cumsum(n)
+        return self.ids[np.repeat(self.starts[codes] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
     def _learn(self) -> None:
         new, self.codes.new = self.codes.new, []
@@ -69,12 +95,12 @@ class Encoder:
         for i in range(0, len(new), 20_000):
             chunks = new[i:i + 20_000]
             joined = self.separator.join(chunks)
-            if joined.count(self.separator) == len(chunks) - 1:
-                ids = np.array(self.split.encode(joined, add_special_tokens=False).ids, np.uint32)
+            if joined.count(self.separator) == len(chunks) - 1 and not any(t in joined for t in self.special):
+                ids = np.array(self.split.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
                 at = np.flatnonzero(ids == self.separator_id)
                 sizes.append(np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1)
                 parts.append(ids[ids != self.separator_id])
-            else:  # some chunk holds the separator's text
+            else:  # some chunk holds a special token's text
                 one = [self.plain.encode(c, add_special_tokens=False).ids for c in chunks]
                 sizes.append(np.array([len(x) for x in one], np.int64))
                 parts.append(np.array([y for x in one for y in x], np.uint32))
@@ -82,18 +108,32 @@ class Encoder:
             self.ids = np.concatenate(parts)
             self.sizes = np.concatenate([self.sizes, *sizes])
             self.starts = np.cumsum(self.sizes) - self.sizes
+            self.uses = np.append(self.uses, np.zeros(len(new), np.int64))
 
     def _chunks(self, text: str) -> list[str]:
         if self.kind == "word":
-            return text.split()
-        if _RUN.search(text) or "\x1f" in text:
+            if any(c in text for c in _SEPARATORS):
+                return [text]
+            if text.isascii() or ("\u03a3" not in text and is_normalized("NFC", text)
+                                  and is_normalized("NFC", text.lower())):
+                text = text.lower()
+            else:  # a capital sigma's or a mark's place may matter
+                return text.split()
+            if _MARK.search(text):
+                return text.split()
+            return text.replace(",", " ,").replace(".", " .").split()
+        if any(p in text for p in _PAIRS) or any(c in text for c in _ODD):
             return [text]
-        return text.replace("\n", "\n\x1f").replace(" ", "\x1f ").split("\x1f")
+        text = text.replace("\n", "\n\x1f").replace(" ", "\x1f ")
+        if not _MARK.search(text):
+            text = text.replace(",", "\x1f,").replace(".", "\x1f.")
+        return text.split("\x1f")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids (uint32) of each text."""
-        if len(self.codes) > _CACHED_CHUNKS:
-            self._forget()
+        if len(self.codes) > _CACHED_CHUNKS:  # keep what came up again since the last time
+            again = np.flatnonzero(self.uses > 1)
+            self._forget(again[np.argsort(-self.uses[again], kind="stable")[:_CACHED_CHUNKS // 2]])
         coded, whole = [], {}
         for i, text in enumerate(texts):
             chunks = self._chunks(text)
@@ -102,16 +142,11 @@ class Encoder:
                 chunks = []
             coded.append(np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks)))
         self._learn()
-        out = []
-        for i, codes in enumerate(coded):
-            if i in whole:
-                out.append(whole[i])
-                continue
-            n = self.sizes[codes]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.repeat(self.starts[codes] - ends + n, n) + np.arange(total)])
-        return out
+        everything = np.concatenate(coded) if coded else np.zeros(0, np.int64)
+        self.uses += np.bincount(everything, minlength=len(self.uses))
+        ids = self._spread(everything)
+        ends = np.concatenate([[0], np.cumsum(self.sizes[everything])])[np.cumsum([0] + [len(c) for c in coded])].tolist()
+        return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
 
 
 def encoder(path: str, kind: str, separator: str) -> Encoder:

@@ -117,7 +117,10 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         covered = last - first + LENGTH
         cover = _pair(_pair(long[first], long[first + (covered - 64) // 2], 1), long[last + LENGTH - 64], 2)
         cover = _pair(cover, covered.astype(np.uint64), 3)
-        for column, values in zip(out, (first + base, last + base, short[place[new]], cover)):
+        # anchors are the small names: spread them evenly over the name space again
+        name = short[place[new]] * np.uint64(0x9E3779B97F4A7C15)
+        name ^= name >> np.uint64(32)
+        for column, values in zip(out, (first + base, last + base, name, cover)):
             column.append(values)
     kinds = (np.int64, np.int64, np.uint64, np.uint64)
     return tuple(np.concatenate(c) if c else np.zeros(0, k) for c, k in zip(out, kinds))

@@ -32,7 +32,7 @@ from marketpulse.plans.catalog import drop_table, read_table, save_table, use_da
 from marketpulse.plans.gold import build_gold, correction_rows, hourly_sentiment, read_gold, scored_gold, write_gold
 from marketpulse.plans.silver import build_silver, read_silver, write_silver
 from marketpulse.plans.upserts import merge_gold
-from marketpulse.schemas import BRONZE_PARTITION, GOLD_COLUMNS
+from marketpulse.schemas import BRONZE_PARTITION, GOLD_COLUMNS, GOLD_KEYS, GOLD_MEASURES
 from marketpulse.session import scratch_path
 from marketpulse.sources.company import (
     COMPANIES, EARLY_COMPANY_COUNT, NOISE_PHRASE, PAGE_CAP, SECTOR_CASE_ARMS, SECTOR_CASE_DEFAULT,
@@ -469,6 +469,21 @@ def q_upsert_history(spark, sf_dir):
                              F.col("insert"), F.col("update"), F.col("copy"))))
 
 
+@register("upsert_scores", f"""{GOLD_BASE}
+SELECT {", ".join(f'"{c}"' for c in GOLD_COLUMNS if c != "sentimentScore")},
+       round(CASE WHEN Ticker = {_lit(CORRECTION_TICKER)} THEN coalesce(sentimentScore + 1, sentimentScore)
+             ELSE sentimentScore END, {SCORE_DIGITS}) AS sentimentScore,
+       CASE WHEN Ticker = {_lit(CORRECTION_TICKER)} AND sentimentScore IS NOT NULL THEN 'update' ELSE 'copy' END AS _change
+FROM gold""")
+def q_upsert_scores(spark, sf_dir):
+    """A source that differs from gold in the score alone."""
+    path = scratch_path(spark, "gold_scores")
+    write_gold(_gold(spark, sf_dir, sort=False), path)
+    gold = read_gold(spark, path)
+    src = gold.where(F.col("Ticker") == CORRECTION_TICKER).withColumn("sentimentScore", F.col("sentimentScore") + 1)
+    return _round_score(upsert_type1(gold, src, GOLD_KEYS, GOLD_MEASURES, GOLD_COLUMNS))
+
+
 _ORDER_COLUMNS = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus"]
 
 

@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # batches to Python by size too, so that long texts do not add up
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     # remove reliable-checkpoint files once nothing references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

@@ -9,9 +9,10 @@ candidates are reranked by exact distance and the curves' lists merge.
 
 On vectors without structure a curve's window holds a true neighbour little more
 often than its share of rows, so windows are a share of the rows (3 of
-``WINDOWS``, fewer if they would hold under ``WINDOW_ROWS``), not a number: recall stays the same at every size, and work grows with
-queries x rows x that share. Windows larger than ``UNIT`` rows are cut into salted units, and so
-are the queries of a window, so a task holds at most about two units of vectors.
+``WINDOWS``, fewer windows if they would hold under ``WINDOW_ROWS``), not a
+number: recall stays the same at every size, and work grows with queries x rows
+x that share. Windows larger than ``UNIT`` rows are cut into salted units, and
+so are the queries of a window, so a task holds about two units of vectors.
 
 Equal vectors are one candidate (a group may hold a third of all rows): each
 distinct vector keeps its ``k + 1`` smallest ids, which is all a result can use.

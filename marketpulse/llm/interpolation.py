@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import text_or_empty
+from marketpulse.llm.common import released_shuffles, text_or_empty
 from marketpulse.llm.packed import pack_counts, pack_keys, range_edges, unpack_counts, unpack_keys
 from marketpulse.session import scratch_path
 
@@ -233,16 +233,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = (rows.withColumn("remainder", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % MOD).cast("int"))
             .withColumn("block", block.otherwise(F.pmod(place, F.lit(blocks))).cast("int")))
     folder = scratch_path(spark, "lm-replies")
-    (rows.groupBy("block").applyInPandas(_request(parts), REQUEST)
-     .groupBy("kind", "part").applyInPandas(_reply, REPLY).write.parquet(folder))
+    with released_shuffles(spark):
+        (rows.groupBy("block").applyInPandas(_request(parts), REQUEST)
+         .groupBy("kind", "part").applyInPandas(_reply, REPLY).write.parquet(folder))
     replies = spark.read.schema(REPLY).parquet(folder)
     stats = replies.where("kind = 0").select(*[F.sum(F.col("stats")[i]) for i in range(4)]).first()
     n, v, n_kept, v_kept = (x or 0 for x in stats)
 
     deleted = rows.where(F.col("remainder") == DELETED_REMAINDER)
-    cells = (deleted.groupBy("block").cogroup(replies.where(F.col("kind") > 0).where(F.col("block") >= blocks).groupBy("block"))
-             .applyInPandas(_histogram(n_kept, v_kept), "bucket long, two long, one long, n long")
-             .groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).collect())  # bounded by the rounding
+    asked = replies.where((F.col("kind") > 0) & (F.col("block") >= blocks))
+    with released_shuffles(spark):
+        cells = (deleted.groupBy("block").cogroup(asked.groupBy("block"))
+                 .applyInPandas(_histogram(n_kept, v_kept), "bucket long, two long, one long, n long")
+                 .groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).collect())  # bounded by the rounding
     weights = learn_weights(np.array([tuple(r) for r in cells], np.float64).reshape(-1, 4))
     return rows.groupBy("block").cogroup(replies.where("kind > 0").groupBy("block")).applyInPandas(
         _score(n, v, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

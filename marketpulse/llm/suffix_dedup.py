@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import text_or_empty
+from marketpulse.llm.common import released_shuffles, text_or_empty
 from marketpulse.llm.packed import pack_keys, range_edges, unpack_keys
 from marketpulse.session import scratch_path
 
@@ -303,10 +303,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("block", block_of("doc_id", "no_id"))
     grouped = rows.groupBy("block")
     folders = [scratch_path(spark, f"repeats-{n}") for n in (0, 1)]
-    (grouped.applyInPandas(_ask_anchors(parts), REQUEST).groupBy("part")
-     .applyInPandas(_answer(0), REPLY).write.parquet(folders[0]))
+    with released_shuffles(spark):
+        (grouped.applyInPandas(_ask_anchors(parts), REQUEST).groupBy("part")
+         .applyInPandas(_answer(0), REPLY).write.parquet(folders[0]))
     replies = spark.read.schema(REPLY).parquet(folders[0])
-    (grouped.cogroup(replies.groupBy("block")).applyInPandas(_ask_windows(parts), REQUEST).groupBy("part")
-     .applyInPandas(_answer(1), REPLY).write.parquet(folders[1]))
+    with released_shuffles(spark):
+        (grouped.cogroup(replies.groupBy("block")).applyInPandas(_ask_windows(parts), REQUEST).groupBy("part")
+         .applyInPandas(_answer(1), REPLY).write.parquet(folders[1]))
     replies = replies.unionByName(spark.read.schema(REPLY).parquet(folders[1]))
     return grouped.cogroup(replies.groupBy("block")).applyInPandas(_cut_out, RESULT)

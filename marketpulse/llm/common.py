@@ -37,6 +37,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def exchange_size(total: int, least: int, factor: int) -> int:
+    """Size of blocks and key ranges for ``total`` bytes that blocks send pieces of to ranges.
+
+    A block sends one row per range. The product of both sizes grows with the
+    total, so that such a row keeps some dozens of entries at any scale.
+    """
+    return max(least, int((factor * total) ** 0.5))
+
+
 @contextmanager
 def released_shuffles(spark: SparkSession) -> Iterator[None]:
     """Within it, a job's shuffle files go as soon as the job has ended.

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import released_shuffles, text_or_empty
+from marketpulse.llm.common import exchange_size, released_shuffles, text_or_empty
 from marketpulse.llm.packed import pack_counts, pack_keys, range_edges, unpack_counts, unpack_keys
 from marketpulse.session import scratch_path
 
@@ -36,7 +36,7 @@ BUCKETS = 16
 STEPS = 8  # rounding of estimates for EM: steps per power of two
 END = np.uint64(0x9E3779B97F4A7C15)  # key of the end token; any constant no word hashes to
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_CACHED = 1_000_000
+_CACHED = 250_000
 REQUEST = "kind int, part int, block int, keys binary, train binary, deleted binary"
 REPLY = "kind int, part int, block int, train binary, deleted binary, stats array<long>"
 
@@ -214,7 +214,7 @@ def _score(n: int, v: int, weights: np.ndarray):
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          block_chars: int = BLOCK_CHARS, range_chars: int = RANGE_CHARS) -> DataFrame:
+          block_chars: int | None = None, range_chars: int | None = None) -> DataFrame:
     """One row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Scores are log10 probabilities of the whole text and its end. Null and empty texts
@@ -226,7 +226,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     size = rows.agg(F.sum(F.length("text") + 64)).first()[0] or 0
-    blocks, parts = max(1, -(-size // block_chars)), max(1, -(-size // range_chars))
+    blocks = max(1, -(-size // (block_chars or exchange_size(size, BLOCK_CHARS, 640))))
+    parts = max(1, -(-size // (range_chars or exchange_size(size, RANGE_CHARS, 640))))
     # the deleted part has blocks of its own after the others, so EM reads no other text
     place = F.xxhash64("doc_id", "text")
     block = F.when(F.col("remainder") == DELETED_REMAINDER, blocks + F.pmod(place, F.lit(-(-blocks // MOD))))

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import released_shuffles, text_or_empty
+from marketpulse.llm.common import exchange_size, released_shuffles, text_or_empty
 from marketpulse.llm.packed import pack_keys, range_edges, unpack_keys
 from marketpulse.session import scratch_path
 
@@ -273,7 +273,7 @@ def _cut_out(_, frame, replies):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+                   block_bytes: int | None = None, range_bytes: int | None = None) -> DataFrame:
     """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans``.
 
     Removed is every byte covered by a 100-byte string that also starts earlier:
@@ -288,7 +288,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc_id"), F.col(id_col).isNull().alias("no_id"),
                        text_or_empty(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks, parts = max(1, -(-size // block_bytes)), max(1, -(-size // range_bytes))
+    blocks = max(1, -(-size // (block_bytes or exchange_size(size, BLOCK_BYTES, 2048))))
+    parts = max(1, -(-size // (range_bytes or exchange_size(size, RANGE_BYTES, 2048))))
     cuts = [i / blocks for i in range(1, blocks)]
     bounds = (rows.where("not no_id").agg(F.percentile_approx("doc_id", cuts, max(10_000, 20 * blocks))).first()[0]
               if cuts else None) or []

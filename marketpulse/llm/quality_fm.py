@@ -32,7 +32,7 @@ BUCKETS = 1 << 13
 STATS = 18
 FACTORS = 8
 SAMPLE = 4096
-_CACHED = 500_000
+_CACHED = 250_000
 
 
 class _Buckets(dict):

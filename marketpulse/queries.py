@@ -593,6 +593,7 @@ def _capped_posts(pages: DataFrame, cap: int) -> DataFrame:
             .select("run", F.col("p.id").alias("id"), "ticker", "page", F.col("rows_before").cast("bigint")))
 
 
+RAW_PAGES = 20  # source pages in one raw document, so that the fixture is not thousands of tiny files
 ONE_RUN = "SELECT 'r1' AS run, * FROM posts"
 # a second load of the same keys from the cut on, in which the IVV search lost its key
 TWO_RUNS = f"""{ONE_RUN} UNION ALL
@@ -600,9 +601,9 @@ TWO_RUNS = f"""{ONE_RUN} UNION ALL
   WHERE created_at >= TIMESTAMP '{INCREMENTAL_CUT}'"""
 
 
-def _land_two_runs(spark, sf_dir, name, **how) -> str:
+def _land_two_runs(spark, sf_dir, name, merge_pages: int = 1, **how) -> str:
     root = scratch_path(spark, name)
-    posts = _posts(spark, sf_dir)
+    posts = _posts(spark, sf_dir).withColumn("page", F.expr(f"page div {merge_pages}"))
     land_pages(posts, root, run="r1", **how)
     later = posts.where(F.col("created_at") >= _ntz(INCREMENTAL_CUT))
     land_pages(later.withColumn("ticker", F.nullif("ticker", F.lit("IVV"))), root, run="r2", closing_page=True, **how)
@@ -638,10 +639,10 @@ def q_load_audit_runs(spark, sf_dir):
 
 @register("json_pages_raw", f"""WITH {POSTS_CTE},
 loads AS ({TWO_RUNS})
-SELECT run, "user", created_at, id, text, ticker, page FROM loads""")
+SELECT run, "user", created_at, id, text, ticker, page // {RAW_PAGES} AS page FROM loads""")
 def q_json_pages_raw(spark, sf_dir):
     """One document per file, two runs, empty closing pages, a NULL key."""
-    root = _land_two_runs(spark, sf_dir, "pages_raw", file_per_page=True)
+    root = _land_two_runs(spark, sf_dir, "pages_raw", merge_pages=RAW_PAGES, file_per_page=True)
     return flatten_pages(read_pages(spark, root, multiline=True))
 
 

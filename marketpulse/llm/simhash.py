@@ -53,7 +53,6 @@ def fingerprints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
         if not todo:
             return
         h = np.array(hashes, dtype="<u8")
-        starts = np.concatenate([[0], np.cumsum([n for _, n in todo])[:-1]])
         n = np.array([n for _, n in todo])
         votes = np.zeros((len(todo), 64), np.int64)
         step = 1 << 16  # bits of so many shingles at a time
@@ -66,7 +65,6 @@ def fingerprints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
         out[[i for i, _ in todo]] = won
         todo.clear()
         hashes.clear()
-        del starts
 
     for i, text in enumerate(texts):
         words = text.translate(_LOWER).split()

@@ -103,11 +103,5 @@ def all_of(conds) -> Column:
     return reduce(and_, conds)
 
 
-# Word normalisation shared by the keyword matcher: lower case, every run of
-# characters that are neither letters nor digits becomes one space, padded
-# with a space on both ends so " word " tests whole-word containment.
+# Between words: runs of characters that are neither letters nor digits.
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
-
-
-def normalized_words(c) -> Column:
-    return F.concat(F.lit(" "), F.regexp_replace(F.lower(_col(c)), WORD_SPLIT, " "), F.lit(" "))

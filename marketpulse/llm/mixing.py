@@ -5,13 +5,18 @@
    target is above its limit (water filling, in closed form).
 2. The budget is cut into blocks of ``block`` words. Blocks go to sources by
    the highest quotients target / (2 k - 1), and each source's blocks to its
-   shards in the same way, so every shard gets an integer quota.
+   shards in the same way, so every shard gets an integer quota. Of it a shard
+   takes at most ``max_repeat`` times its size; the words above that go to the
+   source's shards with room left, in the order of their numbers, so a source
+   takes its whole quota or all its words ``max_repeat`` times.
 3. Within a (source, shard) documents lie one after another in the order of a
    seeded digest; the shard takes whole passes over itself and then the first
    blocks of that seeded order until its quota is used.
 
 Shards hold about ``shard_docs`` documents of all sources together, so a
-source holding a third of all rows spreads over all shards. Only narrow
+source holding a third of all rows spreads over all shards. A source with few
+words or documents has fewer shards, so that one holds ``SHARD_BLOCKS`` blocks
+and as many documents on average at any size of the table. Only narrow
 rows (id, source, size) are shuffled; the per-source and per-shard tables grow
 with the number of sources and shards, not of rows.
 """
@@ -28,6 +33,7 @@ BUDGET_PERCENT = 150
 MAX_REPEAT = 2
 BLOCK = 32
 SHARD_DOCS = 4096
+SHARD_BLOCKS = 64
 SEED = "mix-1"
 
 
@@ -100,7 +106,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                            F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size")))
     n = rows.agg(F.count(F.lit(1))).first()[0]
     n_shards = max(1, -(-n // shard_docs))
-    rows = rows.withColumn("shard", F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") % n_shards)
+    own = Window.partitionBy("source_key")
+    place = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
+    rows = rows.withColumn("spread", place % n_shards)
+    # joined by shard as well, so that a large source is not joined in one task
+    few = (rows.groupBy("source_key", "spread").agg(F.sum("size").alias("words"), F.count_if(F.col("size") > 0).alias("texts"))
+           .select("source_key", "spread", F.least((F.sum("words").over(own) / (SHARD_BLOCKS * block)).cast("long"),
+                                                   (F.sum("texts").over(own) / SHARD_BLOCKS).cast("long"),
+                                                   F.lit(n_shards)).alias("few")))
+    # rows without words take nothing: they need no place beside others and stay spread over all shards
+    rows = (rows.join(few, ["source_key", "spread"])
+            .withColumn("shard", F.when(F.col("size") > 0, place % F.greatest("few", F.lit(1))).otherwise(F.col("spread")))
+            .drop("few", "spread"))
 
     shards = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"))
     sources = source_targets(shards.groupBy("source_key").agg(F.sum("shard_size").alias("source_size")),
@@ -109,8 +126,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources = (sainte_lague(sources.withColumn("all", F.lit(0)).withColumn("seats", seats),
                             ["all"], ["source_key"], "target", "seats")
                .select("source_key", "source_size", "target", F.col("quota").alias("source_quota")))
+    given, most = F.col("quota") * block, max_repeat * F.col("shard_size")
+    room_before = F.sum("room").over(own.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("room")
     quotas = (sainte_lague(shards.join(sources, "source_key"), ["source_key"], ["shard"], "shard_size", "source_quota")
-              .withColumn("words", F.least(F.col("quota") * block, max_repeat * F.col("shard_size")))
+              .withColumn("room", F.greatest(most - given, F.lit(0)))
+              .withColumn("trimmed", F.sum(F.greatest(given - most, F.lit(0))).over(own))
+              .withColumn("more", F.least(F.greatest(F.col("trimmed") - room_before, F.lit(0)), F.col("room")))
+              .withColumn("words", F.least(given, most) + F.col("more"))
               .withColumn("passes", F.coalesce(F.expr("words div nullif(shard_size, 0)"), F.lit(0)))
               .withColumn("rest", F.col("words") - F.col("passes") * F.col("shard_size")))
 
@@ -123,6 +145,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 # Seats are dealt one by one here: every quotient of every source is listed and ranked.
+# It is the rule for one shard a source; beyond SHARD_DOCS rows it differs from ``mix`` in that it
+# drops the words trimmed from a shard and gives every source as many shards.
 ORACLE = rf"""
 WITH docs AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS source_key,

@@ -49,6 +49,34 @@ def test_mixing_targets_and_limits(spark, block, shard_docs):
     assert sum(t for _, t, _ in by.values()) == pytest.approx(1.5 * total)
 
 
+def thin_sources(spark):
+    """600 documents of 4 words, target twice their size, and 200 of 5 words, target once, beside 8,000 others."""
+    rows = [(i, "a b c d", "a") for i in range(600)] + [(i, "w " * 10, "b") for i in range(1000, 9000)]
+    return spark.createDataFrame(rows + [(i, "a b c d e", "c") for i in range(10_000, 10_200)],
+                                 "doc_id long, text string, source string")
+
+
+@pytest.mark.parametrize("shard_docs", [4, 40, 100_000])
+def test_mixing_short_documents_in_many_shards(spark, shard_docs):
+    """What a source takes does not depend on how many shards its documents are spread over."""
+    docs = thin_sources(spark)
+    got = (mixing.mix(docs, weights=(3, 2, 1), shard_docs=shard_docs).join(docs.select("doc_id", "source"), "doc_id")
+           .groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"),
+                                  F.min(F.col("taken") / F.col("size")).alias("least")).collect())
+    by = {r.source: r for r in got}
+    assert by["a"].target == 4800 and by["a"].taken == 4800 and by["a"].least == 2
+    for r in got:
+        assert abs(r.taken - r.target) <= mixing.BLOCK
+
+
+def test_mixing_trimmed_words_go_to_other_shards(spark):
+    """A long document beside short ones: their shards win no block or more than they can take."""
+    docs = spark.createDataFrame([(i, "w " * (3000 if i == 7 else 3), "a") for i in range(1000)]
+                                 + [(i, "w " * 10, "b") for i in range(1000, 9000)], "doc_id long, text string, source string")
+    got = mixing.mix(docs, shard_docs=40).where("doc_id < 1000").agg(F.sum("taken"), F.first("target")).first()
+    assert got[1] == 2 * (3000 + 999 * 3) and abs(got[0] - got[1]) <= mixing.BLOCK
+
+
 def test_sainte_lague_is_highest_quotients(spark):
     rng = np.random.default_rng(3)
     rows = [(g, p, int(v), int(s)) for g, (n, s) in enumerate([(1, 5), (4, 3), (9, 100), (30, 11), (6, 0), (5, 10_000)])

@@ -1,5 +1,6 @@
 """Quality classifier, language model, nearest neighbours, chat format, pipeline."""
 
+import functools
 import hashlib
 
 import numpy as np
@@ -220,6 +221,17 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, none, SF).count() == 0, name
 
 
+def test_pipeline_mix_keeps_thinly_spread_sources(spark, tmp_path, monkeypatch):
+    """Whole documents of a source whose target is twice its size come out twice, however many shards there are."""
+    monkeypatch.setattr(corpus_pipeline.mixing, "mix", functools.partial(corpus_pipeline.mixing.mix, shard_docs=4))
+    rows = [(i, f"short text number {i}", "a") for i in range(600)]
+    rows += [(i, "w " * 10, "b") for i in range(1000, 9000)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "docs"))
+    mixed = corpus_pipeline.mix_sources(spark, spark.read.parquet(str(tmp_path / "docs")), SF)
+    copies = mixed.where("source = 'a'").groupBy("doc_id").count().collect()
+    assert len(copies) == 600 and {r["count"] for r in copies} == {2}
+
+
 def test_pipeline_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     docs = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from marketpulse.functions.columns import is_weekday, partition_date, without_phrase
 from marketpulse.operators.aggregates import high_water_mark_value
 from marketpulse.operators.tagging import tag_company
-from marketpulse.plans.tables import path_exists, read_loads, replace_loads, write_load
+from marketpulse.plans.tables import free_load_id, path_exists, read_loads, replace_loads, write_load
 from marketpulse.schemas import BRONZE_PARTITION, BRONZE_SCHEMA
 from marketpulse.sources.company import NOISE_PHRASE
 
@@ -79,9 +79,12 @@ def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None,
     global one (a company fetched early is not cut off by the newest post of a
     company fetched later).
 
-    The load's folder is named after the mark it starts from, or ``load_id``. An
-    attempt that failed left nothing visible and is replaced by the next from
-    the same mark; once a load is visible, the mark has moved.
+    The load's folder is named after the global mark it starts from, or
+    ``load_id``. An attempt that failed left nothing visible and is replaced by
+    the next from the same mark. A visible load is never replaced, though the
+    mark may not have moved (``per_ticker``, or posts exactly on it): the next
+    gets a number. Only a ``load_id`` given again replaces its load; then the
+    marks per ticker and ``dedupe`` look at the other loads alone.
     """
     spark = posts.sparkSession
     opts.setdefault("weekday_only", True)
@@ -90,8 +93,9 @@ def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None,
         write_load(frame, path, load_id or "from-start", BRONZE_PARTITION)
         return frame
     bronze = read_bronze(spark, path)
+    others = read_loads(spark, path, BRONZE_SCHEMA, without=load_id)
     if per_ticker:
-        marks = bronze.groupBy(F.col("Ticker").alias("_hwm_key")).agg(F.max(TS).alias("_hwm"))
+        marks = others.groupBy(F.col("Ticker").alias("_hwm_key")).agg(F.max(TS).alias("_hwm"))
         lowest = marks.agg(F.min("_hwm")).first()[0] if dedupe else None
         new = (posts.join(marks, posts["ticker"] == F.col("_hwm_key"), "left")
                .where(F.col("_hwm").isNull() | (F.col("created_at") >= F.col("_hwm")))
@@ -102,8 +106,9 @@ def incremental_load(posts: DataFrame, dim: DataFrame, path: str, run_date=None,
         new = posts if hwm is None else posts.where(F.col("created_at") >= ntz_literal(hwm))
     frame = bronze_frame(new, dim, run_date, **opts)
     if dedupe and lowest is not None:
-        recent = bronze.where(F.col(BRONZE_PARTITION) >= F.lit(lowest.date())).select("id", "Ticker")
+        recent = others.where(F.col(BRONZE_PARTITION) >= F.lit(lowest.date())).select("id", "Ticker")
         frame = frame.join(recent, ["id", "Ticker"], "left_anti")
     start = "start" if hwm is None else hwm.strftime("%Y%m%dT%H%M%S%f")
-    write_load(frame, path, load_id or f"from-{start}{'-per-ticker' * per_ticker}", BRONZE_PARTITION)
+    load_id = load_id or free_load_id(spark, path, BRONZE_SCHEMA, f"from-{start}{'-per-ticker' * per_ticker}")
+    write_load(frame, path, load_id, BRONZE_PARTITION)
     return frame

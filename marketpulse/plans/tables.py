@@ -56,9 +56,25 @@ def replace_loads(df: DataFrame, root: str, load_id: str, partition_col: str) ->
     write_partitioned(df.withColumn(LOAD, F.lit(load_id)), root, LOAD, partition_col)
 
 
-def read_loads(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """All loads of a table."""
-    return spark.read.schema(StructType([*schema.fields, StructField(LOAD, StringType())])).parquet(root).drop(LOAD)
+def _loads(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(StructType([*schema.fields, StructField(LOAD, StringType())])).parquet(root)
+
+
+def read_loads(spark: SparkSession, root: str, schema: StructType, without: str | None = None) -> DataFrame:
+    """All loads of a table, or all but one, whose files are then not read."""
+    loads = _loads(spark, root, schema)
+    return (loads if without is None else loads.where(F.col(LOAD) != without)).drop(LOAD)
+
+
+def free_load_id(spark: SparkSession, root: str, schema: StructType, load_id: str) -> str:
+    """``load_id``, or with the first number that makes it differ from every load with rows."""
+    # a filter on folder names: only loads of this name are looked into
+    rows = _loads(spark, root, schema).where(F.col(LOAD).startswith(load_id)).select(LOAD).distinct().collect()
+    seen, name, n = {r[LOAD] for r in rows}, load_id, 1
+    while name in seen:
+        n += 1
+        name = f"{load_id}-{n}"
+    return name
 
 
 def merge_into(spark: SparkSession, path: str, schema: StructType, source: DataFrame, keys, update_cols,

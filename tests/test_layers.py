@@ -57,6 +57,34 @@ def test_incremental_per_ticker_k9(spark, tmp_path_str):
     assert "3" in [r.id for r in read_bronze(spark, path).collect()]
 
 
+def test_incremental_loads_from_an_unmoved_mark_are_kept(spark, tmp_path_str):
+    dim = company_dim(spark)
+    day = lambda h: datetime(2021, 12, 6, h)
+    first = [("u", day(8), "1", "t", "BAC"), ("u", day(20), "2", "t", "CAT")]
+
+    def ids(path):
+        return sorted(r.id for r in read_bronze(spark, path).collect())
+
+    for dedupe in (False, True):  # BAC's posts stay below the global mark
+        path = f"{tmp_path_str}/per_ticker_{dedupe}"
+        bulk_load(posts(spark, first), dim, path)
+        for h, i in ((12, "3"), (14, "4"), (16, "5")):
+            incremental_load(posts(spark, [("u", day(h), i, "t", "BAC")]), dim, path, per_ticker=True, dedupe=dedupe)
+        assert ids(path) == ["1", "2", "3", "4", "5"]
+    for dedupe in (False, True):  # posts exactly on the mark
+        path = f"{tmp_path_str}/on_mark_{dedupe}"
+        bulk_load(posts(spark, first), dim, path)
+        for i in ("3", "4"):
+            incremental_load(posts(spark, [("u", day(20), i, "t", "BAC")]), dim, path, dedupe=dedupe)
+        incremental_load(posts(spark, [("u", day(20), "4", "t", "BAC")]), dim, path, dedupe=dedupe)
+        assert ids(path) == ["1", "2", "3", "4"] + ["4"] * (not dedupe)  # K10
+    path = f"{tmp_path_str}/named"
+    bulk_load(posts(spark, first), dim, path)
+    for _ in range(2):  # a repeated load writes the same rows again
+        incremental_load(posts(spark, [("u", day(12), "3", "t", "BAC")]), dim, path, per_ticker=True, dedupe=True, load_id="a")
+        assert ids(path) == ["1", "2", "3"]
+
+
 def test_silver_casts_and_weekday(spark):
     pre = spark.createDataFrame([
         ("u", "2021-12-06T10:00:00.000Z", 5, "txt", "CAT", "Caterpillar", "Manufacturing", "2021-12-07", "0.25", date(2021, 12, 6)),

@@ -717,18 +717,17 @@ FROM docs d JOIN kw k ON k.norm <> '' AND CASE WHEN k.is_phrase THEN contains(d.
 
 @register("keyword_match", _keyword_sql(_KW_ROWS))
 def q_keyword_match(spark, sf_dir):
-    # the test table is one unsplittable file: spread it before the CPU-bound work
-    return match_keywords(table(spark, sf_dir, "documents"), literal_frame(spark, _KW_ROWS, _KW_SCHEMA), partitions=8)
+    return match_keywords(table(spark, sf_dir, "documents"), literal_frame(spark, _KW_ROWS, _KW_SCHEMA))
 
 
 @register("keyword_match_join", _keyword_sql(_KW_ROWS))
 def q_keyword_match_join(spark, sf_dir):
     """Same matches with the dictionary shuffled instead of broadcast."""
     kw = literal_frame(spark, _KW_ROWS, _KW_SCHEMA).hint("shuffle_merge")
-    return match_keywords(table(spark, sf_dir, "documents"), kw, partitions=8)
+    return match_keywords(table(spark, sf_dir, "documents"), kw)
 
 
 @register("keyword_dictionary", _keyword_sql(_KW_ODD_ROWS))
 def q_keyword_dictionary(spark, sf_dir):
     """A dictionary with repeated, padded, wordless and NULL entries."""
-    return match_keywords(table(spark, sf_dir, "documents"), literal_frame(spark, _KW_ODD_ROWS, _KW_SCHEMA), partitions=8)
+    return match_keywords(table(spark, sf_dir, "documents"), literal_frame(spark, _KW_ODD_ROWS, _KW_SCHEMA))

@@ -102,6 +102,15 @@ def test_match_keywords_phrase_vs_all_terms(spark):
     assert got == [(1, "DE"), (2, "DE"), (3, "BAC")]
 
 
+def test_keyword_queries_keep_the_partitions_of_the_scan(spark, capsys):
+    from marketpulse import queries
+
+    for query in (queries.q_keyword_match, queries.q_keyword_match_join, queries.q_keyword_dictionary):
+        query(spark, "/root/testdata/sf0.001").explain()
+        plan = capsys.readouterr().out
+        assert "FileScan" in plan and "RoundRobin" not in plan and "REPARTITION_BY_NUM" not in plan
+
+
 def test_keyword_odd_dictionary(spark):
     docs = spark.createDataFrame([(1, "the Bank of America bank"), (2, "bank of the America"), (3, None), (4, ""),
                                   (5, "go go go went gone"), (6, "GO, go!")], "doc_id int, text string")

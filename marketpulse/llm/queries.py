@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.llm import chat, exact_dedup, hilbert_knn, interpolation, mixing, packing, quality_fm, simhash, suffix_dedup, token_files
+from marketpulse.llm import (
+    chat, exact_dedup, hilbert_knn, interpolation, line_dedup, mixing, packing, quality_fm, simhash, suffix_dedup, token_files,
+)
 from marketpulse.llm.common import load
 from marketpulse.session import scratch_path
 
@@ -68,6 +70,13 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(load(spark, sf_dir, "documents")).drop("group_id")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bitmaps = line_dedup.line_bitmaps(load(spark, sf_dir, "documents"), carry=("text",))
+    text = F.coalesce("text", F.lit(""))
+    kept = F.when(F.col("n_dropped") == 0, text).otherwise(line_dedup.kept_text(text, F.col("keep_runs")))
+    return bitmaps.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_fm": op1_quality_fm,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
@@ -79,8 +88,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_simhash_anchors": op10_simhash_anchors,
+    "op11_line_dedup": op11_line_dedup,
 }
 ORACLE: dict[str, str] = {
     "op6_sainte_lague_mix": mixing.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op11_line_dedup": line_dedup.ORACLE,
 }

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.session import ensure_checkpoint_dir
+from marketpulse.session import ensure_checkpoint_dir, scratch_path
 
 # ASCII white space, and a word as the contracts define them
 SPACE = r"[\x20\x09-\x0D]"
@@ -37,6 +37,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: its plan runs once, and later reads take only the columns they need."""
+    spark, folder = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def exchange_size(total: int, least: int, factor: int) -> int:
     """Size of blocks and key ranges for ``total`` bytes that blocks send pieces of to ranges.
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.llm import (
-    chat, exact_dedup, hilbert_knn, interpolation, line_dedup, mixing, packing, quality_fm, simhash, suffix_dedup, token_files,
+    chat, collocations, exact_dedup, hilbert_knn, interpolation, line_dedup, mixing, packing, periodic_runs, quality_fm,
+    simhash, suffix_dedup, token_files,
 )
 from marketpulse.llm.common import load
 from marketpulse.session import scratch_path
@@ -77,6 +78,15 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitmaps.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(load(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs.periodic_runs(load(spark, sf_dir, "documents"), view=periodic_runs.planted_period)
+    return runs.drop("n_words", "runs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_fm": op1_quality_fm,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
@@ -89,9 +99,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_simhash_anchors": op10_simhash_anchors,
     "op11_line_dedup": op11_line_dedup,
+    "op12_collocations": op12_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE: dict[str, str] = {
     "op6_sainte_lague_mix": mixing.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op11_line_dedup": line_dedup.ORACLE,
+    "op12_collocations": collocations.ORACLE,
 }

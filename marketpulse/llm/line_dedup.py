@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import cut, text_or_empty
+from marketpulse.llm.common import text_or_empty, written
 
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,8 +33,9 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(SPACES)), UPPER, LOWER)
+def folded(line: Column) -> Column:
+    """A-Z lower-cased; an ASCII line takes the faster of two ways."""
+    return F.when(F.octet_length(line) == F.char_length(line), F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
 
 
 def _once(value: Column, use) -> Column:
@@ -60,34 +61,42 @@ def _between(gone: Column, n_lines: Column) -> Column:
 def _rows(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, digest, text`` of each row; id and digest identify it (rows alike in both fare alike)."""
     text = text_or_empty(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"),
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"),
                        *[F.col(c).alias(f"carry_{c}") for c in carry])
 
 
 def line_runs(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``hash, doc_id, digest, pos, first``: the long lines, range-partitioned and sorted, materialised.
+    """``hash, doc_id, digest, pos, own, first, part``: the long lines, range-partitioned and sorted, as a table.
 
-    ``first`` marks the first occurrence of a hash in a document. Rows without
-    id are a document per text.
+    ``first`` marks the first occurrence of a hash in a document, ``part`` is the range
+    partition. Rows without id are a document per text (``own``).
     """
     lines = (rows.select("doc_id", "digest", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
              .select("doc_id", "digest", "pos", F.btrim("line", F.lit(SPACES)).alias("line"))
              .where(F.char_length("line") >= min_chars)
-             .select(F.unhex(F.md5(line_key(F.col("line")))).alias("hash"), "doc_id", "digest", "pos",
-                     F.when(F.col("doc_id").isNull(), F.xxhash64("digest")).alias("own")))
-    runs = lines.repartitionByRange("hash", "doc_id", "own")
+             .select(F.unhex(F.md5(folded(F.col("line")))).alias("hash"), "doc_id", "digest", "pos",
+                     F.when(F.col("doc_id").isNull(), F.col("digest")).alias("own")))
+    # a table first: finding the range bounds reads its input once more
+    runs = written(lines, "lines").repartitionByRange("hash", "doc_id", "own")
     occurrences = Window.partitionBy("hash", "doc_id", "own").orderBy("digest", "pos")
-    return cut(runs.withColumn("first", F.row_number().over(occurrences) == 1))
+    return written(runs.withColumn("first", F.row_number().over(occurrences) == 1)
+                   .withColumn("part", F.spark_partition_id()), "line-runs")
 
 
 def dropped_lines(runs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``doc_id, digest, pos`` of the lines that go: keys of ``min_docs`` documents, except in the last one."""
+    """``doc_id, digest, pos`` of the lines that go: keys of ``min_docs`` documents, except in the last one.
+
+    The verdict on a key goes to each partition that holds some of its rows, so a hot key's rows
+    meet it in as many places as they were cut into.
+    """
     keys = (runs.where("first").groupBy("hash")
-            .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last"), F.max("own").alias("last_own"))
-            .where(F.col("n") >= min_docs).drop("n"))
+            .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last"), F.max("own").alias("last_own"),
+                 F.min("part").alias("a"), F.max("part").alias("b"))
+            .where(F.col("n") >= min_docs)
+            .select("hash", "last", "last_own", F.explode(F.sequence("a", "b")).alias("part")))
     last = F.when(F.col("last").isNull(), F.col("own") == F.col("last_own")).otherwise(
         F.col("doc_id").eqNullSafe(F.col("last")))
-    return runs.join(keys, "hash").where(~last).select("doc_id", "digest", "pos")
+    return runs.join(keys, ["hash", "part"]).where(~last).select("doc_id", "digest", "pos")
 
 
 def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
@@ -98,7 +107,7 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A key of at least ``min_chars`` code points found in at least ``min_docs``
     documents loses all its lines except in the document of the largest id
     holding it, which keeps all of its own. Rows of one id are one document;
-    rows without id are a document per text (told apart by a 64-bit hash, the largest is last) and
+    rows without id are a document per text (by a 64-bit hash, the largest is last) and
     come before all ids. Repeated rows get the same bitmap. A null or empty text is one
     empty line. A text of any length is one row. Other columns are ignored;
     an empty table gives no rows. Keys are compared by their 128-bit MD5.
@@ -107,7 +116,8 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gone = dropped_lines(line_runs(rows, min_chars), min_docs)
     # repeated rows name a position several times: a set, combined before it moves
     gone = gone.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set("pos")).alias("gone")).alias("g")
-    r = rows.select("*", F.size(lines_of(F.col("text"))).alias("n_lines")).alias("r")
+    ends = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    r = rows.select("*", (ends + 1).alias("n_lines")).alias("r")
     same = F.col("r.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("r.digest") == F.col("g.digest"))
     joined = r.join(gone, same, "left").select("r.*", F.coalesce("g.gone", F.array().cast("array<int>")).alias("gone"))
     return joined.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_dropped"),

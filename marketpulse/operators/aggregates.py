@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import iso_z, nan_to_null
+from marketpulse.operators.page_chain import chain_status
 
 
 def hourly_mean(bucketed: DataFrame, keys=("Ticker", "companySector", "enddatetime"),
@@ -35,10 +36,11 @@ def company_counts(posts: DataFrame, key_col: str = "ticker", out_col: str = "n_
 def load_audit(pages: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     """One audit row per load run and search key: ``run, [ordinal,] ticker, post_count, ...``.
 
-    ``pages`` has ``run, ticker, page, meta`` (the landed page documents).
+    ``pages`` has ``run, ticker, page, token, meta`` (the landed page documents).
     ``post_count`` and ``total_posts`` are both the sum of ``result_count`` over
     non-empty pages (they are always equal, as in the original audit list);
-    ``complete`` says whether the last page (no ``next_token``) was seen.
+    ``complete`` says whether the search's chain of pages is unbroken from the first
+    page to one without ``next_token`` (see :mod:`~marketpulse.operators.page_chain`).
     """
     rc = F.col("meta.result_count")
     nonempty = rc.isNotNull() & (rc > 0)
@@ -46,8 +48,10 @@ def load_audit(pages: DataFrame, dim: DataFrame | None = None) -> DataFrame:
         F.coalesce(F.sum(F.when(nonempty, rc)), F.lit(0)).alias("post_count"),
         F.coalesce(F.sum(F.when(nonempty, rc)), F.lit(0)).alias("total_posts"),
         F.count(F.lit(1)).alias("pages"),
-        F.max(F.col("meta.next_token").isNull()).alias("complete"),
     )
+    chain = chain_status(pages).select(F.col("run").alias("_mp_run"), F.col("ticker").alias("_mp_ticker"), "complete")
+    same = F.col("run").eqNullSafe(F.col("_mp_run")) & F.col("ticker").eqNullSafe(F.col("_mp_ticker"))
+    audit = audit.join(chain, same).drop("_mp_run", "_mp_ticker")
     if dim is not None:
         audit = audit.join(dim.select("ordinal", "ticker"), "ticker", "left")
     return audit

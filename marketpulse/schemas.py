@@ -30,8 +30,10 @@ PAGE_SCHEMA = StructType([
 ])
 
 # Landing layout: <root>/ticker=<T>/page=<n>/<file>.json ; the partition
-# columns carry the search key and the page sequence number.
+# columns carry the search key and the page sequence number. ``token`` is the
+# token the page was requested with (absent for a first page).
 LANDED_PAGE_SCHEMA = StructType(PAGE_SCHEMA.fields + [
+    StructField("token", StringType()),
     StructField("run", StringType()),
     StructField("ticker", StringType()),
     StructField("page", LongType()),

@@ -17,7 +17,7 @@ from marketpulse.functions.columns import all_of
 from marketpulse.operators.aggregates import hourly_mean
 from marketpulse.operators.timegrid import HourGrid, bucket_assign
 from marketpulse.plans.bronze import TS
-from marketpulse.plans.tables import write_partitioned
+from marketpulse.plans.tables import replace_table
 from marketpulse.schemas import BRONZE_PARTITION, GOLD_COLUMNS, GOLD_PARTITION, GOLD_SCHEMA
 
 # The correction rows of the original type-1 demonstration take
@@ -39,15 +39,19 @@ def hourly_sentiment(silver: DataFrame, grid: HourGrid, closed: str = "both") ->
     return agg.toDF("Ticker", "companySector", "enddatetime", "sentimentScore")
 
 
+def join_scores(bars: DataFrame, hourly: DataFrame) -> DataFrame:
+    """All bars with the score of their (ticker, sector, close hour), or NULL."""
+    agg = hourly.select(F.col("Ticker").alias("_a_ticker"), F.col("companySector").alias("_a_sector"),
+                        F.col("enddatetime").alias("_a_end"), "sentimentScore")
+    on = all_of([bars["Date"] == agg["_a_end"], bars["Ticker"] == agg["_a_ticker"],
+                 bars["CompanySector"] == agg["_a_sector"]])
+    return bars.join(agg, on, "left").select(*GOLD_COLUMNS)
+
+
 def build_gold(bars: DataFrame, silver: DataFrame, grid: HourGrid, closed: str = "both",
                sort: bool = True) -> DataFrame:
     """All bars, each with the mean sentiment of its (ticker, sector, close hour) or NULL."""
-    agg = hourly_sentiment(silver, grid, closed).select(
-        F.col("Ticker").alias("_a_ticker"), F.col("companySector").alias("_a_sector"),
-        F.col("enddatetime").alias("_a_end"), "sentimentScore")
-    on = all_of([bars["Date"] == agg["_a_end"], bars["Ticker"] == agg["_a_ticker"],
-                 bars["CompanySector"] == agg["_a_sector"]])
-    gold = bars.join(agg, on, "left").select(*GOLD_COLUMNS)
+    gold = join_scores(bars, hourly_sentiment(silver, grid, closed))
     if sort:
         gold = gold.orderBy(F.col("Ticker").asc_nulls_last(), F.col("Date").asc_nulls_last())
     return gold
@@ -55,7 +59,7 @@ def build_gold(bars: DataFrame, silver: DataFrame, grid: HourGrid, closed: str =
 
 def write_gold(gold: DataFrame, path: str) -> None:
     """Replace the gold table (SK3), partitioned by the date of the bar so that a merge rewrites few files."""
-    write_partitioned(gold.withColumn(GOLD_PARTITION, F.to_date("Date")), path, GOLD_PARTITION)
+    replace_table(gold.withColumn(GOLD_PARTITION, F.to_date("Date")), path, GOLD_PARTITION)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:

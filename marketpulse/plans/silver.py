@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 from marketpulse.functions.columns import epoch_ntz, is_weekday, parse_iso_utc, partition_date
-from marketpulse.plans.tables import write_partitioned
+from marketpulse.plans.tables import replace_table
 from marketpulse.schemas import BRONZE_PARTITION, SILVER_SCHEMA
 
 TS = "Twitter_Created_datetime"
@@ -52,7 +52,7 @@ def build_silver(pre_silver: DataFrame, weekday_only: bool = True) -> DataFrame:
 
 def write_silver(silver: DataFrame, path: str) -> None:
     """Replace the silver table, partitioned by date."""
-    write_partitioned(silver, path, BRONZE_PARTITION)
+    replace_table(silver, path, BRONZE_PARTITION)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

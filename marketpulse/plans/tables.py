@@ -10,10 +10,17 @@ files until then), and a repeated attempt under the same id replaces what an
 earlier one left, so a retry neither duplicates nor mixes rows. Reading the
 table is one scan of all loads with a declared schema. One writer per load id
 is assumed.
+
+What replaces rows is written beside the table first, into a hidden folder of the
+same parent, and moved in its place when the write job has committed, so a write that fails
+leaves the old rows, and a table may be read for its own replacement. A process
+lost between the moves leaves the complete new folder there, and ``finish_moves`` (which
+every later write of the table calls first) does the rest of them.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,35 +32,128 @@ from marketpulse.operators.upsert import CHANGE_COL, upsert_type1
 LOAD = "load"
 
 
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it names it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in whatever store it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs, target = _store(spark, path)
+    return fs.exists(target)
 
 
-def write_partitioned(df: DataFrame, path: str, *partition_cols: str, mode: str = "overwrite",
-                      only_touched: bool = False) -> None:
-    """Parquet write partitioned by columns, the last one a date.
+def write_partitioned(df: DataFrame, path: str, *partition_cols: str) -> None:
+    """Parquet write into a folder of its own, partitioned by columns, the last one a date.
 
     ``REBALANCE`` on the last column lets AQE split a date holding a large
     share of the rows over several writers and merge small ones, so the file
     count per date stays bounded without funnelling a hot date through one
-    task. An overwrite replaces the whole folder, or with ``only_touched`` the
-    partitions that ``df`` has rows of, whatever the session's setting is.
+    task.
     """
-    (df.hint("rebalance", partition_cols[-1]).write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
+    (df.hint("rebalance", partition_cols[-1]).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(*partition_cols).parquet(path))
 
 
+def _beside(path: str, what: str) -> str:
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_{name}.{what}"
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, a = _store(spark, source)
+    b = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _store(spark, path)
+    fs.delete(target, True)
+
+
+def _folders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the folders in a folder, none if it does not exist."""
+    fs, target = _store(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)
+                  if s.isDirectory() and s.getPath().getName().startswith(prefix))
+
+
+def finish_moves(spark: SparkSession, path: str) -> None:
+    """Complete what a lost process has written for ``path`` but not moved; drop what it has not finished writing."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    for kind in ("whole", "part"):
+        for folder in _folders(spark, parent, f"_{name}.{kind}-"):
+            if path_exists(spark, f"{parent}/{folder}/_SUCCESS"):
+                (_replace if kind == "whole" else _replace_parts)(spark, f"{parent}/{folder}", path)
+            else:
+                _delete(spark, f"{parent}/{folder}")
+    for folder in _folders(spark, parent, f"_{name}.gone-"):
+        _delete(spark, f"{parent}/{folder}")
+    for folder in _folders(spark, parent, f"_{name}.old-"):
+        if path_exists(spark, path):
+            _delete(spark, f"{parent}/{folder}")
+        else:
+            _move(spark, f"{parent}/{folder}", path)
+
+
+def _replace(spark: SparkSession, staged: str, path: str) -> None:
+    old = _beside(path, f"old-{uuid.uuid4().hex}")
+    if path_exists(spark, path):
+        _move(spark, path, old)
+    _move(spark, staged, path)
+    _delete(spark, old)
+
+
+def _replace_parts(spark: SparkSession, staged: str, path: str) -> None:
+    old = _beside(path, f"gone-{uuid.uuid4().hex}")
+    for part in _folders(spark, staged):
+        if "=" in part:
+            if path_exists(spark, f"{path}/{part}"):
+                _move(spark, f"{path}/{part}", f"{old}/{part}")
+            _move(spark, f"{staged}/{part}", f"{path}/{part}")
+    _delete(spark, staged)
+    _delete(spark, old)
+
+
+def replace_table(df: DataFrame, path: str, *partition_cols: str) -> None:
+    """Replace a table: written beside it, then moved in its place."""
+    spark = df.sparkSession
+    finish_moves(spark, path)
+    staged = _beside(path, f"whole-{uuid.uuid4().hex}")
+    write_partitioned(df, staged, *partition_cols)
+    _replace(spark, staged, path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+    """Replace the partitions that ``df`` has rows of: written beside the table, then moved one by one.
+
+    All other partitions keep their files.
+    """
+    spark = df.sparkSession
+    finish_moves(spark, path)
+    staged = _beside(path, f"part-{uuid.uuid4().hex}")
+    write_partitioned(df, staged, partition_col)
+    _replace_parts(spark, staged, path)
+
+
 def write_load(df: DataFrame, root: str, load_id: str, partition_col: str) -> None:
     """Add one load, or replace the load of that id (SK2)."""
-    write_partitioned(df, f"{root}/{LOAD}={load_id}", partition_col)
+    folder = f"{root}/{LOAD}={load_id}"
+    finish_moves(df.sparkSession, folder)
+    if path_exists(df.sparkSession, f"{folder}/_SUCCESS"):
+        replace_table(df, folder, partition_col)
+    else:
+        write_partitioned(df, folder, partition_col)
 
 
 def replace_loads(df: DataFrame, root: str, load_id: str, partition_col: str) -> None:
     """Replace the table by one load (SK1)."""
-    write_partitioned(df.withColumn(LOAD, F.lit(load_id)), root, LOAD, partition_col)
+    replace_table(df.withColumn(LOAD, F.lit(load_id)), root, LOAD, partition_col)
 
 
 def _loads(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
@@ -105,7 +205,6 @@ def merge_into(spark: SparkSession, path: str, schema: StructType, source: DataF
     seen = Observation()
     counted = merged.observe(seen, *[F.count(F.when(F.col(CHANGE_COL) == c, 1)).alias(c)
                                      for c in ("insert", "update", "copy")])
-    write_partitioned(counted.select(*schema.fieldNames(), day.alias(partition_col)), path, partition_col,
-                      only_touched=True)
+    replace_partitions(counted.select(*schema.fieldNames(), day.alias(partition_col)), path, partition_col)
     return {"source": sum(r.n for r in rows), **seen.get}
 

@@ -38,3 +38,28 @@ def test_register_path(spark, tmp_path_str):
     register_path(spark, "default.bronze_by_path", path)
     assert read_table(spark, "default.bronze_by_path").count() == 5
     drop_table(spark, "default.bronze_by_path")
+
+
+def test_bucketed_side_of_a_join_does_not_move(spark):
+    from pyspark.sql import functions as F
+
+    from marketpulse.plans.catalog import drop_table, read_table, save_bucketed
+    from marketpulse.plans.gold import join_scores
+    bars = spark.range(500).select(F.timestamp_add("HOUR", F.col("id"), F.lit("2024-01-01 00:30:00").cast("timestamp_ntz")).alias("Date"),
+                                   F.concat(F.lit("T"), F.col("id") % 7).alias("Ticker"), F.concat(F.lit("S"), F.col("id") % 2).alias("CompanySector"),
+                                   *[F.lit(1.0).alias(c) for c in ("Adj_Close", "Close", "High", "Low", "Open")], F.lit(1).cast("long").alias("Volume"))
+    hourly = bars.where("hour(Date) % 3 = 0").select(
+        "Ticker", F.col("CompanySector").alias("companySector"), F.col("Date").alias("enddatetime"), F.lit(0.5).alias("sentimentScore"))
+    save_bucketed(bars, "bars_bucketed", ["Date", "Ticker", "CompanySector"], 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_scores(read_table(spark, "bars_bucketed"), hourly)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        left = plan[plan.index("SortMergeJoin"):plan.index("bars_bucketed")]
+        assert "Exchange" not in left and "Bucketed: true" in plan
+        want = join_scores(bars, hourly)
+        assert joined.count() == 500 and joined.exceptAll(want).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        drop_table(spark, "bars_bucketed")

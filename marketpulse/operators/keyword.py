@@ -10,10 +10,12 @@ One plan for any dictionary: keywords become rows ``(keyword, word, place)``,
 texts become rows ``(text, word, position)``, and the two are joined on the
 word. A phrase of n words occurs where n different places agree on the start
 ``position - place``; an all-terms keyword has start 0 throughout, so it
-occurs when all its distinct words do. Only occurrences of dictionary words
-pass the join, so what is grouped follows the matches, not the text; nothing
-is collected, and Spark broadcasts the dictionary or shuffles (splitting a
-hot word) by its size in bytes.
+occurs when all its distinct words do. Before the join a text's words pass a fixed
+map of ``FILTER_BITS`` bits, set at the hashes of the dictionary's words (a
+scalar subquery), which lets through all dictionary words and few others. So what
+moves and what is grouped follows the matches, not the text; nothing is
+collected, and Spark broadcasts the dictionary or shuffles (splitting a hot
+word) by its size in bytes.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from pyspark.sql import functions as F
 from marketpulse.functions.columns import WORD_SPLIT
 
 
+FILTER_BITS = 1 << 16
+
+
 def words_of(c) -> Column:
     """The words of a text in order; NULL text has none."""
     norm = F.trim(F.regexp_replace(F.lower(F.col(c) if isinstance(c, str) else c), WORD_SPLIT, " "))
@@ -40,20 +45,31 @@ def keyword_words(keywords: DataFrame, key_col: str = "ticker", keyword_col: str
                     F.posexplode(words).alias("_mp_place", "_mp_word")))
 
 
+def word_filter(words: DataFrame, word_col: str = "_mp_word") -> DataFrame:
+    """One row with an array of 64-bit masks: bit h is set if a word hashes to h."""
+    h = F.pmod(F.xxhash64(word_col), F.lit(FILTER_BITS))
+    masks = (words.select(h.alias("h")).groupBy(F.expr("h div 64").alias("at"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.expr("1L"), F.expr("int(h % 64)"))).alias("mask")))
+    by_place = masks.agg(F.map_from_entries(F.collect_list(F.struct("at", "mask"))).alias("masks"))
+    places = F.sequence(F.lit(0).cast("bigint"), F.lit(FILTER_BITS // 64 - 1).cast("bigint"))
+    return by_place.select(F.transform(places, lambda i: F.coalesce(F.try_element_at("masks", i), F.expr("0L"))))
+
+
 def match_keywords(texts: DataFrame, keywords: DataFrame, text_col: str = "text",
-                   key_col: str = "ticker", keyword_col: str = "keyword",
-                   keep=("doc_id",), partitions: int | None = None) -> DataFrame:
+                   key_col: str = "ticker", keyword_col: str = "keyword", keep=("doc_id",)) -> DataFrame:
     """One row per (text, matching keyword): ``keep`` columns + key + keyword.
 
-    ``keep`` must identify a text. ``partitions`` spreads the texts first,
-    for inputs in few unsplittable files (normalising text is CPU-bound).
+    ``keep`` must identify a text.
     """
     keep = list(keep)
-    texts = texts.select(*keep, text_col)
-    if partitions:
-        texts = texts.repartition(partitions)
-    tokens = texts.select(*keep, F.posexplode(words_of(text_col)).alias("_mp_pos", "_mp_word"))
-    hits = tokens.join(keyword_words(keywords, key_col, keyword_col), "_mp_word")
+    needed = keyword_words(keywords, key_col, keyword_col)
+    # empty strings at a text's ends only shift all its positions by one
+    words = F.split(F.lower(F.col(text_col)), WORD_SPLIT)
+    h = F.pmod(F.xxhash64("_mp_word"), F.lit(FILTER_BITS))
+    mask = F.get(word_filter(needed).scalar(), (F.call_function("shiftright", h, F.lit(6))).cast("int"))
+    known = F.call_function("shiftright", mask, (h % 64).cast("int")).bitwiseAND(F.expr("1L")) == 1
+    tokens = texts.select(*keep, F.posexplode(words).alias("_mp_pos", "_mp_word")).where(known)
+    hits = tokens.join(needed, "_mp_word")
     start = F.when(F.col("_mp_phrase"), F.col("_mp_pos") - F.col("_mp_place")).otherwise(F.lit(0))
     # NULL keys and ids group together with themselves, as the text they stand for does
     entry = [*keep, key_col, keyword_col]

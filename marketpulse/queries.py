@@ -15,21 +15,29 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from marketpulse.functions.columns import is_weekday, iso_z, nan_to_null, start_of_day, without_phrase
 from marketpulse.operators.aggregates import company_counts, high_water_mark, load_audit
+from marketpulse.operators.interval_join import interval_join
 from marketpulse.operators.keyword import match_keywords
+from marketpulse.operators.keyword_index import add_texts, read_index, search_index
 from marketpulse.operators.page_cap import cap_pages
+from marketpulse.operators.page_chain import chain_status
 from marketpulse.operators.tagging import tag_company, with_sector_case
 from marketpulse.operators.timegrid import HourGrid, bucket_assign, span_grid
 from marketpulse.operators.upsert import upsert_type1
 from marketpulse.plans.bronze import bronze_frame, bulk_load, incremental_load, read_bronze
-from marketpulse.plans.catalog import drop_table, read_table, save_table, use_database
-from marketpulse.plans.gold import build_gold, correction_rows, hourly_sentiment, read_gold, scored_gold, write_gold
+from marketpulse.plans.catalog import drop_table, read_table, save_bucketed, save_table, use_database
+from marketpulse.plans.gold import (
+    build_gold, correction_rows, hourly_sentiment, join_scores, read_gold, scored_gold, write_gold,
+)
+from marketpulse.plans.hourly import add_load, correction, hourly_means, partials, refresh_gold
 from marketpulse.plans.silver import build_silver, read_silver, write_silver
 from marketpulse.plans.upserts import merge_gold
 from marketpulse.schemas import BRONZE_PARTITION, GOLD_COLUMNS, GOLD_KEYS, GOLD_MEASURES
@@ -43,7 +51,10 @@ from marketpulse.sources.pages import flatten_pages, land_pages, read_pages
 from marketpulse.sources.testdata import (
     EVENT_PAGE_WIDTH, EVENT_TICKERS, bars_from_events, posts_from_events, scored_from_posts, scored_posts, table,
 )
-from marketpulse.streaming.bronze_stream import stage_posts, stream_to_bronze
+from marketpulse.streaming.bronze_stream import (
+    append_batch, checkpoint_for, read_audit, stage_posts, stream_table_to_bronze, stream_to_bronze,
+)
+from marketpulse.streaming.polling import poll, stream_new_posts
 
 # --- Test parameters (the original's literals moved onto the test month) ----
 RUN_DATE = "2024-02-01"
@@ -380,6 +391,37 @@ def q_bucket_join_edges(spark, sf_dir):
     return bucket_assign(_edge_posts(spark, sf_dir).select("id", "created_at"), "created_at", TEST_GRID)
 
 
+# Campaigns: every order is a stretch of the test month of its own place and length
+# (some empty, some long), some of them without a start or an end.
+_CAMPAIGN_START = "2024-01-01 00:00:00"
+
+
+@register("interval_join", f"""WITH c AS (
+  SELECT o_orderkey, TIMESTAMP '{_CAMPAIGN_START}' + INTERVAL 1 SECOND * CAST(
+           date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) * 1080 + o_custkey % 1080 AS INTEGER) AS a,
+         CAST(CASE WHEN o_custkey % 500 = 7 THEN 864000 ELSE floor(o_totalprice / 500) - 100 END AS INTEGER) AS seconds
+  FROM orders),
+campaigns AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 5000 <> 2499 THEN a END AS started,
+         CASE WHEN o_orderkey % 5000 <> 4999 THEN a + INTERVAL 1 SECOND * seconds END AS ended FROM c)
+SELECT event_id, ts, o_orderkey, started, ended
+FROM events JOIN campaigns ON ts >= coalesce(started, '-infinity'::TIMESTAMP) AND ts <= coalesce(ended, 'infinity'::TIMESTAMP)""")
+def q_interval_join(spark, sf_dir):
+    """Events in irregular, overlapping, empty and open-ended stretches, one per order."""
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date")).cast("bigint")
+    seconds = F.when(F.col("o_custkey") % 500 == 7, F.lit(864000)).otherwise(F.floor(F.col("o_totalprice") / 500) - 100)
+
+    def later(c, n):
+        return F.timestamp_add("SECOND", n.cast("bigint"), c)
+
+    key, a = F.col("o_orderkey"), later(_ntz(_CAMPAIGN_START), day * 1080 + F.col("o_custkey") % 1080)
+    campaigns = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(key % 5000 != 2499, a).alias("started"),
+        F.when(key % 5000 != 4999, later(a, seconds)).alias("ended"))
+    events = _events(spark, sf_dir).select("event_id", "ts")
+    return interval_join(events, campaigns, "ts", "started", "ended", open_ended=True)
+
+
 @register("hourly_sentiment_edges", f"""{EDGE_BASE},
 {GRID_CTE},
 {SILVER_CTE},
@@ -550,9 +592,76 @@ def q_database_tables(spark, sf_dir):
         drop_table(spark, name)
         save_table(rows.where(F.col("Ticker") == "CAT"), name, partition_col=BRONZE_PARTITION)
         save_table(rows.where(F.col("Ticker") != "CAT"), name, mode="append", partition_col=BRONZE_PARTITION)
+        copy = scratch_path(spark, "by_name")  # so that no table is left behind
+        read_table(spark, name).write.parquet(copy)
     finally:
         spark.catalog.setCurrentDatabase(before)
-    return _dates_as_timestamps(read_table(spark, name))
+        drop_table(spark, name)
+    return _dates_as_timestamps(spark.read.parquet(copy))
+
+
+# Three loads by time, posts of every eleventh id late (in the last one); then the scores of
+# some CAT posts are corrected: one more, or withdrawn.
+LOAD_CUTS = ("2024-01-10 00:00:00", "2024-01-20 12:00:00")
+FIXED_FROM, FIXED_TO = "2024-01-05 00:00:00", "2024-01-08 00:00:00"
+_FIXED_SQL = f"""ticker = 'CAT' AND event_id % 7 = 0 AND created_at >= TIMESTAMP '{FIXED_FROM}'
+                 AND created_at < TIMESTAMP '{FIXED_TO}'"""
+FIXED_BASE = GOLD_BASE.replace(SILVER_CTE, f"""silver AS (
+  SELECT * REPLACE (CASE WHEN {_FIXED_SQL} THEN CASE WHEN event_id % 2 = 0 THEN NULL ELSE sentID + 1 END
+                    ELSE sentID END AS sentID)
+  FROM tagged WHERE isodow(CAST(created_at AS DATE)) <= 5)""")
+
+
+def _hourly_loads(spark, sf_dir):
+    """The partial aggregates of three loads and a correction of the silver posts."""
+    silver = _silver(spark, sf_dir)
+    post, time = F.col("id").cast("bigint"), F.col("Twitter_Created_datetime")
+    load = (F.when((time < _ntz(LOAD_CUTS[0])) & (post % 11 != 0), 1)
+            .when((time < _ntz(LOAD_CUTS[1])) & (post % 11 != 0), 2).otherwise(3))
+    for i in (1, 2, 3):
+        yield f"load-{i}", partials(silver.where(load == i), TEST_GRID)
+    wrong = silver.where((F.col("Ticker") == "CAT") & (post % 7 == 0) & (time >= _ntz(FIXED_FROM)) & (time < _ntz(FIXED_TO)))
+    right = wrong.withColumn("sentID", F.when(post % 2 != 0, F.col("sentID") + 1))
+    yield "correction-1", correction(wrong, right, TEST_GRID)
+
+
+@register("hourly_increments", f"""{FIXED_BASE}
+SELECT Ticker, companySector, enddatetime, round(sentimentScore, {SCORE_DIGITS}) AS sentimentScore FROM hourly""")
+def q_hourly_increments(spark, sf_dir):
+    """The hourly mean after three loads and a correction, none of which rebuilt it."""
+    path = scratch_path(spark, "hourly")
+    for load_id, rows in _hourly_loads(spark, sf_dir):
+        add_load(rows, path, load_id)
+    return _round_score(hourly_means(spark, path))
+
+
+@register("gold_increments", f"""{FIXED_BASE}
+SELECT {GOLD_SELECT} FROM gold""")
+def q_gold_increments(spark, sf_dir):
+    """Gold without scores, then refreshed in the dates of each load and of the correction."""
+    path, gold, table_of_bars = (scratch_path(spark, x) for x in ("hourly", "gold_increments", "bars"))
+    bars_from_events(_events(spark, sf_dir), _dim(spark)).write.parquet(table_of_bars)
+    bars = spark.read.parquet(table_of_bars)
+    none = spark.createDataFrame([], "Ticker string, companySector string, enddatetime timestamp_ntz, sentimentScore double")
+    write_gold(join_scores(bars, none), gold)
+    for load_id, rows in _hourly_loads(spark, sf_dir):
+        refresh_gold(spark, bars, path, gold, add_load(rows, path, load_id))
+    return _round_score(read_gold(spark, gold))
+
+
+@register("gold_bucketed", f"""{GOLD_BASE}
+SELECT {GOLD_SELECT} FROM gold""")
+def q_gold_bucketed(spark, sf_dir):
+    """Bars kept as a table bucketed by the join's keys: the left join moves the hourly means alone."""
+    name, gold, before = f"marketpulse_scratch.bars_{uuid.uuid4().hex[:12]}", scratch_path(spark, "gold_bucketed"), spark.catalog.currentDatabase()
+    use_database(spark, "marketpulse_scratch")
+    try:
+        save_bucketed(bars_from_events(_events(spark, sf_dir), _dim(spark)), name, ["Date", "Ticker", "CompanySector"], 8)
+        write_gold(join_scores(read_table(spark, name), hourly_sentiment(_silver(spark, sf_dir), TEST_GRID)), gold)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        drop_table(spark, name)
+    return _round_score(read_gold(spark, gold))
 
 
 @register("json_pages", f"""WITH {POSTS_CTE}
@@ -637,6 +746,54 @@ def q_load_audit_runs(spark, sf_dir):
         "run", "ordinal", "ticker", "post_count", "total_posts", "pages", "complete")
 
 
+# The landed pages of one run, damaged per search: BAC lost a page, CAT's last page points back to its
+# fourth, an ENPH page landed twice, a DVN token was answered differently the second time; IVV is whole.
+@register("page_chain", f"""WITH RECURSIVE {POSTS_CTE},
+n AS (SELECT ticker, page, count(*) AS posts FROM posts GROUP BY ticker, page),
+l AS (SELECT ticker, page, posts, row_number() OVER w AS i, count(*) OVER (PARTITION BY ticker) AS pages,
+             CASE WHEN row_number() OVER w = 1 THEN '' ELSE ticker || '-' || page END AS tok,
+             ticker || '-' || lead(page) OVER w AS next
+      FROM n WINDOW w AS (PARTITION BY ticker ORDER BY page)),
+p AS (SELECT ticker, page, posts, tok, CASE WHEN ticker = 'CAT' AND i = pages
+               THEN (SELECT tok FROM l f WHERE f.ticker = 'CAT' AND f.i = 4) ELSE next END AS next
+      FROM l WHERE NOT (ticker = 'BAC' AND i = pages // 2)
+      UNION ALL SELECT ticker, page, posts, tok, next FROM l WHERE ticker = 'ENPH' AND i = pages // 3
+      UNION ALL SELECT ticker, page, posts, tok, 'elsewhere' FROM l WHERE ticker = 'DVN' AND i = pages - 2),
+t AS (SELECT ticker, tok, count(*) AS landed, min_by(posts, page) AS posts, min(next) AS next,
+             count(DISTINCT next) + max(CASE WHEN next IS NULL THEN 1 ELSE 0 END) > 1 AS fork FROM p GROUP BY ticker, tok),
+w AS (SELECT ticker, CAST(0 AS BIGINT) AS pos, tok, [tok] AS path FROM t WHERE tok = ''
+      UNION ALL
+      SELECT w.ticker, w.pos + 1, v.tok, list_append(w.path, v.tok)
+      FROM w JOIN t u ON u.ticker = w.ticker AND u.tok = w.tok AND NOT u.fork
+      JOIN t v ON v.ticker = u.ticker AND v.tok = u.next WHERE NOT list_contains(w.path, v.tok)),
+s AS (SELECT w.ticker, w.pos, t.* EXCLUDE (ticker), w.path FROM w JOIN t ON t.ticker = w.ticker AND t.tok = w.tok),
+f AS (SELECT ticker, pos AS place, 'repeat' AS problem, tok AS token FROM s WHERE landed > 1 AND NOT fork
+      UNION ALL SELECT ticker, pos, 'fork', tok FROM s WHERE fork
+      UNION ALL SELECT ticker, pos + 1, CASE WHEN list_contains(path, next) THEN 'loop' ELSE 'gap' END, next
+      FROM s WHERE pos = (SELECT max(pos) FROM s z WHERE z.ticker = s.ticker) AND NOT fork AND next IS NOT NULL),
+first AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY place) = 1)
+SELECT 'r1' AS run, g.ticker, g.pages_landed, c.chain_pages, c.chain_posts, problem, place AS problem_at,
+       token AS problem_token, problem IS NULL AS complete
+FROM (SELECT ticker, count(*) AS pages_landed FROM p GROUP BY ticker) g
+JOIN (SELECT ticker, count(*) AS chain_pages, CAST(sum(posts) AS BIGINT) AS chain_posts FROM s GROUP BY ticker) c USING (ticker)
+LEFT JOIN first USING (ticker)""")
+def q_page_chain(spark, sf_dir):
+    """Each search's cursor chain: a lost page, a loop, a page landed twice, a fork, none."""
+    pages = read_pages(spark, _landed_pages(spark, sf_dir, "pages_chain")).select("run", "ticker", "page", "token", "meta")
+    place = Window.partitionBy("ticker").orderBy("page")
+    pages = (pages.withColumn("i", F.row_number().over(place))
+             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("ticker"))))
+    i, n, ticker = F.col("i"), F.col("n"), F.col("ticker")
+    back = F.max(F.when(i == 4, F.col("token"))).over(Window.partitionBy("ticker"))
+    named = F.when((ticker == "CAT") & (i == n), back).otherwise(F.col("meta.next_token"))
+    whole = pages.withColumn("meta", F.struct("meta.result_count", named.alias("next_token")))
+    other = F.struct("meta.result_count", F.lit("elsewhere").alias("next_token"))
+    damaged = (whole.where(~((ticker == "BAC") & (i == F.floor(n / 2))))
+               .unionByName(whole.where((ticker == "ENPH") & (i == F.floor(n / 3))))
+               .unionByName(whole.where((ticker == "DVN") & (i == n - 2)).withColumn("meta", other)))
+    return chain_status(damaged.drop("i", "n"))
+
+
 @register("json_pages_raw", f"""WITH {POSTS_CTE},
 loads AS ({TWO_RUNS})
 SELECT run, "user", created_at, id, text, ticker, page // {RAW_PAGES} AS page FROM loads""")
@@ -678,6 +835,23 @@ def q_bronze_incremental(spark, sf_dir):
     return _dates_as_timestamps(read_bronze(spark, path))
 
 
+PER_TICKER_CUT = "2024-01-26 00:00:00"
+
+
+@register("bronze_per_ticker", f"""{BASE}
+{_bronze_select(f"ticker <> 'BAC' OR created_at < TIMESTAMP '{INCREMENTAL_CUT}' OR isodow(CAST(created_at AS DATE)) <= 5")}""")
+def q_bronze_per_ticker(spark, sf_dir):
+    """BAC was fetched early: two loads from each ticker's own mark, while the newest post of all stands still; none comes twice."""
+    path, dim, posts = scratch_path(spark, "bronze_per_ticker"), _dim(spark), _posts(spark, sf_dir)
+    for i, shown in enumerate((INCREMENTAL_CUT, PER_TICKER_CUT, RUN_DATE)):
+        seen = posts.where((F.col("ticker") != "BAC") | (F.col("created_at") < _ntz(shown)))
+        if i == 0:
+            bulk_load(seen, dim, path, RUN_DATE)
+        else:
+            incremental_load(seen, dim, path, RUN_DATE, per_ticker=True, dedupe=True)
+    return _dates_as_timestamps(read_bronze(spark, path))
+
+
 @register("stream_append", f"""{BASE}
 {_bronze_select('TRUE')}""")
 def q_stream_append(spark, sf_dir):
@@ -694,6 +868,55 @@ def q_stream_append(spark, sf_dir):
     return _dates_as_timestamps(read_bronze(spark, target))
 
 
+@register("stream_by_name", f"""{BASE}, b AS ({_bronze_select('TRUE')})
+SELECT Ticker, CAST(count(*) AS BIGINT) AS posts, (SELECT count(*) FROM b) AS audited_posts, (SELECT min(Twitter_Created_datetime) FROM b) AS audited_first,
+       (SELECT max(Twitter_Created_datetime) FROM b) AS audited_last FROM b GROUP BY Ticker""")
+def q_stream_by_name(spark, sf_dir):
+    """A stage table streamed by its name in two rounds; posts per ticker in bronze beside the audit's sums."""
+    base, name = scratch_path(spark, "by_name"), f"marketpulse_scratch.stage_{uuid.uuid4().hex[:12]}"
+    target, audit, before = f"{base}/bronze", f"{base}/audit", spark.catalog.currentDatabase()
+    rows, cut = bronze_frame(_posts(spark, sf_dir), _dim(spark), RUN_DATE), _ntz(INCREMENTAL_CUT)
+    use_database(spark, "marketpulse_scratch")
+    try:
+        for part in (rows.where(F.col("Twitter_Created_datetime") < cut), rows.where(F.col("Twitter_Created_datetime") >= cut)):
+            save_table(part.repartition(3), name, mode="append")
+            stream_table_to_bronze(spark, name, target, audit, max_files_per_trigger=2)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        drop_table(spark, name)
+    batches = read_audit(spark, audit)
+    return read_bronze(spark, target).groupBy("Ticker").agg(F.count(F.lit(1)).alias("posts")).select(
+        "Ticker", "posts", batches.agg(F.sum("posts")).scalar().alias("audited_posts"),
+        batches.agg(F.min("first_post")).scalar().alias("audited_first"),
+        batches.agg(F.max("last_post")).scalar().alias("audited_last"))
+
+
+POLLS = ("2024-01-12 00:00:00", "2024-01-22 00:00:00", "2024-02-01 00:00:00")
+
+
+@register("stream_polling", f"""{BASE}
+{_bronze_select('TRUE')}""")
+def q_stream_polling(spark, sf_dir):
+    """Three rounds from bronze's own mark, two days looked back each; the second one breaks off between batches."""
+    base = scratch_path(spark, "polling")
+    stage, target, dim = f"{base}/stage", f"{base}/bronze", _dim(spark)
+    posts, horizon = _posts(spark, sf_dir), timedelta(days=30)
+
+    def broken(batch, batch_id):
+        if batch_id % 2:  # the round's later batches are lost with the process
+            raise RuntimeError("broke off")
+        append_batch(batch, target, checkpoint_for(target, "polling"), batch_id)
+
+    for i, now in enumerate(POLLS):
+        shown = posts.where(F.col("created_at") < _ntz(now)).repartition(3)
+        how = {"max_files_per_trigger": 1, "sink": broken} if i == 1 else {"max_files_per_trigger": 2}
+        try:
+            poll(shown, dim, stage, target, datetime.fromisoformat(now), RUN_DATE, timedelta(days=2), horizon, **how)
+        except StreamingQueryException:
+            stream_new_posts(spark, stage, target, horizon, max_files_per_trigger=1)
+    return _dates_as_timestamps(read_bronze(spark, target))
+
+
 _KW_ROWS = [(t, k) for t, k, _ in COMPANIES] + DOCUMENT_SEARCHES
 # the same dictionary with every odd entry: repeated, with outer blanks, without
 # words, NULL keyword, NULL key
@@ -731,3 +954,12 @@ def q_keyword_match_join(spark, sf_dir):
 def q_keyword_dictionary(spark, sf_dir):
     """A dictionary with repeated, padded, wordless and NULL entries."""
     return match_keywords(table(spark, sf_dir, "documents"), literal_frame(spark, _KW_ODD_ROWS, _KW_SCHEMA))
+
+
+@register("keyword_index", _keyword_sql(_KW_ODD_ROWS))
+def q_keyword_index(spark, sf_dir):
+    """All documents indexed in three loads; the odd dictionary searched in the index."""
+    root, docs = scratch_path(spark, "index"), table(spark, sf_dir, "documents")
+    for day in range(3):
+        add_texts(docs.where(F.pmod("doc_id", F.lit(3)) == day), root, f"day-{day}")
+    return search_index(read_index(spark, root), literal_frame(spark, _KW_ODD_ROWS, _KW_SCHEMA))

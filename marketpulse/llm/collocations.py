@@ -39,6 +39,7 @@ TOP = 2000
 TILE_BITS = 11
 CORNER_TILES = 4
 DENSE = 1 << 17
+SLICE = 1 << 19  # places of a unit looked at together, which bounds a task's memory
 UNIT_BYTES = 12 << 20
 GROUP_BYTES = 8 << 20
 SCALE = 2_000_000
@@ -162,6 +163,17 @@ def count_tiles(codes: np.ndarray, weights: np.ndarray | None = None, dense: int
     return found[order], counted[order].astype(np.int64)
 
 
+def count_pairs(ids: np.ndarray, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of neighbouring places and their counts, slice by slice."""
+    found = []
+    for i in range(0, max(1, len(ids)), SLICE):
+        codes, ok = pair_codes(ids[i:i + SLICE + 1])
+        found.append(count_tiles(codes[ok], dense=dense))
+    if len(found) == 1:
+        return found[0]
+    return count_tiles(np.concatenate([c for c, _ in found]), np.concatenate([n for _, n in found]), dense)
+
+
 def group_of(codes: np.ndarray, lang: str, groups: int, stripes: int) -> np.ndarray:
     """The tile group of each code: a hash of the language and a stripe of rows of its tile."""
     import zlib
@@ -181,8 +193,7 @@ def _request(groups: int, stripes: int, dense: int):
         for frame in frames:
             out = []
             for unit, lang, ids in zip(frame["unit"], frame["lang"], frame["ids"]):
-                codes, ok = pair_codes(np.frombuffer(ids, np.uint32))
-                codes, n = count_tiles(codes[ok], dense=dense)
+                codes, n = count_pairs(np.frombuffer(ids, np.uint32), dense)
                 part = group_of(codes, lang, groups, stripes)
                 order = np.argsort(part, kind="stable")
                 part, codes, n = part[order], codes[order], n[order]
@@ -275,9 +286,12 @@ def _raise_level(frames):
             number = np.concatenate([np.frombuffer(x, np.uint32) for x in numbers])
             order = np.argsort(known)
             known, number = known[order], number[order]
-            codes, ok = pair_codes(np.frombuffer(ids, np.uint32))
-            place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
-            ids = _stretches(np.where(ok & (known[place] == codes), number[place], GONE))
+            ids, raised = np.frombuffer(ids, np.uint32), []
+            for i in range(0, len(ids), SLICE):
+                codes, ok = pair_codes(ids[i:i + SLICE + 1])
+                place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+                raised.append(np.where(ok & (known[place] == codes), number[place], GONE))
+            ids = _stretches(np.concatenate(raised))
             if len(ids):
                 out.append((unit, lang, ids.tobytes()))
         yield pd.DataFrame(out, columns=["unit", "lang", "ids"])
@@ -422,18 +436,24 @@ def best_phrases(vocabulary: DataFrame, two: DataFrame, three: DataFrame, four:
 ORACLE = r"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                   'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
-     p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
-     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     p AS (SELECT lang, row_number() OVER () AS piece, piece AS t
+           FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+     w AS (SELECT lang, piece, unnest(w) AS w1, generate_subscripts(w, 1) AS i
+           FROM (SELECT lang, piece, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM p)),
+     g AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4
+           FROM w WINDOW o AS (PARTITION BY piece ORDER BY i)),
+     c AS (SELECT lang, k, CASE k WHEN 1 THEN w1 WHEN 2 THEN w1 || ' ' || w2 WHEN 3 THEN w1 || ' ' || w2 || ' ' || w3
+                  ELSE w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 END AS phrase, count(*) AS f
+           FROM g, (SELECT unnest(range(1, 5)) AS k)
+           WHERE CASE k WHEN 1 THEN w1 WHEN 2 THEN w2 WHEN 3 THEN w3 ELSE w4 END IS NOT NULL GROUP BY ALL),
      k AS (SELECT unnest(range(1, 5)) AS k),
-     g AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, k WHERE len(w) >= k),
-     c AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
      n AS (SELECT lang, sum(f) AS n FROM c WHERE k = 1 GROUP BY lang),
      q AS (SELECT *, string_split(phrase, ' ') AS w FROM c WHERE k > 1 AND f >= 30),
-     s AS (SELECT q.lang, q.phrase, q.f, k.k AS cut_at, x.f AS l, y.f AS r,
-                  (2000000 * q.f::HUGEINT) // (x.f + y.f) AS score
-           FROM q JOIN k ON k.k < q.k
-           JOIN c x ON x.lang = q.lang AND x.phrase = array_to_string(q.w[:k.k], ' ')
-           JOIN c y ON y.lang = q.lang AND y.phrase = array_to_string(q.w[k.k + 1:], ' ')),
+     cuts AS MATERIALIZED (SELECT q.lang, q.phrase, q.f, k.k AS cut_at, array_to_string(q.w[:k.k], ' ') AS head,
+                                  array_to_string(q.w[k.k + 1:], ' ') AS tail FROM q JOIN k ON k.k < q.k),
+     s AS (SELECT cuts.*, x.f AS l, y.f AS r, (2000000 * cuts.f::HUGEINT) // (x.f + y.f) AS score
+           FROM cuts JOIN c x ON x.lang = cuts.lang AND x.phrase = cuts.head
+           JOIN c y ON y.lang = cuts.lang AND y.phrase = cuts.tail),
      low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1),
      sub AS (SELECT q.lang, array_to_string(q.w[i:i + k.k - 1], ' ') AS phrase, max(q.f) AS around
              FROM q JOIN k ON k.k > 1 AND k.k < q.k, unnest(range(1, 4)) AS t(i)

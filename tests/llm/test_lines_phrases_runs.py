@@ -177,6 +177,19 @@ def test_tiles_count_like_a_counter(pairs, dense):
         assert list(zip(found.tolist(), counts.tolist())) == sorted(want.items())
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=40), st.integers(1, 7))
+def test_pairs_in_slices(ids, width):
+    before, collocations.SLICE = collocations.SLICE, width
+    try:
+        ids = np.array([int(collocations.GONE) if i == 5 else i for i in ids], np.uint32)
+        found, counts = collocations.count_pairs(ids)
+    finally:
+        collocations.SLICE = before
+    want = Counter(int(a) << 32 | int(b) for a, b in zip(ids, ids[1:]) if collocations.GONE not in (a, b))
+    assert list(zip(found.tolist(), counts.tolist())) == sorted(want.items())
+
+
 def test_phrases_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
     assert rows_of(queries.op12_collocations(spark, SF), *PHRASES) == slow_phrases(docs, 30, 2000)

@@ -144,9 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                     (F.col("passes") * F.col("size") + part).cast("long").alias("taken"), *carry))
 
 
-# Seats are dealt one by one here: every quotient of every source is listed and ranked.
-# It is the rule for one shard a source; beyond SHARD_DOCS rows it differs from ``mix`` in that it
-# drops the words trimmed from a shard and gives every source as many shards.
+# Seats are dealt one by one here: every quotient of every source and shard is listed and ranked.
 ORACLE = rf"""
 WITH docs AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS source_key,
@@ -154,7 +152,10 @@ WITH docs AS (
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
   FROM documents),
 nn AS (SELECT greatest(1, ceil(count(*) / {SHARD_DOCS}.0))::BIGINT AS n FROM docs),
-rows_ AS (SELECT docs.*, ('0x' || substr(digest, 1, 8))::BIGINT % nn.n AS shard FROM docs, nn),
+few AS (SELECT source_key, greatest(1, least(sum(size)::BIGINT // {SHARD_BLOCKS * BLOCK}, count(*) FILTER (size > 0) // {SHARD_BLOCKS},
+               max(nn.n))) AS few FROM docs, nn GROUP BY 1),
+rows_ AS (SELECT docs.*, ('0x' || substr(digest, 1, 8))::BIGINT % CASE WHEN size > 0 THEN few ELSE nn.n END AS shard
+          FROM docs JOIN few USING (source_key), nn),
 src AS (SELECT source_key, sum(size)::BIGINT AS source_size FROM rows_ GROUP BY 1),
 wt AS (SELECT *, list_extract([{", ".join(map(str, WEIGHTS))}], 1 + ((row_number() OVER (ORDER BY source_key) - 1) % {len(WEIGHTS)})::INT) AS w,
               {BUDGET_PERCENT} * sum(source_size) OVER () AS budget100 FROM src),
@@ -172,10 +173,15 @@ sh AS (SELECT source_key, shard, sum(size)::BIGINT AS shard_size FROM rows_ GROU
 q2 AS (SELECT source_key, shard, sq, row_number() OVER (PARTITION BY source_key ORDER BY shard_size::DOUBLE / (2 * k - 1) DESC, shard) AS rk
        FROM (SELECT sh.*, sq.sq, unnest(range(1, sq.sq + 2)) AS k FROM sh JOIN sq USING (source_key) WHERE shard_size > 0)),
 quota AS (SELECT source_key, shard, count(*) AS quota FROM q2 WHERE rk <= sq GROUP BY 1, 2),
-placed AS (SELECT r.*, sh.shard_size, least(coalesce(quota, 0) * {BLOCK}, {MAX_REPEAT} * sh.shard_size)::BIGINT AS words,
+given AS (SELECT sh.*, coalesce(quota, 0) * {BLOCK} AS given, {MAX_REPEAT} * shard_size AS most
+          FROM sh LEFT JOIN quota USING (source_key, shard)),
+room AS (SELECT *, greatest(most - given, 0) AS room, sum(greatest(given - most, 0)) OVER (PARTITION BY source_key) AS trimmed,
+                coalesce(sum(greatest(most - given, 0)) OVER (PARTITION BY source_key ORDER BY shard
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room_before FROM given),
+placed AS (SELECT r.*, room.shard_size, (least(given, most) + least(greatest(trimmed - room_before, 0), room))::BIGINT AS words,
              (sum(size) OVER (PARTITION BY source_key, shard ORDER BY digest, doc_id NULLS FIRST, size
                               ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS before_
-           FROM rows_ r JOIN sh USING (source_key, shard) LEFT JOIN quota USING (source_key, shard))
+           FROM rows_ r JOIN room USING (source_key, shard))
 SELECT doc_id, size, source_size, target,
        (CASE WHEN shard_size = 0 THEN 0 ELSE (words // shard_size) * size
           + least(greatest(words - (words // shard_size) * shard_size - before_, 0), size) END)::BIGINT AS taken

@@ -29,16 +29,19 @@ block sees itself. No group of equal strings is ever together in one task.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import exchange_size, released_shuffles, text_or_empty
+from marketpulse.llm.common import exchange_size, released_shuffles, text_or_empty, written
 from marketpulse.llm.packed import pack_keys, range_edges, unpack_keys
 from marketpulse.session import scratch_path
 
 LENGTH = 100
+TIE_CHARS = 64
+ORDER = ["no_id", "doc_id", "head", "tie"]  # of documents: id (null last), first characters, a hash of the text
 SEED_LENGTH = 32  # anchors; half of 64, and 64 + 36 = LENGTH
 BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 8 << 20
@@ -159,8 +162,8 @@ def _distinct_pairs(name: np.ndarray, cover: np.ndarray):
 
 
 def _in_order(frame):
-    """The block's rows in the order of ids (null last), ties by text; and the texts in UTF-8."""
-    frame = frame.sort_values(["no_id", "doc_id", "text"], kind="stable").reset_index(drop=True)
+    """The block's rows in order, and the texts in UTF-8."""
+    frame = frame.sort_values(ORDER, kind="stable").reset_index(drop=True)
     return frame, [t.encode() for t in frame["text"]]
 
 
@@ -272,6 +275,25 @@ def _cut_out(_, frame, replies):
     return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
 
+def block_starts(rows: DataFrame, blocks: int, size: int) -> list[tuple]:
+    """The first document (as ``ORDER``) of each block but the first: blocks of about equal bytes.
+
+    A range sort of narrow rows, running sums of bytes within its partitions, and prefix sums over
+    the partitions. One row per block reaches the driver. Rows alike in ``ORDER`` stay together, and a
+    text longer than a block is one.
+    """
+    narrow = rows.select(*ORDER, (F.octet_length("text") + 64).cast("long").alias("bytes"))
+    placed = written(narrow.repartitionByRange(*ORDER).withColumn("part", F.spark_partition_id()), "repeats-order")
+    parts = placed.groupBy("part").agg(F.sum("bytes").alias("total"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))  # a row per partition
+    inside = Window.partitionBy("part").orderBy(*ORDER).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = placed.withColumn("upto", F.sum("bytes").over(inside)).join(parts, "part")
+    block = F.floor((F.col("base") + F.col("upto") - 1) * blocks / F.lit(max(size, 1)))
+    starts = ends.groupBy(block.alias("block")).agg(F.min(F.struct(*ORDER)).alias("start")).orderBy("block").collect()
+    return [tuple(r.start) for r in starts[1:]]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    block_bytes: int | None = None, range_bytes: int | None = None) -> DataFrame:
     """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans``.
@@ -280,28 +302,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     in a row of smaller id, or earlier in the same row; overlaps count, and
     strings never cross rows. ``spans`` lists start and end of each maximal removed
     run in the UTF-8 bytes. Null text is empty and, like any text under 100 bytes, loses
-    nothing. A null id comes after all others; rows of one id come in the order
-    of their texts, so the second of two equal rows is removed. Extra columns are
+    nothing. A null id comes after all others; rows of one id come in the order of their
+    first ``TIE_CHARS`` characters, then of a hash, so the second of two equal rows is
+    removed and many rows without id are many blocks. Extra columns are
     ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc_id"), F.col(id_col).isNull().alias("no_id"),
                        text_or_empty(text_col).alias("text"))
+    rows = rows.select("*", F.substring("text", 1, TIE_CHARS).alias("head"), F.xxhash64("text").alias("tie"))
     size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-size // (block_bytes or exchange_size(size, BLOCK_BYTES, 2048))))
     parts = max(1, -(-size // (range_bytes or exchange_size(size, RANGE_BYTES, 2048))))
-    cuts = [i / blocks for i in range(1, blocks)]
-    bounds = (rows.where("not no_id").agg(F.percentile_approx("doc_id", cuts, max(10_000, 20 * blocks))).first()[0]
-              if cuts else None) or []
-    bounds = np.array(bounds, np.int64)
+    starts = block_starts(rows, blocks, size) if blocks > 1 else []
 
     @F.pandas_udf("int")
-    def block_of(ids, none):
+    def block_of(none, ids, head, tie):
         import pandas as pd
 
-        return pd.Series(np.where(none, blocks, np.searchsorted(bounds, ids)).astype("int32"))
+        return pd.Series([bisect_right(starts, x) for x in zip(none, ids, head, tie)], dtype="int32")
 
-    rows = rows.withColumn("block", block_of("doc_id", "no_id"))
+    rows = rows.withColumn("block", block_of(*ORDER))
     grouped = rows.groupBy("block")
     folders = [scratch_path(spark, f"repeats-{n}") for n in (0, 1)]
     with released_shuffles(spark):

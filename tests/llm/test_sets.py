@@ -49,6 +49,17 @@ def test_mixing_targets_and_limits(spark, block, shard_docs):
     assert sum(t for _, t, _ in by.values()) == pytest.approx(1.5 * total)
 
 
+def test_mixing_several_shards_as_stated_in_sql(spark):
+    """Three shards and sources of different numbers of them: the whole table of sf0.1 row by row."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM read_parquet('/root/testdata/sf0.1/documents.parquet')")
+    names = [d[0] for d in con.execute(mixing.ORACLE).description]
+    got = mixing.mix(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    assert rows_of(got, *names) == key(con.execute(mixing.ORACLE).fetchall())
+
+
 def thin_sources(spark):
     """600 documents of 4 words, target twice their size, and 200 of 5 words, target once, beside 8,000 others."""
     rows = [(i, "a b c d", "a") for i in range(600)] + [(i, "w " * 10, "b") for i in range(1000, 9000)]
@@ -77,6 +88,24 @@ def test_mixing_trimmed_words_go_to_other_shards(spark):
     assert got[1] == 2 * (3000 + 999 * 3) and abs(got[0] - got[1]) <= mixing.BLOCK
 
 
+@pytest.mark.parametrize("long_ids", [True, False])
+def test_repeats_blocks_hold_equal_bytes(spark, long_ids):
+    """Long texts in one id range, or without id, do not make a block much larger than the others."""
+    rows = [(i, f"{i:05d} " + "s" * 94) for i in range(5000)]
+    rows += [(10_000 + i if long_ids else None, f"{i:05d} " + "l" * 199_994) for i in range(50)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    keyed = docs.select(F.coalesce("id", F.lit(0)).alias("doc_id"), F.col("id").isNull().alias("no_id"), "text",
+                        F.substring("text", 1, suffix_dedup.TIE_CHARS).alias("head"), F.xxhash64("text").alias("tie"))
+    size = sum(len(t) + 64 for _, t in rows)
+    starts = suffix_dedup.block_starts(keyed, 55, size)
+    assert 45 <= len(starts) < 55 and starts == sorted(starts)
+    keys = sorted((bool(r.no_id), r.doc_id, r.head, r.tie, len(r.text)) for r in keyed.collect())
+    held = [0] * (len(starts) + 1)
+    for k in keys:
+        held[__import__("bisect").bisect_right(starts, k[:4])] += k[4] + 64
+    assert max(held) <= 2 * size / 55 and sum(held) == size
+
+
 def test_sainte_lague_is_highest_quotients(spark):
     rng = np.random.default_rng(3)
     rows = [(g, p, int(v), int(s)) for g, (n, s) in enumerate([(1, 5), (4, 3), (9, 100), (30, 11), (6, 0), (5, 10_000)])

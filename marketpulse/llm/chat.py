@@ -21,6 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketpulse.llm.common import written
 from marketpulse.llm.tokens import encoder
 
 MARKS = ("<s>", "[INST]", "[/INST]", "</s>")
@@ -81,6 +82,7 @@ def format_turns(turns: DataFrame, tokenizer: str, loss_role: str = LOSS_ROLE) -
     rows = (turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
                          F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
             .mapInPandas(_encode(tokenizer, loss_role), "conv_id long, turn long, ids binary, loss_mask binary"))
+    rows = written(rows, "chat-turns")  # read for the chunks and for their sums: encoded once
     # two-level prefix sums, so that no window holds a long conversation: within
     # chunks of turn numbers, then over the chunks of a conversation
     rows = rows.withColumn("n", F.octet_length("ids") / 4).withColumn("chunk", F.floor(F.col("turn") / CHUNK))

@@ -32,7 +32,7 @@ from marketpulse.session import scratch_path
 MOD, HELD_OUT, DELETED_REMAINDER = 7, 2, 5
 BLOCK_CHARS = 8 << 20
 RANGE_CHARS = 16 << 20
-BUCKETS = 16
+BUCKETS = 64  # log2 of any count there can be
 STEPS = 8  # rounding of estimates for EM: steps per power of two
 END = np.uint64(0x9E3779B97F4A7C15)  # key of the end token; any constant no word hashes to
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))

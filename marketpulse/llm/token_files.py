@@ -24,14 +24,27 @@ from marketpulse.llm.common import text_or_empty
 from marketpulse.llm.tokens import encoder, slices
 
 END_ID = 1
+TIE_CHARS = 256
 NO_ID = -(1 << 63)  # stands for a null id in the id files
 
 
+# schemes that Spark's connectors use for stores which pyarrow knows by another name, or as a mounted folder
+SCHEMES = {"s3a": "s3://", "s3n": "s3://", "abfss": "abfs://", "wasbs": "abfs://", "dbfs": "/dbfs/"}
+
+
+def store_uri(folder: str) -> str:
+    """The folder as pyarrow names it."""
+    scheme, colon, rest = folder.partition(":")
+    if not colon or scheme not in SCHEMES:
+        return folder
+    return SCHEMES[scheme] + rest.lstrip("/")
+
+
 def _store(folder: str):
     """``(filesystem, path)`` of a folder URI (or an absolute local path)."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder)
+    return fs.FileSystem.from_uri(store_uri(folder))
 
 
 def _write_task(folder: str, path: str, separator: str, end_id: int):
@@ -73,14 +86,15 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, separator: s
     """Write ``docs`` in ascending id order under ``folder``; returns (and stores) the manifest.
 
     Null or empty text is the end id alone. Null ids come first. Rows of one
-    id are separate documents, next to each other in the order of their
-    texts. An empty table writes an empty manifest. Extra columns are ignored.
+    id are separate documents, next to each other in the order of their texts' first
+    ``TIE_CHARS`` characters, then of a hash, so many of them are several files. An empty table writes an empty manifest. Extra columns are ignored.
     """
     files, root = _store(folder)
     files.create_dir(root, recursive=True)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
                        text_or_empty(text_col).alias("text"))
-    counts = (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.substring("text", 1, TIE_CHARS), F.xxhash64("text")]
+    counts = (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
               .mapInPandas(_write_task(folder, tokenizer, separator, end_id),
                            "part int, name string, kind string, n_docs long, n_tokens long")
               .collect())  # one row per file

@@ -126,7 +126,7 @@ def language_model(rows, weights_of):
     n, v = sum(one.values()), len(one)
     kept, kept2 = one - one_d, two - two_d
     nk, vk = sum(kept.values()), len(kept)
-    bucket = lambda c: min(int(math.log2(c + 1)), 15)
+    bucket = lambda c: int(math.log2(c + 1))
     cells = Counter()
     for t, m in zip(texts, part):
         if m == 5:

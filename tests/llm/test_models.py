@@ -96,6 +96,36 @@ def test_weights_sum_to_one_and_follow_evidence():
     assert w[3, 0] > 0.8 and w[7, 2] > 0.99 and w[0, 0] == 0
 
 
+def test_weights_of_an_em_of_its_own():
+    """Learned weights against expectation-maximisation written out token by token."""
+    rng = np.random.default_rng(5)
+    cells = [(3, int(rng.integers(0, 90)), int(rng.integers(0, 60)), int(rng.integers(1, 9))) for _ in range(40)]
+    cells += [(40, -10_000, int(rng.integers(0, 60)), 3) for _ in range(9)]
+    learned = interpolation.learn_weights(np.array(cells, float))
+    for b in (3, 40):
+        tokens = [(2 ** (two / 8) if two > -10_000 else 0.0, 2 ** (one / 8), 1.0) for x, two, one, n in cells if x == b for _ in range(n)]
+        w = [1 / 3] * 3
+        for _ in range(100):
+            credit = [0.0] * 3
+            for p in tokens:
+                total = sum(a * q for a, q in zip(w, p))
+                for k in range(3):
+                    credit[k] += w[k] * p[k] / total
+            w = [c / len(tokens) for c in credit]
+        assert learned[b] == pytest.approx(w, abs=2e-6)
+
+
+def test_frequent_contexts_have_buckets_of_their_own(spark):
+    """A context seen more than 2^15 times is not in the bucket of one seen 2^17 times."""
+    counts = np.array([(1 << 15) - 2, (1 << 15) - 1, 1 << 16, 1 << 17, 1 << 45])
+    assert interpolation._bucket(counts).tolist() == [14, 15, 16, 17, 45]
+    rows = [(i, "often " * 3000 + f"w{i % 7} rare") for i in range(60)]
+    got = interpolation.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = language_model(rows, interpolation.learn_weights)
+    for r, w in zip(sorted(got, key=lambda r: r.doc_id), want):
+        assert r.score == pytest.approx(w[6], rel=1e-9)
+
+
 def test_hilbert_curve_is_a_walk():
     """All cells once, neighbours one step apart."""
     for dims, bits in ((2, 3), (3, 2)):
@@ -221,6 +251,29 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, none, SF).count() == 0, name
 
 
+def test_pipeline_quality_rejects_what_is_labelled_so(spark):
+    """Of the documents whose label the classifier has not seen, the bad ones go and the good ones stay, unchanged."""
+    docs, labels = (spark.read.parquet(f"{SF2}/{t}.parquet") for t in ("documents", "labels"))
+    kept = corpus_pipeline.reject_low_quality(spark, docs, SF2)
+    assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0
+    stay = {r.doc_id for r in kept.select("doc_id").collect()}
+    seen = [(r.quality, r.doc_id in stay) for r in labels.where("crc32(cast(doc_id as string)) % 3 = 1").collect()]
+    good, bad = ([s for q, s in seen if q == label] for label in (1, 0))
+    assert len(good) > 20 and len(bad) > 20 and np.mean(good) >= 0.95 and np.mean(bad) <= 0.05
+
+
+def test_pipeline_pack_holds_every_token_once(spark):
+    """Packed rows, odd documents and one of megabytes among them, are the library's ids, cut only."""
+    from tests.llm.test_token_operators import check_packing, library
+
+    encode = library("byte_bpe_50k.json")
+    long = (777, "A long text, page after page. " * 40_000, "en", "s9", 1, *odd_rows()[0][5:])
+    rows = [*odd_rows(), long]
+    docs = spark.createDataFrame(rows, odd_docs(spark).schema).coalesce(1)
+    pieces = corpus_pipeline.pack_windows(spark, docs, SF).collect()
+    assert check_packing(pieces, [(r[0], encode(r[1])) for r in rows], 2048) < 2048
+
+
 def test_pipeline_mix_keeps_thinly_spread_sources(spark, tmp_path, monkeypatch):
     """Whole documents of a source whose target is twice its size come out twice, however many shards there are."""
     monkeypatch.setattr(corpus_pipeline.mixing, "mix", functools.partial(corpus_pipeline.mixing.mix, shard_docs=4))
@@ -240,3 +293,15 @@ def test_pipeline_run(spark):
     for r in rows:
         fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
     assert max(fill.values()) <= 2048 and all(r.sequence_tokens == fill[r.sequence_id] for r in rows)
+    # each document that came through is there with all its tokens, as often as the mix took it
+    from tests.llm.test_token_operators import library
+
+    encode, parts = library("byte_bpe_50k.json"), {}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in rows:
+        parts.setdefault(r.doc_id, []).append((r.start, np.frombuffer(bytes(r.ids), "<u4").tolist()))
+    for doc, pieces in parts.items():
+        ids = encode(texts[doc])
+        copies, rest = divmod(sum(len(x) for _, x in pieces), len(ids))
+        assert rest == 0 and copies in (1, 2)
+        assert all(ids[start:start + len(x)] == x for start, x in pieces)

@@ -113,6 +113,23 @@ def test_token_files_odd_rows(spark):
     assert [r.start for r in got] == np.cumsum([0] + [len(i) for i in all_ids])[:-1].tolist()
 
 
+def test_token_file_stores():
+    assert token_files.store_uri("s3a://bucket/a/b") == "s3://bucket/a/b" and token_files.store_uri("dbfs:/x/y") == "/dbfs/x/y"
+    assert token_files.store_uri("abfss://c@a.example/x") == "abfs://c@a.example/x"
+    assert token_files.store_uri("/local/x") == "/local/x" and token_files.store_uri("file:///x") == "file:///x"
+
+
+def test_token_files_spread_rows_of_one_id(spark):
+    """Rows without id, or of one id, are several files, in one order over all of them."""
+    encode, folder = library("word_bpe_49k.json"), scratch_path(spark, "t")
+    rows = [(None if i % 3 else 5, f"text {i * 7919 % 1000:04d} of many") for i in range(900)]
+    manifest = token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), folder, path("word_bpe_49k.json"))
+    assert len(manifest) > 3 and max(m["n_docs"] for m in manifest) < 450
+    want = [encode(t) for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[1]))]
+    flat = np.concatenate([np.asarray(token_files.open_part(folder, e)[0]) for e in manifest])
+    assert flat.tolist() == [x for i in want for x in i]
+
+
 def test_token_files_empty_table(spark):
     folder = scratch_path(spark, "t")
     assert token_files.write_token_files(no_docs(spark), folder, path("word_bpe_49k.json")) == []
@@ -122,10 +139,10 @@ def test_token_files_empty_table(spark):
 def test_token_files_query(spark):
     encode = library("word_bpe_49k.json")
     texts = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
-    got = sorted(tuple(r) for r in queries.op3_token_files(spark, SF).select("doc_id", "start", "n_tokens").collect())
+    got = sorted(tuple(r) for r in queries.op3_token_files(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect())
     at, want = 0, []
     for d, t in texts:
-        n = len(encode(t))
-        want.append((d, at, n))
-        at += n
+        ids = np.array(encode(t), "<u4")
+        want.append((d, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
     assert got == want

@@ -30,21 +30,33 @@ def with_row_key(docs: DataFrame) -> DataFrame:
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality classifier rejects go (score below one half)."""
+    """Documents the quality classifier rejects go (score below one half).
+
+    Every row is scored for itself, by its whole text: a null or empty text, one of any length and repeated
+    rows too; a score of exactly one half stays. Rows are otherwise unchanged.
+    """
     model = quality_fm.train(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     scored = quality_fm.with_score(docs.withColumn("_cp_text", F.col("text")), model, "_cp_text", "_cp_score")
     return scored.where("_cp_score >= 0.5").select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal but for white space the one with the most code points stays."""
+    """Of texts equal but for white space the one with the most code points stays.
+
+    Ties go to the smallest id (null last); of rows alike in both, and so of repeated rows, exactly one stays.
+    Null and empty texts are equal. Texts of any length are compared by digest and length.
+    """
     keyed = with_row_key(docs)
     gone = exact_dedup.exact_dedup(keyed, carry=ROW).where("not kept").select(*ROW)
     return keyed.join(gone, list(ROW), "left_anti").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the row of the smallest id stays, one of them if it is repeated."""
+    """Of each SimHash component the row of the smallest id stays (null last), one of them if it is repeated.
+
+    Ties in the id go to the row that comes first in the files. Null, empty and wordless texts share the
+    fingerprint zero. Whole texts of any length are fingerprinted.
+    """
     keyed = with_row_key(docs)
     rows = simhash.simhash_components(keyed, carry=ROW)
     # the survivor is a combined minimum per fingerprint group, so copies never meet in one task
@@ -59,7 +71,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, whole: its words taken over its size, rounded.
 
     A shard's last document, of which the mix takes a part, stays whole or goes;
-    a document without words takes none of the budget and is not part of the mix.
+    a document without words, so one of null text too, takes none of the budget and is not
+    part of the mix. Repeated rows are documents of their own; of rows alike in id and size it
+    is open which one a last block takes. A long text is taken whole or not, like any other.
     """
     keyed = with_row_key(docs)
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
@@ -69,7 +83,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of windows of 2048 tokens, a row each; ids as little-endian unsigned 32-bit."""
+    """Pieces of windows of 2048 tokens, a row each; ids as little-endian unsigned 32-bit.
+
+    A null text is the end id alone. Repeated rows are packed each; a text longer than a window
+    is cut over as many as it needs. The order of documents within a window is that of the scan.
+    """
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
 
 

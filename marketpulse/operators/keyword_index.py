@@ -9,12 +9,12 @@ its postings by bucket, word, text and position and writes one segment a bucket:
 shuffled, so a word in every text is as many segments as there were tasks, and
 sorted columns pack into a few bytes a posting.
 
-A search reads only the buckets of the dictionary's words, and of their files only
-the pages in which the words lie (pushed filters on the sorted word). Every keyword
-starts from the postings of its rarest word and is checked against its other words in
-order of frequency: an equi-join on (word, text, position) for a phrase, on (word,
-text) for all terms. So the list of a frequent word is only probed for the texts that
-are left, and its postings spread over all tasks by text.
+A search reads only the buckets of the dictionary's words, once, and keeps the
+postings of these words as a table. Every keyword starts from the postings of its rarest
+word and is checked against its other words in order of frequency: an equi-join on
+(word, text, position) for a phrase, on (word, text) for all terms. So the list of
+a frequent word is only probed for the texts that are left, and its postings spread over
+all tasks by text.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from marketpulse.functions.columns import WORD_SPLIT, all_of
 from marketpulse.operators.keyword import keyword_words
+from marketpulse.session import scratch_path
 
-BUCKETS = 64
+BUCKETS = 32
 
 
 def bucket_of(word: Column, buckets: int) -> Column:
@@ -56,30 +57,36 @@ def search_index(index: DataFrame, keywords: DataFrame, key_col: str = "ticker",
 
     Search strings mean the same: a phrase in double quotes, else all terms, on
     whole words without case. The driver learns which of the ``buckets`` the
-    dictionary names and how many words its longest keyword has.
+    dictionary names and how many words its longest phrase and its longest list of terms have.
     """
+    spark = index.sparkSession
     keep, entry = list(keep), [key_col, keyword_col]
     words = keyword_words(keywords, key_col, keyword_col).withColumn("bucket", bucket_of(F.col("_mp_word"), buckets))
     named = sorted(r[0] for r in words.select("bucket").distinct().collect())
-    longest = words.agg(F.max("_mp_need")).first()[0] or 0
+    longest = {r[0]: r[1] for r in words.groupBy("_mp_phrase").agg(F.max("_mp_need")).collect()}
     postings = index.where(F.col("bucket").isin(named)).select(F.col("word").alias("_mp_word"), *keep, F.col("pos").alias("_mp_pos"))
-    often = (postings.join(words.select("_mp_word").distinct(), "_mp_word", "left_semi")
-             .groupBy("_mp_word").agg(F.count(F.lit(1)).alias("_mp_often")))
+    postings, folder = postings.join(words.select("_mp_word").distinct(), "_mp_word", "left_semi"), scratch_path(spark, "postings")
+    postings.write.parquet(folder)
+    postings = spark.read.schema(postings.schema).parquet(folder)
+    often = (postings.groupBy("_mp_word").agg(F.count(F.lit(1)).alias("_mp_often")))
     # the words of a keyword by frequency; one that occurs nowhere comes first and ends the search
     rarest = Window.partitionBy(*entry).orderBy(F.coalesce("_mp_often", F.lit(0)), "_mp_place")
     words = (words.join(often, "_mp_word", "left").withColumn("_mp_turn", F.row_number().over(rarest))
              .select(*entry, "_mp_phrase", "_mp_need", "_mp_place", "_mp_word", "_mp_turn"))
     start = F.when(F.col("_mp_phrase"), F.col("_mp_pos") - F.col("_mp_place")).otherwise(F.lit(0))
-    found = (postings.join(words.where("_mp_turn = 1"), "_mp_word")
+    first = (postings.join(words.where("_mp_turn = 1"), "_mp_word")
              .select(*keep, *entry, "_mp_phrase", "_mp_need", start.alias("_mp_start")).distinct())
-    done = found.where("_mp_need = 1").select(*keep, *entry)
-    for turn in range(2, longest + 1):
-        found = _checked(found, words.where(F.col("_mp_turn") == turn), postings, keep, entry)
-        done = done.unionByName(found.where(F.col("_mp_need") == turn).select(*keep, *entry))
+    done = first.where("_mp_need = 1").select(*keep, *entry)
+    for phrase, most in longest.items():
+        found = first.where(F.col("_mp_phrase") == phrase)
+        for turn in range(2, most + 1):
+            found = _checked(found, words.where(F.col("_mp_turn") == turn), postings, keep, entry, phrase)
+            done = done.unionByName(found.where(F.col("_mp_need") == turn).select(*keep, *entry))
     return done.distinct()
 
 
-def _checked(found: DataFrame, words: DataFrame, postings: DataFrame, keep: list[str], entry: list[str]) -> DataFrame:
+def _checked(found: DataFrame, words: DataFrame, postings: DataFrame, keep: list[str], entry: list[str],
+             phrase: bool) -> DataFrame:
     """The candidates at which the next word of their keyword stands too."""
     w = words.select(*[F.col(c).alias(f"_mp_w{i}") for i, c in enumerate(entry)], F.col("_mp_word").alias("_mp_next"),
                      F.col("_mp_place").alias("_mp_next_place"))
@@ -87,8 +94,6 @@ def _checked(found: DataFrame, words: DataFrame, postings: DataFrame, keep: list
     asked = found.join(w, same).drop(*[f"_mp_w{i}" for i in range(len(entry))])
     p = postings.select("_mp_word", "_mp_pos", *[F.col(c).alias(f"_mp_k{i}") for i, c in enumerate(keep)])
     text = all_of([F.col("_mp_next") == F.col("_mp_word")] + [F.col(c).eqNullSafe(F.col(f"_mp_k{i}")) for i, c in enumerate(keep)])
-    there = F.col("_mp_start") + F.col("_mp_next_place") == F.col("_mp_pos")
-    phrases = asked.where("_mp_phrase").join(p, text & there)
-    terms = asked.where("NOT _mp_phrase").join(p, text)
-    columns = [*keep, *entry, "_mp_phrase", "_mp_need", "_mp_start"]
-    return phrases.select(*columns).unionByName(terms.select(*columns)).distinct()
+    if phrase:
+        text = text & (F.col("_mp_start") + F.col("_mp_next_place") == F.col("_mp_pos"))
+    return asked.join(p, text).select(*keep, *entry, "_mp_phrase", "_mp_need", "_mp_start").distinct()

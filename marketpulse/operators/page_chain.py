@@ -97,17 +97,17 @@ def _ranked(segments: DataFrame) -> DataFrame:
     jumps = (segments.where(~F.col("fork") & F.col("to").isNotNull()).select("search", F.col("head").alias("at"), "to", "tokens")
              .join(heads, ["search", "to"], "left_semi").select("search", "at", "to", F.col("tokens").alias("far")))
     reached = segments.where(F.col("head") == START).select("search", F.col("head").alias("at"), F.lit(0).cast("bigint").alias("rank"))
-    jumps, reached = _written(jumps, "chain-jumps"), _written(reached, "chain-reached")
-    n = reached.count()
-    while True:
+    jumps, n = _written(jumps, "chain-jumps"), None
+    while not jumps.isEmpty():
         further = reached.join(jumps, ["search", "at"]).select("search", F.col("to").alias("at"), (F.col("rank") + F.col("far")).alias("rank"))
         reached = _written(reached.unionByName(further).groupBy("search", "at").agg(F.min("rank").alias("rank")), "chain-reached")
         before, n = n, reached.count()
         if n == before:  # every walk has ended or come back to itself
-            return reached.select("search", F.col("at").alias("head"), "rank")
+            break
         onward = jumps.select("search", F.col("at").alias("to"), F.col("to").alias("then"), F.col("far").alias("more"))
         jumps = _written(jumps.join(onward, ["search", "to"]).select("search", "at", F.col("then").alias("to"),
                                                                     (F.col("far") + F.col("more")).alias("far")), "chain-jumps")
+    return reached.select("search", F.col("at").alias("head"), "rank")
 
 
 def chain_status(pages: DataFrame, chunk_pages: int = CHUNK_PAGES) -> DataFrame:

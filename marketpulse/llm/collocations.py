@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import exchange_size, released_shuffles, text_or_empty, written
+from marketpulse.llm.common import arrow_batches, exchange_size, released_shuffles, text_or_empty, write_wide, written
 from marketpulse.llm.packed import pack_counts, pack_keys, unpack_counts, unpack_keys
 from marketpulse.session import scratch_path
 
@@ -41,6 +41,7 @@ CORNER_TILES = 4
 DENSE = 1 << 17
 SLICE = 1 << 19  # places of a unit looked at together, which bounds a task's memory
 UNIT_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20  # of rows given to Python at once
 GROUP_BYTES = 8 << 20
 SCALE = 2_000_000
 GONE = np.uint32(0xFFFFFFFF)  # a place that is no frequent word or phrase, or lies between two pieces
@@ -112,13 +113,11 @@ def _number(frames):
     import pandas as pd
 
     for frame in frames:
-        out = []
         for unit, lang, ids, places, known in zip(frame["unit"], frame["lang"], frame["ids"], frame["places"], frame["known"]):
             ids = np.frombuffer(ids, np.uint32)
             table = np.full(int(ids.max()) + 1, GONE, np.uint32)
             table[places] = known
-            out.append((unit, lang, _stretches(table[ids]).tobytes()))
-        yield pd.DataFrame(out, columns=["unit", "lang", "ids"])
+            yield pd.DataFrame([(unit, lang, _stretches(table[ids]).tobytes())], columns=["unit", "lang", "ids"])
 
 
 def pair_codes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,40 +128,60 @@ def pair_codes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def count_tiles(codes: np.ndarray, weights: np.ndarray | None = None, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in order and their counts (sums of ``weights``)."""
-    bits, side = np.uint64(TILE_BITS), 1 << TILE_BITS
-    a, b = codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)
-    corner = np.uint64(CORNER_TILES << TILE_BITS)
-    inside = (a < corner) & (b < corner)
-    tile = np.where(inside, (a >> bits) * np.uint64(CORNER_TILES) + (b >> bits), CORNER_TILES ** 2).astype(np.int64)
+    bits, side = TILE_BITS, 1 << TILE_BITS
+    tile = _tiles(codes)
     hits = np.bincount(tile, minlength=CORNER_TILES ** 2 + 1)
-    found, counted, rest = [], [], np.ones(len(codes), bool)
+    found, counted, rest = [], [], None
     for t in np.flatnonzero(hits[:-1] >= dense).tolist():
         mine = tile == t
-        rest &= ~mine
-        cell = ((a[mine] & np.uint64(side - 1)) << bits | b[mine] & np.uint64(side - 1)).astype(np.int64)
+        rest = ~mine if rest is None else rest & ~mine
+        a, b = codes[mine] >> np.uint64(32), codes[mine] & np.uint64(0xFFFFFFFF)
+        cell = ((a & np.uint64(side - 1)) << np.uint64(bits) | b & np.uint64(side - 1)).astype(np.int64)
         cells = np.bincount(cell, None if weights is None else weights[mine], side * side).astype(np.int64)
         hit = np.flatnonzero(cells)
         x, y = hit // side + t // CORNER_TILES * side, hit % side + t % CORNER_TILES * side
         found.append(x.astype(np.uint64) << np.uint64(32) | y.astype(np.uint64))
         counted.append(cells[hit])
+    del tile
+    if rest is None:
+        return sum_codes(codes, weights)
     if rest.any():
-        sparse = codes[rest]
-        if weights is None:
-            sparse, n = np.unique(sparse, return_counts=True)
-        else:
-            order = np.argsort(sparse)
-            sparse = sparse[order]
-            first = np.flatnonzero(np.diff(sparse, prepend=~sparse[:1]))
-            sparse, n = sparse[first], np.add.reduceat(weights[rest][order], first)
-        found.append(sparse)
-        counted.append(n)
+        sparse = sum_codes(codes[rest], None if weights is None else weights[rest])
+        found.append(sparse[0])
+        counted.append(sparse[1])
     if len(found) < 2:
-        return (found[0], counted[0].astype(np.int64)) if found else (codes, np.empty(0, np.int64))
+        return found[0], counted[0].astype(np.int64)
     found, counted = np.concatenate(found), np.concatenate(counted)
     order = np.argsort(found)
     return found[order], counted[order].astype(np.int64)
 
 
+def _tiles(codes: np.ndarray) -> np.ndarray:
+    """The corner tile of each code, or the number after the last one; slice by slice."""
+    out = np.empty(len(codes), np.uint8)
+    bits, corner = np.uint64(TILE_BITS), np.uint64(CORNER_TILES << TILE_BITS)
+    for i in range(0, len(codes), SLICE):
+        a, b = codes[i:i + SLICE] >> np.uint64(32), codes[i:i + SLICE] & np.uint64(0xFFFFFFFF)
+        inside = (a < corner) & (b < corner)
+        out[i:i + SLICE] = np.where(inside, (a >> bits) * np.uint64(CORNER_TILES) + (b >> bits), CORNER_TILES ** 2)
+    return out
+
+
+def sum_codes(codes: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order and their counts (sums of ``weights``), by sorting."""
+    if not len(codes):
+        return codes, np.empty(0, np.int64)
+    if weights is None:
+        codes = np.sort(codes)
+        first = np.flatnonzero(np.diff(codes, prepend=~codes[:1]))
+        return codes[first], np.diff(first, append=len(codes))
+    order = np.argsort(codes)
+    codes, weights = codes[order], weights[order]
+    del order
+    first = np.flatnonzero(np.diff(codes, prepend=~codes[:1]))
+    return codes[first], np.add.reduceat(weights, first, dtype=np.int64)
+
+
 def count_pairs(ids: np.ndarray, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of neighbouring places and their counts, slice by slice."""
     found = []
@@ -171,7 +190,9 @@ def count_pairs(ids: np.ndarray, dense: int = DENSE) -> tuple[np.ndarray, np.nda
         found.append(count_tiles(codes[ok], dense=dense))
     if len(found) == 1:
         return found[0]
-    return count_tiles(np.concatenate([c for c, _ in found]), np.concatenate([n for _, n in found]), dense)
+    codes, counts = np.concatenate([c for c, _ in found]), np.concatenate([n for _, n in found])
+    found.clear()
+    return sum_codes(codes, counts)
 
 
 def group_of(codes: np.ndarray, lang: str, groups: int, stripes: int) -> np.ndarray:
@@ -191,21 +212,23 @@ def _request(groups: int, stripes: int, dense: int):
         import pandas as pd
 
         for frame in frames:
-            out = []
             for unit, lang, ids in zip(frame["unit"], frame["lang"], frame["ids"]):
                 codes, n = count_pairs(np.frombuffer(ids, np.uint32), dense)
-                part = group_of(codes, lang, groups, stripes)
+                part = np.empty(len(codes), np.int32)
+                for i in range(0, len(codes), SLICE):
+                    part[i:i + SLICE] = group_of(codes[i:i + SLICE], lang, groups, stripes)
                 order = np.argsort(part, kind="stable")
                 part, codes, n = part[order], codes[order], n[order]
-                edges = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
-                out += [(int(part[i]), lang, unit, pack_keys(codes[i:j]), pack_counts(n[i:j]))
-                        for i, j in zip(edges, [*edges[1:], len(codes)])]
-            yield pd.DataFrame(out, columns=["part", "lang", "unit", "codes", "counts"])
+                edges = np.flatnonzero(np.diff(part, prepend=np.int32(-1))).tolist()
+                # a frame per unit: what a task holds does not follow the units in its batch
+                yield pd.DataFrame([(int(part[i]), lang, unit, pack_keys(codes[i:j]), pack_counts(n[i:j]))
+                                    for i, j in zip(edges, [*edges[1:], len(codes)])],
+                                   columns=["part", "lang", "unit", "codes", "counts"])
 
     return run
 
 
-def _merge(min_count: int, dense: int, held: int = 1 << 21):
+def _merge(min_count: int, dense: int, held: int = 1 << 20):
     """Request rows sorted by group -> the pairs that are frequent; holds one group's distinct pairs."""
 
     def run(frames):
@@ -215,7 +238,8 @@ def _merge(min_count: int, dense: int, held: int = 1 << 21):
 
         def compact():
             nonlocal codes, counts, n
-            merged = count_tiles(np.concatenate(codes), np.concatenate(counts), dense)
+            codes, counts = [np.concatenate(codes)], [np.concatenate(counts)]
+            merged = count_tiles(codes.pop(), counts.pop(), dense)
             codes, counts, n = [merged[0]], [merged[1]], 0
 
         def frequent():
@@ -280,7 +304,6 @@ def _raise_level(frames):
     import pandas as pd
 
     for frame in frames:
-        out = []
         for unit, lang, ids, keys, numbers in zip(frame["unit"], frame["lang"], frame["ids"], frame["keys"], frame["numbers"]):
             known = np.concatenate([unpack_keys(k) for k in keys])
             number = np.concatenate([np.frombuffer(x, np.uint32) for x in numbers])
@@ -293,8 +316,7 @@ def _raise_level(frames):
                 raised.append(np.where(ok & (known[place] == codes), number[place], GONE))
             ids = _stretches(np.concatenate(raised))
             if len(ids):
-                out.append((unit, lang, ids.tobytes()))
-        yield pd.DataFrame(out, columns=["unit", "lang", "ids"])
+                yield pd.DataFrame([(unit, lang, ids.tobytes())], columns=["unit", "lang", "ids"])
 
 
 def ranked(rows: DataFrame, tie: str) -> DataFrame:
@@ -323,8 +345,8 @@ def _level(folder: str, level: int, units: DataFrame, groups: int, stripes: int,
            dense: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
     """The frequent pairs of a level, ranked, and the units on the next level."""
     spark = units.sparkSession
-    with released_shuffles(spark):
-        units.mapInPandas(_request(groups, stripes, dense), REQUEST).write.parquet(f"{folder}/requests{level}")
+    with released_shuffles(spark), arrow_batches(spark, BATCH_BYTES):
+        write_wide(units.mapInPandas(_request(groups, stripes, dense), REQUEST), f"{folder}/requests{level}")
         requests = spark.read.schema(REQUEST).parquet(f"{folder}/requests{level}")
         frequent = (requests.repartition("part").sortWithinPartitions("part", "lang")
                     .mapInPandas(_merge(min_count, dense), FREQUENT))
@@ -339,7 +361,7 @@ def _level(folder: str, level: int, units: DataFrame, groups: int, stripes: int,
                    .mapInPandas(_reply, REPLY))
         replies = (replies.groupBy("unit", "lang").agg(F.collect_list(F.struct("codes", "ids")).alias("r"))
                    .select("unit", "lang", F.col("r.codes").alias("keys"), F.col("r.ids").alias("numbers")))
-        units.join(replies, ["unit", "lang"]).mapInPandas(_raise_level, LEVEL).write.parquet(f"{folder}/level{level}")
+        write_wide(units.join(replies, ["unit", "lang"]).mapInPandas(_raise_level, LEVEL), f"{folder}/level{level}")
     return frequent, spark.read.schema(LEVEL).parquet(f"{folder}/level{level}")
 
 
@@ -363,20 +385,20 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min
     groups = max(1, -(-size // (group_bytes or exchange_size(size, GROUP_BYTES, 640))))
     stripes = 1 << min(TILE_BITS, max(0, groups.bit_length() - 3))
     folder = scratch_path(spark, "phrases")
-    with released_shuffles(spark):
-        rows.mapInPandas(_units(unit_tokens), UNIT).write.parquet(f"{folder}/units")
+    with released_shuffles(spark), arrow_batches(spark, BATCH_BYTES):
+        write_wide(rows.mapInPandas(_units(unit_tokens), UNIT), f"{folder}/units")
     units = spark.read.schema(UNIT).parquet(f"{folder}/units")
     words = (units.select("unit", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
              .select("unit", "lang", (F.col("place") + 1).alias("place"), F.col("w.words").alias("word"),
                      F.col("w.counts").alias("n")))
-    with released_shuffles(spark):
+    with released_shuffles(spark), arrow_batches(spark, BATCH_BYTES):
         vocabulary = ranked(words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count), "word")
         totals = written(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
         known = (words.join(vocabulary, ["lang", "word"]).groupBy("unit", "lang")
                  .agg(F.collect_list(F.struct("place", "id")).alias("k"))
                  .select("unit", "lang", F.col("k.place").alias("places"), F.col("k.id").alias("known")))
-        units.select("unit", "lang", "ids").join(known, ["unit", "lang"]).mapInPandas(_number, LEVEL).write.parquet(
-            f"{folder}/level1")
+        write_wide(units.select("unit", "lang", "ids").join(known, ["unit", "lang"]).mapInPandas(_number, LEVEL),
+                   f"{folder}/level1")
     level = spark.read.schema(LEVEL).parquet(f"{folder}/level1")
     two, level = _level(folder, 2, level, groups, stripes, min_count, dense, False)
     three, level = _level(folder, 3, level, groups, stripes, min_count, dense, False)

@@ -2,16 +2,19 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marketpulse.llm import collocations, line_dedup, periodic_runs, queries
+from marketpulse.llm.packed import pack_counts, pack_keys
 from tests.llm.helpers import LOWER, SF, key, no_docs, odd_docs, odd_rows, rows_of
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -190,6 +193,27 @@ def test_pairs_in_slices(ids, width):
     assert list(zip(found.tolist(), counts.tolist())) == sorted(want.items())
 
 
+def test_phrase_tasks_hold_a_unit_at_a_time():
+    """What a task holds does not follow the units in its batch, and a group's sums stay near its pairs."""
+    rng = np.random.default_rng(5)
+    units = pd.DataFrame([(u, "en", rng.integers(0, 900, 4000).astype(np.uint32).tobytes()) for u in range(3)],
+                         columns=["unit", "lang", "ids"])
+    frames = list(collocations._request(7, 2, collocations.DENSE)(iter([units])))
+    assert [sorted(set(f["unit"])) for f in frames] == [[0], [1], [2]]
+    rows = [np.unique(rng.integers(0, 1 << 40, 15000).astype(np.uint64)) for _ in range(170)]
+    asked = pd.DataFrame([(1, "en", u, pack_keys(k), pack_counts(np.ones(len(k), np.int64))) for u, k in enumerate(rows)],
+                         columns=["part", "lang", "unit", "codes", "counts"])
+    tracemalloc.start()
+    try:
+        found = pd.concat(collocations._merge(2, collocations.DENSE)(iter([asked])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    counts = np.unique(np.concatenate(rows), return_counts=True)[1]
+    assert found["f"].sum() == counts[counts > 1].sum()
+    assert peak < 80 * sum(map(len, rows))
+
+
 def test_phrases_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
     assert rows_of(queries.op12_collocations(spark, SF), *PHRASES) == slow_phrases(docs, 30, 2000)

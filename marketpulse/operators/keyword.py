@@ -14,8 +14,9 @@ occurs when all its distinct words do. Before the join a text's words pass a fix
 map of ``FILTER_BITS`` bits, set at the hashes of the dictionary's words (a
 scalar subquery), which lets through all dictionary words and few others. So what
 moves and what is grouped follows the matches, not the text; nothing is
-collected, and Spark broadcasts the dictionary or shuffles (splitting a hot
-word) by its size in bytes.
+collected, and Spark broadcasts the dictionary or shuffles by its size in
+bytes. Occurrences of a word are dealt over ``SPREAD`` parts, each of which gets
+the word's keywords, so no task of a shuffled join sorts a frequent word whole.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from marketpulse.functions.columns import WORD_SPLIT
 
 
 FILTER_BITS = 1 << 16
+SPREAD = 64
 
 
 def words_of(c) -> Column:
@@ -69,7 +71,9 @@ def match_keywords(texts: DataFrame, keywords: DataFrame, text_col: str = "text"
     mask = F.get(word_filter(needed).scalar(), (F.call_function("shiftright", h, F.lit(6))).cast("int"))
     known = F.call_function("shiftright", mask, (h % 64).cast("int")).bitwiseAND(F.expr("1L")) == 1
     tokens = texts.select(*keep, F.posexplode(words).alias("_mp_pos", "_mp_word")).where(known)
-    hits = tokens.join(needed, "_mp_word")
+    tokens = tokens.withColumn("_mp_part", F.pmod(F.xxhash64(*keep, "_mp_pos"), F.lit(SPREAD)).cast("int"))
+    needed = needed.withColumn("_mp_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    hits = tokens.join(needed, ["_mp_word", "_mp_part"])
     start = F.when(F.col("_mp_phrase"), F.col("_mp_pos") - F.col("_mp_place")).otherwise(F.lit(0))
     # NULL keys and ids group together with themselves, as the text they stand for does
     entry = [*keep, key_col, keyword_col]

@@ -128,3 +128,20 @@ def test_keyword_many_entries(spark):
     for n in (10, 2000):
         kw = spark.range(n).selectExpr("concat('K', id) as ticker", "concat('\"w', id, ' w', id + 1, '\"') as keyword")
         assert match_keywords(docs, kw).count() == min(n, 50)
+
+
+def test_frequent_keyword_word_is_no_single_task(spark):
+    """One word makes up all texts: a shuffled join spreads it over the tasks."""
+    texts = spark.range(0, 4000, 1, 4).select(F.col("id").alias("doc_id"), F.repeat(F.lit("die "), 50).alias("text"))
+    words = spark.createDataFrame([("DERDIE", "der die"), ("DIE", '"die"')], "ticker string, keyword string").hint("shuffle_merge")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = match_keywords(texts, words)
+        assert {(r.ticker, r.n) for r in found.groupBy("ticker").agg(F.count(F.lit(1)).alias("n")).collect()} == {("DIE", 4000)}
+        plan = match_keywords(texts, words)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin [_mp_word" in plan and "_mp_part" in plan.split("SortMergeJoin")[1].split("\n")[0]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm.common import text_or_empty
-from marketpulse.llm.tokens import encoder, slices
+from marketpulse.llm.tokens import arrow_slices, encoder
 
 WINDOW = 2048
 END_ID = 1
@@ -91,9 +91,11 @@ class Packer:
 
 
 def _pack_task(path: str, window: int, end_id: int):
-    def run(frames):
-        import pandas as pd
+    def run(batches):
+        import pyarrow as pa
 
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
+        schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in names])
         enc = encoder(path, "byte", "<|endoftext|>")
         packer = Packer(window)
         first = TaskContext.get().partitionId() << 40
@@ -108,15 +110,12 @@ def _pack_task(path: str, window: int, end_id: int):
                     out.append((doc, start, len(ids), ids.astype("<u4").tobytes(), total, first + made, offset, filled))
                     offset += len(ids)
                 made += 1
-            frame = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            return frame
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-        for frame in frames:
-            keys = [None if k is None or k != k else int(k) for k in frame["doc_id"].astype(object)]
-            for at, texts in slices(frame["text"].tolist(), 2 << 20):
+        for batch in batches:
+            for part in arrow_slices(batch):
                 full = []
-                for doc, ids in zip(keys[at:at + len(texts)], enc.encode(texts)):
+                for doc, ids in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text").to_pylist())):
                     ids = np.append(ids, np.uint32(end_id))
                     whole = len(ids) // window * window
                     for start in range(0, whole, window):
@@ -147,4 +146,4 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     if window < 2:
         raise ValueError("window must be at least 2")
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-            .mapInPandas(_pack_task(tokenizer, window, end_id), SCHEMA))
+            .mapInArrow(_pack_task(tokenizer, window, end_id), SCHEMA))

@@ -18,10 +18,12 @@ one pass over the scan with no shuffle, and reads every text whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ BUCKETS = 1 << 13
 STATS = 18
 FACTORS = 8
 SAMPLE = 4096
-_CACHED = 250_000
+_CACHED = 100_000
 
 
 class _Buckets(dict):
@@ -44,6 +46,10 @@ class _Buckets(dict):
 _BUCKETS = _Buckets()
 
 
+def forget_words() -> None:
+    _BUCKETS.clear()
+
+
 def _shares(text: str, words: list[str]) -> list[float]:
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     hist = np.bincount(raw, minlength=256)
@@ -155,14 +161,13 @@ def fit(rows: list[tuple], labels: np.ndarray, epochs: int = 20, steps: int = 80
 
 
 def _sparse_rows(frames):
-    import pandas as pd
-
     for frame in frames:
         out = []
         for doc, quality, text in zip(frame["doc_id"], frame["quality"], frame["text"]):
             _, bucket, value, stats = features([text])
             out.append((doc, quality, bucket.astype("<i4").tobytes(), value.astype("<f4").tobytes(), stats[0].tobytes()))
         yield pd.DataFrame(out, columns=["doc_id", "quality", "buckets", "amounts", "stats"])
+    forget_words()
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -190,10 +195,10 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: fixed numbers of buckets and factors
 
     @F.pandas_udf("double")
-    def udf(texts):
-        import pandas as pd
-
-        return pd.Series(shared.value.scores(texts.tolist()))
+    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(shared.value.scores(texts.tolist()))
+        forget_words()  # the worker lives on, for other work
 
     return docs.withColumn(name, udf(text_or_empty(text_col)))
 

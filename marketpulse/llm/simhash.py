@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from marketpulse.llm.common import cut, text_or_empty
 from marketpulse.llm.components import connected_components
+from marketpulse.llm.tokens import slices
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -80,7 +81,7 @@ def fingerprints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
             before = len(hashes)
             hashes += [xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1:] - 1).tolist())]
             todo.append((i, len(hashes) - before))
-        if len(hashes) > 1 << 18:
+        if len(hashes) > 1 << 16:
             settle()
     settle()
     return out
@@ -93,7 +94,8 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = SHI
     def udf(texts):
         import pandas as pd
 
-        return pd.Series(fingerprints([t.encode() for t in texts], shingle).view(np.int64))
+        prints = [fingerprints([t.encode() for t in part], shingle) for _, part in slices(texts.tolist(), 1 << 20)]
+        return pd.Series(np.concatenate([np.zeros(0, np.uint64), *prints]).view(np.int64))
 
     return docs.withColumn("fingerprint", udf(text_or_empty(text_col)))
 

@@ -31,7 +31,7 @@ _ODD = ("\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u300
 _MARK = re.compile(r"(?<![^\W_])[.,]")
 # characters that str.split() takes for white space and the vocabularies do not
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
-_CACHED_CHUNKS = 600_000
+_CACHED_CHUNKS = 300_000  # about 400 bytes each
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -60,14 +60,24 @@ class Encoder:
         if kind not in ("byte", "word"):
             raise ValueError("kind must be byte or word")
         self.kind, self.separator = kind, separator
-        self.split = Tokenizer.from_file(path)  # finds the separator
-        self.plain = Tokenizer.from_file(path)  # takes it as ordinary text
-        self.plain.encode_special_tokens = True
+        self._tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.plain.get_added_tokens_decoder().values() if t.content != separator]
         self.separator_id = self.split.token_to_id(separator)
         self.vocabulary = self.plain.get_vocab_size(with_added_tokens=True)
         self._forget()
 
+    @property
+    def split(self):
+        """The tokenizer, finding the separator."""
+        self._tokenizer.encode_special_tokens = False
+        return self._tokenizer
+
+    @property
+    def plain(self):
+        """The same tokenizer, taking the separator as ordinary text."""
+        self._tokenizer.encode_special_tokens = True
+        return self._tokenizer
+
     def _forget(self, keep: np.ndarray | None = None) -> None:
         """Keep only the chunks of the given codes (none at the start)."""
         old = self.codes if keep is not None else {}
@@ -167,3 +177,18 @@ def slices(texts: list[str], size: int = 4 << 20):
             first, n = i + 1, 0
     if first < len(texts):
         yield first, texts[first:]
+
+
+def arrow_slices(batch, column: str = "text", size: int = 1 << 20):
+    """Consecutive parts of an Arrow batch of about ``size`` bytes of ``column`` (a row at least).
+
+    Parts share the batch's buffers, so Python objects exist of one part at a time.
+    """
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first, given = 0, 0
+    while first < len(ends):
+        end = max(first + 1, int(np.searchsorted(ends, given + size, side="right")))
+        yield batch.slice(first, end - first)
+        first, given = end, int(ends[end - 1])

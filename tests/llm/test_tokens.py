@@ -41,3 +41,33 @@ def test_slices_cover_all():
     got = [(at, t) for at, part in tokens.slices(texts, 60) for at, t in zip(range(at, at + len(part)), part)]
     assert got == list(enumerate(texts))
     assert np.sum([1 for _ in tokens.slices([], 5)]) == 0
+
+
+def test_one_tokenizer_and_parts_of_a_batch_at_a_time():
+    import pyarrow as pa
+
+    enc = tokens.encoder(path("byte_bpe_50k.json"), "byte", "<|endoftext|>")
+    assert enc.plain is enc.split  # a second one takes 30 MB of every worker
+    assert enc.plain.encode("<|endoftext|>", add_special_tokens=False).ids != [enc.separator_id]
+    assert enc.split.encode("<|endoftext|>", add_special_tokens=False).ids == [enc.separator_id]
+    texts = ["a" * 30, None, "é" * 30, "b" * 500, "", "c" * 50, "d" * 50, None]
+    batch = pa.record_batch({"k": list(range(8)), "text": texts})
+    parts = [p.to_pydict() for p in tokens.arrow_slices(batch, size=100)]
+    assert [p["k"] for p in parts] == [[0, 1, 2], [3], [4, 5, 6, 7]]
+    assert [t for p in parts for t in p["text"]] == texts
+    assert not list(tokens.arrow_slices(batch.slice(0, 0)))
+
+
+def test_score_task_leaves_no_words_in_its_worker(spark):
+    from marketpulse.llm import quality_fm
+
+    def held(frames):
+        import pandas as pd
+
+        for f in frames:
+            yield pd.DataFrame({"n": [len(quality_fm._BUCKETS)]})
+
+    model = quality_fm.fit([], np.zeros(0))
+    docs = spark.createDataFrame([("some words here",), (None,), ("",)], "text string").repartition(1)
+    assert quality_fm.with_score(docs, model).where("score = 0.5").count() == 3
+    assert {r.n for r in spark.range(8, numPartitions=8).mapInPandas(held, "n long").collect()} == {0}

@@ -901,6 +901,7 @@ def q_stream_polling(spark, sf_dir):
     base = scratch_path(spark, "polling")
     stage, target, dim = f"{base}/stage", f"{base}/bronze", _dim(spark)
     posts, horizon = _posts(spark, sf_dir), timedelta(days=30)
+    third = max(1, -(-spark.sparkContext.defaultParallelism // 3))  # files of a third of a round: every core writes and reads
 
     def broken(batch, batch_id):
         if batch_id % 2:  # the round's later batches are lost with the process
@@ -908,12 +909,12 @@ def q_stream_polling(spark, sf_dir):
         append_batch(batch, target, checkpoint_for(target, "polling"), batch_id)
 
     for i, now in enumerate(POLLS):
-        shown = posts.where(F.col("created_at") < _ntz(now)).repartition(3)
-        how = {"max_files_per_trigger": 1, "sink": broken} if i == 1 else {"max_files_per_trigger": 2}
+        shown = posts.where(F.col("created_at") < _ntz(now)).repartition(3 * third)
+        how = {"max_files_per_trigger": third, "sink": broken} if i == 1 else {"max_files_per_trigger": 2 * third}
         try:
             poll(shown, dim, stage, target, datetime.fromisoformat(now), RUN_DATE, timedelta(days=2), horizon, **how)
         except StreamingQueryException:
-            stream_new_posts(spark, stage, target, horizon, max_files_per_trigger=1)
+            stream_new_posts(spark, stage, target, horizon, max_files_per_trigger=third)
     return _dates_as_timestamps(read_bronze(spark, target))
 
 

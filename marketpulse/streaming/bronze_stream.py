@@ -16,6 +16,8 @@ another stream and appends all staged rows again.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,10 +44,26 @@ def checkpoint_for(table_path: str, name: str = "stream") -> str:
     return f"{table_path.rstrip('/')}_checkpoints/{name}"
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution within it. Streams run without, and a write then ignores its ``rebalance`` hint."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def append_batch(batch: DataFrame, table_path: str, checkpoint: str, batch_id: int) -> None:
-    """One micro-batch as one load; running it again replaces it."""
+    """One micro-batch as one load; running it again replaces it.
+
+    Its rows are rebalanced by date, so files follow its bytes, not state partitions times dates.
+    """
     stream = sha256(checkpoint.encode()).hexdigest()[:12]
-    write_load(batch, table_path, f"stream-{stream}-{batch_id:010d}", BRONZE_PARTITION)
+    with adaptive(batch.sparkSession):
+        write_load(batch, table_path, f"stream-{stream}-{batch_id:010d}", BRONZE_PARTITION)
 
 
 def stream_to_bronze(spark: SparkSession, stage_path: str, table_path: str,
